@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def with_kept(df: DataFrame, name: str, value: Column, keep: Callable[[Column], Column]) -> DataFrame:
+    """Add ``value`` as column ``name`` and keep the rows where it passes.
+
+    A filter on a computed column would be pushed below its projection and
+    compute it twice; exploding a one-element array computes it once.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.filter(F.array(value), keep)).alias(name))
+
+
 def strip(c: str | Column) -> Column:
     """Trim Unicode white space on both ends (``trim`` drops spaces only)."""
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
-from paralex.functions.core import alternation, blank_to_null, col, let, strip, text_lines
+from paralex.functions.core import alternation, col, let, strip, text_lines, with_kept
 from paralex.functions.labels import ALL_LABELS, LANGUAGE_LABELS, labelled_map
 
 
@@ -23,9 +23,8 @@ def parse_labelled(
     Answers without any known label yield no row.  The map is computed once
     and then read by every column; the plan stays one narrow stage.
     """
-    parsed = df.withColumn(
-        "_parsed", labelled_map(text, ALL_LABELS, "\n", keep_last_annotation)
-    ).filter(F.col("_parsed").isNotNull())
+    value = labelled_map(text, ALL_LABELS, "\n", keep_last_annotation)
+    parsed = with_kept(df, "_parsed", value, lambda m: m.isNotNull())
     return parsed.withColumns({c: F.col("_parsed").getItem(c) for c in codes}).drop("_parsed")
 
 
@@ -35,9 +34,8 @@ def parse_labelled_inline(df: DataFrame, codes: Sequence[str], text: str = "answ
     Style and scene are no labels here, so their lines continue the open
     language.
     """
-    parsed = df.withColumn("_parsed", labelled_map(text, LANGUAGE_LABELS, " ")).filter(
-        F.col("_parsed").isNotNull()
-    )
+    value = labelled_map(text, LANGUAGE_LABELS, " ")
+    parsed = with_kept(df, "_parsed", value, lambda m: m.isNotNull())
     return parsed.withColumns({c: F.col("_parsed").getItem(c) for c in codes}).drop("_parsed")
 
 

@@ -108,7 +108,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _names(sql: str) -> list[str]:
-    return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
+    known = (n for n in re.findall(r"\{(\w+)\}", sql) if n in TABLES or n in FIXTURES)
+    return list(dict.fromkeys(known))
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
