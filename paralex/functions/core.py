@@ -57,6 +57,11 @@ def count_matches(c: str | Column, char_class: str) -> Column:
     return F.length(F.regexp_replace(col(c), f"[^{char_class}]", ""))
 
 
+def int_div(a: str | Column, n: int | Column) -> Column:
+    """Whole-number division (``/`` would go through doubles)."""
+    return F.call_function("div", col(a), F.lit(n) if isinstance(n, int) else n)
+
+
 def epoch_to_local(c: str | Column, zone: str, fmt: str) -> Column:
     """Epoch seconds as local wall-clock text, whatever the session zone is."""
     return F.date_format(

@@ -27,7 +27,8 @@ def labelled_map(
 
     A line whose part before the first colon is a known label opens a segment;
     every other line continues the open one, joined by ``joiner``.  Text before
-    the first label is dropped and a repeated label keeps its last segment.
+    the first label is dropped; a repeated label keeps its first place and its
+    last segment.
     ``**Label:**`` counts as ``Label:``.
 
     Style and scene keep their first line, letters, digits, commas and spaces,
@@ -63,26 +64,28 @@ def labelled_map(
         return let(marked, cut)
 
     def last_per_code(segs: Column) -> Column:
-        kept = F.filter(
+        first_seen = F.filter(
             segs,
             lambda s, k: ~F.exists(
-                F.slice(segs, k + 2, F.size(segs)), lambda later: later["code"] == s["code"]
+                F.slice(segs, F.lit(1), k), lambda earlier: earlier["code"] == s["code"]
             ),
         )
         annotations = [code for code, _ in V.ANNOTATION_LABELS]
         last_code = F.element_at(segs, -1)["code"]
 
-        def tidy(s: Column) -> Column:
+        def tidy(code: Column, body: Column) -> Column:
             cleaned = F.lower(
-                strip(F.regexp_replace(F.substring_index(s["body"], "\n", 1), V.ANNOTATION_DROP, ""))
+                strip(F.regexp_replace(F.substring_index(body, "\n", 1), V.ANNOTATION_DROP, ""))
             )
-            is_annotation = s["code"].isin(annotations)
+            is_annotation = code.isin(annotations)
             if keep_last_annotation:
-                is_annotation = is_annotation & (s["code"] != last_code)
-            return F.struct(
-                s["code"].alias("key"), F.when(is_annotation, cleaned).otherwise(s["body"]).alias("value")
-            )
+                is_annotation = is_annotation & (code != last_code)
+            return F.struct(code.alias("key"), F.when(is_annotation, cleaned).otherwise(body).alias("value"))
+
+        def latest(s: Column) -> Column:
+            same = F.filter(segs, lambda t: t["code"] == s["code"])
+            return tidy(s["code"], F.element_at(same, -1)["body"])
 
-        return F.when(F.size(segs) > 0, F.map_from_entries(F.transform(kept, tidy)))
+        return F.when(F.size(segs) > 0, F.map_from_entries(F.transform(first_seen, latest)))
 
     return let(text_lines(unbolded), lambda lines: let(segments(lines), last_per_code))

@@ -140,7 +140,7 @@ def post_extract(df: DataFrame, source: str = "zh-cn", target: str = "en") -> Da
         F.col("id").alias("wav_path"),
         F.col("_pair").getItem(source).alias("source"),
         F.col("_pair").getItem(target).alias("target"),
-        F.when(is_object, F.to_json(term)).alias("term"),
+        F.when(is_object, F.nullif(F.to_json(term), F.lit("null"))).alias("term"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
+from paralex.functions.core import int_div
 
 RANGE_ROWS = 1 << 16
 
@@ -59,7 +60,7 @@ def number_rows(
     are ``range_rows`` wide in the order key, so a range holds at most that
     many rows when the key is unique within ``keys``.
     """
-    bucketed = df.withColumn("_range", F.floor(F.col(order) / F.lit(range_rows)))
+    bucketed = df.withColumn("_range", int_div(order, range_rows))
     return _numbered(bucketed, keys, "_range", [order], value).withColumnRenamed("before", "pos").drop("_range")
 
 
@@ -77,17 +78,17 @@ def number_names(
         df.select(key.alias("k")).distinct().orderBy(F.xxhash64("k"), "k").limit(splitters)
         .agg(F.array_sort(F.collect_list("k")).alias("bounds"))
     )
-    bounds = sample.scalar()
-    bucketed = df.withColumn("_k", key).withColumn(
-        "_range", F.size(F.filter(bounds, lambda b: b <= F.col("_k")))
-    )
-    return _numbered(bucketed, keys, "_range", list(order), None).withColumnRenamed("before", "pos").drop("_range", "_k")
+    ranged = df.withColumn("_k", key).withColumn("_bounds", sample.scalar())
+    bucketed = ranged.withColumn(
+        "_range", F.size(F.filter("_bounds", lambda b: b <= F.col("_k")))
+    ).drop("_bounds", "_k")
+    return _numbered(bucketed, keys, "_range", list(order), None).withColumnRenamed("before", "pos").drop("_range")
 
 
 def shard_by_rows(df: DataFrame, rows: int = V.SHARD_ROWS, order: str = "line_no", first: int = 0) -> DataFrame:
     """Add ``shard``, ``row_in_shard``, ``shard_name`` (three digits) and ``custom_id``."""
     n = number_rows(df, order)
-    shard = F.floor(F.col("pos") / F.lit(rows)) + first
+    shard = int_div("pos", rows) + first
     return n.withColumn("shard", shard).withColumn("row_in_shard", F.col("pos") % rows).withColumns(
         {
             "shard_name": F.concat_ws(
@@ -116,7 +117,7 @@ def shard_by_bytes(
     are made from them; sharding starts afresh in each piece.  One task folds
     the sizes of one piece, never a whole file and never any text.
     """
-    pieces = df.withColumn("piece", F.floor(F.col(order) / F.lit(piece_rows)))
+    pieces = df.withColumn("piece", int_div(order, piece_rows))
     start = F.struct(
         F.lit(0).cast("bigint").alias("bytes"), F.lit(0).alias("rows"),
         F.array().cast("array<bigint>").alias("starts"),
@@ -153,7 +154,7 @@ def shard_by_bytes_approx(
     """Shards cut at multiples of ``max_bytes`` of the running size of the file:
     near-even, with no dependence between shards."""
     n = number_rows(df, order, value=F.col(size))
-    return n.withColumn("shard", F.floor(F.col("pos") / F.lit(max_bytes))).drop("pos", "total")
+    return n.withColumn("shard", int_div("pos", max_bytes)).drop("pos", "total")
 
 
 def file_number(name: str | Column) -> Column:
@@ -168,17 +169,17 @@ def group_files_by_suffix(
 ) -> DataFrame:
     """Order files by their trailing number, in groups of ``size`` per task."""
     n = number_names(files.withColumn("_number", file_number(name)), ["_number", name])
-    k = F.floor(F.col("pos") / F.lit(size))
+    k = int_div("pos", size)
     return n.withColumn("task_name", F.concat_ws("_", F.lit(task), k)).drop("pos", "total", "_number")
 
 
 def assign_even(df: DataFrame, parts: int, order: Sequence[str]) -> DataFrame:
     """Add ``part``: contiguous runs of the sorted list, the first ones one longer."""
     n = number_names(df, order)
-    size, longer = F.floor(F.col("total") / F.lit(parts)), F.col("total") % parts
+    size, longer = int_div("total", parts), F.col("total") % parts
     head = longer * (size + 1)
-    part = F.when(F.col("pos") < head, F.floor(F.col("pos") / (size + 1))).otherwise(
-        longer + F.floor((F.col("pos") - head) / F.greatest(size, F.lit(1)))
+    part = F.when(F.col("pos") < head, int_div("pos", size + 1)).otherwise(
+        longer + int_div(F.col("pos") - head, F.greatest(size, F.lit(1)))
     )
     return n.withColumn("part", part).drop("pos", "total")
 
@@ -186,7 +187,7 @@ def assign_even(df: DataFrame, parts: int, order: Sequence[str]) -> DataFrame:
 def chunk_fixed(df: DataFrame, order: Sequence[str], size: int = V.TOPICS_PER_FILE) -> DataFrame:
     """Add ``chunk`` and ``row_in_chunk`` for runs of ``size`` rows of the sorted list."""
     n = number_names(df, order)
-    return n.withColumn("chunk", F.floor(F.col("pos") / F.lit(size))).withColumn(
+    return n.withColumn("chunk", int_div("pos", size)).withColumn(
         "row_in_chunk", F.col("pos") % size
     ).drop("pos", "total")
 

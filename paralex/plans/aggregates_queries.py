@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from paralex import fixed_values as V
+from paralex.operators import aggregates as G
+from paralex.operators import langid as L
+from paralex.operators import predicates as P
 from paralex.operators import usage as U
+from paralex.operators.vocabulary import char_vocabulary, vocabulary_filter
 from paralex.plans.fixtures import fixture as fx
+from paralex.plans.predicates_queries import NOISE_SQL, usable_blocks
+from paralex.sources.results import read_results
 
 # Answer text -> one row per label segment, shared by the checks of parsed answers.
 # (Kept in the style of the checks: explode lines, running count of labels.)
@@ -50,7 +59,96 @@ usage AS (SELECT a.file_name, CAST(sum(prompt_tokens) AS BIGINT) AS send_tokens,
   WHERE a.answer <> '' GROUP BY a.file_name)
 """
 
-QUERIES = {"usage_by_file": usage, "usage_report": usage_report}
+VOCAB = ("text", "a-zà-ÿ", 20, 0.05, "doc_id")
+TRAINED = ["de", "en", "es", "fr"]
+
+
+def detected(spark, sf, rows, keys, text="line"):
+    """Rows with their language, by profiles trained on the labelled documents."""
+    return L.detect_lang(rows, L.fit_lang_profiles(fx(spark, sf, "documents"), TRAINED), keys, text)
+
+
+def block_lines(spark, sf):
+    """Usable lines of each block with their languages, as one array per block."""
+    keys = ["file_name", "doc_id", "block_no"]
+    lines = usable_blocks(spark, sf).select(*keys, F.posexplode("lines").alias("pos", "line"))
+    rows = F.array_sort(F.collect_list(F.struct("pos", "line", F.col("detected").alias("lang"))))
+    # A block is one record of its source, so the array is no larger than that record.
+    return detected(spark, sf, lines, [*keys, "pos"]).groupBy(*keys).agg(rows.alias("lines"))
+
+
+def gated(spark, sf):
+    return G.min_langs_gate(block_lines(spark, sf), "zh-cn", 5)
+
+
+QUERIES = {
+    "usage_by_file": usage,
+    "usage_by_file_role": lambda s, d: U.usage_by_file(
+        read_results(fx(s, d, "role_lines"), "role"), U.role_send_chars()),
+    "usage_report": usage_report,
+    "lang_coverage": lambda s, d: G.lang_coverage(fx(s, d, "wide"), ["en", "fr", "de", "es"]),
+    "char_frequency_topn": lambda s, d: char_vocabulary(fx(s, d, "documents"), "text", "a-zà-ÿ", 20, "doc_id"),
+    "vocab_filter": lambda s, d: vocabulary_filter(fx(s, d, "documents"), *VOCAB).select(
+        "doc_id", "n_class", "n_missing", "text"),
+    "language_id": lambda s, d: detected(
+        s, d, fx(s, d, "lines").select("doc_id", "line_no", "line"), ["doc_id", "line_no"]
+    ).select("doc_id", "line_no", "detected"),
+    "min_langs_gate": lambda s, d: gated(s, d).select(
+        "file_name", "doc_id", "block_no", F.explode("lines").alias("x")
+    ).select("file_name", "doc_id", "block_no", "x.pos", "x.lang", "x.line"),
+    "concat_by_lang": lambda s, d: G.concat_by_lang(gated(s, d), ["zh-cn", "en", "fr", "de", "ja", "ko"]),
+    "validity_counts": lambda s, d: G.validity_counts(
+        fx(s, d, "wide"), P.is_valid_pair("en", "es", "wav_path", "ñÑ"), "path"),
+    "job_state_counts": lambda s, d: G.job_state_counts(fx(s, d, "jobs")),
+    "distinct_subtasks": lambda s, d: G.distinct_subtasks(fx(s, d, "inventory"), "/data"),
+}
+
+CHARS = "c AS (SELECT doc_id, generate_subscripts(cs, 1) AS pos, unnest(cs) AS ch FROM (SELECT doc_id, string_split(text, '') AS cs FROM {documents}))"
+TOP = """v AS (SELECT ch, count(*) AS cnt, min({'l': doc_id, 'p': pos}) AS f FROM c WHERE regexp_full_match(ch, '[a-zà-ÿ]') GROUP BY ch
+  ORDER BY cnt DESC, f LIMIT 20)"""
+
+
+def profile(scale: int = 1000000) -> str:
+    one = lambda c: f"count(*) FILTER (lang = '{c}') AS {c}"
+    weight = lambda c: f"CAST(round(ln(CAST({c} + 1 AS DOUBLE) / CAST((SELECT sum({c}) + count(*) FROM pc) AS DOUBLE)) * {scale}) AS BIGINT) AS {c}"
+    return f"""
+pg AS (SELECT lang, unnest(list_transform(range(1, greatest(len(ls) - 1, 1)), lambda i: ls[i] || ls[i + 1] || ls[i + 2])) AS gram FROM
+  (SELECT lang, string_split(lower(regexp_replace(text, '[^\p{{L}}]+', ' ', 'g')), '') AS ls FROM {{documents}})),
+pc AS (SELECT gram, {", ".join(map(one, TRAINED))} FROM pg GROUP BY gram),
+prof AS (SELECT gram, {", ".join(map(weight, TRAINED))} FROM pc)"""
+
+
+def detect(rows: str, keys: str) -> str:
+    """CTE `det`: rows of `rows(keys, line)` with `detected`."""
+    sums = ", ".join(f"sum({c}) AS {c}" for c in TRAINED)
+    guess = " ".join(f"WHEN {c} = greatest({', '.join(TRAINED)}) THEN '{c}'" for c in TRAINED)
+    return f"""
+dg AS (SELECT {keys}, unnest(list_transform(range(1, greatest(len(ls) - 1, 1)), lambda i: ls[i] || ls[i + 1] || ls[i + 2])) AS gram FROM
+  (SELECT {keys}, string_split(lower(regexp_replace(line, '[^\p{{L}}]+', ' ', 'g')), '') AS ls FROM {rows})),
+ds AS (SELECT {keys}, CASE {guess} END AS guess FROM (SELECT {keys}, {sums} FROM dg JOIN prof USING (gram) GROUP BY {keys})),
+det AS (SELECT {rows}.*, CASE WHEN regexp_matches(line, '[\p{{Hiragana}}\p{{Katakana}}]') THEN 'ja' WHEN regexp_matches(line, '\p{{Hangul}}') THEN 'ko'
+  WHEN regexp_matches(line, '\p{{Han}}') THEN 'zh-cn' WHEN regexp_matches(line, '\p{{Thai}}') THEN 'th'
+  WHEN regexp_matches(line, '\p{{Arabic}}') THEN 'ar' ELSE coalesce(guess, 'unknown') END AS detected
+  FROM {rows} LEFT JOIN ds USING ({keys}))"""
+
+
+def gate_sql() -> str:
+    return NOISE_SQL + """, bline AS (SELECT file_name, doc_id, block_no, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM cut),
+""" + profile() + "," + detect("bline", "file_name, doc_id, block_no, pos") + """,
+anch AS (SELECT file_name, doc_id, block_no, min(pos) AS a FROM det WHERE detected = 'zh-cn' GROUP BY ALL),
+kept AS (SELECT det.* FROM det JOIN anch USING (file_name, doc_id, block_no) WHERE pos >= a),
+pass AS (SELECT file_name, doc_id, block_no FROM kept GROUP BY ALL HAVING count(DISTINCT detected) >= 5)"""
+
+
+def label_free(line: str) -> str:
+    labels = "|".join(re.escape(x) for x in sorted(V.LINE_LABELS, key=len, reverse=True))
+    return f"trim(regexp_replace({line}, '^(?:{labels})', ''), ' ' || chr(10))"
+
+
+def per_lang(code: str) -> str:
+    return f"coalesce(string_agg(CASE WHEN detected = '{code}' THEN {label_free('line')} END, '' ORDER BY pos), '') AS \"{code}\""
+
+
 ORACLE = {
     "usage_by_file": f"WITH {PARSED}, {USAGE} SELECT * FROM usage",
     "usage_report": f"""WITH {PARSED}, {USAGE},
@@ -64,4 +162,26 @@ ORACLE = {
         CAST(total_tokens AS DOUBLE) / greatest(send_chars + receive_chars, 1) AS tokens_chars_ratio,
         CAST(total_tokens AS DOUBLE) / greatest(receive_chars + greatest(send_tokens, 1), 1) AS tokens_chars_ratio_compat
       FROM usage u LEFT JOIN state s ON s.file_name = u.file_name""",
+    "usage_by_file_role": """
+      SELECT file_name, CAST(sum(prompt_tokens) AS BIGINT) AS send_tokens, CAST(sum(completion_tokens) AS BIGINT) AS receive_tokens,
+        CAST(sum(total_tokens) AS BIGINT) AS total_tokens, CAST(sum(8 + length(en)) AS BIGINT) AS send_chars,
+        CAST(sum(length(answer)) AS BIGINT) AS receive_chars, count(*) AS lines
+      FROM {results} WHERE length(en) % 23 <> 0 GROUP BY file_name""",
+    "lang_coverage":
+        "SELECT unnest(['en', 'fr', 'de', 'es']) AS lang, unnest([count(*) FILTER (en <> ''), count(fr), count(de), count(*) FILTER (es <> '')]) AS cells FROM {wide}",
+    "char_frequency_topn": f"WITH {CHARS}, {TOP} SELECT ch AS char, cnt, f.l AS first_line, CAST(f.p AS INTEGER) AS first_pos FROM v",
+    "vocab_filter": f"""WITH {CHARS}, {TOP}, m AS (SELECT doc_id, count(*) AS n_class, count(*) FILTER (ch NOT IN (SELECT ch FROM v)) AS n_missing
+        FROM c WHERE regexp_full_match(ch, '[a-zà-ÿ]') GROUP BY doc_id)
+      SELECT doc_id, n_class, n_missing, text FROM m JOIN {{documents}} USING (doc_id) WHERE CAST(n_missing AS DOUBLE) / n_class <= 0.05""",
+    "language_id": "WITH li AS (SELECT doc_id, line_no, line FROM {lines})," + profile() + "," + detect("li", "doc_id, line_no")
+        + " SELECT doc_id, line_no, detected FROM det",
+    "min_langs_gate": "WITH " + gate_sql() + " SELECT file_name, doc_id, block_no, pos, detected AS lang, line FROM kept JOIN pass USING (file_name, doc_id, block_no)",
+    "concat_by_lang": "WITH " + gate_sql() + " SELECT file_name, doc_id, block_no, " + ", ".join(
+        per_lang(c) for c in ["zh-cn", "en", "fr", "de", "ja", "ko"]) + " FROM kept JOIN pass USING (file_name, doc_id, block_no) GROUP BY ALL",
+    "validity_counts": """
+      SELECT path, count(*) AS total, count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS invalid FROM
+        (SELECT path, NOT regexp_matches(es, '[\\n\\rñÑ]') AND trim(wav_path, ' ' || chr(10)) <> '' AS ok FROM {wide}) GROUP BY path""",
+    "job_state_counts":
+        "SELECT status, count(*) AS jobs, status IN ('in_progress', 'validating') AS busy FROM {jobs} GROUP BY status",
+    "distinct_subtasks": "SELECT DISTINCT string_split(path, '/')[3] AS sub_task FROM {inventory} WHERE string_split(path, '/')[3] <> ''",
 }

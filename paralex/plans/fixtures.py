@@ -118,7 +118,10 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return table(spark, sf_dir, name)
     sql = FIXTURES[name]
     sql = sql[0] if isinstance(sql, tuple) else sql
-    return spark.sql(sql, **{n: fixture(spark, sf_dir, n) for n in _names(sql)})
+    for n in _names(sql):  # views are resolved right away, so names may be reused
+        fixture(spark, sf_dir, n).createOrReplaceTempView(f"paralex_{n}")
+        sql = sql.replace("{%s}" % n, f"paralex_{n}")
+    return spark.sql(sql)
 
 
 def with_inputs(sql: str) -> str:

@@ -78,5 +78,5 @@ ORACLE = {
     "slice_offset_limit": "SELECT file_name FROM {files} ORDER BY file_name LIMIT 40 OFFSET 20",
     "sequence_ids": """
       WITH n AS (SELECT file_name, line_no, CAST(row_number() OVER (PARTITION BY file_name ORDER BY line_no) - 1 AS VARCHAR) AS p FROM {raw})
-      SELECT file_name, line_no, lpad(p, greatest(4, length(p)), '0') AS key FROM n""",
+      SELECT file_name, line_no, lpad(p, CAST(greatest(4, length(p)) AS INTEGER), '0') AS key FROM n""",
 }

@@ -1,2 +1,181 @@
-QUERIES = {}
-ORACLE = {}
+"""Sources and sinks."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from paralex.operators.sharding import shard_by_rows
+from paralex.operators.vocabulary import char_vocabulary
+from paralex.plans import aggregates_queries as A
+from paralex.plans.fixtures import FIXTURES, fixture as fx, table
+from paralex.session import scratch
+from paralex.sources import jsonl, sinks
+from paralex.sources import text as S
+from paralex.sources.results import read_results
+
+FIXTURES["json_lines"] = """
+SELECT event_id, event_type AS file_name, CASE event_type WHEN 'error' THEN substr(props, 1, length(props) - 1)
+  WHEN 'signup' THEN concat('x', props) ELSE props END AS line FROM {events}
+"""
+FIXTURES["alignment"] = (
+    "SELECT concat(conv_id, '-', turn) AS utt, concat('{\"tiers\":{\"words\":{\"entries\":[', array_join(transform("
+    "split(text, '[ \\n]+'), (w, i) -> concat('[', i div 5, '.', i % 5 * 2, ',', i div 5, '.', i % 5 * 2, '81,', "
+    "substr(to_json(array(w)), 2, length(to_json(array(w))) - 2), ']')), ','), ']}}}') AS line FROM {conversations}",
+    "SELECT concat(conv_id, '-', turn) AS utt, concat('{\"tiers\":{\"words\":{\"entries\":[', array_to_string(list_transform("
+    "regexp_split_to_array(text, '[ \\n]+'), lambda w, i: concat('[', (i - 1) // 5, '.', (i - 1) % 5 * 2, ',', (i - 1) // 5, '.', (i - 1) % 5 * 2, '81,', "
+    "CAST(to_json(w) AS VARCHAR), ']')), ','), ']}}}') AS line FROM {conversations}",
+)
+_CHAT = """SELECT file_name, CASE WHEN length(en) % 23 = 0 THEN concat('{"custom_id": ', id) ELSE CAST(to_json({struct}(
+  'custom_id' {eq} id, 'response' {eq} {struct}('body' {eq} {struct}('choices' {eq} {arr}({struct}('message' {eq} {struct}('content' {eq} answer))),
+  'usage' {eq} {struct}('prompt_tokens' {eq} prompt_tokens, 'completion_tokens' {eq} completion_tokens, 'total_tokens' {eq} total_tokens),
+  'created' {eq} created)))) AS STRING) END AS line FROM {results}"""
+_ROLE = """SELECT file_name, CASE WHEN length(en) % 23 = 0 THEN 'no json' ELSE CAST(to_json({struct}(
+  'id' {eq} id, 'messages' {eq} {arr}({struct}('role' {eq} 'system', 'content' {eq} 'be brief'), {struct}('role' {eq} 'user', 'content' {eq} en)),
+  'output' {eq} {struct}('created' {eq} created, 'choices' {eq} {arr}({struct}('message' {eq} {struct}('content' {eq} answer))),
+  'usage' {eq} {struct}('prompt_tokens' {eq} prompt_tokens, 'completion_tokens' {eq} completion_tokens, 'total_tokens' {eq} total_tokens)))) AS STRING) END AS line
+  FROM {results}"""
+
+
+def _dialects(sql: str) -> tuple[str, str]:
+    spark = sql.replace("{struct}", "named_struct").replace(" {eq}", ",").replace("{arr}", "array")
+    duck = sql.replace("{struct}", "struct_pack").replace("{arr}", "list_value")
+    return spark, re.sub(r"'(\w+)' \{eq\}", r"\1 :=", duck)
+
+
+FIXTURES["chat_lines"] = _dialects(_CHAT)
+FIXTURES["role_lines"] = _dialects(_ROLE)
+FIXTURES["run_logs"] = """
+SELECT concat('run-', CAST(o_custkey AS STRING), '.log') AS file_name, o_orderkey * 2 AS line_no,
+  concat(CAST(o_orderdate AS STRING), ' | INFO | [Logger] Processed ', CAST(o_custkey + 1 AS STRING), '/', CAST(o_orderkey AS STRING), ' lines.|') AS line FROM {orders}
+UNION ALL
+SELECT concat('run-', CAST(o_custkey AS STRING), '.log') AS file_name, o_orderkey * 2 + 1 AS line_no,
+  CASE WHEN o_orderpriority = '5-LOW' THEN '   ' ELSE
+  concat(CAST(o_orderdate AS STRING), ' | ', CASE WHEN o_orderstatus = 'F' THEN 'ERROR' ELSE 'SUCCESS' END,
+    ' | job - /log/part_', CAST(o_custkey AS STRING), '.json Total prompt tokens: ', CAST(o_orderkey + 7 AS STRING),
+    ' | completion tokens: ', CAST(o_custkey + 3 AS STRING), ' |total tokens: ', CAST(o_orderkey + o_custkey + 10 AS STRING),
+    ' | num_prompt: ', CAST(o_custkey * 4 AS STRING), ' | num_response: ', CAST(o_orderkey * 2 AS STRING), ' |') END AS line FROM {orders}
+"""
+FIXTURES["keyed_lines"] = (
+    "SELECT doc_id, CASE WHEN lang = 'es' THEN '{}' WHEN source = 'src4' THEN text ELSE "
+    "to_json(map(lpad(doc_id, 4, '0'), text)) END AS line FROM {documents}",
+    "SELECT doc_id, CASE WHEN lang = 'es' THEN '{}' WHEN source = 'src4' THEN text ELSE "
+    "CAST(json_object(lpad(CAST(doc_id AS VARCHAR), 4, '0'), text) AS VARCHAR) END AS line FROM {documents}",
+)
+# Tree nodes: regions, nations below them and customers as leaves.
+FIXTURES["nodes"] = """
+SELECT concat('r', CAST(r_regionkey AS STRING)) AS node, CAST(NULL AS STRING) AS parent, r_name AS label FROM {region}
+UNION ALL SELECT concat('n', CAST(n_nationkey AS STRING)), concat('r', CAST(n_regionkey AS STRING)), n_name FROM {nation}
+UNION ALL SELECT concat('c', CAST(c_custkey AS STRING)), concat('n', CAST(c_nationkey AS STRING)), c_name FROM {customer}
+"""
+
+EVENT = T.StructType([T.StructField("k", T.LongType())])
+
+
+def tolerant(s, d):
+    rows = jsonl.decode_jsonl(fx(s, d, "json_lines"), EVENT)
+    return rows.select("event_id", "file_name", F.when(~F.col("bad"), F.col("row.k")).alias("k"), "bad")
+
+
+def results(s, d):
+    chat = read_results(fx(s, d, "chat_lines"), "chat").withColumn("dialect", F.lit("chat"))
+    role = read_results(fx(s, d, "role_lines"), "role").withColumn("dialect", F.lit("role"))
+    sent = F.array_join(F.transform("messages", lambda m: m["content"]), "|")
+    return chat.unionByName(role).withColumn("messages", sent)
+
+
+def tree(s, d):
+    docs = table(s, d, "documents").select("doc_id", F.create_map(
+        F.col("lang"), F.create_map(F.col("source"), F.split("text", "\n"),
+                                    F.lit("words"), F.split("text", "[ \n]+"))).alias("tree"))
+    return S.flatten_tree(docs).select("doc_id", F.col("_j").alias("branch"), F.col("_k").alias("leaf"), "topic")
+
+
+def sharded(s, d):
+    shards = shard_by_rows(fx(s, d, "raw"), 200)
+    return sinks.write_sharded(shards, scratch(s, "shards"))
+
+
+QUERIES = {
+    "scan_jsonl_tolerant": tolerant,
+    "scan_list_file": lambda s, d: S.parse_list(fx(s, d, "list"), "last").select("file_name", "id", "text"),
+    "scan_list_rows": lambda s, d: S.parse_list(fx(s, d, "list")).select("file_name", "line_no", "id", "text"),
+    "scan_marked_blocks": lambda s, d: S.read_blocks(
+        fx(s, d, "blocks"), "test48:", keep=["file_name", "doc_id"]),
+    "scan_word_alignment": lambda s, d: S.read_alignment(fx(s, d, "alignment")),
+    "scan_batch_results": results,
+    "scan_run_logs": lambda s, d: S.read_run_logs(fx(s, d, "run_logs")),
+    "scan_keyed_prompts": lambda s, d: S.read_keyed_prompts(fx(s, d, "keyed_lines")),
+    "scan_topic_tree": tree,
+    "scan_topic_paths": lambda s, d: S.flatten_paths(fx(s, d, "nodes"), 3),
+    "sink_sharded_jsonl": sharded,
+    "sink_metrics_table": lambda s, d: sinks.write_report(A.usage_report(s, d), scratch(s, "report")),
+    "sink_vocab": lambda s, d: sinks.write_vocabulary(
+        char_vocabulary(fx(s, d, "documents"), "text", "a-zà-ÿ", 5000, "doc_id"), scratch(s, "vocab")),
+}
+
+ORACLE = {
+    "scan_jsonl_tolerant":
+        "SELECT event_id, file_name, CASE WHEN json_valid(line) THEN CAST(json_extract(line, '$.k') AS BIGINT) END AS k, "
+        "NOT json_valid(line) AS bad FROM {json_lines}",
+    "scan_list_rows":
+        "SELECT file_name, line_no, split_part(trim(line), ' ', 1) AS id, "
+        "trim(substr(trim(line), length(split_part(trim(line), ' ', 1)) + 1)) AS text FROM {list} "
+        "WHERE contains(trim(line), ' ')",
+    "scan_list_file": """
+      WITH r AS (SELECT file_name, line_no, split_part(trim(line), ' ', 1) AS id,
+        trim(substr(trim(line), length(split_part(trim(line), ' ', 1)) + 1)) AS text FROM {list} WHERE contains(trim(line), ' '))
+      SELECT file_name, id, arg_max(text, line_no) AS text FROM r GROUP BY file_name, id""",
+    "scan_marked_blocks": """
+      SELECT * FROM (SELECT file_name, doc_id, unnest(range(len(bs))) - 1 AS block_no, unnest(bs) AS block
+        FROM (SELECT file_name, doc_id, string_split(body, 'test48:') AS bs FROM {blocks})) WHERE block <> ''""",
+    "scan_word_alignment": """
+      SELECT utt, unnest(range(len(es))) AS pos, json_extract_string(unnest(es), '$[2]') AS word,
+        CAST(floor(CAST(json_extract(unnest(es), '$[0]') AS DOUBLE) * 1000) AS INTEGER) AS start_ms,
+        CAST(floor(CAST(json_extract(unnest(es), '$[1]') AS DOUBLE) * 1000) AS INTEGER) AS end_ms
+      FROM (SELECT utt, CAST(json_extract(line, '$.tiers.words.entries') AS JSON[]) AS es FROM {alignment})""",
+    "scan_batch_results": """
+      SELECT file_name, json_extract_string(line, '$.custom_id') AS id, json_extract_string(line, '$.response.body.choices[0].message.content') AS answer,
+        CAST(json_extract(line, '$.response.body.usage.prompt_tokens') AS BIGINT) AS prompt_tokens,
+        CAST(json_extract(line, '$.response.body.usage.completion_tokens') AS BIGINT) AS completion_tokens,
+        CAST(json_extract(line, '$.response.body.usage.total_tokens') AS BIGINT) AS total_tokens,
+        CAST(json_extract(line, '$.response.body.created') AS BIGINT) AS created, NULL AS messages, 'chat' AS dialect
+      FROM (SELECT * FROM {chat_lines} WHERE json_valid(line)) WHERE json_extract_string(line, '$.response.body.choices[0].message.content') <> ''
+      UNION ALL
+      SELECT file_name, json_extract_string(line, '$.id'), json_extract_string(line, '$.output.choices[0].message.content'),
+        CAST(json_extract(line, '$.output.usage.prompt_tokens') AS BIGINT), CAST(json_extract(line, '$.output.usage.completion_tokens') AS BIGINT),
+        CAST(json_extract(line, '$.output.usage.total_tokens') AS BIGINT), CAST(json_extract(line, '$.output.created') AS BIGINT),
+        concat(json_extract_string(line, '$.messages[0].content'), '|', json_extract_string(line, '$.messages[1].content')), 'role'
+      FROM (SELECT * FROM {role_lines} WHERE json_valid(line))""",
+    "scan_run_logs": """
+      WITH t AS (SELECT file_name, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no DESC) AS r FROM {run_logs} WHERE trim(line) <> ''),
+        p AS (SELECT max(CASE WHEN r = 1 THEN line END) AS l, max(CASE WHEN r = 2 THEN line END) AS b FROM t WHERE r <= 2 GROUP BY file_name),
+        v AS (SELECT trim(split_part(l, '|', 1)) AS finish_time, regexp_extract(l, '([^/]+\\.json)', 1) AS file_name,
+          CAST(regexp_extract(b, 'Processed (\\d+)/', 1) AS BIGINT) AS lines, CAST(regexp_extract(l, 'total tokens: (\\d+)', 1) AS BIGINT) AS total_tokens,
+          CAST(regexp_extract(l, 'prompt tokens: (\\d+)', 1) AS BIGINT) AS send_tokens, CAST(regexp_extract(l, 'completion tokens: (\\d+)', 1) AS BIGINT) AS receive_tokens,
+          CAST(regexp_extract(l, 'num_prompt: (\\d+)', 1) AS BIGINT) AS send_chars, CAST(regexp_extract(l, 'num_response: (\\d+)', 1) AS BIGINT) AS receive_chars
+          FROM p WHERE trim(split_part(l, '|', 2)) = 'SUCCESS' AND contains(b, 'Processed '))
+      SELECT *, CAST(total_tokens AS DOUBLE) / greatest(lines, 1) AS tokens_per_line,
+        CAST(receive_tokens AS DOUBLE) / greatest(send_tokens, 1) AS receive_send_ratio,
+        CAST(total_tokens AS DOUBLE) / greatest(send_chars + receive_chars, 1) AS tokens_chars_ratio FROM v""",
+    "scan_keyed_prompts":
+        "SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 4, '0') AS key, json_extract_string(line, '$.' || lpad(CAST(doc_id AS VARCHAR), 4, '0')) AS prompt "
+        "FROM (SELECT * FROM {keyed_lines} WHERE json_valid(line)) WHERE line <> '{}'",
+    "scan_topic_tree": """
+      SELECT doc_id, 0 AS branch, unnest(range(len(l))) AS leaf, concat_ws('-', lang, source, unnest(l)) AS topic
+      FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS l FROM {documents})
+      UNION ALL SELECT doc_id, 1, unnest(range(len(l))), concat_ws('-', lang, 'words', unnest(l))
+      FROM (SELECT doc_id, lang, regexp_split_to_array(text, '[ \\n]+') AS l FROM {documents})""",
+    "scan_topic_paths": """
+      WITH RECURSIVE p AS (SELECT node, label AS topic FROM {nodes} WHERE parent IS NULL
+        UNION ALL SELECT n.node, p.topic || '-' || n.label FROM {nodes} n JOIN p ON n.parent = p.node)
+      SELECT node, topic FROM p WHERE node NOT IN (SELECT parent FROM {nodes} WHERE parent IS NOT NULL)""",
+    "sink_sharded_jsonl": """
+      SELECT file_name, p // 200 AS shard, count(*) AS rows, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes FROM
+        (SELECT file_name, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no) - 1 AS p FROM {raw}) GROUP BY ALL""",
+    "sink_metrics_table": A.ORACLE["usage_report"],
+    "sink_vocab":
+        "SELECT concat(ch, ' ', count(*)) AS line FROM (SELECT unnest(regexp_extract_all(text, '[a-zà-ÿ]')) AS ch FROM {documents}) GROUP BY ch",
+}
