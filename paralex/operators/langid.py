@@ -24,9 +24,14 @@ SCRIPTS = [
 ]
 
 
-def script_lang(text: str | Column) -> Column:
-    """Language settled by the script, else null."""
-    return F.coalesce(*[F.when(col(text).rlike(p), F.lit(code)) for code, p in SCRIPTS])
+# Script classes are slow to test; only text with letters beyond these blocks is.
+BEYOND = r"[\u0590-\x{10FFFF}]"
+
+
+def script_index(text: str | Column) -> Column:
+    """Position in ``SCRIPTS`` of the script that settles the language, else null."""
+    hits = F.coalesce(*[F.when(col(text).rlike(p), F.lit(i)) for i, (_, p) in enumerate(SCRIPTS)])
+    return F.when(col(text).rlike(BEYOND), hits)
 
 
 def trigrams(text: str | Column) -> Column:
@@ -36,11 +41,13 @@ def trigrams(text: str | Column) -> Column:
 
 
 def fit_lang_profiles(
-    df: DataFrame, langs: Sequence[str], text: str = "text", lang: str = "lang"
+    df: DataFrame, langs: Sequence[str], path: str, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
-    """``gram`` and one weight per language: scaled log of the smoothed share.
+    """Write ``gram`` and one weight per language (scaled log of the smoothed
+    share) to ``path`` and return that table.
 
-    Counts are combined before the shuffle, so it carries distinct grams.
+    Counts are combined before the shuffle, so it carries distinct grams.  The
+    profile is a table because every detection reads it and needs its size.
     """
     grams = df.filter(F.col(lang).isin(list(langs))).select(lang, F.explode(trigrams(text)).alias("gram"))
     counts = grams.groupBy("gram").agg(*[F.count_if(F.col(lang) == c).alias(c) for c in langs])
@@ -53,28 +60,40 @@ def fit_lang_profiles(
         share = (F.col(c) + 1).cast("double") / (F.col("_t")[c] + F.col("_t")["grams"]).cast("double")
         return F.round(F.log(share) * SCALE).cast("bigint")
 
-    return rows.select("gram", *[weight(c).alias(c) for c in langs])
+    rows.select("gram", *[weight(c).alias(c) for c in langs]).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def detect_lang(
-    df: DataFrame, profiles: DataFrame, keys: Sequence[str], text: str = "line"
+    df: DataFrame,
+    profiles: DataFrame,
+    keys: Sequence[str],
+    text: str = "line",
+    broadcast_grams: int = 1_000_000,
 ) -> DataFrame:
-    """Add ``detected`` to rows identified by ``keys``; ``unknown`` without evidence.
+    """``keys`` and ``detected`` per row; ``unknown`` without evidence.
 
-    The profile table is bounded by the alphabets in it; whether it is small
-    enough to broadcast is decided from its measured size at run time.  Scores
-    of a row are added up before the shuffle.  Ties go to the first language.
+    The profile is broadcast after its rows have been counted, when there are
+    at most ``broadcast_grams``.  Beyond that, grams are counted per row before
+    they are shuffled to the profile.  Scores of a row are added up before the
+    shuffle, and the text itself is never shuffled.  Ties go to the first
+    language.
     """
     langs = [c for c in profiles.columns if c != "gram"]
-    grams = df.filter(script_lang(text).isNull()).select(*keys, F.explode(trigrams(text)).alias("gram"))
-    scores = (
-        grams.join(profiles, "gram").groupBy(*keys).agg(*[F.sum(c).alias(c) for c in langs])
+    # The script is settled per row, below the explode.
+    rows = df.select(*keys, script_index(text).alias("_script"), col(text).alias("_text"))
+    grams = rows.select(
+        *keys, "_script", F.explode_outer(F.when(F.col("_script").isNull(), trigrams("_text"))).alias("gram")
     )
-    best = F.greatest(*[F.col(c) for c in langs])
-    guess = F.coalesce(*[F.when(F.col(c) == best, F.lit(c)) for c in langs])
-    guesses = scores.select(*keys, guess.alias("_guess"))
-    return (
-        df.join(guesses, list(keys), "left")
-        .withColumn("detected", F.coalesce(script_lang(text), "_guess", F.lit("unknown")))
-        .drop("_guess")
+    if profiles.limit(broadcast_grams + 1).count() <= broadcast_grams:
+        scored = grams.join(F.broadcast(profiles), "gram", "left").withColumn("_n", F.lit(1))
+    else:
+        counted = grams.groupBy(*keys, "_script", "gram").agg(F.count(F.lit(1)).alias("_n"))
+        scored = counted.join(profiles, "gram", "left")
+    sums = scored.groupBy(*keys).agg(
+        F.max("_script").alias("_script"), *[F.sum(F.col(c) * F.col("_n")).alias(c) for c in langs]
     )
+    best = F.greatest(*[F.col(c) for c in langs])
+    guess = F.coalesce(*[F.when(F.col(c) == best, F.lit(c)) for c in langs], F.lit("unknown"))
+    codes = F.array(*[F.lit(code) for code, _ in SCRIPTS])
+    return sums.select(*keys, F.coalesce(F.get(codes, F.col("_script")), guess).alias("detected"))

@@ -14,6 +14,7 @@ from paralex.operators import usage as U
 from paralex.operators.vocabulary import char_vocabulary, vocabulary_filter
 from paralex.plans.fixtures import fixture as fx
 from paralex.plans.predicates_queries import NOISE_SQL, usable_blocks
+from paralex.session import scratch
 from paralex.sources.results import read_results
 
 # Answer text -> one row per label segment, shared by the checks of parsed answers.
@@ -64,17 +65,22 @@ TRAINED = ["de", "en", "es", "fr"]
 
 
 def detected(spark, sf, rows, keys, text="line"):
-    """Rows with their language, by profiles trained on the labelled documents."""
-    return L.detect_lang(rows, L.fit_lang_profiles(fx(spark, sf, "documents"), TRAINED), keys, text)
+    """Language of rows, by profiles trained on the labelled documents."""
+    profiles = L.fit_lang_profiles(fx(spark, sf, "documents"), TRAINED, scratch(spark, "profiles"))
+    return L.detect_lang(rows, profiles, keys, text)
 
 
 def block_lines(spark, sf):
     """Usable lines of each block with their languages, as one array per block."""
     keys = ["file_name", "doc_id", "block_no"]
-    lines = usable_blocks(spark, sf).select(*keys, F.posexplode("lines").alias("pos", "line"))
-    rows = F.array_sort(F.collect_list(F.struct("pos", "line", F.col("detected").alias("lang"))))
-    # A block is one record of its source, so the array is no larger than that record.
-    return detected(spark, sf, lines, [*keys, "pos"]).groupBy(*keys).agg(rows.alias("lines"))
+    blocks = usable_blocks(spark, sf).select(*keys, "lines")
+    lines = blocks.select(*keys, F.posexplode("lines").alias("pos", "line"))
+    # Codes only, and no more of them than the block (one source record) has lines.
+    langs = F.array_sort(F.collect_list(F.struct("pos", "detected")))
+    codes = detected(spark, sf, lines, [*keys, "pos"]).groupBy(*keys).agg(langs.alias("codes"))
+    joined = F.transform("lines", lambda x, i: F.struct(
+        i.alias("pos"), x.alias("line"), F.get("codes", i)["detected"].alias("lang")))
+    return blocks.join(codes, keys).select(*keys, joined.alias("lines"))
 
 
 def gated(spark, sf):
@@ -92,7 +98,7 @@ QUERIES = {
         "doc_id", "n_class", "n_missing", "text"),
     "language_id": lambda s, d: detected(
         s, d, fx(s, d, "lines").select("doc_id", "line_no", "line"), ["doc_id", "line_no"]
-    ).select("doc_id", "line_no", "detected"),
+    ),
     "min_langs_gate": lambda s, d: gated(s, d).select(
         "file_name", "doc_id", "block_no", F.explode("lines").alias("x")
     ).select("file_name", "doc_id", "block_no", "x.pos", "x.lang", "x.line"),
@@ -113,7 +119,7 @@ def profile(scale: int = 1000000) -> str:
     weight = lambda c: f"CAST(round(ln(CAST({c} + 1 AS DOUBLE) / CAST((SELECT sum({c}) + count(*) FROM pc) AS DOUBLE)) * {scale}) AS BIGINT) AS {c}"
     return f"""
 pg AS (SELECT lang, unnest(list_transform(range(1, greatest(len(ls) - 1, 1)), lambda i: ls[i] || ls[i + 1] || ls[i + 2])) AS gram FROM
-  (SELECT lang, string_split(lower(regexp_replace(text, '[^\p{{L}}]+', ' ', 'g')), '') AS ls FROM {{documents}})),
+  (SELECT lang, string_split(lower(regexp_replace(text, '[^\\p{{L}}]+', ' ', 'g')), '') AS ls FROM {{documents}})),
 pc AS (SELECT gram, {", ".join(map(one, TRAINED))} FROM pg GROUP BY gram),
 prof AS (SELECT gram, {", ".join(map(weight, TRAINED))} FROM pc)"""
 
@@ -124,11 +130,11 @@ def detect(rows: str, keys: str) -> str:
     guess = " ".join(f"WHEN {c} = greatest({', '.join(TRAINED)}) THEN '{c}'" for c in TRAINED)
     return f"""
 dg AS (SELECT {keys}, unnest(list_transform(range(1, greatest(len(ls) - 1, 1)), lambda i: ls[i] || ls[i + 1] || ls[i + 2])) AS gram FROM
-  (SELECT {keys}, string_split(lower(regexp_replace(line, '[^\p{{L}}]+', ' ', 'g')), '') AS ls FROM {rows})),
+  (SELECT {keys}, string_split(lower(regexp_replace(line, '[^\\p{{L}}]+', ' ', 'g')), '') AS ls FROM {rows})),
 ds AS (SELECT {keys}, CASE {guess} END AS guess FROM (SELECT {keys}, {sums} FROM dg JOIN prof USING (gram) GROUP BY {keys})),
-det AS (SELECT {rows}.*, CASE WHEN regexp_matches(line, '[\p{{Hiragana}}\p{{Katakana}}]') THEN 'ja' WHEN regexp_matches(line, '\p{{Hangul}}') THEN 'ko'
-  WHEN regexp_matches(line, '\p{{Han}}') THEN 'zh-cn' WHEN regexp_matches(line, '\p{{Thai}}') THEN 'th'
-  WHEN regexp_matches(line, '\p{{Arabic}}') THEN 'ar' ELSE coalesce(guess, 'unknown') END AS detected
+det AS (SELECT {rows}.*, CASE WHEN regexp_matches(line, '[\\p{{Hiragana}}\\p{{Katakana}}]') THEN 'ja' WHEN regexp_matches(line, '\\p{{Hangul}}') THEN 'ko'
+  WHEN regexp_matches(line, '\\p{{Han}}') THEN 'zh-cn' WHEN regexp_matches(line, '\\p{{Thai}}') THEN 'th'
+  WHEN regexp_matches(line, '\\p{{Arabic}}') THEN 'ar' ELSE coalesce(guess, 'unknown') END AS detected
   FROM {rows} LEFT JOIN ds USING ({keys}))"""
 
 

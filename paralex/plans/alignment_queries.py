@@ -68,8 +68,8 @@ def norm(x: str) -> str:
 
 def hit(cut_left: int, cut_right: int) -> str:
     part = f"substr(x.n, {cut_left + 1}, CAST(length(x.n) - {cut_left + cut_right} AS INTEGER))"
-    return (f"CASE WHEN length(x.n) > {cut_left + cut_right} AND strpos(substr(x.full, CAST(a.cur + 1 AS INTEGER)), {part}) > 0 THEN "
-            f"{{'f': a.cur + strpos(substr(x.full, CAST(a.cur + 1 AS INTEGER)), {part}) - 1, 'l': length(x.n) - {cut_left + cut_right}}} END")
+    return (f"CASE WHEN length(x.n) > {cut_left + cut_right} AND strpos(substr(x.whole, CAST(a.cur + 1 AS INTEGER)), {part}) > 0 THEN "
+            f"{{'f': a.cur + strpos(substr(x.whole, CAST(a.cur + 1 AS INTEGER)), {part}) - 1, 'l': length(x.n) - {cut_left + cut_right}}} END")
 
 
 ORACLE = {
@@ -82,15 +82,15 @@ ORACLE = {
     "align_by_search": f"""
       WITH w AS (SELECT concat(conv_id, '-', turn) AS utt, regexp_split_to_array(text, '[ \\n]+') AS w FROM {{conversations}}),
         t AS (SELECT utt, list_transform(w, lambda y: {norm('y')}) AS ns, len(w) AS nt FROM w),
-        o AS (SELECT utt, array_to_string(ns, '') AS full, nt, flatten(list_transform(range(nt), lambda i: list_transform(range(length(ns[i + 1])), lambda k: i))) AS owner FROM t),
+        o AS (SELECT utt, array_to_string(ns, '') AS whole, nt, flatten(list_transform(range(nt), lambda i: list_transform(range(length(ns[i + 1])), lambda k: i))) AS owner FROM t),
         s AS (SELECT utt, list({{'seg_no': seg_no, 't': transcription, 'n': {norm('transcription')}}} ORDER BY seg_no) AS ss FROM {{segments}} WHERE trim(transcription) <> '' GROUP BY utt),
-        f AS (SELECT utt, nt, owner, list_reduce(list_prepend({{'cur': CAST(0 AS BIGINT), 't': '', 'n': '', 'full': '', 'out': CAST([] AS STRUCT(t VARCHAR, f BIGINT, l BIGINT)[])}},
-            list_transform(ss, lambda x: {{'cur': CAST(0 AS BIGINT), 't': x.t, 'n': x.n, 'full': full, 'out': CAST([] AS STRUCT(t VARCHAR, f BIGINT, l BIGINT)[])}})),
-            lambda a, x: CASE WHEN x.n = '' THEN {{'cur': a.cur, 't': '', 'n': '', 'full': '', 'out': list_append(a.out, {{'t': x.t, 'f': -1, 'l': -1}})}}
+        f AS (SELECT utt, nt, owner, list_reduce(list_prepend({{'cur': CAST(0 AS BIGINT), 't': '', 'n': '', 'whole': '', 'out': CAST([] AS STRUCT(t VARCHAR, f BIGINT, l BIGINT)[])}},
+            list_transform(ss, lambda x: {{'cur': CAST(0 AS BIGINT), 't': x.t, 'n': x.n, 'whole': whole, 'out': CAST([] AS STRUCT(t VARCHAR, f BIGINT, l BIGINT)[])}})),
+            lambda a, x: CASE WHEN x.n = '' THEN {{'cur': a.cur, 't': '', 'n': '', 'whole': '', 'out': list_append(a.out, {{'t': x.t, 'f': -1, 'l': -1}})}}
               WHEN coalesce({hit(0, 0)}, {hit(1, 0)}, {hit(0, 1)}, {hit(2, 0)}, {hit(0, 2)}) IS NULL
-                THEN {{'cur': a.cur, 't': '', 'n': '', 'full': '', 'out': list_append(a.out, {{'t': x.t, 'f': a.cur, 'l': -2}})}}
+                THEN {{'cur': a.cur, 't': '', 'n': '', 'whole': '', 'out': list_append(a.out, {{'t': x.t, 'f': a.cur, 'l': -2}})}}
               ELSE {{'cur': coalesce({hit(0, 0)}, {hit(1, 0)}, {hit(0, 1)}, {hit(2, 0)}, {hit(0, 2)}).f + coalesce({hit(0, 0)}, {hit(1, 0)}, {hit(0, 1)}, {hit(2, 0)}, {hit(0, 2)}).l,
-                't': '', 'n': '', 'full': '', 'out': list_append(a.out, {{'t': x.t, 'f': coalesce({hit(0, 0)}, {hit(1, 0)}, {hit(0, 1)}, {hit(2, 0)}, {hit(0, 2)}).f,
+                't': '', 'n': '', 'whole': '', 'out': list_append(a.out, {{'t': x.t, 'f': coalesce({hit(0, 0)}, {hit(1, 0)}, {hit(0, 1)}, {hit(2, 0)}, {hit(0, 2)}).f,
                 'l': coalesce({hit(0, 0)}, {hit(1, 0)}, {hit(0, 1)}, {hit(2, 0)}, {hit(0, 2)}).l}})}} END) AS r FROM s JOIN o USING (utt)),
         u AS (SELECT utt, nt, owner, unnest(range(len(r.out))) AS seg, unnest(r.out) AS y FROM f)
       SELECT utt, seg, y.t AS transcription,

@@ -1,2 +1,95 @@
-QUERIES = {}
-ORACLE = {}
+"""Caller functions and whole tasks, with stand-in functions that are pure."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from paralex.operators.enrich import enrich
+from paralex.plans.fixtures import fixture as fx
+from paralex.plans.requests_queries import CFG, SST, TEMPLATE, TOPIC
+from paralex.plans.tasks import run_task
+from paralex.sources.text import flatten_paths
+
+LENGTH = T.StructType([T.StructField("answer", T.StringType()), T.StructField("size", T.LongType())])
+
+
+def flaky(batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    """Answers a text once it has been tried (length mod 5) times before."""
+    size = batch["text"].str.len()
+    ready = batch[size % 5 < attempt]
+    size = ready["text"].str.len()
+    return pd.DataFrame({"answer": ready["text"].str.replace("e", "E"), "size": size, "blocked": size % 11 == 0})
+
+
+def echo(batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    """Repeats the last line of the user message and adds two marks."""
+    return pd.DataFrame({"answer": batch["user"].str.rsplit("\n", n=1).str[-1] + "!,"})
+
+
+def topics(batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    return pd.DataFrame({"answer": "first " + batch["custom_id"] + " \n\n second\n"})
+
+
+def translated(batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    source = batch["user"].str.extract(r"(?s)English: (.*)\nFrench: ", expand=False)
+    return pd.DataFrame({"answer": "French: " + source.str.replace("e", "E") + "\nStyle: Calm."})
+
+
+def segmented(batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    size = batch["user"].str.len().astype(str)
+    return pd.DataFrame({"answer": '```json\n[{"src": "all", "tgt": "' + size + '"}, {"src": "", "tgt": ""}]\n```'})
+
+
+def terms(batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
+    return pd.DataFrame({"answer": '{"term": ' + batch["user"].str.len().astype(str) + "}"})
+
+
+def lines(s, d):
+    return fx(s, d, "lines").select(
+        F.concat_ws("-", "source", "doc_id").alias("file_name"), "line_no",
+        F.concat_ws("-", "doc_id", "line_no").alias("utt"), F.col("line").alias("text"))
+
+
+def enriched(s, d):
+    out = enrich(lines(s, d).select("utt", "text"), flaky, LENGTH, max_attempts=3, first_delay=0.0)
+    return out.select("utt", "text", "answer", "size", "outcome", "attempts")
+
+
+def tasks(s, d):
+    """Every task over whole tables, as ``task, id, value``."""
+    row = lambda task, df, key, value: df.select(F.lit(task).alias("task"), F.col(key).alias("id"), value.alias("value"))
+    norm = run_task(lines(s, d), "norm", echo, {"system": "Normalise.", "src_lang": "de"}, first_delay=0.0)
+    topic = run_task(flatten_paths(fx(s, d, "nodes"), 3), "topic", topics,
+                     {"template": TOPIC, "num": 5, "src_lang": "en"}, first_delay=0.0)
+    docs = fx(s, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("utt"), "text")
+    moved = run_task(docs, "translation", translated, {"config": CFG, "codes": ["en", "fr", "style"]}, first_delay=0.0)
+    cut = run_task(docs, "sst", segmented, {"prompts": SST, "src_lang": "zh", "tgt_lang": "en"}, first_delay=0.0)
+    pairs = run_task(fx(s, d, "wide").select("id", "fr", "en"), "extract", terms,
+                     {"system": "Extract terms.", "template": TEMPLATE, "target": "en"}, ("id", "fr"), first_delay=0.0)
+    return (
+        row("norm", norm, "utt", F.col("text"))
+        .unionByName(row("topic", topic, "topic", F.array_join("contents", "|")))
+        .unionByName(row("translation", moved, "wav_path", F.concat_ws("|", "en", "fr", "style")))
+        .unionByName(row("sst", cut, "utt", F.array_join(F.transform("pairs", lambda p: F.concat(p["src"], p["tgt"])), "|")))
+        .unionByName(row("extract", pairs, "wav_path", F.col("term")))
+    )
+
+
+QUERIES = {"enrich_with_retry": enriched, "task_registry": tasks}
+ORACLE = {
+    "enrich_with_retry": """
+      SELECT concat(doc_id, '-', line_no) AS utt, line AS text, CASE WHEN length(line) % 5 < 3 THEN replace(line, 'e', 'E') END AS answer,
+        CASE WHEN length(line) % 5 < 3 THEN length(line) END AS size,
+        CASE WHEN length(line) % 5 >= 3 THEN 'failed' WHEN length(line) % 11 = 0 THEN 'blocked' ELSE 'ok' END AS outcome,
+        CAST(least(length(line) % 5 + 1, 3) AS INTEGER) AS attempts FROM {lines}""",
+    "task_registry": f"""
+      SELECT 'norm' AS task, concat(doc_id, '-', line_no) AS id, line || '!,' AS value FROM {{lines}}
+      UNION ALL SELECT 'topic', r_name || '-' || n_name || '-' || c_name, concat('first ', r_name, '-', n_name, '-', c_name, '|second')
+      FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey JOIN {{region}} ON n_regionkey = r_regionkey
+      UNION ALL SELECT 'translation', concat(conv_id, '-', turn), concat(text, '|', replace(text, 'e', 'E'), '|calm') FROM {{conversations}}
+      UNION ALL SELECT 'sst', concat(conv_id, '-', turn), concat('all', length(replace(text, ' ', ''))) FROM {{conversations}}
+      UNION ALL SELECT 'extract', id, CAST(length(replace(replace('{TEMPLATE}', '{{transcription}}', fr), '{{translation}}', en)) AS VARCHAR)
+      FROM {{wide}} WHERE fr IS NOT NULL""",
+}
