@@ -1,2 +1,134 @@
-QUERIES = {}
-ORACLE = {}
+"""Streams over the given tables, written as arriving files first."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from paralex.plans import responses_queries as X
+from paralex.plans.aggregates_queries import PARSED
+from paralex.plans.fixtures import fixture as fx
+from paralex.session import scratch
+from paralex.streaming import jobs as S
+
+EVENT = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+JOB = ("file_name string, batch_id bigint, file_id string, status string, file_status string, seq bigint, "
+       "created_at timestamp, completed_at bigint, completed bigint")
+WIDE = ["en", "fr", "de", "es", "style", "scene"]
+
+
+def arrive(df, path, *parts):
+    """The rows of a table as files, in the order of ``parts`` conditions."""
+    for condition in parts:
+        df.filter(condition).write.mode("append").parquet(path)
+
+
+def job_stream(s, d, per_trigger=1):
+    path = scratch(s, "jobs")
+    jobs = fx(s, d, "jobs").coalesce(4)
+    arrive(jobs, path, "created_at < timestamp'1997-01-01'", "created_at >= timestamp'1997-01-01'")
+    return S.arriving_files(s, path, JOB, per_trigger=per_trigger)
+
+
+def new_files(s, d):
+    """Two runs over a growing folder: the second one only sees the new files."""
+    path, sink, mark = scratch(s, "inbox"), scratch(s, "seen"), scratch(s, "checkpoint")
+    events = fx(s, d, "events")
+    for part in ("event_type IN ('click', 'view')", "event_type NOT IN ('click', 'view')"):
+        arrive(events, path, part)
+        rows = S.arriving_files(s, path, EVENT, per_trigger=2)
+        S.append_to(rows.select("event_id", "event_type"), sink, mark)
+    return s.read.parquet(sink)
+
+
+def convert(s, d):
+    path, sink = scratch(s, "results"), scratch(s, "parallel")
+    lines = fx(s, d, "chat_lines").select("file_name", F.col("line").alias("value"))
+    lines.write.partitionBy("file_name").text(path)
+    stream = S.arriving_files(s, path, "value string, file_name string", "text", per_trigger=8)
+    rows = S.stream_convert(stream.withColumnRenamed("value", "line"), "chat", WIDE, "corpus_a")
+    S.append_to(rows, sink, scratch(s, "checkpoint"))
+    return s.read.parquet(sink)
+
+
+def job_state(s, d):
+    sink = scratch(s, "states")
+    rows = S.stream_job_state(job_stream(s, d), ["status", "file_status"])
+    S.changes_to(rows, sink, scratch(s, "checkpoint"))
+    return S.latest_changes(s, sink, ["file_name"])
+
+
+def cutoff(s, d):
+    sink = scratch(s, "recent")
+    rows = S.stream_cutoff(job_stream(s, d), "1998-01-01", "30 days")
+    S.append_to(rows.select("file_name", "batch_id", "status"), sink, scratch(s, "checkpoint"))
+    return s.read.parquet(sink)
+
+
+def progress(s, d):
+    path, sink = scratch(s, "events"), scratch(s, "progress")
+    events = fx(s, d, "events")
+    split = events.agg(F.percentile_approx("ts", 0.5)).scalar()
+    early = events.withColumn("_early", F.col("ts") < split)
+    arrive(early, path, "_early", "NOT _early")
+    rows = S.arriving_files(s, path, EVENT, per_trigger=1)
+    sums = {"cents": F.round(F.col("value") * 100).cast("bigint"), "chars": F.length("props").cast("bigint")}
+    S.changes_to(S.stream_progress(rows, sums, delay="365 days"), sink, scratch(s, "checkpoint"))
+    return S.latest_changes(s, sink, ["window_start"])
+
+
+def dedupe(s, d):
+    """Every event arrives, and those of two types arrive again later."""
+    path, sink = scratch(s, "events"), scratch(s, "unique")
+    events = fx(s, d, "events")
+    arrive(events, path, "true", "event_type IN ('click', 'error')")
+    rows = S.arriving_files(s, path, EVENT, per_trigger=1)
+    S.append_to(S.stream_dedupe(rows, ["event_id"], "ts", "365 days").select("event_id", "event_type", "value"),
+                sink, scratch(s, "checkpoint"))
+    return s.read.parquet(sink)
+
+
+def admission(s, d):
+    """States arrive in two rounds; files of customers wait for a slot."""
+    path, ledger, admitted = scratch(s, "states"), scratch(s, "ledger"), scratch(s, "admitted")
+    jobs = fx(s, d, "jobs").coalesce(1)
+    arrive(jobs, path, "created_at < timestamp'1995-06-01'", "created_at >= timestamp'1995-06-01' AND created_at < timestamp'1995-09-01'")
+    files = fx(s, d, "jobs").select("file_name").distinct()
+    busy = fx(s, d, "jobs").count() // 20
+    S.stream_admission(S.arriving_files(s, path, JOB, per_trigger=1), files, busy, ledger, admitted, scratch(s, "checkpoint"))
+    return s.read.parquet(admitted).select("round", "file_name", "slot")
+
+
+QUERIES = {
+    "stream_new_files": new_files,
+    "stream_convert": convert,
+    "stream_job_state": job_state,
+    "stream_cutoff_late": cutoff,
+    "stream_progress": progress,
+    "stream_dedupe": dedupe,
+    "stream_admission": admission,
+}
+
+ROUND = """
+k{n} AS (SELECT file_name, arg_max(status, seq) AS status, max(seq) AS seq FROM ({old}
+  SELECT file_name, status, seq FROM {{jobs}} WHERE {when}) GROUP BY file_name),
+a{n} AS (SELECT file_name, slot FROM (SELECT file_name, row_number() OVER (ORDER BY file_name) AS slot
+  FROM (SELECT DISTINCT file_name FROM {{jobs}}) WHERE file_name NOT IN (SELECT file_name FROM k{n}))
+  WHERE slot <= (SELECT count(*) // 20 FROM {{jobs}}) - (SELECT count(*) FROM k{n} WHERE status IN ('in_progress', 'validating'))),
+l{n} AS (SELECT * FROM k{n} UNION ALL SELECT file_name, 'validating', 0 FROM a{n})"""
+
+ORACLE = {
+    "stream_new_files": "SELECT event_id, event_type FROM {events}",
+    "stream_convert": f"""WITH {PARSED}, w AS (SELECT id, {X.WIDE} FROM parsed GROUP BY id)
+      SELECT r.file_name, w.* EXCLUDE (id), 'corpus_a' AS dataset, md5('corpus_a/' || r.id) AS uuid, r.id AS metadata
+      FROM {{results}} r JOIN w ON w.id = r.id WHERE length(r.en) % 23 <> 0""",
+    "stream_job_state": """
+      SELECT file_name, arg_max(status, seq) AS status, arg_max(file_status, seq) AS file_status, max(seq) AS seq FROM {jobs} GROUP BY file_name""",
+    "stream_cutoff_late": "SELECT file_name, batch_id, status FROM {jobs} WHERE created_at >= TIMESTAMP '1998-01-01'",
+    "stream_progress": """
+      SELECT date_trunc('hour', ts) AS window_start, count(*) AS rows, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents,
+        CAST(sum(length(props)) AS BIGINT) AS chars FROM {events} GROUP BY 1""",
+    "stream_dedupe": "SELECT event_id, event_type, value FROM {events}",
+    "stream_admission": "WITH " + ROUND.format(n=0, old="", when="created_at < TIMESTAMP '1995-06-01'") + ","
+        + ROUND.format(n=1, old="SELECT * FROM l0 UNION ALL", when="created_at >= TIMESTAMP '1995-06-01' AND created_at < TIMESTAMP '1995-09-01'")
+        + " SELECT 0 AS round, file_name, slot FROM a0 UNION ALL SELECT 1, file_name, slot FROM a1",
+}
