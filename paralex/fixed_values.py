@@ -111,14 +111,22 @@ APOLOGY_PHRASES = ["请注意", "很抱歉"]
 BLOCK_MARKER = "test48:"
 RECORD_MARK = "[_mark_]"
 
-# Patterns of the sentence cleaner (Java syntax).
+# White space, as the body of a character class and as characters.
+# (Listing it is many times faster than a Unicode property in a regex.)
+SPACE = r" \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+# Patterns of the sentence cleaner (Java syntax; {s} is white space).
 CLEAN_ECHO = r"(?i)Provide the translation"
 CLEAN_BRACKETED = r"(?i)\(.*?transla.*?\)"
-CLEAN_URL = r"https://[^\s]+"
+CLEAN_URL = r"https://[^{s}]+"
 CLEAN_ZH_BRACKETED = r"\(.*?翻译.*?\)"
 CLEAN_ZH_LABEL = r"中：|中文：|- 中文：|中:|中文:|- 中文:"
 CLEAN_JA_LABEL = r"日：|日文：|- 日文：|日:|日文:|- 日文:|日语|日语:|日语："
-CLEAN_HAN_RUN = r"[\(\)（）\-：:\s]*[一-鿿]+[\(\)（）\-：:\s]*"
+CLEAN_HAN_RUN = r"[\(\)（）\-：:{s}]*[一-鿿]+[\(\)（）\-：:{s}]*"
 CLEAN_TRANSLATION_REMARK = r"(?i)[\x00-\x7F]*translat[\x00-\x7F]*[.!?。！？]"
 CLEAN_LEADING = r"^[）:)\.：\-]+"
 CLEAN_TRAILING_NAME = (
@@ -129,8 +137,8 @@ CLEAN_TRAILING_NAME = (
 HAN = r"一-鿿"
 BOLD_LABEL = r"\*\*(.*?):\*\*"
 ANNOTATION_DROP = r"[^a-zA-Z0-9,\s]"
-MATCH_PUNCTUATION = r"[，。？！,.?!\-\"'\s　]"
-SEARCH_PUNCTUATION = r"(?U)[\p{P}\s，。,.!?！？；;:、]"
+MATCH_PUNCTUATION = r"，。？！,.?!\-\"'"
+SEARCH_PUNCTUATION = r"\p{P}，。,.!?！？；;:、"
 GLUED_PUNCTUATION = r"^[，。！？；：]"
 ALLOWED_PUNCTUATION = ["，", "。", "！", "？"]
 SENTENCE_BREAK = r"(?<=[.!?\n]) +"

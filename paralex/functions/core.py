@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paralex.fixed_values import SPACE_CHARS
+
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -34,7 +36,7 @@ def with_kept(df: DataFrame, name: str, value: Column, keep: Callable[[Column],
 
 def strip(c: str | Column) -> Column:
     """Trim Unicode white space on both ends (``trim`` drops spaces only)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(SPACE_CHARS))
 
 
 def blank_to_null(c: str | Column) -> Column:
@@ -52,11 +54,6 @@ def text_lines(c: str | Column) -> Column:
     return F.split(col(c), r"\R")
 
 
-def count_matches(c: str | Column, char_class: str) -> Column:
-    """Number of characters of ``c`` inside ``char_class`` (regex class body)."""
-    return F.length(F.regexp_replace(col(c), f"[^{char_class}]", ""))
-
-
 def int_div(a: str | Column, n: int | Column) -> Column:
     """Whole-number division (``/`` would go through doubles)."""
     return F.call_function("div", col(a), F.lit(n) if isinstance(n, int) else n)

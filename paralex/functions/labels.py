@@ -37,7 +37,7 @@ def labelled_map(
     how older corpora were produced.
     """
     labels = ALL_LABELS if labels is None else labels
-    opens = rf"(?sU)^\s*({alternation(labels)})\s*:(.*)$"
+    opens = rf"(?s)^[{V.SPACE}]*({alternation(labels)})[{V.SPACE}]*:(.*)$"
     codes = label_codes(labels)
     unbolded = F.regexp_replace(col(text), V.BOLD_LABEL, "$1:")
 

@@ -54,13 +54,15 @@ def align_by_search(
             F.struct(
                 F.array_join(words, "").alias("text"),
                 F.flatten(F.transform(words, lambda w, i: F.array_repeat(i, F.length(w)))).alias("owner"),
+                F.transform(tokens, lambda t: t["start_ms"].cast("bigint")).alias("start"),
+                F.transform(tokens, lambda t: t["end_ms"].cast("bigint")).alias("end"),
             ),
             fold,
         )
 
     def fold(full: Column) -> Column:
         text, owner = full["text"], full["owner"]
-        last = F.size(tokens) - 1
+        last = F.size(full["start"]) - 1
 
         def found(at: Column, size: Column) -> Column:
             return F.struct(
@@ -98,8 +100,8 @@ def align_by_search(
             def append(r: Column) -> Column:
                 times = F.struct(
                     s["transcription"].alias("transcription"),
-                    F.get(F.col(tokens), r["first"])["start_ms"].cast("bigint").alias("start_ms"),
-                    F.get(F.col(tokens), r["last"])["end_ms"].cast("bigint").alias("end_ms"),
+                    F.get(full["start"], r["first"]).alias("start_ms"),
+                    F.get(full["end"], r["last"]).alias("end_ms"),
                 )
                 return F.struct(
                     r["cursor"].alias("cursor"), F.concat(acc["out"], F.array(times)).alias("out")

@@ -48,7 +48,7 @@ def flag_punctuation(
     white space.  ``marks`` lists each one once, sorted.
     """
     fine = "".join(re.escape(mark) for mark in allowed)
-    others = F.regexp_replace(col(text), rf"(?U)[\p{{L}}\p{{N}}_\s{fine}]", "")
+    others = F.regexp_replace(col(text), rf"[\p{{L}}\p{{N}}_{V.SPACE}{fine}]+", "")
     marks = F.array_join(F.array_sort(F.array_distinct(F.split(others, ""))), "")
     return with_kept(df, "marks", marks, lambda x: x != "")
 

@@ -49,7 +49,7 @@ def fill_from_response(df: DataFrame, names: dict[str, str], text: str = "answer
     out = df.withColumn("_lines", lines)
 
     def value_of(name: str) -> Column:
-        pattern = rf"(?sU)^\s*{alternation([name])}\s*: (.*)$"
+        pattern = rf"(?s)^[{V.SPACE}]*{alternation([name])}[{V.SPACE}]*: (.*)$"
         values = F.transform("_lines", lambda x: strip(F.regexp_extract(x, pattern, 1)))
         return F.get(F.filter(values, lambda v: v != ""), 0)
 
@@ -127,13 +127,13 @@ def post_extract(df: DataFrame, source: str = "zh-cn", target: str = "en") -> Da
     """
     lines = F.filter(text_lines(last_user_message()), lambda x: strip(x) != "")
     pair = F.from_json(strip(F.try_element_at(lines, F.lit(-1))), "map<string,string>")
-    out = (
-        df.withColumn("_n", F.size(lines))
-        .withColumn("_pair", pair)
-        .withColumn("_json", F.try_parse_json("answer"))
-        .withColumn("_kind", F.schema_of_variant("_json"))
-        .filter((F.col("_n") > 0) & F.col("_json").isNotNull())
+    json = F.try_parse_json("answer")
+    found = F.struct(
+        F.size(lines).alias("n"), pair.alias("pair"), json.alias("json"),
+        F.schema_of_variant(json).alias("kind"),
     )
+    out = with_kept(df, "_x", found, lambda x: (x["n"] > 0) & x["json"].isNotNull())
+    out = out.select("id", F.col("_x.pair").alias("_pair"), F.col("_x.json").alias("_json"), F.col("_x.kind").alias("_kind"))
     is_object = F.startswith("_kind", F.lit("OBJECT"))
     term = F.try_variant_get("_json", "$.term", "variant")
     return out.filter(~is_object | term.isNotNull()).select(
@@ -184,14 +184,23 @@ def parse_sst_incremental(
         lambda p: F.struct(strip(p["s"]).alias("src"), strip(p["t"]).alias("tgt")),
     )
     empty = F.from_json(F.lit("[]"), f"array<{step}>")
-    kept = F.aggregate(
-        F.reverse(steps),
-        empty,
-        lambda acc, s: F.when(
-            (F.size(acc) == 0) | (F.get(acc, 0)["tgt"].contains(s["tgt"])),
-            F.concat(F.array(s), acc),
-        ).otherwise(acc),
-    )
+
+    def chain_of(all_steps: Column) -> Column:
+        # Positions only: folding the texts themselves would copy them at every step.
+        size = F.size(all_steps)
+        back = F.when(size > 0, F.sequence(size - 1, F.lit(0), F.lit(-1))).otherwise(
+            F.array().cast("array<int>")
+        )
+        places = F.aggregate(
+            back,
+            F.array().cast("array<int>"),
+            lambda acc, i: F.when(
+                (F.size(acc) == 0)
+                | F.get(all_steps, F.get(acc, 0))["tgt"].contains(F.get(all_steps, i)["tgt"]),
+                F.concat(F.array(i), acc),
+            ).otherwise(acc),
+        )
+        return F.transform(places, lambda i: F.get(all_steps, i))
 
     def added(now: Column, before: Column) -> Column:
         return F.when(F.startswith(now, before), F.substr(now, F.length(before) + 1)).otherwise(now)
@@ -228,4 +237,4 @@ def parse_sst_incremental(
 
         return F.aggregate(deltas, empty, merge)
 
-    return df.withColumn("steps", let(let(kept, differences), fold))
+    return df.withColumn("steps", let(let(let(steps, chain_of), differences), fold))

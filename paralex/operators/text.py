@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
-from paralex.functions.core import alternation, col, count_matches, let, strip
+from paralex.functions.core import alternation, col, let, strip
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -120,11 +120,11 @@ def clean_sentence(text: str | Column, lang: str | Column) -> Column:
     text, lang = col(text), col(lang)
     drop = lambda c, pattern: F.regexp_replace(c, pattern, "")
     t = drop(text, V.CLEAN_BRACKETED)
-    t = drop(t, "(?U)" + V.CLEAN_URL)
+    t = drop(t, V.CLEAN_URL.replace("{s}", V.SPACE))
     t = (
         F.when(lang == "zh-cn", drop(drop(t, V.CLEAN_ZH_BRACKETED), V.CLEAN_ZH_LABEL))
         .when(lang == "ja", drop(t, V.CLEAN_JA_LABEL))
-        .otherwise(drop(t, "(?U)" + V.CLEAN_HAN_RUN))
+        .otherwise(drop(t, V.CLEAN_HAN_RUN.replace("{s}", V.SPACE)))
     )
     # The remark pattern backtracks; only texts with the word are worth it.
     remark = F.contains(F.lower(t), F.lit("translat")) & (lang != "en")
@@ -160,8 +160,8 @@ def normalize(text: str | Column, mode: str = "match") -> Column:
     """``match`` drops a fixed set of marks and white space; ``search`` lowers
     and drops all Unicode punctuation and white space."""
     if mode == "match":
-        return F.regexp_replace(col(text), "(?U)" + V.MATCH_PUNCTUATION, "")
-    return F.lower(F.regexp_replace(col(text), V.SEARCH_PUNCTUATION, ""))
+        return F.regexp_replace(col(text), f"[{V.MATCH_PUNCTUATION}{V.SPACE}]+", "")
+    return F.lower(F.regexp_replace(col(text), f"[{V.SEARCH_PUNCTUATION}{V.SPACE}]+", ""))
 
 
 def normalize_for_match(df: DataFrame, mode: str, text: str = "text") -> DataFrame:
@@ -240,25 +240,33 @@ def edit_distance_gate(
     return df.filter(F.coalesce(close, F.lit(False)))
 
 
-def char_ratio(
-    df: DataFrame, vocabulary: Column, char_class: str = V.HAN, text: str = "text"
-) -> DataFrame:
-    """Add ``n_class``, ``n_missing`` and ``missing_ratio`` per row.
+def char_counts(text: str | Column, vocabulary: Column, char_class: str = V.HAN) -> Column:
+    """``STRUCT<n_class, n_missing, missing_ratio>`` of a text.
 
     ``vocabulary`` is one string of known characters.  Counting what
     ``translate`` leaves over is linear in the text, with no shuffle and no
     row per character.  Without a character of the class the ratio is null.
     """
-    within = F.regexp_replace(col(text), f"[^{char_class}]", "")
-    out = df.withColumn("n_class", count_matches(text, char_class)).withColumn(
-        "n_missing", F.length(F.call_function("translate", within, vocabulary, F.lit("")))
+    within = F.regexp_replace(col(text), f"[^{char_class}]+", "")
+    sizes = F.struct(
+        F.length(within).alias("n"),
+        F.length(F.call_function("translate", within, vocabulary, F.lit(""))).alias("out"),
     )
-    return out.withColumn(
-        "missing_ratio",
-        F.when(F.col("n_class") > 0, F.col("n_missing").cast("double") / F.col("n_class")),
+    return F.struct(
+        sizes["n"].alias("n_class"),
+        sizes["out"].alias("n_missing"),
+        F.when(sizes["n"] > 0, sizes["out"].cast("double") / sizes["n"]).alias("missing_ratio"),
     )
 
 
+def char_ratio(
+    df: DataFrame, vocabulary: Column, char_class: str = V.HAN, text: str = "text"
+) -> DataFrame:
+    """Add ``n_class``, ``n_missing`` and ``missing_ratio`` per row."""
+    counted = df.withColumn("_r", char_counts(text, vocabulary, char_class))
+    return counted.select(*df.columns, "_r.*")
+
+
 def source_after_last(
     prompt: str | Column, name: str = "English", stop: str = "Chinese"
 ) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
-from paralex.functions.core import col
-from paralex.operators.text import char_ratio
+from paralex.functions.core import col, with_kept
+from paralex.operators.text import char_counts
 
 
 def char_vocabulary(
@@ -26,7 +26,7 @@ def char_vocabulary(
     """
     chars = df.select(
         F.col(order).alias("first_line"),
-        F.explode(F.split(F.regexp_replace(col(text), f"[^{char_class}]", ""), "")).alias("char"),
+        F.explode(F.split(F.regexp_replace(col(text), f"[^{char_class}]+", ""), "")).alias("char"),
     ).filter("char <> ''")
     counts = chars.groupBy("char").agg(
         F.count(F.lit(1)).alias("cnt"), F.min("first_line").alias("first_line")
@@ -53,5 +53,7 @@ def vocabulary_filter(
 ) -> DataFrame:
     """Keep rows with characters of the class, few of them rare in the corpus."""
     known = vocabulary_string(char_vocabulary(df, text, char_class, size, order))
-    rated = char_ratio(df, known, char_class, text)
-    return rated.filter((F.col("n_class") > 0) & (F.col("missing_ratio") <= max_missing))
+    rates = ["n_class", "n_missing", "missing_ratio"]
+    counted = char_counts(text, F.col("_known"), char_class)
+    few = lambda r: (r["n_class"] > 0) & (r["missing_ratio"] <= max_missing)
+    return with_kept(df.withColumn("_known", known), "_r", counted, few).select(*df.columns, *[F.col(f"_r.{c}") for c in rates])

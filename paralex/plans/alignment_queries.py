@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from paralex.functions.core import let, with_kept
 from paralex.operators import align as A
 from paralex.plans.fixtures import FIXTURES, fixture as fx
 
@@ -37,19 +38,20 @@ FIXTURES["chars"] = (
 
 def nested(s, d):
     """One row per utterance, straight from its text."""
-    words = F.split("text", "[ \n]+")
     token = lambda w, i: F.struct(w.alias("word"), (i * 200).alias("start_ms"), (i * 200 + 180).alias("end_ms"))
 
-    def segment(i):
-        t = F.array_join(F.slice(F.col("w"), i * 4 + 1, 4), " ")
-        return F.struct(
-            F.when(i % 11 == 10, "?!").when(i % 7 == 6, F.concat(F.lit("#x"), F.substr(t, F.lit(2))))
-            .when(i % 13 == 12, F.concat(F.lit("zzz"), t, F.lit("zzz"))).when(i % 17 == 16, "").otherwise(t).alias("transcription"))
+    def utterance(w):
+        def segment(i):
+            t = F.array_join(F.slice(w, i * 4 + 1, 4), " ")
+            return F.struct(
+                F.when(i % 11 == 10, "?!").when(i % 7 == 6, F.concat(F.lit("#x"), F.substr(t, F.lit(2))))
+                .when(i % 13 == 12, F.concat(F.lit("zzz"), t, F.lit("zzz"))).when(i % 17 == 16, "").otherwise(t).alias("transcription"))
 
-    rows = fx(s, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("utt"), words.alias("w"))
-    return rows.select(
-        "utt", F.transform("w", token).alias("tokens"),
-        F.transform(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 4).cast("int")), segment).alias("segments"))
+        groups = F.sequence(F.lit(0), F.floor((F.size(w) - 1) / 4).cast("int"))
+        return F.struct(F.transform(w, token).alias("tokens"), F.transform(groups, segment).alias("segments"))
+
+    rows = with_kept(fx(s, d, "conversations"), "x", let(F.split("text", "[ \n]+"), utterance), lambda x: F.lit(True))
+    return rows.select(F.concat_ws("-", "conv_id", "turn").alias("utt"), "x.tokens", "x.segments")
 
 
 QUERIES = {

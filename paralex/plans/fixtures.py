@@ -13,6 +13,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paralex.sources.scan import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -31,19 +33,21 @@ _LINES = (
 )
 
 # Wide parallel rows: the first three lines and the remaining text of a document
-# stand for four languages; a short document lacks the later ones.
-_PARALLEL = """
-SELECT concat('p-', CAST(doc_id AS STRING)) AS id, doc_id, source, en, fr, de,
-  substr(text, CAST(length(en) + length(fr) + length(de) + 4 AS INT)) AS es
-FROM (SELECT doc_id, source, text, split_part(text, chr(10), 1) AS en,
-        split_part(text, chr(10), 2) AS fr, split_part(text, chr(10), 3) AS de
-      FROM {documents}) d
-"""
+# stand for four languages; a short document lacks the later ones.  (The views
+# keep Spark from cutting the text again for every use of a column.)
+_PARALLEL = (
+    "SELECT concat('p-', doc_id) AS id, doc_id, source, x.en, x.fr, x.de, x.es FROM {documents} LATERAL VIEW "
+    "explode(transform(array(split(text, '\\n', 4)), l -> named_struct('en', l[0], 'fr', coalesce(get(l, 1), ''), "
+    "'de', coalesce(get(l, 2), ''), 'es', coalesce(get(l, 3), '')))) AS x",
+    "SELECT concat('p-', CAST(doc_id AS STRING)) AS id, doc_id, source, en, fr, de, "
+    "substr(text, CAST(length(en) + length(fr) + length(de) + 4 AS INT)) AS es FROM (SELECT doc_id, source, text, "
+    "split_part(text, chr(10), 1) AS en, split_part(text, chr(10), 2) AS fr, split_part(text, chr(10), 3) AS de "
+    "FROM {documents}) d",
+)
 
 # Decoded answers: bold label, continuation lines, a repeated label, annotation
 # lines, some answers without labels and some empty.
-_RESULTS = """
-SELECT concat('part-', source, '.jsonl') AS file_name, id, doc_id, en, fr, de, es,
+_ANSWER = """
   CASE WHEN length(en) % 19 = 0 THEN ''
        WHEN length(en) % 17 = 0 THEN concat('no labels here', chr(10), en, chr(10), fr)
        ELSE concat('Sure: see below', chr(10), '**English:** ', en, chr(10), 'second line', chr(10),
@@ -51,13 +55,18 @@ SELECT concat('part-', source, '.jsonl') AS file_name, id, doc_id, en, fr, de, e
          CASE WHEN de <> '' THEN concat(' German :', de, chr(10)) ELSE '' END,
          CASE WHEN es <> '' THEN concat('Spanish: ', es, chr(10)) ELSE '' END,
          CASE WHEN length(en) % 5 = 0 THEN concat('German: repeat ', en, chr(10)) ELSE '' END,
-         'Style: *Chat-Casual!*', chr(10), 'and more', chr(10), 'Scene: Speech.') END AS answer,
+         'Style: *Chat-Casual!*', chr(10), 'and more', chr(10), 'Scene: Speech.') END"""
+_RESULT_ROW = """
+SELECT concat('part-', source, '.jsonl') AS file_name, id, doc_id, en, fr, de, es, {answer} AS answer,
   CAST(40 + length(en) % 50 AS BIGINT) AS prompt_tokens,
   CAST(10 + length(fr) % 30 AS BIGINT) AS completion_tokens,
   CAST(50 + length(en) % 50 + length(fr) % 30 AS BIGINT) AS total_tokens,
   CAST(1700000000 + doc_id AS BIGINT) AS created
-FROM {parallel}
-"""
+FROM {parallel} """
+_RESULTS = (
+    _RESULT_ROW.replace("{answer} AS answer", "answer") + f"LATERAL VIEW explode(array({_ANSWER})) AS answer",
+    _RESULT_ROW.replace("{answer}", _ANSWER),
+)
 
 # Source and normalised text per line: equal, punctuation only, upper case, small
 # and large edits, missing.  Accents are folded because the checking engine
@@ -104,7 +113,8 @@ FIXTURES: dict[str, str | tuple[str, str]] = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in ("documents", "conversations") else rows
 
 
 def _names(sql: str) -> list[str]:

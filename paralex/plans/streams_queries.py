@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from paralex.plans import responses_queries as X
 from paralex.plans.aggregates_queries import PARSED
-from paralex.plans.fixtures import fixture as fx
+from paralex.plans.fixtures import FIXTURES, fixture as fx
 from paralex.session import scratch
 from paralex.streaming import jobs as S
 
+# Files to submit: more than there are files with jobs.
+FIXTURES["incoming"] = "SELECT concat('part-', lpad(CAST(p_partkey AS STRING), 7, '0'), '.jsonl') AS file_name FROM {part}"
+
 EVENT = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 JOB = ("file_name string, batch_id bigint, file_id string, status string, file_status string, seq bigint, "
        "created_at timestamp, completed_at bigint, completed bigint")
@@ -88,11 +91,11 @@ def dedupe(s, d):
 
 
 def admission(s, d):
-    """States arrive in two rounds; files of customers wait for a slot."""
+    """States arrive in two rounds while incoming files wait for a slot."""
     path, ledger, admitted = scratch(s, "states"), scratch(s, "ledger"), scratch(s, "admitted")
     jobs = fx(s, d, "jobs").coalesce(1)
-    arrive(jobs, path, "created_at < timestamp'1995-06-01'", "created_at >= timestamp'1995-06-01' AND created_at < timestamp'1995-09-01'")
-    files = fx(s, d, "jobs").select("file_name").distinct()
+    arrive(jobs, path, "created_at < timestamp'1995-06-01'", "created_at >= timestamp'1995-06-01'")
+    files = fx(s, d, "incoming")
     busy = fx(s, d, "jobs").count() // 20
     S.stream_admission(S.arriving_files(s, path, JOB, per_trigger=1), files, busy, ledger, admitted, scratch(s, "checkpoint"))
     return s.read.parquet(admitted).select("round", "file_name", "slot")
@@ -112,7 +115,7 @@ ROUND = """
 k{n} AS (SELECT file_name, arg_max(status, seq) AS status, max(seq) AS seq FROM ({old}
   SELECT file_name, status, seq FROM {{jobs}} WHERE {when}) GROUP BY file_name),
 a{n} AS (SELECT file_name, slot FROM (SELECT file_name, row_number() OVER (ORDER BY file_name) AS slot
-  FROM (SELECT DISTINCT file_name FROM {{jobs}}) WHERE file_name NOT IN (SELECT file_name FROM k{n}))
+  FROM {{incoming}} WHERE file_name NOT IN (SELECT file_name FROM k{n}))
   WHERE slot <= (SELECT count(*) // 20 FROM {{jobs}}) - (SELECT count(*) FROM k{n} WHERE status IN ('in_progress', 'validating'))),
 l{n} AS (SELECT * FROM k{n} UNION ALL SELECT file_name, 'validating', 0 FROM a{n})"""
 
@@ -129,6 +132,6 @@ ORACLE = {
         CAST(sum(length(props)) AS BIGINT) AS chars FROM {events} GROUP BY 1""",
     "stream_dedupe": "SELECT event_id, event_type, value FROM {events}",
     "stream_admission": "WITH " + ROUND.format(n=0, old="", when="created_at < TIMESTAMP '1995-06-01'") + ","
-        + ROUND.format(n=1, old="SELECT * FROM l0 UNION ALL", when="created_at >= TIMESTAMP '1995-06-01' AND created_at < TIMESTAMP '1995-09-01'")
+        + ROUND.format(n=1, old="SELECT * FROM l0 UNION ALL", when="created_at >= TIMESTAMP '1995-06-01'")
         + " SELECT 0 AS round, file_name, slot FROM a0 UNION ALL SELECT 1, file_name, slot FROM a1",
 }

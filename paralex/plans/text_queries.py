@@ -53,9 +53,9 @@ def cut(text: str, mark: str) -> str:
 def clean_sql(t: str, lang: str) -> str:
     labels = "|".join(re.escape(s) for s in sorted(V.SENTENCE_LABELS, key=len, reverse=True))
     sub = lambda x, p: f"regexp_replace({x}, '{p}', '', 'g')"
-    base = sub(sub(t, V.CLEAN_BRACKETED), V.CLEAN_URL)
+    base = sub(sub(t, V.CLEAN_BRACKETED), V.CLEAN_URL.replace("{s}", "\\s"))
     step = (f"CASE WHEN {lang} = 'zh-cn' THEN {sub(sub(base, V.CLEAN_ZH_BRACKETED), V.CLEAN_ZH_LABEL)} "
-            f"WHEN {lang} = 'ja' THEN {sub(base, V.CLEAN_JA_LABEL)} ELSE {sub(base, V.CLEAN_HAN_RUN)} END")
+            f"WHEN {lang} = 'ja' THEN {sub(base, V.CLEAN_JA_LABEL)} ELSE {sub(base, V.CLEAN_HAN_RUN.replace("{s}", "\\s"))} END")
     step = f"CASE WHEN {lang} <> 'en' THEN {sub(step, V.CLEAN_TRANSLATION_REMARK)} ELSE {step} END"
     step = f"trim({sub(step, labels)}, {SPACE})"
     step = f"trim({sub(sub(step, V.CLEAN_LEADING), V.CLEAN_TRAILING_NAME)}, {SPACE})"
@@ -63,8 +63,8 @@ def clean_sql(t: str, lang: str) -> str:
 
 
 LABEL_SQL = "|".join(re.escape(s) for s in sorted(V.LINE_LABELS, key=len, reverse=True))
-MATCH_SQL = V.MATCH_PUNCTUATION.replace("'", "''")
-SEARCH_SQL = V.SEARCH_PUNCTUATION.replace("(?U)", "")
+MATCH_SQL = "[" + V.MATCH_PUNCTUATION.replace("'", "''") + "\\s]"
+SEARCH_SQL = "[" + V.SEARCH_PUNCTUATION + "\\s]"
 
 
 def vocabulary(spark, sf):

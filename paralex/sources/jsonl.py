@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paralex.functions.core import with_kept
+
 CORRUPT = "_corrupt"
 
 
@@ -31,11 +33,14 @@ def read_jsonl(
     lines: DataFrame, schema: T.StructType, column: str = "line"
 ) -> tuple[DataFrame, DataFrame]:
     """``(good rows, bad lines)`` of a table of text lines."""
-    decoded = decode_jsonl(lines, schema, column)
+    row = F.struct(F.from_json(
+        column, _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    ).alias("v"))
+    is_bad = lambda r: r["v"].isNull() | r["v"][CORRUPT].isNotNull()
     others = [c for c in lines.columns if c != column]
-    good = decoded.filter(~F.col("bad")).select(*others, *[f"row.{f.name}" for f in schema.fields])
-    bad = decoded.filter("bad").select(*others, column)
-    return good, bad
+    good = with_kept(lines, "_row", row, lambda r: ~is_bad(r))
+    bad = with_kept(lines, "_row", row, is_bad)
+    return good.select(*others, *[F.col(f"_row.v.{f.name}") for f in schema.fields]), bad.select(*others, column)
 
 
 def read_jsonl_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from paralex.functions.core import with_kept
 
 _MESSAGES = "array<struct<role:string,content:string>>"
 _USAGE = "struct<prompt_tokens:bigint,completion_tokens:bigint,total_tokens:bigint>"
@@ -26,26 +27,34 @@ def read_results(lines: DataFrame, dialect: str, column: str = "line") -> DataFr
     the counters of its whole file.  Only the chat dialect drops empty answers.
     """
     if dialect == "chat":
-        row, body, key = F.from_json(column, CHAT_SCHEMA), "row.response.body", "row.custom_id"
-        messages = F.lit(None).cast(_MESSAGES)
+        schema, body, key = CHAT_SCHEMA, lambda r: r["response"]["body"], "custom_id"
     elif dialect == "role":
-        row, body, key = F.from_json(column, ROLE_SCHEMA), "row.output", "row.id"
-        messages = F.col("row.messages")
+        schema, body, key = ROLE_SCHEMA, lambda r: r["output"], "id"
     else:
         raise ValueError(f"unknown dialect: {dialect}")
-    answer = F.get(F.col(f"{body}.choices"), 0)["message"]["content"]
-    out = lines.withColumn("row", row).select(
+
+    def usable(row: Column) -> Column:
+        answer = _answer(body(row))
+        known = row[key].isNotNull() & answer.isNotNull()
+        return known & (answer != "") if dialect == "chat" else known
+
+    out = with_kept(lines, "_row", F.from_json(column, schema), usable)
+    row = F.col("_row")
+    messages = row["messages"] if dialect == "role" else F.lit(None).cast(_MESSAGES)
+    return out.select(
         "file_name",
-        F.col(key).alias("id"),
-        answer.alias("answer"),
-        F.col(f"{body}.usage.prompt_tokens").alias("prompt_tokens"),
-        F.col(f"{body}.usage.completion_tokens").alias("completion_tokens"),
-        F.col(f"{body}.usage.total_tokens").alias("total_tokens"),
-        F.col(f"{body}.created").alias("created"),
+        row[key].alias("id"),
+        _answer(body(row)).alias("answer"),
+        body(row)["usage"]["prompt_tokens"].alias("prompt_tokens"),
+        body(row)["usage"]["completion_tokens"].alias("completion_tokens"),
+        body(row)["usage"]["total_tokens"].alias("total_tokens"),
+        body(row)["created"].alias("created"),
         messages.alias("messages"),
     )
-    out = out.filter(F.col("id").isNotNull() & F.col("answer").isNotNull())
-    return out.filter(F.col("answer") != "") if dialect == "chat" else out
+
+
+def _answer(body: Column) -> Column:
+    return F.get(body["choices"], 0)["message"]["content"]
 
 
 def rejected_results(lines: DataFrame, dialect: str, column: str = "line") -> DataFrame:

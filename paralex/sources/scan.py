@@ -1,0 +1,17 @@
+"""Scans of small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, bytes_per_task: int = 4 << 20) -> DataFrame:
+    """Give each core a share of an input that is too small to be split.
+
+    A file of a few megabytes is read by one task, and the text work that
+    follows would stay on one core.  Inputs with a split per core, which is
+    every input worth a cluster, are returned as they are: no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * bytes_per_task else df

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
-from paralex.functions.core import alternation, col, strip
+from paralex.functions.core import alternation, col, strip, with_kept
 
 
 def parse_list(
@@ -20,12 +20,12 @@ def parse_list(
     ``dedupe='last'`` keeps the last line of an id within its file.  The rank
     filter is pushed below the shuffle, so a hot id sends one row per task.
     """
-    pattern = r"(?sU)^\s*(\S+)\s+(\S.*)$"
+    parts = F.split(strip(line), f"[{V.SPACE}]+", 2)
     out = (
-        df.filter(F.col(line).rlike(pattern))
-        .withColumn("id", F.regexp_extract(line, pattern, 1))
-        .withColumn("text", strip(F.regexp_extract(line, pattern, 2)))
-        .drop(line)
+        with_kept(df, "_parts", parts, lambda p: F.size(p) == 2)
+        .withColumn("id", F.get("_parts", 0))
+        .withColumn("text", F.get("_parts", 1))
+        .drop(line, "_parts")
     )
     if dedupe == "none":
         return out
@@ -67,8 +67,7 @@ def read_keyed_prompts(df: DataFrame, line: str = "line") -> DataFrame:
     """First value of a one-entry JSON object per line; other lines go."""
     entries = F.from_json(line, "map<string,string>")
     return (
-        df.withColumn("_entries", entries)
-        .filter(F.size("_entries") > 0)
+        with_kept(df, "_entries", entries, lambda m: F.size(m) > 0)
         .withColumn("key", F.get(F.map_keys("_entries"), 0))
         .withColumn("prompt", F.get(F.map_values("_entries"), 0))
         .drop(line, "_entries")
