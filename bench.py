@@ -39,6 +39,7 @@ def main() -> None:
             start = time.perf_counter()
             runs[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
             seconds[name] = round(time.perf_counter() - start, 3)
+        print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     total = round(sum(seconds.values()), 3)
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "total_warm_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": sf}))

@@ -49,6 +49,14 @@ def alternation(literals: Iterable[str]) -> str:
     return "|".join(re.escape(s) for s in sorted(literals, key=len, reverse=True))
 
 
+def any_of(literals: Iterable[str]) -> str:
+    """:func:`alternation` for searching inside long text: the alternatives are
+    only tried where one of their first characters stands."""
+    literals = list(literals)
+    firsts = "".join(re.escape(ch) for ch in sorted({s[0] for s in literals}))
+    return f"(?=[{firsts}])(?:{alternation(literals)})"
+
+
 def text_lines(c: str | Column) -> Column:
     """Split at any line break."""
     return F.split(col(c), r"\R")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
-from paralex.functions.core import alternation, col, let, strip
+from paralex.functions.core import alternation, any_of, col, let, strip
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -119,17 +119,21 @@ def clean_sentence(text: str | Column, lang: str | Column) -> Column:
     """Ordered clean-up of a translated sentence by its language."""
     text, lang = col(text), col(lang)
     drop = lambda c, pattern: F.regexp_replace(c, pattern, "")
-    t = drop(text, V.CLEAN_BRACKETED)
-    t = drop(t, V.CLEAN_URL.replace("{s}", V.SPACE))
+    # Cheap tests keep the searches off texts that cannot match.
+    t = F.when(F.contains(text, F.lit("(")), drop(text, V.CLEAN_BRACKETED)).otherwise(text)
+    t = F.when(F.contains(t, F.lit("https:")), drop(t, V.CLEAN_URL.replace("{s}", V.SPACE))).otherwise(t)
+    han = F.when(
+        t.rlike(f"[{V.HAN}]"), drop(t, V.CLEAN_HAN_RUN.replace("{s}", V.SPACE))
+    ).otherwise(t)
     t = (
         F.when(lang == "zh-cn", drop(drop(t, V.CLEAN_ZH_BRACKETED), V.CLEAN_ZH_LABEL))
         .when(lang == "ja", drop(t, V.CLEAN_JA_LABEL))
-        .otherwise(drop(t, V.CLEAN_HAN_RUN.replace("{s}", V.SPACE)))
+        .otherwise(han)
     )
     # The remark pattern backtracks; only texts with the word are worth it.
     remark = F.contains(F.lower(t), F.lit("translat")) & (lang != "en")
     t = F.when(remark, drop(t, V.CLEAN_TRANSLATION_REMARK)).otherwise(t)
-    t = strip(drop(t, alternation(V.SENTENCE_LABELS)))
+    t = strip(drop(t, any_of(V.SENTENCE_LABELS)))
     t = strip(drop(drop(t, V.CLEAN_LEADING), V.CLEAN_TRAILING_NAME))
     return F.when((text == "") | text.rlike(V.CLEAN_ECHO), "").otherwise(t)
 

@@ -22,7 +22,7 @@ FIXTURES["segments"] = (
     "SELECT utt, i AS seg_no, CASE WHEN i % 11 = 10 THEN '?!' WHEN i % 7 = 6 THEN concat('#x', substr(t, 2)) WHEN i % 13 = 12 THEN concat('zzz', t, 'zzz') "
     "WHEN i % 17 = 16 THEN '' ELSE t END AS transcription FROM (SELECT utt, i, array_join(slice(w, i * 4 + 1, 4), ' ') AS t FROM ("
     "SELECT utt, w, explode(sequence(0, (size(w) - 1) div 4)) AS i FROM "
-    "(SELECT concat(conv_id, '-', turn) AS utt, split(text, '[ \\n]+') AS w FROM {conversations}) c) d) e",
+    "(SELECT concat(conv_id, '-', turn) AS utt, w FROM {conversations} LATERAL VIEW explode(array(split(text, '[ \\n]+'))) t AS w) c) d) e",
     "SELECT utt, i AS seg_no, CASE WHEN i % 11 = 10 THEN '?!' WHEN i % 7 = 6 THEN concat('#x', substr(t, 2)) WHEN i % 13 = 12 THEN concat('zzz', t, 'zzz') "
     "WHEN i % 17 = 16 THEN '' ELSE t END AS transcription FROM (SELECT utt, i, array_to_string(w[i * 4 + 1:i * 4 + 4], ' ') AS t FROM ("
     "SELECT utt, w, unnest(range((len(w) - 1) // 4 + 1)) AS i FROM "

@@ -33,7 +33,7 @@ FIXTURES["sst"] = (
     "SELECT concat(conv_id, '-', turn) AS utt, length(text) AS n, to_json(transform(sequence(0, (size(w) - 1) div 4), i -> named_struct("
     "'src', if(i = 3 AND length(text) % 5 = 0, '', array_join(slice(w, i * 4 + 1, 4), ' ')), "
     "'tgt', if(i = 3 AND length(text) % 5 = 0, '', translate(array_join(slice(w, i * 4 + 1, 4), ' '), 'aeiou', 'AEIOU'))))) AS j "
-    "FROM (SELECT *, split(text, '[ \\n]+') AS w FROM {conversations}) c) d",
+    "FROM {conversations} LATERAL VIEW explode(array(split(text, '[ \\n]+'))) t AS w) d",
     "SELECT utt, concat('```json', chr(10), CASE WHEN n % 7 = 0 THEN substr(j, 1, length(j) - 1) ELSE j END, chr(10), '```') AS answer FROM ("
     "SELECT concat(conv_id, '-', turn) AS utt, length(text) AS n, CAST(to_json(list_transform(range((len(w) - 1) // 4 + 1), lambda i: struct_pack("
     "src := CASE WHEN i = 3 AND length(text) % 5 = 0 THEN '' ELSE array_to_string(w[i * 4 + 1:i * 4 + 4], ' ') END, "
@@ -46,7 +46,7 @@ FIXTURES["sst_steps"] = (
     "array_join(slice(w, 1, i * 16 + 16), ' '), chr(10), '[已口播译文]：', CASE i % 6 WHEN 2 THEN translate(array_join(slice(w, 1, i * 16), ' '), 'aeiou', 'AEIOU') "
     "WHEN 3 THEN concat('revised ', i) WHEN 4 THEN concat(translate(array_join(slice(w, 1, i * 16 - 32), ' '), 'aeiou', 'AEIOU'), '') "
     "ELSE translate(array_join(slice(w, 1, i * 16 + 16), ' '), 'aeiou', 'AEIOU') END)), chr(10)) AS answer "
-    "FROM (SELECT concat(conv_id, '-', turn) AS utt, split(text, '[ \\n]+') AS w FROM {conversations}) c",
+    "FROM (SELECT concat(conv_id, '-', turn) AS utt, w FROM {conversations} LATERAL VIEW explode(array(split(text, '[ \\n]+'))) t AS w) c",
     "SELECT utt, array_to_string(list_transform(range((len(w) - 1) // 16 + 1), lambda i: concat('- [已累积的原文内容]：', "
     "array_to_string(w[1:i * 16 + 16], ' '), chr(10), '[已口播译文]：', CASE i % 6 WHEN 2 THEN translate(array_to_string(w[1:i * 16], ' '), 'aeiou', 'AEIOU') "
     "WHEN 3 THEN concat('revised ', i) WHEN 4 THEN concat(translate(array_to_string(w[1:i * 16 - 32], ' '), 'aeiou', 'AEIOU'), '') "
