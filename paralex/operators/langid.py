@@ -44,13 +44,17 @@ def fit_lang_profiles(
     df: DataFrame, langs: Sequence[str], path: str, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """Write ``gram`` and one weight per language (scaled log of the smoothed
-    share) to ``path`` and return that table.
+    share) below ``path`` and return that table.
 
-    Counts are combined before the shuffle, so it carries distinct grams.  The
-    profile is a table because every detection reads it and needs its size.
+    Counts are combined before the shuffle, so it carries distinct grams.  They
+    are written before they are weighed, which needs their totals: the text is
+    read once.  The profile is a table because every detection reads it and
+    needs its size.
     """
     grams = df.filter(F.col(lang).isin(list(langs))).select(lang, F.explode(trigrams(text)).alias("gram"))
     counts = grams.groupBy("gram").agg(*[F.count_if(F.col(lang) == c).alias(c) for c in langs])
+    counts.write.mode("overwrite").parquet(f"{path}/counts")
+    counts = df.sparkSession.read.parquet(f"{path}/counts")
     totals = counts.agg(
         F.struct(*[F.sum(c).alias(c) for c in langs], F.count(F.lit(1)).alias("grams"))
     ).scalar()
@@ -60,8 +64,10 @@ def fit_lang_profiles(
         share = (F.col(c) + 1).cast("double") / (F.col("_t")[c] + F.col("_t")["grams"]).cast("double")
         return F.round(F.log(share) * SCALE).cast("bigint")
 
-    rows.select("gram", *[weight(c).alias(c) for c in langs]).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    rows.select("gram", *[weight(c).alias(c) for c in langs]).write.mode("overwrite").parquet(
+        f"{path}/weights"
+    )
+    return df.sparkSession.read.parquet(f"{path}/weights")
 
 
 def detect_lang(

@@ -21,8 +21,9 @@ def char_vocabulary(
 
     Ties go to the character that appears first.  Counting keeps two longs per
     character and task, so the shuffle carries the alphabet, not the corpus.
-    Positions are only looked up in the first lines of characters; that table
-    is bounded by the alphabet and joins on the line number.
+    Positions are only looked up in the first lines of characters.  That table
+    has one row per distinct character, about a million at the very most, so it
+    is broadcast and the text stays where it is.
     """
     chars = df.select(
         F.col(order).alias("first_line"),
@@ -32,7 +33,7 @@ def char_vocabulary(
         F.count(F.lit(1)).alias("cnt"), F.min("first_line").alias("first_line")
     )
     lines = df.select(F.col(order).alias("first_line"), col(text).alias("_text"))
-    placed = lines.join(counts, "first_line").select(
+    placed = lines.join(F.broadcast(counts), "first_line").select(
         "char", "cnt", "first_line", F.instr("_text", F.col("char")).alias("first_pos")
     )
     return placed.orderBy(F.desc("cnt"), "first_line", "first_pos").limit(size)
