@@ -92,12 +92,14 @@ def detect_lang(
         *keys, "_script", F.explode_outer(F.when(F.col("_script").isNull(), trigrams("_text"))).alias("gram")
     )
     if profiles.limit(broadcast_grams + 1).count() <= broadcast_grams:
-        scored = grams.join(F.broadcast(profiles), "gram", "left").withColumn("_n", F.lit(1))
+        scored = grams.join(F.broadcast(profiles), "gram", "left")
+        score = F.col
     else:
         counted = grams.groupBy(*keys, "_script", "gram").agg(F.count(F.lit(1)).alias("_n"))
         scored = counted.join(profiles, "gram", "left")
+        score = lambda c: F.col(c) * F.col("_n")
     sums = scored.groupBy(*keys).agg(
-        F.max("_script").alias("_script"), *[F.sum(F.col(c) * F.col("_n")).alias(c) for c in langs]
+        F.max("_script").alias("_script"), *[F.sum(score(c)).alias(c) for c in langs]
     )
     best = F.greatest(*[F.col(c) for c in langs])
     guess = F.coalesce(*[F.when(F.col(c) == best, F.lit(c)) for c in langs], F.lit("unknown"))
