@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
-from paralex.functions.core import alternation, col, let, strip, text_lines, with_kept
+from paralex.functions.core import col, let, strip, text_lines, with_kept
 from paralex.functions.labels import ALL_LABELS, LANGUAGE_LABELS, labelled_map
 
 
@@ -46,20 +46,22 @@ def fill_from_response(df: DataFrame, names: dict[str, str], text: str = "answer
     space, the first line with a value for the name wins, filled cells stay as they are.
     """
     lines = F.split(strip(F.coalesce(col(text), F.lit(""))), "\n")
-    out = df.withColumn("_lines", lines)
-
-    def value_of(name: str) -> Column:
-        pattern = rf"(?s)^[{V.SPACE}]*{alternation([name])}[{V.SPACE}]*: (.*)$"
-        values = F.transform("_lines", lambda x: strip(F.regexp_extract(x, pattern, 1)))
-        return F.get(F.filter(values, lambda v: v != ""), 0)
-
-    filled = {
-        c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.col(c))
-        .when(F.col(c).isNull(), F.col(c))
-        .otherwise(F.coalesce(value_of(name), F.lit("")))
-        for c, name in names.items()
-    }
-    return out.withColumns(filled).drop("_lines")
+    named = F.transform(
+        F.filter(lines, lambda x: x.contains(": ")),
+        lambda x: F.struct(
+            strip(F.substring_index(x, ": ", 1)).alias("name"),
+            strip(F.substr(x, F.instr(x, F.lit(": ")) + 2)).alias("value"),
+        ),
+    )
+    pairs = F.filter(named, lambda p: (p["value"] != "") & p["name"].isin(list(names.values())))
+    out = with_kept(df, "_pairs", pairs, lambda p: p.isNotNull())
+
+    def cell(c: str, name: str) -> Column:
+        value = F.get(F.filter("_pairs", lambda p: p["name"] == name), 0)["value"]
+        # A null column is an absent language; only empty ones are filled.
+        return F.when(F.col(c) == "", F.coalesce(value, F.lit(""))).otherwise(F.col(c))
+
+    return out.withColumns({c: cell(c, name) for c, name in names.items()}).drop("_pairs")
 
 
 def last_user_message(messages: str | Column = "messages") -> Column:
