@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
 from paralex.operators import text as T
