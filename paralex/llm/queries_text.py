@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paralex.llm import bpe
+from paralex.llm import bpe, packing
 from paralex.llm.common import table
 
 
@@ -19,5 +19,15 @@ def op1_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+END, SEQUENCE = 1, 4096
+
+
+def op3_packing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), END, SEQUENCE)
+    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.best_fit(narrow, SEQUENCE)
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op3_packing": op3_packing}
 ORACLE: dict[str, str] = {}
