@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ["text"]
+SECTIONS = ["text", "dedup"]
 
 
 def _sections() -> list:
