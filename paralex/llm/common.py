@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, StructType
@@ -14,7 +15,6 @@ from pyspark.sql.types import DataType, StructType
 from paralex.session import scratch
 
 SLICE = 256
-LETTER = r"\p{L}"
 
 
 def column_function(make: Callable[[], Callable[..., pa.Array]], returns: StructType) -> Callable[..., Column]:
@@ -98,25 +98,50 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sample_ids(labelled: DataFrame, key: str, label: str, per_label: int) -> DataFrame:
-    """``key`` and ``label`` of at most ``per_label`` rows of each label value.
+def sample_texts(docs: DataFrame, labelled: DataFrame, label: str, per_label: int) -> DataFrame:
+    """``doc_id``, ``label`` (as integer or string), ``rank`` and ``text`` of at
+    most ``per_label`` labelled documents of each label value.
 
-    Rows are ranked by a hash of their key, so the sample is spread over the
-    table and any run draws it again.  Only ids travel.  Label values are few
-    (a language, a class), and Spark applies the rank limit before the shuffle.
+    Rows are ranked by a hash of their id, so the sample is spread over the
+    table and any run draws it again.  Only ids are ranked, and Spark applies
+    the rank limit before the shuffle.  Label values are few (a language, a
+    class), so at most ``per_label`` ids for each of them are broadcast.  The
+    sample is written once; a repeated id counts with its first text.
     """
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(F.xxhash64(key), key))
-    return (
-        labelled.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
-        .select(key, label).withColumn("_rank", rank).filter(F.col("_rank") <= per_label).drop("_rank")
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = (
+        labelled.filter(~held_out("doc_id") & F.col(label).isNotNull())
+        .select("doc_id", F.col(label).alias("label"))
+        .withColumn("rank", rank).filter(F.col("rank") <= per_label)
     )
+    found = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    once = found.groupBy("doc_id", "label", "rank").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return stored(once, "sample")
+
+
+def logistic(features, labels, weights, ridge: float = 1e-3):
+    """Weights (the last is the constant) of a weighted logistic regression, by
+    Newton steps on standardised features."""
+    mean, spread = features.mean(0), features.std(0) + 1e-9
+    x = np.c_[(features - mean) / spread, np.ones(len(features))]
+    w = np.zeros(x.shape[1])
+    weights = weights / weights.sum()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weights * (p - labels)) + ridge * np.r_[w[:-1], 0]
+        bend = (x * (weights * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(bend, slope)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return np.r_[w[:-1] / spread, w[-1] - (w[:-1] * mean / spread).sum()]
+
+
+def class_counts(labelled: DataFrame, label: str) -> dict[int, int]:
+    """Rows learned from, by label value 0 and 1."""
+    rows = labelled.filter(~held_out("doc_id") & F.col(label).isNotNull()).groupBy(label).count().collect()
+    return {int(r[0]): r[1] for r in rows}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def same_type(df: DataFrame, name: str) -> DataType:
-    return df.schema[name].dataType

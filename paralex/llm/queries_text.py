@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paralex.llm import bpe, packing
-from paralex.llm.common import table
+from paralex.llm import bpe, language, packing, quality_model, quality_rules
+from paralex.llm.common import held_out, table
 
 
 def op1_bpe(spark, sf_dir):
@@ -29,5 +29,32 @@ def op3_packing(spark, sf_dir):
     return packing.best_fit(narrow, SEQUENCE)
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op3_packing": op3_packing}
+def op2_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = docs.select("doc_id", quality_rules.quality()("text").alias("q"))
+    shown = [*quality_rules.COUNTS, "base_failed", "kept", *quality_rules.FAULTS]
+    return judged.select("doc_id", *[f"q.{c}" for c in shown])
+
+
+def op4_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    answer = language.language_of(spark, language.fit(docs))
+    return docs.select("doc_id", answer("text").alias("a")).select(
+        "doc_id", held_out().alias("held_out"), F.col("a.lang").alias("lang_pred"), "a.score", "a.distance", "a.rejected"
+    )
+
+
+def op8_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", quality_model.score(model)("text").alias("s"))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "s.score", (F.col("s.score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+QUERIES = {
+    "op1_bpe": op1_bpe, "op2_quality_rules": op2_quality_rules, "op3_packing": op3_packing, "op4_language": op4_language,
+    "op8_quality": op8_quality,
+}
 ORACLE: dict[str, str] = {}
