@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paralex.llm import bpe, language, packing, quality_model, quality_rules
+from paralex.llm import bpe, language, packing, quality_model, quality_rules, toxicity
 from paralex.llm.common import held_out, table
 
 
@@ -53,8 +53,15 @@ def op8_quality(spark, sf_dir):
     )
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.toxicity(spark, model)("text").alias("score"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_quality_rules": op2_quality_rules, "op3_packing": op3_packing, "op4_language": op4_language,
-    "op8_quality": op8_quality,
+    "op8_quality": op8_quality, "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
