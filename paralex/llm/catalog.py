@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ["text", "dedup"]
+SECTIONS = ["text", "dedup", "search"]
 
 
 def _sections() -> list:
