@@ -8,7 +8,7 @@ windows of a text are scored; the highest one is calibrated to the score.
 
 Learning uses at most ``per_label`` labelled documents of each kind.  Log odds
 are counted in two halves, so that the network is trained on windows whose
-words were counted elsewhere.  What the driver gathers has a fixed size per
+words were counted elsewhere; other texts get the mean of both.  What the driver gathers has a fixed size per
 task or sampled document: count tables, and a few windows' inputs.
 
 Null texts and texts without a letter or digit score 0.  Without labelled
@@ -34,6 +34,7 @@ WINDOW, STRIDE = 24, 12
 HIDDEN, POOL = 8, 8
 INPUTS = 5
 EPOCHS, RATE, BATCH = 25, 0.02, 256
+SMOOTH = 2.0  # documents added to either side of the odds
 TASKS = 8  # tasks that count and cut windows of the sample
 KINDS = 3  # tables: words, pieces of four bytes, pieces of six bytes
 AT_ONCE = 4096  # windows scored at once
@@ -236,7 +237,7 @@ def log_odds(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
     """Smoothed log odds per bucket from documents of each class (other, toxic)."""
     scale = documents.min() / np.maximum(documents, 1)
     other, toxic = (counts[c] * scale[c] for c in (0, 1))
-    return np.clip(np.log((toxic + 1) / (other + 1)), -3, 6).astype(np.float32)
+    return np.clip(np.log((toxic + SMOOTH) / (other + SMOOTH)), -3, 6).astype(np.float32)
 
 
 def _half():
@@ -329,8 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int
     truth[document] = y
     weight = np.where(truth == 1, known[1] / max(1, truth.sum()), known[0] / max(1, (truth == 0).sum()))
     slope, shift = logistic(best[:, None].astype(float), truth, weight)
-    both = np.array([log_odds(counts[:, k].sum(0), documents.sum(0)) for k in range(KINDS)])
-    return ToxicityModel(both, network.p, float(slope), float(shift))
+    return ToxicityModel(halves.mean(0), network.p, float(slope), float(shift))
 
 
 def score_texts(model: ToxicityModel, texts: list[str | None]) -> np.ndarray:
