@@ -229,21 +229,37 @@ def components(edges: DataFrame) -> DataFrame:
     return out
 
 
+def _roots(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``nodes``, which has one row per fingerprint ``fp``, with the ``root`` of its component."""
+    roots = components(near_links(nodes.select("fp"), nodes.count(), max_bits))
+    joined = nodes.join(roots, F.col("fp") == F.col("node"), "left")
+    return stored(joined.select(*nodes.columns, F.coalesce("root", "fp").alias("root")), "roots")
+
+
 def near_duplicates(docs: DataFrame, words: int, max_bits: int) -> DataFrame:
     """One row per document: ``doc_id``, ``fp`` (signed 64 bits) and
     ``component_id``, the smallest id reachable over links."""
     prints = stored(docs.select("doc_id", fingerprint_of(words)("text").alias("fp")), "fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    links = near_links(nodes.select("fp"), nodes.count(), max_bits)
-    roots = components(links)
-    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = stored(rooted, "roots")
+    rooted = _roots(nodes, max_bits)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(rooted.join(least, "root").select("fp", "component_id"), "components")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, words: int, max_bits: int) -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest id, then
+    the smallest hash of its text; null ids come last."""
+    same = F.xxhash64("text")
+    prints = docs.select("doc_id", same.alias("same"), fingerprint_of(words)("text").alias("fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "same")
+    nodes = stored(prints.select("fp", order.alias("k")).groupBy("fp").agg(F.min("k").alias("k")), "fingerprints")
+    best = _roots(nodes, max_bits).groupBy("root").agg(F.min("k").alias("k"))
+    kept = stored(best.select(F.col("k.doc_id").alias("__id"), F.col("k.same").alias("__kept")), "kept")
+    marked = docs.withColumn("__same", same)
+    one = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__same") == F.col("__kept")), "left_semi")
+    return one.dropDuplicates(["doc_id", "__same"]).drop("__same")
+
+
 def hex_digits(fp: str | Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
