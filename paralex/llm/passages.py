@@ -32,9 +32,9 @@ from paralex.llm.common import schema_of, stored, text_function
 RANGE_BYTES = 8 << 20  # text per range of columns
 LEAST_RANGES = 64
 RANGE_COLUMNS = 28  # bits: columns of the sketch per range
-HELD = 1 << 22  # windows a task sketches at once
-KEPT = 1 << 20  # windows a task combines at once in the second pass
-MOST_ROW_BITS = 28  # bits: size of each of the two bit rows
+HELD = 1 << 21  # windows a task sketches at once
+KEPT = 1 << 19  # windows a task combines at once in the second pass
+MOST_ROW_BITS = 27  # bits: size of each of the two bit rows
 SEEDS = (11, 23)
 LAST = np.iinfo(np.int64).max
 
