@@ -74,11 +74,12 @@ def concat_by_lang(
 ) -> DataFrame:
     """One column per language: its lines in order, labels removed, no separator.
 
-    Lines in other languages are dropped.
+    A line's ``text_lang`` is the language of what follows its label.  Lines in
+    other languages are dropped.
     """
 
     def joined(code: str) -> Column:
-        own = F.filter(F.col(lines), lambda x: x["lang"] == code)
+        own = F.filter(F.col(lines), lambda x: x["text_lang"] == code)
         return F.array_join(F.transform(own, lambda x: strip_label(x["line"])), "")
 
     return df.withColumns({c: joined(c) for c in langs}).drop(lines)

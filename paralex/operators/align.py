@@ -15,14 +15,15 @@ def align_by_length(segs: DataFrame, chars: DataFrame) -> DataFrame:
     """``utt, seg_no, transcription, start_ms, end_ms``: each segment covers as
     many character timestamps as it has characters, clamped to the last one.
 
-    An empty segment has no times.  Offsets come from a two-step running sum
+    An empty segment has no times, nor have those of an utterance without
+    timestamps.  Offsets come from a two-step running sum
     and times from equi joins on (utterance, position), so one very long
     utterance spreads over tasks like many short ones.
     """
     placed = number_rows(segs, "seg_no", ["utt"], F.length("transcription"))
     last = chars.groupBy("utt").agg(F.max("pos").cast("bigint").alias("_last"))
     size = F.length("transcription")
-    bounds = placed.join(last, "utt").select(
+    bounds = placed.join(last, "utt", "left").select(
         "utt", "seg_no", "transcription",
         F.when(size > 0, F.least(F.col("pos"), F.col("_last"))).alias("_from"),
         F.when(size > 0, F.least(F.col("pos") + size - 1, F.col("_last"))).alias("_to"),

@@ -28,9 +28,10 @@ def enrich(
     """Rows with the columns of ``out_schema``, ``outcome`` and ``attempts``.
 
     ``fn(batch, attempt)`` returns a frame with the columns of ``out_schema``
-    for the rows it could answer, under their index in ``batch``; the others,
-    or all rows when it raises, are tried again after a delay that doubles.
-    A row it answers with ``blocked=True`` is not tried again.  After
+    for the rows it could answer, under their index in ``batch``; the others
+    are tried again after a delay that doubles.  When it raises, or returns
+    anything else, the batch is halved and each half is asked for, down to
+    single rows, so one bad row fails alone.  A row it answers with ``blocked=True`` is not tried again.  After
     ``max_attempts`` a row comes out as ``failed`` with its input intact, so
     nothing is lost; outcomes are ``ok``, ``blocked`` and ``failed``.
 
@@ -60,22 +61,38 @@ def enrich(
                 if attempt > 1 and first_delay > 0:
                     time.sleep(first_delay * 2 ** (attempt - 2))
                 out.loc[open_rows.index, "attempts"] = attempt
-                try:
-                    answer = fn(open_rows, attempt)
-                except Exception:  # the whole batch is tried again
-                    continue
-                for name in fields:
-                    out.loc[answer.index, name] = answer[name]
-                blocked = answer["blocked"].astype(bool) if "blocked" in answer else None
-                out.loc[answer.index, "outcome"] = (
-                    "ok" if blocked is None else blocked.map({True: "blocked", False: "ok"})
-                )
-                open_rows = open_rows.drop(answer.index)
+                for answer in _answers(fn, open_rows, attempt, fields):
+                    for name in fields:
+                        out.loc[answer.index, name] = answer[name]
+                    blocked = answer["blocked"].astype(bool) if "blocked" in answer else None
+                    out.loc[answer.index, "outcome"] = (
+                        "ok" if blocked is None else blocked.map({True: "blocked", False: "ok"})
+                    )
+                    open_rows = open_rows.drop(answer.index)
             yield out[[f.name for f in schema.fields]]
 
     return df.mapInPandas(run, schema)
 
 
+def _answers(fn: BatchFunction, rows: pd.DataFrame, attempt: int, fields: list[str]) -> Iterator[pd.DataFrame]:
+    """Well-formed answers for as many of ``rows`` as possible."""
+    waiting = [rows]
+    while waiting:
+        part = waiting.pop()
+        try:
+            answer = fn(part, attempt)
+            if not answer.index.is_unique or not answer.index.isin(part.index).all():
+                raise ValueError("answers for rows that were not asked")
+            missing = [name for name in fields if name not in answer]
+            if missing:
+                raise ValueError(f"answers without {missing}")
+        except Exception:  # the function is the caller's: whatever it raises, its rows are not answered
+            half = len(part) // 2
+            waiting += [part.iloc[half:], part.iloc[:half]] if half else []
+        else:
+            yield answer
+
+
 def answered(df: DataFrame) -> DataFrame:
     """Rows with an answer."""
     return df.filter("outcome = 'ok'")

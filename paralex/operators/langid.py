@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from paralex.functions.core import col
 
 SCALE = 1_000_000
+MOST_GRAMS = 200_000  # rows of a profile
 # Scripts that settle the language; kana is asked before Han.
 SCRIPTS = [
     ("ja", r"[\p{IsHiragana}\p{IsKatakana}]"),
@@ -41,15 +42,18 @@ def trigrams(text: str | Column) -> Column:
 
 
 def fit_lang_profiles(
-    df: DataFrame, langs: Sequence[str], path: str, text: str = "text", lang: str = "lang"
+    df: DataFrame, langs: Sequence[str], path: str, text: str = "text", lang: str = "lang", most: int = MOST_GRAMS
 ) -> DataFrame:
     """Write ``gram`` and one weight per language (scaled log of the smoothed
     share) below ``path`` and return that table.
 
-    Counts are combined before the shuffle, so it carries distinct grams.  They
-    are written before they are weighed, which needs their totals: the text is
+    The profile keeps the ``most`` frequent grams, so its size does not grow
+    with the text it is trained on and it can always be broadcast.
+
+    Counts are combined before the shuffle, so it carries distinct grams.  They are
+    written before they are weighed, which needs their totals: the text is
     read once.  The profile is a table because every detection reads it and
-    needs its size.
+    needs its totals.
     """
     grams = df.filter(F.col(lang).isin(list(langs))).select(lang, F.explode(trigrams(text)).alias("gram"))
     counts = grams.groupBy("gram").agg(*[F.count_if(F.col(lang) == c).alias(c) for c in langs])
@@ -64,26 +68,17 @@ def fit_lang_profiles(
         share = (F.col(c) + 1).cast("double") / (F.col("_t")[c] + F.col("_t")["grams"]).cast("double")
         return F.round(F.log(share) * SCALE).cast("bigint")
 
-    rows.select("gram", *[weight(c).alias(c) for c in langs]).write.mode("overwrite").parquet(
-        f"{path}/weights"
-    )
+    kept = rows.orderBy(F.desc(sum(F.col(c) for c in langs)), "gram").limit(most)
+    kept.select("gram", *[weight(c).alias(c) for c in langs]).write.mode("overwrite").parquet(f"{path}/weights")
     return df.sparkSession.read.parquet(f"{path}/weights")
 
 
-def detect_lang(
-    df: DataFrame,
-    profiles: DataFrame,
-    keys: Sequence[str],
-    text: str = "line",
-    broadcast_grams: int = 1_000_000,
-) -> DataFrame:
+def detect_lang(df: DataFrame, profiles: DataFrame, keys: Sequence[str], text: str = "line") -> DataFrame:
     """``keys`` and ``detected`` per row; ``unknown`` without evidence.
 
-    The profile is broadcast after its rows have been counted, when there are
-    at most ``broadcast_grams``.  Beyond that, grams are counted per row before
-    they are shuffled to the profile.  Scores of a row are added up before the
-    shuffle, and the text itself is never shuffled.  Ties go to the first
-    language.
+    The profile is bounded (:func:`fit_lang_profiles`) and broadcast.  Scores of
+    a row are added up before the shuffle, and the text itself is never
+    shuffled.  Ties go to the first language.
     """
     langs = [c for c in profiles.columns if c != "gram"]
     # The script is settled per row, below the explode.
@@ -91,15 +86,9 @@ def detect_lang(
     grams = rows.select(
         *keys, "_script", F.explode_outer(F.when(F.col("_script").isNull(), trigrams("_text"))).alias("gram")
     )
-    if profiles.limit(broadcast_grams + 1).count() <= broadcast_grams:
-        scored = grams.join(F.broadcast(profiles), "gram", "left")
-        score = F.col
-    else:
-        counted = grams.groupBy(*keys, "_script", "gram").agg(F.count(F.lit(1)).alias("_n"))
-        scored = counted.join(profiles, "gram", "left")
-        score = lambda c: F.col(c) * F.col("_n")
+    scored = grams.join(F.broadcast(profiles), "gram", "left")
     sums = scored.groupBy(*keys).agg(
-        F.max("_script").alias("_script"), *[F.sum(score(c)).alias(c) for c in langs]
+        F.max("_script").alias("_script"), *[F.sum(c).alias(c) for c in langs]
     )
     best = F.greatest(*[F.col(c) for c in langs])
     guess = F.coalesce(*[F.when(F.col(c) == best, F.lit(c)) for c in langs], F.lit("unknown"))

@@ -96,8 +96,10 @@ def read_completed(spark: SparkSession, folder: str, ledger: DataFrame, schema)
 
 
 def ledger_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], seq: str = "seq") -> DataFrame:
-    """Ledger with one row per key, the latest record of either side."""
-    return _first(old.unionByName(new), keys, F.desc(seq))
+    """Ledger with one row per key, the latest record of either side; a new
+    record replaces an old one of the same ``seq``."""
+    sides = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    return _first(sides, keys, F.desc(seq), F.desc("_new")).drop("_new")
 
 
 def ready_to_process(ledger: DataFrame, done: DataFrame, key: str = "file_name") -> DataFrame:

@@ -1,88 +1,69 @@
 """Positions, shards and admission.
 
-Ranks over a whole file are computed in two steps, because one file may hold a
-large share of all rows: rows are numbered inside fixed ranges of their order
-key, and the counts per range are summed up separately.  No task ever sorts
-more than one range of a file.
+One file may hold a large share of all rows, so no task sees a whole file.
+Rows are sorted once over all files, written, and numbered by where they lie:
+counts per file and sorted part are summed up separately, and a row's position
+is the sum of the parts before it and its place in its own part.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paralex import fixed_values as V
 from paralex.functions.core import int_div
+from paralex.session import stored
 
-RANGE_ROWS = 1 << 16
+PART_BITS = 33  # low bits of a row id that count rows inside a part
+CHUNK_ROWS = 1 << 16
+MOST_SLOTS = 10_000
 
 
-def _numbered(
-    df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str | Column], value: Column | None
-) -> DataFrame:
-    """Add ``before`` (sum of ``value`` over earlier rows) and ``total`` per key.
-
-    ``bucket`` must be monotone in ``order`` within ``keys``.
-    """
-    weight = F.lit(1).cast("bigint") if value is None else value.cast("bigint")
-    rows = df.withColumn("_w", weight)
-    sums = rows.groupBy(*keys, bucket).agg(F.sum("_w").alias("_s"))
-    over = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    sums = sums.withColumn(
-        "_offset",
-        F.coalesce(
-            F.sum("_s").over(over.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
-    ).withColumn("total", F.sum("_s").over(over))
-    inside = (
-        Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        rows.withColumn("_inside", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-        .join(sums.drop("_s"), [*keys, bucket])
-        .withColumn("before", F.col("_offset") + F.col("_inside"))
-        .drop("_w", "_inside", "_offset")
-    )
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet; the keys come from ``left``."""
+    renamed = right.withColumnsRenamed({c: f"__{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on])
+    return left.join(renamed, same, how).drop(*[f"__{c}" for c in on])
 
 
 def number_rows(
     df: DataFrame,
-    order: str = "line_no",
+    order: str | Sequence[str] = "line_no",
     keys: Sequence[str] = ("file_name",),
     value: Column | None = None,
-    range_rows: int = RANGE_ROWS,
-) -> DataFrame:
-    """Add ``pos`` (0-based) and ``total`` within ``keys``, by a whole-number key.
-
-    With ``value`` the position is the sum of values of earlier rows.  Ranges
-    are ``range_rows`` wide in the order key, so a range holds at most that
-    many rows when the key is unique within ``keys``.
-    """
-    bucketed = df.withColumn("_range", int_div(order, range_rows))
-    return _numbered(bucketed, keys, "_range", [order], value).withColumnRenamed("before", "pos").drop("_range")
-
-
-def number_names(
-    df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), splitters: int = 64
 ) -> DataFrame:
-    """As :func:`number_rows` for sort keys that are text, such as file names.
+    """Add ``pos`` (0-based) and ``total`` within ``keys``, by ``order``.
 
-    Range bounds are the keys with the smallest hashes: a fixed-size sample
-    that any recomputation draws again.  Listings of files are far smaller than
-    the data, yet no single task sorts the whole list.
+    With ``value`` the position is the sum of values of earlier rows.  Null keys
+    are a key of their own; null orders come first; rows equal in ``order`` are
+    numbered in any order.
     """
-    key = F.struct(*order)
-    sample = (
-        df.select(key.alias("k")).distinct().orderBy(F.xxhash64("k"), "k").limit(splitters)
-        .agg(F.array_sort(F.collect_list("k")).alias("bounds"))
-    )
-    ranged = df.withColumn("_k", key).withColumn("_bounds", sample.scalar())
-    bucketed = ranged.withColumn(
-        "_range", F.size(F.filter("_bounds", lambda b: b <= F.col("_k")))
-    ).drop("_bounds", "_k")
-    return _numbered(bucketed, keys, "_range", list(order), None).withColumnRenamed("before", "pos").drop("_range")
+    order = [order] if isinstance(order, str) else list(order)
+    weight = F.lit(1).cast("bigint") if value is None else F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
+    ordered = df.withColumn("_w", weight).orderBy(*keys, *order)
+    rows = stored(ordered.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn("_part", F.shiftright("_id", PART_BITS))
+    sums = rows.groupBy(*keys, "_part").agg(F.min("_id").alias("_first"), F.sum("_w").alias("_s"))
+    parts = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    earlier = F.sum("_s").over(parts.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.withColumns({"_before": F.coalesce(earlier, F.lit(0)), "total": F.sum("_s").over(parts)}).drop("_s")
+    placed = join_null_safe(rows.drop("total"), sums, [*keys, "_part"])
+    if value is None:
+        inside = F.col("_id") - F.col("_first")
+    else:
+        inside = F.coalesce(
+            F.sum("_w").over(Window.partitionBy(*keys, "_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)),
+            F.lit(0),
+        )
+    return placed.withColumn("pos", F.col("_before") + inside).drop("_w", "_id", "_part", "_first", "_before")
 
 
 def shard_by_rows(df: DataFrame, rows: int = V.SHARD_ROWS, order: str = "line_no", first: int = 0) -> DataFrame:
@@ -101,51 +82,105 @@ def shard_by_rows(df: DataFrame, rows: int = V.SHARD_ROWS, order: str = "line_no
     ).drop("pos", "total")
 
 
+def _next_starts(size: np.ndarray, max_bytes: int, max_rows: int) -> np.ndarray:
+    """For each row, the row after a shard that starts there."""
+    ends = np.cumsum(size)
+    full = np.searchsorted(ends, ends - size + max_bytes, "left") + 1
+    rows = np.arange(len(size))
+    return np.maximum(rows + 1, np.minimum(np.minimum(full, rows + max_rows), len(size)))
+
+
+def _leap(rows: pd.DataFrame, max_bytes: int, max_rows: int, chunk_rows: int) -> tuple[pd.DataFrame, np.ndarray, int]:
+    """Sorted rows of a chunk and those after it, next starts, and the chunk's length."""
+    rows = rows.sort_values("pos")
+    own = int((rows["pos"] // chunk_rows == rows["_chunk"]).sum())
+    return rows, _next_starts(rows["_size"].to_numpy(np.int64), max_bytes, max_rows), own
+
+
 def shard_by_bytes(
     df: DataFrame,
     size: str = "bytes",
     max_bytes: int = V.SHARD_BYTES,
     max_rows: int = V.SHARD_ROWS,
     order: str = "line_no",
-    piece_rows: int = 1 << 18,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Add ``piece``, ``shard`` and ``row_in_shard``: a shard ends with the row
+    """Add ``shard`` and ``row_in_shard``: a shard of a file ends with the row
     that brings it to ``max_bytes`` or to ``max_rows`` rows.
 
-    Where a shard ends depends on all shards before it, so files are first cut
-    into pieces of ``piece_rows`` lines, as raw files are split before requests
-    are made from them; sharding starts afresh in each piece.  One task folds
-    the sizes of one piece, never a whole file and never any text.
+    Where a shard ends depends on all shards before it.  A file is looked at in
+    chunks, each with the rows a shard may reach beyond it.  A chunk tells, for
+    every row a shard of the chunk before can lead to, the first start in the
+    next chunk; these pointers are followed from the first row in doubling
+    steps.  Then each chunk marks its own starts.  ``chunk_rows`` sets the work
+    of a task, never the result.  Null sizes count as 0.
     """
-    pieces = df.withColumn("piece", int_div(order, piece_rows))
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("bytes"), F.lit(0).alias("rows"),
-        F.array().cast("array<bigint>").alias("starts"),
+    chunk_rows = max(chunk_rows, max_rows)
+    placed = stored(number_rows(df, order), "positions")
+    pos = F.col("pos")
+    chunk = int_div("pos", chunk_rows)
+    chunks = F.when((chunk > 0) & (pos % chunk_rows < max_rows), F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
+    sizes = placed.select(
+        "file_name", "pos", "total", F.coalesce(F.col(size).cast("bigint"), F.lit(0).cast("bigint")).alias("_size"),
+        F.explode(chunks).alias("_chunk"),
     )
-
-    def add(acc: Column, x: Column) -> Column:
-        opens = acc["rows"] == 0
-        grown, count = acc["bytes"] + x["_size"], acc["rows"] + 1
-        full = (grown >= max_bytes) | (count >= max_rows)
-        return F.struct(
-            F.when(full, F.lit(0).cast("bigint")).otherwise(grown).alias("bytes"),
-            F.when(full, 0).otherwise(count).alias("rows"),
-            F.when(opens, F.concat(acc["starts"], F.array(x["_at"]))).otherwise(acc["starts"]).alias("starts"),
-        )
-
-    sizes = F.array_sort(
-        F.collect_list(F.struct(F.col(order).cast("bigint").alias("_at"), F.col(size).cast("bigint").alias("_size")))
+    key = df.schema["file_name"]
+    longs = lambda *names: [T.StructField(n, T.LongType()) for n in names]
+
+    def pointers(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, after, own = _leap(rows, max_bytes, max_rows, chunk_rows)
+        to = after.copy()
+        for i in range(own - 1, -1, -1):
+            if after[i] < own:
+                to[i] = to[after[i]]
+        most = min(own, max_rows)
+        at = rows["pos"].to_numpy()[:most]
+        out = pd.DataFrame({"file_name": rows["file_name"].iloc[:most], "pos": at, "to": rows["pos"].iloc[0] + to[:most]})
+        return out[out["to"] < rows["total"].iloc[0]]
+
+    longest = placed.agg(F.max("total")).first()[0] or 0
+    steps = math.ceil(math.log2(max(1, -(-longest // chunk_rows))))
+    reached = placed.filter(pos == 0).select("file_name", "pos")
+    if steps:
+        leap = stored(sizes.groupBy("file_name", "_chunk").applyInPandas(pointers, T.StructType([key, *longs("pos", "to")])), "leaps")
+        for _ in range(steps):
+            more = join_null_safe(reached, leap, ["file_name", "pos"]).select("file_name", F.col("to").alias("pos"))
+            reached = stored(reached.union(more), "starts")
+            then = leap.select("file_name", F.col("to").alias("_then"), F.col("pos").alias("to"))
+            leap = stored(join_null_safe(leap, then, ["file_name", "to"]).select("file_name", "pos", F.col("_then").alias("to")), "leaps")
+    entries = reached.select("file_name", int_div("pos", chunk_rows).alias("_chunk"), F.col("pos").alias("_entry"))
+
+    def mark(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, after, own = _leap(rows, max_bytes, max_rows, chunk_rows)
+        first = int(rows["pos"].iloc[0])
+        opens, at = np.zeros(own, bool), rows["_entry"].iloc[0]
+        at = own if pd.isna(at) else int(at) - first
+        while at < own:
+            opens[at] = True
+            at = after[at]
+        count = np.cumsum(opens)
+        begin = np.maximum.accumulate(np.where(opens, first + np.arange(own), -1))
+        return pd.DataFrame({
+            "file_name": rows["file_name"].iloc[:own], "pos": rows["pos"].iloc[:own], "_chunk": rows["_chunk"].iloc[:own],
+            "_nth": count, "_begin": begin,
+        })
+
+    marked = stored(
+        join_null_safe(sizes, entries, ["file_name", "_chunk"], "left")
+        .groupBy("file_name", "_chunk").applyInPandas(mark, T.StructType([key, *longs("pos", "_chunk", "_nth", "_begin")])),
+        "shards",
     )
-    starts = pieces.groupBy("file_name", "piece").agg(
-        F.aggregate(sizes, start, add, lambda acc: acc["starts"]).alias("_starts")
+    earlier = Window.partitionBy("file_name").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = marked.groupBy("file_name", "_chunk").agg(F.max("_nth").alias("_n"), F.max("_begin").alias("_last")).select(
+        "file_name", "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.max("_last").over(earlier).alias("_open"),
     )
-    inside = Window.partitionBy("file_name", "piece", "shard").orderBy(order)
-    return (
-        pieces.join(starts, ["file_name", "piece"])
-        .withColumn("shard", F.size(F.filter("_starts", lambda s: s <= F.col(order))) - 1)
-        .withColumn("row_in_shard", F.row_number().over(inside) - 1)
-        .drop("_starts")
+    named = join_null_safe(marked, ends, ["file_name", "_chunk"]).select(
+        "file_name", "pos", (F.col("_before") + F.col("_nth") - 1).cast("int").alias("shard"),
+        F.when(F.col("_begin") >= 0, F.col("_begin")).otherwise(F.col("_open")).alias("_begin"),
     )
+    out = join_null_safe(placed.drop("shard"), named, ["file_name", "pos"])
+    return out.withColumn("row_in_shard", (pos - F.col("_begin")).cast("int")).drop("pos", "total", "_begin")
 
 
 def shard_by_bytes_approx(
@@ -168,14 +203,14 @@ def group_files_by_suffix(
     files: DataFrame, task: str, size: int = V.FILES_PER_TASK, name: str = "file_name"
 ) -> DataFrame:
     """Order files by their trailing number, in groups of ``size`` per task."""
-    n = number_names(files.withColumn("_number", file_number(name)), ["_number", name])
+    n = number_rows(files.withColumn("_number", file_number(name)), ["_number", name], ())
     k = int_div("pos", size)
     return n.withColumn("task_name", F.concat_ws("_", F.lit(task), k)).drop("pos", "total", "_number")
 
 
 def assign_even(df: DataFrame, parts: int, order: Sequence[str]) -> DataFrame:
     """Add ``part``: contiguous runs of the sorted list, the first ones one longer."""
-    n = number_names(df, order)
+    n = number_rows(df, order, ())
     size, longer = int_div("total", parts), F.col("total") % parts
     head = longer * (size + 1)
     part = F.when(F.col("pos") < head, int_div("pos", size + 1)).otherwise(
@@ -186,24 +221,25 @@ def assign_even(df: DataFrame, parts: int, order: Sequence[str]) -> DataFrame:
 
 def chunk_fixed(df: DataFrame, order: Sequence[str], size: int = V.TOPICS_PER_FILE) -> DataFrame:
     """Add ``chunk`` and ``row_in_chunk`` for runs of ``size`` rows of the sorted list."""
-    n = number_names(df, order)
+    n = number_rows(df, order, ())
     return n.withColumn("chunk", int_div("pos", size)).withColumn(
         "row_in_chunk", F.col("pos") % size
     ).drop("pos", "total")
 
 
 def admit_top_k(
-    pending: DataFrame, running: DataFrame, most: int, order: Sequence[str]
+    pending: DataFrame, running: DataFrame, most: int | Column, order: Sequence[str], at_most: int = MOST_SLOTS
 ) -> DataFrame:
     """The first pending files that fit the free slots ``most`` - running.
 
-    At most ``most`` rows survive the limit, whatever is pending; only those
-    are ranked.
+    ``most`` may be a scalar subquery.  There are never more than ``at_most``
+    slots, so at most that many rows are ranked, whatever is pending.
     """
+    slots = F.least(F.lit(at_most), F.lit(most) if isinstance(most, int) else most)
     used = running.agg(F.count(F.lit(1)).alias("n")).scalar()
-    head = pending.orderBy(*order).limit(most)
+    head = pending.orderBy(*order).limit(at_most)
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
-    return head.withColumn("slot", rank).filter(F.col("slot") <= F.lit(most) - used)
+    return head.withColumn("slot", rank).filter(F.col("slot") <= slots - used)
 
 
 def order_oldest_first(

@@ -11,6 +11,7 @@ from paralex.operators import aggregates as G
 from paralex.operators import langid as L
 from paralex.operators import predicates as P
 from paralex.operators import usage as U
+from paralex.operators.text import strip_label
 from paralex.operators.vocabulary import char_vocabulary, vocabulary_filter
 from paralex.plans.fixtures import fixture as fx
 from paralex.plans.predicates_queries import NOISE_SQL, usable_blocks
@@ -74,12 +75,15 @@ def block_lines(spark, sf):
     """Usable lines of each block with their languages, as one array per block."""
     keys = ["file_name", "doc_id", "block_no"]
     blocks = usable_blocks(spark, sf).select(*keys, "lines")
-    lines = blocks.select(*keys, F.posexplode("lines").alias("pos", "line"))
-    # Codes only, and no more of them than the block (one source record) has lines.
+    # A line is asked for as it stands and again without its label.
+    both = F.flatten(F.transform("lines", lambda x: F.array(x, strip_label(x))))
+    lines = blocks.select(*keys, F.posexplode(both).alias("pos", "line"))
+    # Codes only, and no more of them than twice the lines of the block (one source record).
     langs = F.array_sort(F.collect_list(F.struct("pos", "detected")))
     codes = detected(spark, sf, lines, [*keys, "pos"]).groupBy(*keys).agg(langs.alias("codes"))
     joined = F.transform("lines", lambda x, i: F.struct(
-        i.alias("pos"), x.alias("line"), F.get("codes", i)["detected"].alias("lang")))
+        i.alias("pos"), x.alias("line"), F.get("codes", 2 * i)["detected"].alias("lang"),
+        F.get("codes", 2 * i + 1)["detected"].alias("text_lang")))
     return blocks.join(codes, keys).select(*keys, joined.alias("lines"))
 
 
@@ -102,7 +106,7 @@ QUERIES = {
     "min_langs_gate": lambda s, d: gated(s, d).select(
         "file_name", "doc_id", "block_no", F.explode("lines").alias("x")
     ).select("file_name", "doc_id", "block_no", "x.pos", "x.lang", "x.line"),
-    "concat_by_lang": lambda s, d: G.concat_by_lang(gated(s, d), ["zh-cn", "en", "fr", "de", "ja", "ko"]),
+    "concat_by_lang": lambda s, d: G.concat_by_lang(gated(s, d)),
     "validity_counts": lambda s, d: G.validity_counts(
         fx(s, d, "wide"), P.is_valid_pair("en", "es", "wav_path", "ñÑ"), "path"),
     "job_state_counts": lambda s, d: G.job_state_counts(fx(s, d, "jobs")),
@@ -121,7 +125,7 @@ def profile(scale: int = 1000000) -> str:
 pg AS (SELECT lang, unnest(list_transform(range(1, greatest(len(ls) - 1, 1)), lambda i: ls[i] || ls[i + 1] || ls[i + 2])) AS gram FROM
   (SELECT lang, string_split(lower(regexp_replace(text, '[^\\p{{L}}]+', ' ', 'g')), '') AS ls FROM {{documents}})),
 pc AS (SELECT gram, {", ".join(map(one, TRAINED))} FROM pg GROUP BY gram),
-prof AS (SELECT gram, {", ".join(map(weight, TRAINED))} FROM pc)"""
+prof AS (SELECT gram, {", ".join(map(weight, TRAINED))} FROM pc ORDER BY {" + ".join(f"pc.{c}" for c in TRAINED)} DESC, gram LIMIT 200000)"""
 
 
 def detect(rows: str, keys: str) -> str:
@@ -140,7 +144,9 @@ det AS (SELECT {rows}.*, CASE WHEN regexp_matches(line, '[\\p{{Hiragana}}\\p{{Ka
 
 def gate_sql() -> str:
     return NOISE_SQL + """, bline AS (SELECT file_name, doc_id, block_no, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM cut),
-""" + profile() + "," + detect("bline", "file_name, doc_id, block_no, pos") + """,
+""" + profile() + "," + detect("bline", "file_name, doc_id, block_no, pos") + f""",
+tline AS (SELECT file_name, doc_id, block_no, pos, {label_free('line')} AS line FROM bline)""" + re.sub(
+        r"\b(dg|ds|det)\b", r"t\1", "," + detect("tline", "file_name, doc_id, block_no, pos")) + """,
 anch AS (SELECT file_name, doc_id, block_no, min(pos) AS a FROM det WHERE detected = 'zh-cn' GROUP BY ALL),
 kept AS (SELECT det.* FROM det JOIN anch USING (file_name, doc_id, block_no) WHERE pos >= a),
 pass AS (SELECT file_name, doc_id, block_no FROM kept GROUP BY ALL HAVING count(DISTINCT detected) >= 5)"""
@@ -152,7 +158,7 @@ def label_free(line: str) -> str:
 
 
 def per_lang(code: str) -> str:
-    return f"coalesce(string_agg(CASE WHEN detected = '{code}' THEN {label_free('line')} END, '' ORDER BY pos), '') AS \"{code}\""
+    return f"coalesce(string_agg(CASE WHEN text_lang = '{code}' THEN {label_free('line')} END, '' ORDER BY pos), '') AS \"{code}\""
 
 
 ORACLE = {
@@ -183,7 +189,8 @@ ORACLE = {
         + " SELECT doc_id, line_no, detected FROM det",
     "min_langs_gate": "WITH " + gate_sql() + " SELECT file_name, doc_id, block_no, pos, detected AS lang, line FROM kept JOIN pass USING (file_name, doc_id, block_no)",
     "concat_by_lang": "WITH " + gate_sql() + " SELECT file_name, doc_id, block_no, " + ", ".join(
-        per_lang(c) for c in ["zh-cn", "en", "fr", "de", "ja", "ko"]) + " FROM kept JOIN pass USING (file_name, doc_id, block_no) GROUP BY ALL",
+        per_lang(c) for c in V.CORPUS_LANGS) + " FROM (SELECT kept.*, tdet.detected AS text_lang FROM kept JOIN tdet USING (file_name, doc_id, block_no, pos))"
+        + " JOIN pass USING (file_name, doc_id, block_no) GROUP BY ALL",
     "validity_counts": """
       SELECT path, count(*) AS total, count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS invalid FROM
         (SELECT path, NOT regexp_matches(es, '[\\n\\rñÑ]') AND trim(wav_path, ' ' || chr(10)) <> '' AS ok FROM {wide}) GROUP BY path""",

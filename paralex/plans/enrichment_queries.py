@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,13 +21,18 @@ LENGTH = T.StructType([T.StructField("answer", T.StringType()), T.StructField("s
 def flaky(batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
     """Answers a text once it has been tried (length mod 5) times before."""
     size = batch["text"].str.len()
+    if (size % 7 == 3).any():
+        raise ValueError("poison")
     ready = batch[size % 5 < attempt]
     size = ready["text"].str.len()
     return pd.DataFrame({"answer": ready["text"].str.replace("e", "E"), "size": size, "blocked": size % 11 == 0})
 
 
 def echo(batch: pd.DataFrame, attempt: int) -> pd.DataFrame:
-    """Repeats the last line of the user message and adds two marks."""
+    """Repeats the last line of the user message and adds two marks; cannot take
+    messages of some lengths."""
+    if (batch["user"].str.len() % 7 == 0).any():
+        raise ValueError("poison")
     return pd.DataFrame({"answer": batch["user"].str.rsplit("\n", n=1).str[-1] + "!,"})
 
 
@@ -61,35 +69,40 @@ def tasks(s, d):
     """Every task over whole tables, as ``task, id, value``."""
     row = lambda task, df, key, value: df.select(F.lit(task).alias("task"), F.col(key).alias("id"), value.alias("value"))
     norm = run_task(lines(s, d), "norm", echo, {"system": "Normalise.", "src_lang": "de"}, first_delay=0.0)
-    topic = run_task(flatten_paths(fx(s, d, "nodes"), 3), "topic", topics,
+    topic = run_task(flatten_paths(fx(s, d, "nodes")), "topic", topics,
                      {"template": TOPIC, "num": 5, "src_lang": "en"}, first_delay=0.0)
     docs = fx(s, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("utt"), "text")
     moved = run_task(docs, "translation", translated, {"config": CFG, "codes": ["en", "fr", "style"]}, first_delay=0.0)
     cut = run_task(docs, "sst", segmented, {"prompts": SST, "src_lang": "zh", "tgt_lang": "en"}, first_delay=0.0)
     pairs = run_task(fx(s, d, "wide").select("id", "fr", "en"), "extract", terms,
                      {"system": "Extract terms.", "template": TEMPLATE, "target": "en"}, ("id", "fr"), first_delay=0.0)
-    return (
-        row("norm", norm, "utt", F.col("text"))
-        .unionByName(row("topic", topic, "topic", F.array_join("contents", "|")))
-        .unionByName(row("translation", moved, "wav_path", F.concat_ws("|", "en", "fr", "style")))
-        .unionByName(row("sst", cut, "utt", F.array_join(F.transform("pairs", lambda p: F.concat(p["src"], p["tgt"])), "|")))
-        .unionByName(row("extract", pairs, "wav_path", F.col("term")))
-    )
+    rest = [df.rest.select(F.lit(task).alias("task"), "id", F.col("outcome").alias("value"))
+            for task, df in (("norm", norm), ("topic", topic), ("translation", moved), ("sst", cut), ("extract", pairs))]
+    return reduce(DataFrame.unionByName, [
+        row("norm", norm.results, "utt", F.col("text")),
+        row("topic", topic.results, "topic", F.array_join("contents", "|")),
+        row("translation", moved.results, "wav_path", F.concat_ws("|", "en", "fr", "style")),
+        row("sst", cut.results, "utt", F.array_join(F.transform("pairs", lambda p: F.concat(p["src"], p["tgt"])), "|")),
+        row("extract", pairs.results, "wav_path", F.col("term")),
+        *rest,
+    ])
 
 
 QUERIES = {"enrich_with_retry": enriched, "task_registry": tasks}
 ORACLE = {
     "enrich_with_retry": """
-      SELECT concat(doc_id, '-', line_no) AS utt, line AS text, CASE WHEN length(line) % 5 < 3 THEN replace(line, 'e', 'E') END AS answer,
-        CASE WHEN length(line) % 5 < 3 THEN length(line) END AS size,
-        CASE WHEN length(line) % 5 >= 3 THEN 'failed' WHEN length(line) % 11 = 0 THEN 'blocked' ELSE 'ok' END AS outcome,
-        CAST(least(length(line) % 5 + 1, 3) AS INTEGER) AS attempts FROM {lines}""",
+      SELECT concat(doc_id, '-', line_no) AS utt, line AS text,
+        CASE WHEN length(line) % 5 < 3 AND length(line) % 7 <> 3 THEN replace(line, 'e', 'E') END AS answer,
+        CASE WHEN length(line) % 5 < 3 AND length(line) % 7 <> 3 THEN length(line) END AS size,
+        CASE WHEN length(line) % 5 >= 3 OR length(line) % 7 = 3 THEN 'failed' WHEN length(line) % 11 = 0 THEN 'blocked' ELSE 'ok' END AS outcome,
+        CAST(CASE WHEN length(line) % 7 = 3 THEN 3 ELSE least(length(line) % 5 + 1, 3) END AS INTEGER) AS attempts FROM {lines}""",
     "task_registry": f"""
-      SELECT 'norm' AS task, concat(doc_id, '-', line_no) AS id, line || '!,' AS value FROM {{lines}}
+      SELECT 'norm' AS task, concat(doc_id, '-', line_no) AS id, CASE WHEN length(line) % 7 = 0 THEN 'failed' ELSE line || '!,' END AS value FROM {{lines}}
       UNION ALL SELECT 'topic', r_name || '-' || n_name || '-' || c_name, concat('first ', r_name, '-', n_name, '-', c_name, '|second')
       FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey JOIN {{region}} ON n_regionkey = r_regionkey
       UNION ALL SELECT 'translation', concat(conv_id, '-', turn), concat(text, '|', replace(text, 'e', 'E'), '|calm') FROM {{conversations}}
       UNION ALL SELECT 'sst', concat(conv_id, '-', turn), concat('all', length(replace(text, ' ', ''))) FROM {{conversations}}
       UNION ALL SELECT 'extract', id, CAST(length(replace(replace('{TEMPLATE}', '{{transcription}}', fr), '{{translation}}', en)) AS VARCHAR)
-      FROM {{wide}} WHERE fr IS NOT NULL""",
+      FROM {{wide}} WHERE fr IS NOT NULL
+      UNION ALL SELECT 'extract', id, 'rejected' FROM {{wide}} WHERE fr IS NULL""",
 }

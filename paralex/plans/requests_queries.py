@@ -57,7 +57,7 @@ QUERIES = {
     "render_sst": sst,
     "render_norm": lambda s, d: R.render_norm(utterances(s, d), "Clean the text."),
     "render_extract": lambda s, d: R.render_extract(fx(s, d, "wide"), "Extract terms.", TEMPLATE, "id", "fr", "en"),
-    "render_topic": lambda s, d: R.render_topic(flatten_paths(fx(s, d, "nodes"), 3), TOPIC, 10, "fr"),
+    "render_topic": lambda s, d: R.render_topic(flatten_paths(fx(s, d, "nodes")), TOPIC, 10, "fr"),
     "render_supplement": lambda s, d: R.render_supplement(
         fx(s, d, "wide"), ["en", "fr", "de", "es"], ("de", "en")).select("id", "prompt"),
     "render_from_parallel": lambda s, d: R.render_from_parallel(fx(s, d, "wide"), CFG, "id", "de"),

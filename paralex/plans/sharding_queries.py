@@ -21,9 +21,9 @@ SELECT file_name, max(created_at) AS mtime FROM (SELECT concat('t_', replace(CAS
 
 def admit(s, d):
     jobs = fx(s, d, "jobs")
-    most = jobs.count() // 8
     busy = P.running_jobs(jobs).filter("status = 'validating'")
-    return S.admit_top_k(jobs.filter("status = 'completed'").select("file_name", "batch_id"), busy, most,
+    slots = jobs.agg(F.floor(F.count(F.lit(1)) / 8).alias("n")).scalar()
+    return S.admit_top_k(jobs.filter("status = 'completed'").select("file_name", "batch_id"), busy, slots,
                          ["file_name", "batch_id"])
 
 
@@ -31,8 +31,8 @@ QUERIES = {
     "shard_by_rows": lambda s, d: S.shard_by_rows(fx(s, d, "raw"), 50, first=1).select(
         "file_name", "line_no", "shard", "row_in_shard", "shard_name", "custom_id"),
     "shard_by_bytes": lambda s, d: S.shard_by_bytes(
-        fx(s, d, "raw"), max_bytes=20000, max_rows=40, piece_rows=1 << 25
-    ).select("file_name", "line_no", "piece", "shard", "row_in_shard"),
+        fx(s, d, "raw"), max_bytes=20000, max_rows=40
+    ).select("file_name", "line_no", "shard", "row_in_shard"),
     "group_files_by_suffix": lambda s, d: S.group_files_by_suffix(fx(s, d, "files").select("file_name"), "task"),
     "assign_even": lambda s, d: S.assign_even(fx(s, d, "files").select("file_name"), 7, ["file_name"]),
     "chunk_fixed": lambda s, d: S.chunk_fixed(fx(s, d, "files").select("file_name"), ["file_name"], 100),
@@ -52,17 +52,17 @@ ORACLE = {
         concat(regexp_replace(file_name, '\\.[^.]*$', ''), '_', lpad(CAST(p // 50 + 1 AS VARCHAR), 3, '0')) AS shard_name,
         concat(file_name, '-', p // 50 + 1, '-', p % 50) AS custom_id FROM n""",
     "shard_by_bytes": """
-      WITH g AS (SELECT file_name, line_no // 33554432 AS piece, list({'at': line_no, 'b': bytes, 'n': 0, 's': -1, 'full': true} ORDER BY line_no) AS xs
+      WITH g AS (SELECT file_name, list({'at': line_no, 'b': bytes, 'n': 0, 's': -1, 'full': true} ORDER BY line_no) AS xs
              FROM {raw} GROUP BY ALL),
-        f AS (SELECT file_name, piece, list_reduce(list_prepend({'out': CAST([] AS STRUCT(line_no BIGINT, shard BIGINT)[]), 'at': CAST(0 AS BIGINT),
+        f AS (SELECT file_name, list_reduce(list_prepend({'out': CAST([] AS STRUCT(line_no BIGINT, shard BIGINT)[]), 'at': CAST(0 AS BIGINT),
               'b': CAST(0 AS BIGINT), 'n': 0, 's': CAST(-1 AS BIGINT), 'full': true},
             list_transform(xs, lambda x: {'out': CAST([] AS STRUCT(line_no BIGINT, shard BIGINT)[]), 'at': x.at, 'b': x.b, 'n': 0, 's': CAST(0 AS BIGINT), 'full': true})),
             lambda a, x: {'out': list_append(a.out, {'line_no': x.at, 'shard': a.s + CASE WHEN a.full THEN 1 ELSE 0 END}), 'at': x.at,
               'b': CASE WHEN a.full THEN x.b ELSE a.b + x.b END, 'n': CASE WHEN a.full THEN 1 ELSE a.n + 1 END,
               's': a.s + CASE WHEN a.full THEN 1 ELSE 0 END,
               'full': (CASE WHEN a.full THEN x.b ELSE a.b + x.b END) >= 20000 OR (CASE WHEN a.full THEN 1 ELSE a.n + 1 END) >= 40}) AS r FROM g),
-        u AS (SELECT file_name, piece, unnest(r.out, recursive := true) FROM f)
-      SELECT file_name, piece, line_no, shard, row_number() OVER (PARTITION BY file_name, piece, shard ORDER BY line_no) - 1 AS row_in_shard FROM u""",
+        u AS (SELECT file_name, unnest(r.out, recursive := true) FROM f)
+      SELECT file_name, line_no, shard, row_number() OVER (PARTITION BY file_name, shard ORDER BY line_no) - 1 AS row_in_shard FROM u""",
     "group_files_by_suffix": """
       SELECT file_name, concat('task_', (row_number() OVER (ORDER BY CAST(regexp_extract(file_name, '_(\\d+)\\.', 1) AS BIGINT), file_name) - 1) // 50) AS task_name
       FROM {files}""",
@@ -72,7 +72,7 @@ ORACLE = {
     "admit_top_k": """
       SELECT file_name, batch_id, slot FROM (SELECT file_name, batch_id, row_number() OVER (ORDER BY file_name, batch_id) AS slot
         FROM {jobs} WHERE status = 'completed')
-      WHERE slot <= (SELECT count(*) // 8 FROM {jobs}) - (SELECT count(*) FROM {jobs} WHERE status = 'validating')""",
+      WHERE slot <= (SELECT least(10000, count(*) // 8) FROM {jobs}) - (SELECT count(*) FROM {jobs} WHERE status = 'validating')""",
     "order_oldest_first": """
       SELECT file_name, max(created_at) AS mtime FROM {jobs} GROUP BY file_name
       HAVING NOT bool_or(status IN ('expired', 'validating'))""",

@@ -56,7 +56,8 @@ SELECT concat('run-', CAST(o_custkey AS STRING), '.log') AS file_name, o_orderke
   concat(CAST(o_orderdate AS STRING), ' | ', CASE WHEN o_orderstatus = 'F' THEN 'ERROR' ELSE 'SUCCESS' END,
     ' | job - /log/part_', CAST(o_custkey AS STRING), '.json Total prompt tokens: ', CAST(o_orderkey + 7 AS STRING),
     ' | completion tokens: ', CAST(o_custkey + 3 AS STRING), ' |total tokens: ', CAST(o_orderkey + o_custkey + 10 AS STRING),
-    ' | num_prompt: ', CAST(o_custkey * 4 AS STRING), ' | num_response: ', CAST(o_orderkey * 2 AS STRING), ' |') END AS line FROM {orders}
+    CASE WHEN o_orderpriority = '1-URGENT' THEN ' | num_prompt: n/a' ELSE concat(
+    ' | num_prompt: ', CAST(o_custkey * 4 AS STRING), ' | num_response: ', CAST(o_orderkey * 2 AS STRING), ' |') END) END AS line FROM {orders}
 """
 FIXTURES["keyed_lines"] = (
     "SELECT doc_id, CASE WHEN lang = 'es' THEN '{}' WHEN source = 'src4' THEN text ELSE "
@@ -106,10 +107,11 @@ QUERIES = {
         fx(s, d, "blocks"), "test48:", keep=["file_name", "doc_id"]),
     "scan_word_alignment": lambda s, d: S.read_alignment(fx(s, d, "alignment")),
     "scan_batch_results": results,
+    "scan_bad_run_logs": lambda s, d: S.bad_run_logs(fx(s, d, "run_logs")),
     "scan_run_logs": lambda s, d: S.read_run_logs(fx(s, d, "run_logs")),
     "scan_keyed_prompts": lambda s, d: S.read_keyed_prompts(fx(s, d, "keyed_lines")),
     "scan_topic_tree": tree,
-    "scan_topic_paths": lambda s, d: S.flatten_paths(fx(s, d, "nodes"), 3),
+    "scan_topic_paths": lambda s, d: S.flatten_paths(fx(s, d, "nodes")),
     "sink_sharded_jsonl": sharded,
     "sink_metrics_table": lambda s, d: sinks.write_report(A.usage_report(s, d), scratch(s, "report")),
     "sink_vocab": lambda s, d: sinks.write_vocabulary(
@@ -153,13 +155,18 @@ ORACLE = {
       WITH t AS (SELECT file_name, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no DESC) AS r FROM {run_logs} WHERE trim(line) <> ''),
         p AS (SELECT max(CASE WHEN r = 1 THEN line END) AS l, max(CASE WHEN r = 2 THEN line END) AS b FROM t WHERE r <= 2 GROUP BY file_name),
         v AS (SELECT trim(split_part(l, '|', 1)) AS finish_time, regexp_extract(l, '([^/]+\\.json)', 1) AS file_name,
-          CAST(regexp_extract(b, 'Processed (\\d+)/', 1) AS BIGINT) AS lines, CAST(regexp_extract(l, 'total tokens: (\\d+)', 1) AS BIGINT) AS total_tokens,
-          CAST(regexp_extract(l, 'prompt tokens: (\\d+)', 1) AS BIGINT) AS send_tokens, CAST(regexp_extract(l, 'completion tokens: (\\d+)', 1) AS BIGINT) AS receive_tokens,
-          CAST(regexp_extract(l, 'num_prompt: (\\d+)', 1) AS BIGINT) AS send_chars, CAST(regexp_extract(l, 'num_response: (\\d+)', 1) AS BIGINT) AS receive_chars
-          FROM p WHERE trim(split_part(l, '|', 2)) = 'SUCCESS' AND contains(b, 'Processed '))
+          TRY_CAST(regexp_extract(b, 'Processed (\\d+)/', 1) AS BIGINT) AS lines, TRY_CAST(regexp_extract(l, 'total tokens: (\\d+)', 1) AS BIGINT) AS total_tokens,
+          TRY_CAST(regexp_extract(l, 'prompt tokens: (\\d+)', 1) AS BIGINT) AS send_tokens, TRY_CAST(regexp_extract(l, 'completion tokens: (\\d+)', 1) AS BIGINT) AS receive_tokens,
+          TRY_CAST(regexp_extract(l, 'num_prompt: (\\d+)', 1) AS BIGINT) AS send_chars, TRY_CAST(regexp_extract(l, 'num_response: (\\d+)', 1) AS BIGINT) AS receive_chars
+          FROM p WHERE trim(split_part(l, '|', 2)) = 'SUCCESS' AND contains(b, 'Processed ')),
+        g AS (SELECT * FROM v WHERE send_chars IS NOT NULL AND receive_chars IS NOT NULL)
       SELECT *, CAST(total_tokens AS DOUBLE) / greatest(lines, 1) AS tokens_per_line,
         CAST(receive_tokens AS DOUBLE) / greatest(send_tokens, 1) AS receive_send_ratio,
-        CAST(total_tokens AS DOUBLE) / greatest(send_chars + receive_chars, 1) AS tokens_chars_ratio FROM v""",
+        CAST(total_tokens AS DOUBLE) / greatest(send_chars + receive_chars, 1) AS tokens_chars_ratio FROM g""",
+    "scan_bad_run_logs": """
+      WITH t AS (SELECT file_name, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no DESC) AS r FROM {run_logs} WHERE trim(line) <> ''),
+        p AS (SELECT file_name, max(CASE WHEN r = 2 THEN line END) AS line_before, max(CASE WHEN r = 1 THEN line END) AS last_line FROM t WHERE r <= 2 GROUP BY file_name)
+      SELECT * FROM p WHERE trim(split_part(last_line, '|', 2)) = 'SUCCESS' AND contains(line_before, 'Processed ') AND last_line LIKE '%n/a'""",
     "scan_keyed_prompts":
         "SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 4, '0') AS key, json_extract_string(line, '$.' || lpad(CAST(doc_id AS VARCHAR), 4, '0')) AS prompt "
         "FROM (SELECT * FROM {keyed_lines} WHERE json_valid(line)) WHERE line <> '{}'",

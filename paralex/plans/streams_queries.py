@@ -27,7 +27,7 @@ def arrive(df, path, *parts):
 
 def job_stream(s, d, per_trigger=1):
     path = scratch(s, "jobs")
-    jobs = fx(s, d, "jobs").coalesce(4)
+    jobs = fx(s, d, "jobs")
     arrive(jobs, path, "created_at < timestamp'1997-01-01'", "created_at >= timestamp'1997-01-01'")
     return S.arriving_files(s, path, JOB, per_trigger=per_trigger)
 
@@ -93,11 +93,11 @@ def dedupe(s, d):
 def admission(s, d):
     """States arrive in two rounds while incoming files wait for a slot."""
     path, ledger, admitted = scratch(s, "states"), scratch(s, "ledger"), scratch(s, "admitted")
-    jobs = fx(s, d, "jobs").coalesce(1)
-    arrive(jobs, path, "created_at < timestamp'1995-06-01'", "created_at >= timestamp'1995-06-01'")
-    files = fx(s, d, "incoming")
-    busy = fx(s, d, "jobs").count() // 20
-    S.stream_admission(S.arriving_files(s, path, JOB, per_trigger=1), files, busy, ledger, admitted, scratch(s, "checkpoint"))
+    jobs, files, mark = fx(s, d, "jobs"), fx(s, d, "incoming"), scratch(s, "checkpoint")
+    slots = jobs.agg(F.floor(F.count(F.lit(1)) / 20).alias("n")).scalar()
+    for part in ("created_at < timestamp'1995-06-01'", "created_at >= timestamp'1995-06-01'"):
+        arrive(jobs, path, part)
+        S.stream_admission(S.arriving_files(s, path, JOB, per_trigger=1 << 30), files, slots, ledger, admitted, mark)
     return s.read.parquet(admitted).select("round", "file_name", "slot")
 
 
@@ -116,7 +116,7 @@ k{n} AS (SELECT file_name, arg_max(status, seq) AS status, max(seq) AS seq FROM
   SELECT file_name, status, seq FROM {{jobs}} WHERE {when}) GROUP BY file_name),
 a{n} AS (SELECT file_name, slot FROM (SELECT file_name, row_number() OVER (ORDER BY file_name) AS slot
   FROM {{incoming}} WHERE file_name NOT IN (SELECT file_name FROM k{n}))
-  WHERE slot <= (SELECT count(*) // 20 FROM {{jobs}}) - (SELECT count(*) FROM k{n} WHERE status IN ('in_progress', 'validating'))),
+  WHERE slot <= (SELECT least(10000, count(*) // 20) FROM {{jobs}}) - (SELECT count(*) FROM k{n} WHERE status IN ('in_progress', 'validating'))),
 l{n} AS (SELECT * FROM k{n} UNION ALL SELECT file_name, 'validating', 0 FROM a{n})"""
 
 ORACLE = {

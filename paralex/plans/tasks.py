@@ -13,6 +13,7 @@ from paralex.operators import requests as R
 from paralex.operators import responses as X
 from paralex.operators.enrich import BatchFunction, answered, enrich
 from paralex.operators.relational import dedupe_first
+from paralex.session import stored
 
 ANSWER = T.StructType([T.StructField("answer", T.StringType())])
 
@@ -64,6 +65,15 @@ TASKS: dict[str, Task] = {
 }
 
 
+@dataclass(frozen=True)
+class TaskRun:
+    """``results`` of the answered rows; ``rest`` has ``id`` and ``outcome``
+    (``failed``, ``blocked`` or ``rejected``) of all others."""
+
+    results: DataFrame
+    rest: DataFrame
+
+
 def run_task(
     df: DataFrame,
     task: str,
@@ -72,22 +82,28 @@ def run_task(
     columns: tuple[str, str] | None = None,
     max_attempts: int = 3,
     first_delay: float = 0.3,
-) -> DataFrame:
+) -> TaskRun:
     """Render, ask ``fn`` and parse, end to end.
 
     ``fn`` sees ``custom_id, system, user`` and returns ``answer``.  ``columns``
     replaces the task's id and text columns.  With ``file_name`` and
-    ``line_no`` columns, repeated ids of a file are asked once.
+    ``line_no`` columns, repeated ids of a file are asked once.  Rows without
+    id or text are rejected; those and the rows without an answer are the rest.
+    Answers are written before they are used twice.
     """
     spec = TASKS[task]
     if columns:
         spec = Task(columns[0], columns[1], spec.render, spec.parse)
     if {"file_name", "line_no"} <= set(df.columns):
         df = dedupe_first(df, spec.id_col)
+    usable = F.col(f"`{spec.id_col}`").isNotNull() & F.col(f"`{spec.text_col}`").isNotNull()
     requests = spec.render(df, spec, options)
-    answers = answered(enrich(requests, fn, ANSWER, max_attempts, first_delay))
+    asked = stored(enrich(requests, fn, ANSWER, max_attempts, first_delay), "answers")
+    answers = answered(asked)
+    rejected = df.filter(~usable).select(F.col(f"`{spec.id_col}`").cast("string").alias("id"), F.lit("rejected").alias("outcome"))
+    rest = asked.filter("outcome <> 'ok'").select(F.col("custom_id").cast("string").alias("id"), "outcome").unionByName(rejected)
     decoded = answers.select(
         F.col("custom_id").alias("id"), "answer",
         R.messages(F.col("system"), F.array("user")).alias("messages"),
     )
-    return spec.parse(decoded, options)
+    return TaskRun(spec.parse(decoded, options), rest)

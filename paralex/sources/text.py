@@ -4,12 +4,14 @@ word alignments and label trees."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
 from paralex.functions.core import alternation, col, strip, with_kept
+from paralex.session import stored
 
 
 def parse_list(
@@ -91,8 +93,12 @@ def read_alignment(df: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def read_run_logs(df: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
-    """Counters of the successful runs, from the last two lines of each log.
+COUNTERS = ["lines", "total_tokens", "send_tokens", "receive_tokens", "send_chars", "receive_chars"]
+
+
+def _run_logs(df: DataFrame, line: str, order: str) -> DataFrame:
+    """Counters of the successful runs, null where missing or no number, and the
+    two last lines of each log.
 
     The rank filter runs before the shuffle as well, so a log holding most of
     the rows still sends two lines per task.
@@ -109,14 +115,13 @@ def read_run_logs(df: DataFrame, line: str = "line", order: str = "line_no") ->
         )
     )
     fields = F.filter(F.transform(F.split("_last", r"\|"), strip), lambda x: x != "")
-    counter = lambda i: F.substring_index(F.get("_f", i), ": ", -1).cast("bigint")
-    number = lambda c, p: F.regexp_extract(c, p, 1).cast("bigint")
+    counter = lambda i: F.substring_index(F.get("_f", i), ": ", -1).try_cast("bigint")
+    number = lambda c, p: F.regexp_extract(c, p, 1).try_cast("bigint")
     rows = tail.withColumn("_f", fields).filter(
         (F.get("_f", 1) == "SUCCESS") & F.col("_before").rlike(V.LOG_LINES)
     )
-    total, sent, chars = F.col("total_tokens"), F.col("send_tokens"), F.col("send_chars")
-    div = lambda a, b: a.cast("double") / F.greatest(b, F.lit(1)).cast("double")
     return rows.select(
+        F.col("file_name").alias("log_name"), "_before", "_last",
         F.get("_f", 0).alias("finish_time"),
         F.regexp_extract(F.get("_f", 2), V.LOG_FILE, 1).alias("file_name"),
         number("_before", V.LOG_LINES).alias("lines"),
@@ -125,7 +130,16 @@ def read_run_logs(df: DataFrame, line: str = "line", order: str = "line_no") ->
         counter(3).alias("receive_tokens"),
         counter(5).alias("send_chars"),
         counter(6).alias("receive_chars"),
-    ).withColumns(
+    )
+
+
+def read_run_logs(df: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
+    """Counters and rates of the successful runs; logs with a counter that is
+    missing or no number are left to :func:`bad_run_logs`."""
+    total, sent, chars = F.col("total_tokens"), F.col("send_tokens"), F.col("send_chars")
+    div = lambda a, b: a.cast("double") / F.greatest(b, F.lit(1)).cast("double")
+    rows = _run_logs(df, line, order).dropna(subset=COUNTERS).drop("log_name", "_before", "_last")
+    return rows.withColumns(
         {
             "tokens_per_line": div(total, F.col("lines")),
             "receive_send_ratio": div(F.col("receive_tokens"), sent),
@@ -134,6 +148,14 @@ def read_run_logs(df: DataFrame, line: str = "line", order: str = "line_no") ->
     ).orderBy("finish_time", "file_name")
 
 
+def bad_run_logs(df: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
+    """``file_name`` and the last two lines of logs set aside by :func:`read_run_logs`."""
+    whole = F.coalesce(*[F.when(F.col(c).isNull(), True) for c in COUNTERS], F.lit(False))
+    return _run_logs(df, line, order).filter(whole).select(
+        F.col("log_name").alias("file_name"), F.col("_before").alias("line_before"), F.col("_last").alias("last_line")
+    )
+
+
 def flatten_tree(df: DataFrame, tree: str = "tree", sep: str = "-") -> DataFrame:
     """Root-to-leaf paths of a ``MAP<k, MAP<k, ARRAY<leaf>>>`` column, in order."""
     kept = [c for c in df.columns if c != tree]
@@ -143,21 +165,24 @@ def flatten_tree(df: DataFrame, tree: str = "tree", sep: str = "-") -> DataFrame
     return third.select(*kept, "_i", "_j", "_k", F.concat_ws(sep, "_a", "_b", "_c").alias("topic"))
 
 
-def flatten_paths(df: DataFrame, depth: int, sep: str = "-", max_levels: int = 32) -> DataFrame:
+def flatten_paths(df: DataFrame, sep: str = "-") -> DataFrame:
     """Paths of a tree of any depth held as ``node, parent, label`` rows.
 
-    ``depth`` joins at most, one per level; a root has no parent.  Returns the
-    leaves as ``node, topic``.
+    One join per level, until a level has no children; a root has no parent.
+    Returns the leaves as ``node, topic``.  Nodes of a cycle hang on no root and
+    do not appear.
     """
-    if depth > max_levels:
-        raise ValueError("tree deeper than the allowed number of levels")
     edges = df.select("node", "parent", "label")
     level = edges.filter("parent IS NULL").select("node", F.col("label").alias("topic"))
-    levels = level
-    for _ in range(depth - 1):
+    levels = []
+    while True:
+        level = stored(level, "level")
+        if level.isEmpty():
+            break
+        levels.append(level)
         level = (
             edges.join(level.withColumnRenamed("node", "parent"), "parent")
             .select("node", F.concat_ws(sep, "topic", "label").alias("topic"))
         )
-        levels = levels.unionByName(level)
-    return levels.join(edges.select(F.col("parent").alias("node")).filter("node IS NOT NULL"), "node", "left_anti")
+    nodes = reduce(DataFrame.union, levels, level)
+    return nodes.join(edges.select(F.col("parent").alias("node")).filter("node IS NOT NULL"), "node", "left_anti")

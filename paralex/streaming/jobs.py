@@ -102,35 +102,35 @@ def stream_dedupe(rows: DataFrame, keys: Sequence[str], time: str, delay: str) -
 def stream_admission(
     events: DataFrame,
     files: DataFrame,
-    most: int,
+    most: int | Column,
     ledger: str,
     admitted: str,
     checkpoint: str,
     trigger: dict | None = None,
+    whole_every: int = 20,
 ) -> None:
     """Each round: fold the state events into the ledger, count running jobs and
     admit pending files up to ``most``.
 
-    Ledger and admissions are written per round under the round's number; round
-    ``n`` reads the ledger of ``n - 1``, so a repeated round gives the same rows.
+    A round writes the files whose state it changed, under its number, and every
+    ``whole_every``-th round the whole ledger.  Round ``n`` reads the rounds
+    before it from the last whole one on, so a repeated round gives the same rows.
     """
     spark = events.sparkSession
     schema = "file_name string, status string, seq bigint"
 
     def one(batch: DataFrame, number: int) -> None:
-        old = (
-            spark.read.parquet(f"{ledger}/round={number - 1}") if number else spark.createDataFrame([], schema)
-        )
-        now = ledger_upsert(old, batch.select("file_name", "status", "seq"), ["file_name"])
-        now.write.mode("overwrite").parquet(f"{ledger}/known={number}")
-        known = spark.read.parquet(f"{ledger}/known={number}")
+        base = (number - 1) // whole_every * whole_every
+        rounds = [f"{ledger}/round={n}" for n in range(base, number)]
+        old = spark.read.schema(schema).parquet(*rounds) if number else spark.createDataFrame([], schema)
+        new = batch.select("file_name", "status", "seq")
+        known = ledger_upsert(old, new, ["file_name"])
         fresh = admit_top_k(pending(files, known), running_jobs(known), most, ["file_name"])
         fresh.write.mode("overwrite").parquet(f"{admitted}/round={number}")
         created = spark.read.schema("file_name string").parquet(f"{admitted}/round={number}").select(
             "file_name", F.lit("validating").alias("status"), F.lit(0).cast("bigint").alias("seq")
         )
-        known.unionByName(created).write.mode("overwrite").parquet(f"{ledger}/round={number}")
+        changed = known if number % whole_every == 0 else ledger_upsert(new.limit(0), new, ["file_name"])
+        changed.unionByName(created).write.mode("overwrite").parquet(f"{ledger}/round={number}")
 
     _run(events.writeStream.foreachBatch(one), checkpoint, trigger)
-
-
