@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 18  # bytes or words worked on at once
+CHUNK = 1 << 17  # bytes or words worked on at once
 _BASE, _WORD_BASE = 0x9E3779B97F4A7C55, 0xD6E8FEB86659FD93
 _TABLE = np.random.default_rng(7).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, bool)

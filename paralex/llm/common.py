@@ -15,6 +15,19 @@ from pyspark.sql.types import DataType, StructType
 from paralex.session import scratch
 
 SLICE = 256
+ROWS_PER_BATCH = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in Arrow batches of at most ``ROWS_PER_BATCH`` rows.
+
+    Spark's usual 10,000 rows are for narrow rows; of whole texts they are tens
+    of megabytes, several times over in the JVM and in Python.  A lower setting
+    of the session is left as it is.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ROWS_PER_BATCH:
+        spark.conf.set(key, ROWS_PER_BATCH)
 
 
 def column_function(make: Callable[[], Callable[..., pa.Array]], returns: StructType) -> Callable[..., Column]:
@@ -31,9 +44,11 @@ def column_function(make: Callable[[], Callable[..., pa.Array]], returns: Struct
             for at in range(0, max(1, len(columns[0])), SLICE):
                 yield work(*(c.slice(at, SLICE) for c in columns))
 
-    one = F.arrow_udf(_one(run), returns)
-    several = F.arrow_udf(_several(run), returns)
-    return lambda *columns: one(*columns) if len(columns) == 1 else several(*columns)
+    def apply(*columns) -> Column:
+        bounded_batches(SparkSession.active())
+        return F.arrow_udf((_one if len(columns) == 1 else _several)(run), returns)(*columns)
+
+    return apply
 
 
 def text_function(make: Callable[[], Callable[..., dict]], returns: StructType) -> Callable[..., Column]:

@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paralex.llm import bytewords as W
-from paralex.llm.common import schema_of, stored, text_function
+from paralex.llm.common import bounded_batches, schema_of, stored, text_function
 
 RANGE_BYTES = 8 << 20  # text per range of columns
 LEAST_RANGES = 64
 RANGE_COLUMNS = 28  # bits: columns of the sketch per range
-HELD = 1 << 21  # windows a task sketches at once
-KEPT = 1 << 19  # windows a task combines at once in the second pass
+HELD = 1 << 19  # windows a task sketches at once
+KEPT = 1 << 17  # windows a task combines at once in the second pass
 MOST_ROW_BITS = 27  # bits: size of each of the two bit rows
 SEEDS = (11, 23)
 LAST = np.iinfo(np.int64).max
@@ -41,7 +41,7 @@ LAST = np.iinfo(np.int64).max
 
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of equal weight next to each other, so sorted values compress."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def _values(data: bytes, kind) -> np.ndarray:
@@ -210,7 +210,8 @@ def _suspects(texts: DataFrame, size: int, passes: Filter) -> DataFrame:
         a, b, doc, same, start = (np.concatenate(x) for x in zip(*held))
         first, later = _later(a, b, doc, same, start)
         first = np.sort(first)
-        rows = [(s & ((1 << passes.range_bits) - 1), d, s, w, None) for d, s, w in _by_document(doc[later], same[later], start[later])]
+        spread = (1 << passes.range_bits) - 1  # known starts go to any group, copies of one text to many
+        rows = [((d + s) & spread, d, s, w, None) for d, s, w in _by_document(doc[later], same[later], start[later])]
         a, b, doc, same, start = (x[first] for x in (a, b, doc, same, start))
         group = (a >> shift).astype(np.int64) if passes.range_bits else np.zeros(len(a), np.int64)
         order = np.argsort(group, kind="stable")
@@ -241,16 +242,14 @@ def _suspects(texts: DataFrame, size: int, passes: Filter) -> DataFrame:
 
 def _settle(group: pa.Table) -> pa.Table:
     """Exact grouping of the windows of one range; known starts pass through."""
-    rows = [
-        (r, d, s, w, None)
-        for r, d, s, w in zip(*(group.column(c).to_pylist() for c in FOUND.names[:4])) if w is not None
-    ]
-    met = [_unpack(m.as_py()) for m in group.column("met") if m.is_valid]
-    if met:
-        a, b, doc, same, start = (np.concatenate(x) for x in zip(*met))
-        later = _later(a, b, doc, same, start)[1]
-        rows += [(0, d, s, w, None) for d, s, w in _by_document(doc[later], same[later], start[later])]
-    return pa.Table.from_batches([_found(rows)])
+    known = group.filter(group.column("starts").is_valid()).cast(schema_of(FOUND))
+    met = [_unpack(m.as_py()) for m in group.column("met").drop_null()]
+    if not met:
+        return known
+    a, b, doc, same, start = (np.concatenate(x) for x in zip(*met))
+    later = _later(a, b, doc, same, start)[1]
+    rows = [(0, d, s, w, None) for d, s, w in _by_document(doc[later], same[later], start[later])]
+    return pa.concat_tables([known, pa.Table.from_batches([_found(rows)])])
 
 
 def _cut(size: int):
@@ -282,6 +281,7 @@ def remove_repeats(docs: DataFrame, size: int, out: str = "repeats", most_row_bi
     the words left, joined by single spaces.  A column named ``out`` is replaced.
     """
     docs = docs.drop(out)
+    bounded_batches(docs.sparkSession)
     same = F.xxhash64("text")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc"), same.alias("same"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
