@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from paralex.llm.common import column_function, text_function
 
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED = 100_000  # entries of each half of a cache in a Python worker
+CACHED = 250_000  # entries of each half of a cache in a Python worker
 LONGEST_CACHED = 64
 _HERE = (1 << 40) - 1
 _LOADED: dict[str, ByteBpe] = {}

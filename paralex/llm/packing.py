@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paralex.llm.bpe import _Cache, byte_alphabet
-from paralex.llm.common import SLICE, batches_of, schema_of, stored
+from paralex.llm.common import SLICE, batches_of, bounded_batches, schema_of, stored
 
 OPEN_BINS = 512
 TASKS_JOINED = 64  # tasks whose last open bins are packed together
@@ -64,9 +64,12 @@ class WordTokenizer:
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
-        if not self.simple.fullmatch(text) or ("<|" in text and any(s in text for s in self.special)):
+        if not (text.isascii() or self.simple.fullmatch(text)) or ("<|" in text and any(s in text for s in self.special)):
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.pieces.__getitem__, self.cuts.findall(text.lower())))
+        text = text.lower()
+        if text.isalpha():
+            return self.pieces[text]
+        return b"".join(map(self.pieces.__getitem__, self.cuts.findall(text)))
 
     def packed(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -92,6 +95,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, most: int) -> DataFram
         T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
     ])
     schema = schema_of(returns)
+    bounded_batches(docs.sparkSession)
 
     def make():
         tokens = tokenizer(path)
