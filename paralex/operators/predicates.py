@@ -137,18 +137,22 @@ def rewrite_paths(df: DataFrame, old: str, new: str, path: str = "path") -> Data
 
 
 def route_jobs(df: DataFrame, after_date: str | None = None) -> DataFrame:
-    """Add ``route`` to live jobs: ``download``, ``skip`` or ``wait``.
+    """Add ``route`` to live jobs: ``download``, ``skip``, ``wait`` or ``cancel``.
 
     Cancelled and failed jobs go, and so do jobs created before ``after_date``,
-    a plain predicate that a date-partitioned source prunes by.
+    a plain predicate that a date-partitioned source prunes by.  A job without a
+    file name has lost its metadata and is to be cancelled; one without a status
+    waits.
     """
-    live = df.filter(~F.col("status").isin("cancelling", "cancelled", "failed"))
+    live = df.filter(~F.coalesce(F.col("status").isin("cancelling", "cancelled", "failed"), F.lit(False)))
     if after_date:
         live = live.filter(F.col("created_at") >= F.lit(after_date).cast("timestamp"))
     finished = F.col("status").isin("completed", "expired")
     gone = F.coalesce(F.col("file_status") == "Deleted", F.lit(False))
     return live.withColumn(
-        "route", F.when(finished & gone, "skip").when(finished, "download").otherwise("wait")
+        "route",
+        F.when(F.col("file_name").isNull(), "cancel").when(finished & gone, "skip")
+        .when(finished, "download").otherwise("wait"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from paralex.functions.core import epoch_to_local
 from paralex.functions.labels import ALL_LABELS, labelled_map
 
 
+TOKENS = ["total_tokens", "send_tokens", "receive_tokens", "send_chars", "receive_chars"]
+
+
 def chat_send_chars(text: str = "answer") -> Column:
     """Chat dialect: characters sent = length of the answer's English column."""
     return F.coalesce(F.length(labelled_map(text, ALL_LABELS).getItem("en")), F.lit(0))
@@ -22,13 +27,16 @@ def role_send_chars(messages: str = "messages") -> Column:
     )
 
 
-def usage_by_file(results: DataFrame, send_chars: Column) -> DataFrame:
-    """Counters per file; a partial aggregate per input split, so a file that
+def usage_by_file(results: DataFrame, send_chars: Column, created: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Counters per file, and per ``keys`` before it, such as a configuration; a partial aggregate per input split, so a file that
     holds most rows costs no more than any other.
 
     Rows whose answer cannot be parsed, or that a later gate rejects, count.
+    ``created`` adds the latest creation time of a file as ``create_time``.
     """
-    return results.groupBy("file_name").agg(
+    times = [F.max(created).alias("create_time")] if created else []
+    return results.groupBy(*keys, "file_name").agg(
+        *times,
         F.sum("prompt_tokens").alias("send_tokens"),
         F.sum("completion_tokens").alias("receive_tokens"),
         F.sum("total_tokens").alias("total_tokens"),
@@ -54,13 +62,16 @@ def usage_report(stats: DataFrame) -> DataFrame:
 
     ``tokens_chars_ratio`` divides by all characters;
     ``tokens_chars_ratio_compat`` divides by received characters plus sent
-    tokens, as older reports did.
+    tokens, as older reports did.  Columns of ``stats`` besides the counters,
+    such as the configuration and ``create_time``, are kept.
     """
+    counters = {"completed_at", "file_name", "lines", *TOKENS}
     lines = F.greatest("lines", F.lit(1))
     sent = F.greatest("send_tokens", F.lit(1))
     ratio = lambda a, b: a.cast("double") / F.greatest(b, F.lit(1)).cast("double")
     return stats.select(
         epoch_to_local("completed_at", V.LOCAL_ZONE, V.LOCAL_TIME_FORMAT).alias("finish_time"),
+        *[c for c in stats.columns if c not in counters],
         "file_name",
         lines.alias("lines"),
         "total_tokens",

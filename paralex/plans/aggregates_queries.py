@@ -38,7 +38,8 @@ parsed AS (SELECT id, label, arg_max(txt, s) AS txt FROM body GROUP BY id, label
 
 
 def usage(spark, sf):
-    return U.usage_by_file(fx(spark, sf, "results").filter("answer <> ''"), U.chat_send_chars())
+    """Counters from result lines; malformed lines are not among the results."""
+    return U.usage_by_file(read_results(fx(spark, sf, "chat_lines"), "chat"), U.chat_send_chars())
 
 
 def latest_state(spark, sf):
@@ -58,9 +59,35 @@ usage AS (SELECT a.file_name, CAST(sum(prompt_tokens) AS BIGINT) AS send_tokens,
     CAST(sum(coalesce(length(p.txt), 0)) AS BIGINT) AS send_chars,
     CAST(sum(length(a.answer)) AS BIGINT) AS receive_chars, count(*) AS lines
   FROM {results} a LEFT JOIN parsed p ON p.id = a.id AND p.label = 'English'
-  WHERE a.answer <> '' GROUP BY a.file_name)
+  WHERE a.answer <> '' AND length(a.en) % 23 <> 0 GROUP BY a.file_name)
 """
 
+
+def usage_report_configs(spark, sf):
+    """One report over the files of two configurations, one in either dialect."""
+    chat = U.usage_by_file(
+        read_results(fx(spark, sf, "chat_lines"), "chat").withColumn("config", F.lit("chat")), U.chat_send_chars(), "created", ["config"])
+    role = U.usage_by_file(
+        read_results(fx(spark, sf, "role_lines"), "role").withColumn("config", F.lit("role")), U.role_send_chars(), "created", ["config"])
+    state = latest_state(spark, sf).filter("file_name <> 'part-src3.jsonl'")
+    return U.usage_report(U.join_stats_state(chat.unionByName(role), state))
+
+
+ROLE_USAGE = """
+      SELECT file_name, CAST(sum(prompt_tokens) AS BIGINT) AS send_tokens, CAST(sum(completion_tokens) AS BIGINT) AS receive_tokens,
+        CAST(sum(total_tokens) AS BIGINT) AS total_tokens, CAST(sum(8 + length(en)) AS BIGINT) AS send_chars,
+        CAST(sum(length(answer)) AS BIGINT) AS receive_chars, count(*) AS lines
+      FROM {results} WHERE length(en) % 23 <> 0 GROUP BY file_name"""
+REPORT = """strftime(make_timestamp((coalesce(completed_at, 0) + 28800) * 1000000), '%Y-%m-%d %H:%M:%S') AS finish_time,
+        u.file_name, greatest(lines, 1) AS lines, total_tokens, greatest(send_tokens, 1) AS send_tokens,
+        receive_tokens, send_chars, receive_chars,
+        CAST(total_tokens AS DOUBLE) / greatest(lines, 1) AS tokens_per_line,
+        CAST(receive_tokens AS DOUBLE) / greatest(send_tokens, 1) AS receive_send_ratio,
+        CAST(total_tokens AS DOUBLE) / greatest(send_chars + receive_chars, 1) AS tokens_chars_ratio,
+        CAST(total_tokens AS DOUBLE) / greatest(receive_chars + greatest(send_tokens, 1), 1) AS tokens_chars_ratio_compat"""
+STATE = """state AS (SELECT file_name, max(created) AS completed_at FROM {results}
+                WHERE file_name <> 'part-src3.jsonl' GROUP BY file_name)"""
+
 VOCAB = ("text", "a-zà-ÿ", 20, 0.05, "doc_id")
 TRAINED = ["de", "en", "es", "fr"]
 
@@ -96,6 +123,7 @@ QUERIES = {
     "usage_by_file_role": lambda s, d: U.usage_by_file(
         read_results(fx(s, d, "role_lines"), "role"), U.role_send_chars()),
     "usage_report": usage_report,
+    "usage_report_configs": usage_report_configs,
     "lang_coverage": lambda s, d: G.lang_coverage(fx(s, d, "wide"), ["en", "fr", "de", "es"]),
     "char_frequency_topn": lambda s, d: char_vocabulary(fx(s, d, "documents"), "text", "a-zà-ÿ", 20, "doc_id"),
     "vocab_filter": lambda s, d: vocabulary_filter(fx(s, d, "documents"), *VOCAB).select(
@@ -163,22 +191,14 @@ def per_lang(code: str) -> str:
 
 ORACLE = {
     "usage_by_file": f"WITH {PARSED}, {USAGE} SELECT * FROM usage",
-    "usage_report": f"""WITH {PARSED}, {USAGE},
-      state AS (SELECT file_name, max(created) AS completed_at FROM {{results}}
-                WHERE file_name <> 'part-src3.jsonl' GROUP BY file_name)
-      SELECT strftime(make_timestamp((coalesce(completed_at, 0) + 28800) * 1000000), '%Y-%m-%d %H:%M:%S') AS finish_time,
-        u.file_name, greatest(lines, 1) AS lines, total_tokens, greatest(send_tokens, 1) AS send_tokens,
-        receive_tokens, send_chars, receive_chars,
-        CAST(total_tokens AS DOUBLE) / greatest(lines, 1) AS tokens_per_line,
-        CAST(receive_tokens AS DOUBLE) / greatest(send_tokens, 1) AS receive_send_ratio,
-        CAST(total_tokens AS DOUBLE) / greatest(send_chars + receive_chars, 1) AS tokens_chars_ratio,
-        CAST(total_tokens AS DOUBLE) / greatest(receive_chars + greatest(send_tokens, 1), 1) AS tokens_chars_ratio_compat
-      FROM usage u LEFT JOIN state s ON s.file_name = u.file_name""",
-    "usage_by_file_role": """
-      SELECT file_name, CAST(sum(prompt_tokens) AS BIGINT) AS send_tokens, CAST(sum(completion_tokens) AS BIGINT) AS receive_tokens,
-        CAST(sum(total_tokens) AS BIGINT) AS total_tokens, CAST(sum(8 + length(en)) AS BIGINT) AS send_chars,
-        CAST(sum(length(answer)) AS BIGINT) AS receive_chars, count(*) AS lines
-      FROM {results} WHERE length(en) % 23 <> 0 GROUP BY file_name""",
+    "usage_report": f"""WITH {PARSED}, {USAGE}, {STATE}
+      SELECT {REPORT} FROM usage u LEFT JOIN state s ON s.file_name = u.file_name""",
+    "usage_report_configs": f"""WITH {PARSED}, {USAGE}, {STATE},
+      both_ AS (SELECT 'chat' AS config, usage.*, create_time FROM usage JOIN (SELECT file_name, max(created) AS create_time FROM {{results}}
+          WHERE answer <> '' AND length(en) % 23 <> 0 GROUP BY file_name) USING (file_name)
+        UNION ALL BY NAME {ROLE_USAGE.replace("SELECT file_name,", "SELECT 'role' AS config, max(created) AS create_time, file_name,", 1)})
+      SELECT config, create_time, {REPORT} FROM both_ u LEFT JOIN state s ON s.file_name = u.file_name""",
+    "usage_by_file_role": ROLE_USAGE,
     "lang_coverage":
         "SELECT unnest(['en', 'fr', 'de', 'es']) AS lang, unnest([count(*) FILTER (en <> ''), count(fr), count(de), count(*) FILTER (es <> '')]) AS cells FROM {wide}",
     "char_frequency_topn": f"WITH {CHARS}, {TOP} SELECT ch AS char, cnt, f.l AS first_line, CAST(f.p AS INTEGER) AS first_pos FROM v",

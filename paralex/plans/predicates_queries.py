@@ -72,7 +72,9 @@ QUERIES = {
         fx(s, d, "wide"), ["en", "fr", "de", "es"], ("de", "es")
     ).select("id", "pivot_lang", "pivot_text"),
     "rewrite_paths": lambda s, d: P.rewrite_paths(fx(s, d, "inventory"), "/data", "/mnt/data-2").drop("path"),
-    "route_job_state": lambda s, d: P.route_jobs(fx(s, d, "jobs"), "1998-01-01").select(
+    "route_job_state": lambda s, d: P.route_jobs(fx(s, d, "jobs").withColumns({
+        "file_name": F.when(F.length("file_id") != 6, F.col("file_name")),
+        "status": F.when(F.length("file_id") != 7, F.col("status"))}), "1998-01-01").select(
         "file_name", "batch_id", "status", "route"
     ),
     "add_provenance": lambda s, d: P.add_provenance(
@@ -122,9 +124,10 @@ ORACLE = {
         "replace(replace(replace(string_split(path, '/')[-1], '.jsonl', ''), '.json', ''), '.', '-') AS table_id, "
         "replace(replace(string_split(path, '/')[-1], '-', '_'), '.', '_') AS dataset_id FROM {inventory}",
     "route_job_state":
-        "SELECT file_name, batch_id, status, CASE WHEN status IN ('completed', 'expired') THEN "
-        "CASE WHEN file_status = 'Deleted' THEN 'skip' ELSE 'download' END ELSE 'wait' END AS route FROM {jobs} "
-        "WHERE status NOT IN ('failed', 'cancelled', 'cancelling') AND created_at >= TIMESTAMP '1998-01-01'",
+        "SELECT file_name, batch_id, status, CASE WHEN file_name IS NULL THEN 'cancel' WHEN status IN ('completed', 'expired') THEN "
+        "CASE WHEN file_status = 'Deleted' THEN 'skip' ELSE 'download' END ELSE 'wait' END AS route FROM (SELECT batch_id, file_status, created_at, "
+        "CASE WHEN length(file_id) <> 6 THEN file_name END AS file_name, CASE WHEN length(file_id) <> 7 THEN status END AS status FROM {jobs}) j "
+        "WHERE (status IS NULL OR status NOT IN ('failed', 'cancelled', 'cancelling')) AND created_at >= TIMESTAMP '1998-01-01'",
     "add_provenance":
         "SELECT id, en, 'corpus_a' AS dataset, md5('corpus_a/' || id) AS uuid, id AS metadata FROM {parallel}",
     "deep_merge_config": """

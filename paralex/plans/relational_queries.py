@@ -88,7 +88,7 @@ ORACLE = {
     "join_stats_state": """
       SELECT r.file_name, count(*) AS lines, CASE WHEN r.file_name = 'part-src3.jsonl' THEN 0 ELSE any_value(m) END AS completed_at
       FROM {results} r JOIN (SELECT file_name, max(created) AS m FROM {results} GROUP BY file_name) t ON t.file_name = r.file_name
-      WHERE answer <> '' GROUP BY r.file_name""",
+      WHERE answer <> '' AND length(en) % 23 <> 0 GROUP BY r.file_name""",
     "anti_join_resume": "SELECT file_name FROM {jobs} GROUP BY file_name HAVING NOT bool_or(status = 'completed' AND file_status = 'Deleted')",
     "set_diff_pending": "SELECT file_name FROM {jobs} GROUP BY file_name HAVING NOT bool_or(status IN ('expired', 'cancelled', 'validating'))",
     "semi_join_inventory": f"WITH {LISTED} SELECT * FROM l WHERE path IN (SELECT path FROM {{stored}})",
