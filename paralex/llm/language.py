@@ -30,7 +30,7 @@ PER_LANGUAGE = 600
 DIMENSIONS = 4096
 ORDERS = (2, 3, 4)
 CENTROIDS = 4
-SLACK = 0.5  # a text is rejected below this share of the lowest usual cosine
+SLACK = 0.6  # a text is rejected below this share of the lowest usual cosine
 USUAL_GRAMS = 400  # a text with fewer different n-grams cannot come as near
 SHARPNESS = 12.0
 UNKNOWN = "und"
@@ -75,6 +75,11 @@ def vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / max(float(np.sqrt(v @ v)), 1e-12)
 
 
+def _reach(counts: np.ndarray) -> float:
+    """How near a text with so many different n-grams can come, 1 for usual texts."""
+    return min(1.0, float(np.sqrt(max(1, np.count_nonzero(counts)) / USUAL_GRAMS)))
+
+
 def _clusters(points: np.ndarray, k: int) -> np.ndarray:
     """Spherical k-means from points far apart; repeats a centroid if there are few points."""
     chosen = [points.mean(0)]
@@ -107,7 +112,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, lang: str = "lang") -
     limits = np.zeros((len(names), CENTROIDS))
     for i, n in enumerate(names):
         cosine = points[label == n] @ centroids[i].T
-        limits[i] = SLACK * np.quantile(cosine.max(1), 0.005)
+        reach = np.array([_reach(c) for c in counts[label == n]])
+        limits[i] = SLACK * np.quantile(cosine.max(1) / reach, 0.005)
     return LanguageModel(names, idf, centroids.astype(np.float32), limits)
 
 
@@ -129,7 +135,7 @@ def predict(model: LanguageModel, text: str | None) -> dict:
     near = int(cosine[at].argmax())
     return {
         "lang": model.languages[at], "score": float(1 / odds.sum()), "distance": float(np.clip(1 - best[at], 0, 1)),
-        "rejected": bool(best[at] < model.limits[at, near] * min(1.0, np.sqrt(np.count_nonzero(counts) / USUAL_GRAMS))),
+        "rejected": bool(best[at] < model.limits[at, near] * _reach(counts)),
     }
 
 
