@@ -37,7 +37,7 @@ MARK = re.compile(r"[^\w\s]", re.UNICODE)
 class Limits:
     """Shares are of the words or characters of a line, or of a document's text."""
 
-    marks: float = 0.25
+    marks: float = 0.3
     runs: float = 0.5
     separators: float = 0.2
     least_separators: int = 3

@@ -69,7 +69,8 @@ def test_line_rules(line, fault):
 
 
 def test_documents_that_lose_too_much_go():
-    good, bad = [f"{GOOD} Number {i} of many." for i in range(10)], ["Home | About | News | Contact | Help"] * 1
+    good = [" ".join(f"w{i}x{j}" for j in range(12)) + "." for i in range(10)]
+    bad = ["Home | About | News | Contact | Help"]
     kept = quality_rules.judge("\n".join(good + bad))
     assert kept["kept"] and kept["n_navigation"] == 1 and kept["cleaned"] == "\n".join(good)
     junk = [f"w{i}$$$ x{i}%%% y{i}### z{i}*** v{i}&&& u{i}$$$" for i in range(60)]

@@ -37,6 +37,7 @@ def test_byte_bpe_equals_the_library(by_library):
 
 def test_small_caches_change_nothing(by_library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED", 3)
+    monkeypatch.setattr(packing, "CACHED", 3)
     own, words = bpe.ByteBpe(BYTES), packing.WordTokenizer(WORDS)
     for text in odd_texts(100):
         assert list(own.encode(text)) == by_library[0].encode(text, add_special_tokens=False).ids
