@@ -68,7 +68,7 @@ def test_keyed_prompt_round_trip(spark):
     assert [(r.key, r.prompt) for r in S.read_keyed_prompts(df).collect()] == [("0001", "p\nq")]
 
 
-def test_failed_rows_are_kept_out_of_a_task(spark):
+def test_failed_and_rejected_rows_are_set_aside(spark):
     import pandas as pd
 
     def fn(batch, attempt):
@@ -77,7 +77,9 @@ def test_failed_rows_are_kept_out_of_a_task(spark):
         ok = batch[batch["user"] != "never"]
         return pd.DataFrame({"answer": ok["user"]})
 
-    df = spark.createDataFrame([("f", 1, "a", "x"), ("f", 2, "a", "y"), ("f", 3, "b", "never")],
-                               "file_name string, line_no int, utt string, text string")
-    out = run_task(df, "norm", fn, {"src_lang": "en"}, max_attempts=2, first_delay=0.0).collect()
-    assert [(r.utt, r.text) for r in out] == [("a", "x")]
+    rows = [("f", 1, "a", "x"), ("f", 2, "a", "y"), ("f", 3, "b", "never"), ("f", 4, "c", None), ("f", 5, None, "z")]
+    df = spark.createDataFrame(rows, "file_name string, line_no int, utt string, text string")
+    out = run_task(df, "norm", fn, {"src_lang": "en"}, max_attempts=2, first_delay=0.0)
+    assert [(r.utt, r.text) for r in out.results.collect()] == [("a", "x")]
+    rest = sorted((str(r.id), r.outcome) for r in out.rest.collect())
+    assert rest == [("None", "rejected"), ("b", "failed"), ("c", "rejected")]

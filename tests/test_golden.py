@@ -133,7 +133,8 @@ def test_block_rules(spark):
 
 def test_gate_and_concat_by_language(spark):
     rows = [("en", "skip"), ("zh-cn", "中文：你"), ("en", "English: hi"), ("zh-cn", "好"), ("xx", "?"), ("fr", "a")]
-    df = spark.createDataFrame([(rows,)], "lines array<struct<lang:string,line:string>>")
+    rows = [(lang, line, lang) for lang, line in rows]
+    df = spark.createDataFrame([(rows,)], "lines array<struct<lang:string,line:string,text_lang:string>>")
     out = G.concat_by_lang(G.min_langs_gate(df)).first()
     assert (out["zh-cn"], out["en"], out["fr"], out["ja"]) == ("你好", "hi", "a", "")
     assert G.min_langs_gate(df, at_least=5).count() == 0
