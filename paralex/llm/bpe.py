@@ -42,16 +42,16 @@ class _Cache(dict):
     """Packed ids by key, of bounded size: when the younger half is full it
     becomes the older one, and keys met again are taken over."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, half: int):
         super().__init__()
-        self.compute, self.older = compute, {}
+        self.compute, self.half, self.older = compute, half, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
         if len(key) <= LONGEST_CACHED:
-            if len(self) >= CACHED:
+            if len(self) >= self.half:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
@@ -80,8 +80,8 @@ class ByteBpe:
         self.ranks = {a << 20 | b: rank for rank, (a, b, _) in enumerate(self.merges)}
         self.pattern = regex.compile(PIECES)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.pieces = _Cache(self._piece)
-        self.words = _Cache(self._word)
+        self.pieces = _Cache(self._piece, CACHED)
+        self.words = _Cache(self._word, CACHED)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece."""

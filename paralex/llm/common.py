@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import reduce
 from typing import Any
 
 import numpy as np
@@ -30,6 +33,14 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, ROWS_PER_BATCH)
 
 
+def give_back() -> None:
+    """Return freed memory to the system.  Python workers are kept for later
+    tasks of other stages, and would hold what their largest task needed."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library has no malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def column_function(make: Callable[[], Callable[..., pa.Array]], returns: StructType) -> Callable[..., Column]:
     """A column function whose work is done on short Arrow slices.
 
@@ -43,6 +54,8 @@ def column_function(make: Callable[[], Callable[..., pa.Array]], returns: Struct
             columns = columns if isinstance(columns, tuple) else (columns,)
             for at in range(0, max(1, len(columns[0])), SLICE):
                 yield work(*(c.slice(at, SLICE) for c in columns))
+        del work
+        give_back()
 
     def apply(*columns) -> Column:
         bounded_batches(SparkSession.active())
@@ -86,6 +99,8 @@ def batches_of(make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordB
         f = make()
         for batch in batches:
             yield from f(batch)
+        del f
+        give_back()
 
     return run
 
@@ -114,21 +129,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def sample_texts(docs: DataFrame, labelled: DataFrame, label: str, per_label: int) -> DataFrame:
-    """``doc_id``, ``label`` (as integer or string), ``rank`` and ``text`` of at
-    most ``per_label`` labelled documents of each label value.
+    """``doc_id``, ``label``, ``rank`` and ``text`` of at most ``per_label``
+    labelled documents of each label value.
 
-    Rows are ranked by a hash of their id, so the sample is spread over the
-    table and any run draws it again.  Only ids are ranked, and Spark applies
-    the rank limit before the shuffle.  Label values are few (a language, a
+    The rows with the smallest hashes of their ids are taken, so the sample is
+    spread over the table and any run draws it again.  Only ids are sorted, and
+    no task passes on more than it keeps.  Label values are few (a language, a
     class), so at most ``per_label`` ids for each of them are broadcast.  The
     sample is written once; a repeated id counts with its first text.
     """
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = (
-        labelled.filter(~held_out("doc_id") & F.col(label).isNotNull())
-        .select("doc_id", F.col(label).alias("label"))
-        .withColumn("rank", rank).filter(F.col("rank") <= per_label)
-    )
+    rows = labelled.filter(~held_out("doc_id") & F.col(label).isNotNull()).select("doc_id", F.col(label).alias("label"))
+    values = sorted(r[0] for r in rows.select("label").distinct().collect())
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    first = [rows.filter(F.col("label") == v).orderBy(*order).limit(per_label) for v in values]
+    ids = reduce(DataFrame.union, first, rows.limit(0))
+    ids = ids.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
     found = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     once = found.groupBy("doc_id", "label", "rank").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     return stored(once, "sample")

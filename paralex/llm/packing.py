@@ -29,6 +29,7 @@ from paralex.llm.bpe import _Cache, byte_alphabet
 from paralex.llm.common import SLICE, batches_of, bounded_batches, schema_of, stored
 
 OPEN_BINS = 512
+CACHED = 120_000  # entries of each half of a cache in a Python worker
 TASKS_JOINED = 64  # tasks whose last open bins are packed together
 _LOADED: dict[str, WordTokenizer] = {}
 
@@ -55,8 +56,8 @@ class WordTokenizer:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.alphabet = byte_alphabet()
         self.simple = regex.compile("[\\x00-įı-ɏ]*")
-        self.pieces = _Cache(self._piece)
-        self.words = _Cache(self._word)
+        self.pieces = _Cache(self._piece, CACHED)
+        self.words = _Cache(self._word, CACHED)
 
     def _piece(self, piece: str) -> bytes:
         symbols = piece.encode().decode("latin-1").translate(self.alphabet)

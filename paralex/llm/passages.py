@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paralex.llm import bytewords as W
-from paralex.llm.common import bounded_batches, schema_of, stored, text_function
+from paralex.llm.common import bounded_batches, give_back, schema_of, stored, text_function
 
 RANGE_BYTES = 8 << 20  # text per range of columns
 LEAST_RANGES = 64
@@ -88,6 +88,8 @@ def _sketches(texts: DataFrame, size: int, range_bits: int) -> DataFrame:
                 held, count = [], 0
         if count:
             yield flush(held)
+        del held
+        give_back()
 
     return texts.select("text").mapInArrow(sketch, SKETCH)
 
@@ -236,6 +238,8 @@ def _suspects(texts: DataFrame, size: int, passes: Filter) -> DataFrame:
                 held, count = [], 0
         if count:
             yield flush(held)
+        del held
+        give_back()
 
     return texts.mapInArrow(find, FOUND)
 
@@ -244,6 +248,7 @@ def _settle(group: pa.Table) -> pa.Table:
     """Exact grouping of the windows of one range; known starts pass through."""
     known = group.filter(group.column("starts").is_valid()).cast(schema_of(FOUND))
     met = [_unpack(m.as_py()) for m in group.column("met").drop_null()]
+    give_back()  # of the group before
     if not met:
         return known
     a, b, doc, same, start = (np.concatenate(x) for x in zip(*met))

@@ -27,13 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paralex.llm.common import column_function, schema_of, stored
+from paralex.llm.common import column_function, give_back, schema_of, stored
 
 SEED = 42
 BITS = 64
 PER_PREFIX = 1 << 14  # fingerprints that share a prefix, on average
 LEAST_PREFIX_BITS = 8
-PER_CLASS = 1 << 21  # variants held at once by a task
+PER_CLASS = 1 << 20  # variants held at once by a task
 PER_TASK = 1 << 27  # variants of a prefix beyond which it is split
 
 
@@ -192,6 +192,7 @@ def near_links(prints: DataFrame, count: int, max_bits: int, per_task: int = PER
         found = np.sort(group.column("fp").to_numpy().view(np.uint64))
         one = {c: group.column(c)[0].as_py() for c in ("q", "share", "shares")}
         links = _stars(found, one["q"], low_bits, one["share"], one["shares"], reach)
+        give_back()
         return pa.Table.from_arrays([pa.array(links[:, i].copy().view(np.int64)) for i in (0, 1)], schema=schema)
 
     return rows.groupBy("q", "share").applyInArrow(meet, EDGES).distinct()
