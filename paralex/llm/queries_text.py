@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paralex.llm import bpe, language, packing, quality_model, quality_rules, toxicity
+from paralex.llm import bpe, language, packing, quality_model, quality_rules, token_counts, toxicity
 from paralex.llm.common import held_out, table
 
 
@@ -44,6 +44,12 @@ def op4_language(spark, sf_dir):
     )
 
 
+def op6_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.token_counts(public_tokenizers.path("byte_bpe_50k.json"))("text")
+    return docs.select("doc_id", counted.alias("t")).select("doc_id", "t.n_words", "t.n_tokens")
+
+
 def op8_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
@@ -62,6 +68,6 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_quality_rules": op2_quality_rules, "op3_packing": op3_packing, "op4_language": op4_language,
-    "op8_quality": op8_quality, "op10_toxicity": op10_toxicity,
+    "op6_token_counts": op6_token_counts, "op8_quality": op8_quality, "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
