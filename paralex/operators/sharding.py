@@ -24,7 +24,6 @@ from paralex.session import stored
 
 PART_BITS = 33  # low bits of a row id that count rows inside a part
 CHUNK_ROWS = 1 << 16
-MOST_SLOTS = 10_000
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -227,19 +226,18 @@ def chunk_fixed(df: DataFrame, order: Sequence[str], size: int = V.TOPICS_PER_FI
     ).drop("pos", "total")
 
 
-def admit_top_k(
-    pending: DataFrame, running: DataFrame, most: int | Column, order: Sequence[str], at_most: int = MOST_SLOTS
-) -> DataFrame:
+def admit_top_k(pending: DataFrame, running: DataFrame, most: int | Column, order: Sequence[str]) -> DataFrame:
     """The first pending files that fit the free slots ``most`` - running.
 
-    ``most`` may be a scalar subquery.  There are never more than ``at_most``
-    slots, so at most that many rows are ranked, whatever is pending.
+    ``most`` may be a scalar subquery.  All pending rows are numbered, by parts
+    as in :func:`number_rows`, so any number of slots is filled.
     """
-    slots = F.least(F.lit(at_most), F.lit(most) if isinstance(most, int) else most)
     used = running.agg(F.count(F.lit(1)).alias("n")).scalar()
-    head = pending.orderBy(*order).limit(at_most)
-    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
-    return head.withColumn("slot", rank).filter(F.col("slot") <= slots - used)
+    # The struct keeps columns of the files from meeting those of the numbering.
+    rows = pending.select(F.struct(*pending.columns).alias("_file"))
+    numbered = number_rows(rows, [f"_file.{c}" for c in order], ())
+    free = (F.lit(most) if isinstance(most, int) else most) - used
+    return numbered.filter(F.col("pos") < free).select("_file.*", (F.col("pos") + 1).cast("int").alias("slot"))
 
 
 def order_oldest_first(

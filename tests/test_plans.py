@@ -141,6 +141,14 @@ def test_admission_respects_the_quota(spark):
     assert S.admit_top_k(pending, running, 3, ["file_name"]).count() == 0
 
 
+def test_admission_fills_all_slots(spark):
+    pending = spark.range(25_000).select(F.format_string("f%05d", "id").alias("file_name"), F.lit("x").alias("total"))
+    running = spark.range(10_000).toDF("n")
+    got = S.admit_top_k(pending, running, 30_000, ["file_name"])
+    assert got.columns == ["file_name", "total", "slot"]
+    assert [(r.file_name, r.slot) for r in got.orderBy("slot").collect()] == [(f"f{i:05d}", i + 1) for i in range(20_000)]
+
+
 def test_equal_sequence_numbers_take_the_new_record(spark):
     old = spark.createDataFrame([("f", "old", 3), ("g", "old", 5)], "file_name string, status string, seq bigint")
     new = spark.createDataFrame([("f", "new", 3), ("g", "new", 4)], "file_name string, status string, seq bigint")
