@@ -33,6 +33,7 @@ PIVOTS = 64
 ANNULUS = 512  # vectors in a block
 GROUP = 1 << 16  # vectors searched by one task, in blocks
 QUERIES_AT_ONCE = 256
+CHUNK_BLOCKS = 256  # blocks of queries searched by one task
 BOUND = 1 << 31
 
 
@@ -191,17 +192,39 @@ def _search(annuli: list[tuple], q: np.ndarray, q_ids: np.ndarray, pivots: np.nd
     return top, top_ids
 
 
+def _numbered(blocks: DataFrame, most: int) -> DataFrame:
+    """Blocks, in place of their ``part``, with a ``chunk``: a run of at most
+    ``most`` blocks.  They are written, since they are numbered by where they lie."""
+    rows = stored(blocks.withColumn("nth", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "queries")
+    parts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    chunk = F.call_function("div", F.col("before") + F.col("nth"), F.lit(most))
+    return rows.join(before, "part").withColumn("chunk", chunk).drop("part", "nth", "before")
+
+
+def _meetings(index: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Annuli and blocks of queries such that each group of annuli meets each
+    chunk of queries that has vectors of its lengths, once: annuli by ``part``
+    and ``by``, queries by ``to`` and ``chunk``."""
+    chunks = queries.select(F.col("chunk").alias("by"), "size").distinct()
+    groups = index.select(F.col("part").alias("to"), "size").distinct()
+    return index.join(chunks, "size"), queries.join(groups, "size")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int, most_pivots: int = PIVOTS, group: int = GROUP) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` best rows for
-    each query, for ``vectors`` with ``vec_id`` and whole-number ``v``."""
+    each query, for ``vectors`` with ``vec_id`` and whole-number ``v``.
+
+    A task searches one group of annuli for one chunk of queries; both have a
+    bounded number of vectors."""
     pivots = _pivots(vectors, most_pivots)
     keyed = stored(_keyed(vectors, pivots), "keyed")
     parts = max(1, -(-keyed.count() // group))
     index = stored(_blocks(keyed, parts, ANNULUS, True), "annuli")
     asked = keyed.filter(is_query).dropDuplicates(["vec_id"])
-    queries = stored(_blocks(asked, parts, QUERIES_AT_ONCE, False), "queries")
-    groups = index.select(F.col("part").alias("to"), "size").distinct()
-    sent = queries.drop("part").join(groups, "size")
+    queries = _numbered(_blocks(asked, parts, QUERIES_AT_ONCE, False), CHUNK_BLOCKS)
+    annuli, sent = _meetings(index, queries)
     schema = schema_of(FOUND)
 
     def search(annuli: pa.Table, asked: pa.Table) -> pa.Table:
@@ -218,7 +241,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, most_pivots: int = PIVOT
         columns = list(zip(*rows)) if rows else [[], [], []]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    found = index.groupBy("part").cogroup(sent.groupBy("to")).applyInArrow(search, FOUND)
+    found = annuli.groupBy("part", "by").cogroup(sent.groupBy("to", "chunk")).applyInArrow(search, FOUND)
     each = found.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     ranked = each.select("query_id", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score")).withColumn("rank", rank)

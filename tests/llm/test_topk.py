@@ -69,6 +69,29 @@ def test_odd_vectors(spark):
     assert none.count() == 0 and none.columns == ["query_id", "rank", "vec_id", "score"]
 
 
+def test_a_task_gets_a_bounded_number_of_queries(spark, monkeypatch):
+    """Every row is a query; each meets every group once, in chunks of two blocks."""
+    monkeypatch.setattr(topk, "QUERIES_AT_ONCE", 5)
+    monkeypatch.setattr(topk, "CHUNK_BLOCKS", 2)
+    met = []
+    monkeypatch.setattr(topk, "_meetings", lambda *a, f=topk._meetings: (met.append(f(*a)), met[-1])[1])
+    rows = vectors(120, 6, True) + [(500 + i, [float(i)], "s", "p") for i in range(23)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = topk.top_k(topk.whole_numbers(df, 64.0), F.lit(True), 3, 5, 40).collect()
+    assert sorted(map(tuple, got)) == plain([tuple(r) for r in df.collect()], 1, 3)
+    annuli, sent = met[0]
+    groups = annuli.select("part", "size").distinct().collect()
+    assert len({g.part for g in groups}) > 1
+    tasks = sent.groupBy("to", "chunk").agg(F.sum(F.octet_length("ids") / 8).alias("queries")).collect()
+    assert max(t.queries for t in tasks) <= 10
+    assert sum(t.queries for t in tasks) == sum(160 if g["size"] == 6 else 23 for g in groups)
+    held = annuli.groupBy("part", "by", "size").agg(F.sum(F.octet_length("ids") / 8).alias("n")).collect()
+    lengths = {(t.chunk, t["size"]) for t in sent.collect()}
+    assert {(h.by, h["size"]) for h in held} == lengths
+    for size, n in ((6, 160), (1, 23)):
+        assert sum(h.n for h in held if h["size"] == size) == n * sum(s == size for _, s in lengths)
+
+
 def test_annuli_are_left_out(monkeypatch):
     """Far annuli are never scored: the bound stops the search."""
     import numpy as np
