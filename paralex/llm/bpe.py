@@ -79,6 +79,7 @@ class ByteBpe:
         self.merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
         self.ranks = {a << 20 | b: rank for rank, (a, b, _) in enumerate(self.merges)}
         self.pattern = regex.compile(PIECES)
+        self.inside = regex.compile(r"\s \s")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.pieces = _Cache(self._piece, CACHED)
         self.words = _Cache(self._word, CACHED)
@@ -124,9 +125,10 @@ class ByteBpe:
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(" " + word)))
 
     def _plain(self, text: str) -> bytes:
-        # Between single spaces the pattern never joins what stands on both sides,
-        # so words with their leading space are looked up whole.
-        if "  " in text or text.endswith(" "):
+        # A space begins a piece unless it stands inside a run of white space, all
+        # of which but the last character is one piece.  Without such runs words
+        # with their leading space are looked up whole.
+        if "  " in text or text.endswith(" ") or self.inside.search(text):
             return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
         first, *words = text.split(" ")
         head = b"".join(map(self.pieces.__getitem__, self.pattern.findall(first)))

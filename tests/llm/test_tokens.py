@@ -35,6 +35,16 @@ def test_byte_bpe_equals_the_library(by_library):
         assert own.decode(ids) == by_library[0].decode(ids, skip_special_tokens=False)
 
 
+def test_runs_of_other_white_space_are_one_piece(by_library):
+    own, rng = bpe.ByteBpe(BYTES), random.Random(5)
+    texts = ["x \u00a0 \u00a0\nword", "\u3000 \u3000 x", "x\u00a0 \u00a0", "x\n \n \ny"]
+    texts += ["".join(rng.choice(" \u00a0\u3000\n\t\u2003\x1cx1!") for _ in range(rng.randint(0, 12))) for _ in range(20_000)]
+    for text in texts:
+        ids = by_library[0].encode(text, add_special_tokens=False).ids
+        assert list(own.encode(text)) == ids, repr(text)
+        assert b"".join(map(own.pieces.__getitem__, own.pattern.findall(text))) == own.encode(text).tobytes()
+
+
 def test_small_caches_change_nothing(by_library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED", 3)
     monkeypatch.setattr(packing, "CACHED", 3)
