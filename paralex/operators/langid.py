@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paralex.functions.core import col
 
 SCALE = 1_000_000
-MOST_GRAMS = 200_000  # rows of a profile
+SALTS = 8  # tasks over which the texts with one gram are dealt
 # Scripts that settle the language; kana is asked before Han.
 SCRIPTS = [
     ("ja", r"[\p{IsHiragana}\p{IsKatakana}]"),
@@ -42,13 +42,12 @@ def trigrams(text: str | Column) -> Column:
 
 
 def fit_lang_profiles(
-    df: DataFrame, langs: Sequence[str], path: str, text: str = "text", lang: str = "lang", most: int = MOST_GRAMS
+    df: DataFrame, langs: Sequence[str], path: str, text: str = "text", lang: str = "lang", most: int | None = None
 ) -> DataFrame:
     """Write ``gram`` and one weight per language (scaled log of the smoothed
     share) below ``path`` and return that table.
 
-    The profile keeps the ``most`` frequent grams, so its size does not grow
-    with the text it is trained on and it can always be broadcast.
+    The profile keeps every gram; a caller may ask for the ``most`` frequent ones.
 
     Counts are combined before the shuffle, so it carries distinct grams.  They are
     written before they are weighed, which needs their totals: the text is
@@ -68,17 +67,20 @@ def fit_lang_profiles(
         share = (F.col(c) + 1).cast("double") / (F.col("_t")[c] + F.col("_t")["grams"]).cast("double")
         return F.round(F.log(share) * SCALE).cast("bigint")
 
-    kept = rows.orderBy(F.desc(sum(F.col(c) for c in langs)), "gram").limit(most)
-    kept.select("gram", *[weight(c).alias(c) for c in langs]).write.mode("overwrite").parquet(f"{path}/weights")
+    if most is not None:
+        rows = rows.orderBy(F.desc(sum(F.col(c) for c in langs)), "gram").limit(most)
+    rows.select("gram", *[weight(c).alias(c) for c in langs]).write.mode("overwrite").parquet(f"{path}/weights")
     return df.sparkSession.read.parquet(f"{path}/weights")
 
 
 def detect_lang(df: DataFrame, profiles: DataFrame, keys: Sequence[str], text: str = "line") -> DataFrame:
     """``keys`` and ``detected`` per row; ``unknown`` without evidence.
 
-    The profile is bounded (:func:`fit_lang_profiles`) and broadcast.  Scores of
-    a row are added up before the shuffle, and the text itself is never
-    shuffled.  Ties go to the first language.
+    Profiles have any size; whether they are broadcast is left to statistics.
+    Grams are counted per row, and meet the profile under one of ``SALTS``
+    numbers taken from the row's keys, so the rows with a common gram are dealt
+    to several tasks.  The text itself is never shuffled.  Ties go to the first
+    language.
     """
     langs = [c for c in profiles.columns if c != "gram"]
     # The script is settled per row, below the explode.
@@ -86,9 +88,14 @@ def detect_lang(df: DataFrame, profiles: DataFrame, keys: Sequence[str], text: s
     grams = rows.select(
         *keys, "_script", F.explode_outer(F.when(F.col("_script").isNull(), trigrams("_text"))).alias("gram")
     )
-    scored = grams.join(F.broadcast(profiles), "gram", "left")
+    counts = grams.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("_n"), F.max("_script").alias("_script"))
+    # Rows without grams meet nothing; they are dealt by their keys alone.
+    salt = F.xxhash64(*keys)
+    salted = counts.withColumn("_salt", F.when(F.col("gram").isNull(), salt).otherwise(F.pmod(salt, F.lit(SALTS))))
+    copies = profiles.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    scored = salted.join(copies, ["gram", "_salt"], "left")
     sums = scored.groupBy(*keys).agg(
-        F.max("_script").alias("_script"), *[F.sum(c).alias(c) for c in langs]
+        F.max("_script").alias("_script"), *[F.sum(F.col(c) * F.col("_n")).alias(c) for c in langs]
     )
     best = F.greatest(*[F.col(c) for c in langs])
     guess = F.coalesce(*[F.when(F.col(c) == best, F.lit(c)) for c in langs], F.lit("unknown"))
