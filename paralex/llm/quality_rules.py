@@ -1,7 +1,7 @@
 """Line-first cleaning: lines are judged first, then the document.
 
 A line is removed if it fails a rule of punctuation (marks and symbols instead
-of words, runs of end marks), of navigation (words set apart by separators) or
+of words, runs of end marks, short lines without a letter or digit), of navigation (words set apart by separators) or
 of boilerplate (stock phrases in a short line, shouting).  A document is
 rejected if the lines that are left hold too little of its text, or by its base
 figures.
@@ -68,6 +68,8 @@ def line_fault(line: str, limits: Limits) -> str | None:
     letters = sum(map(str.isalpha, line))
     if n >= limits.least_words and letters and sum(map(str.isupper, line)) > limits.capitals * letters:
         return "boilerplate"
+    if words and n < limits.least_words and not any(map(str.isalnum, line)):
+        return "punctuation"
     return None
 
 

@@ -78,6 +78,15 @@ def test_documents_that_lose_too_much_go():
     assert quality_rules.judge("\n".join(good))["cleaned"] == "\n".join(good)
 
 
+def test_documents_of_short_symbol_lines_go():
+    junk = [f"{a * 4} {b * 4} {c * 4}" for a in "#*$=-~" for b in "+%&_" for c in "<>"]
+    got = quality_rules.judge("\n".join(junk))
+    assert got["n_punctuation"] == len(junk) and not got["base_failed"] and not got["kept"]
+    for line in ("==========", "* 1", "日本語", "a", "|"):
+        fault = None if any(map(str.isalnum, line)) else "punctuation"
+        assert quality_rules.line_fault(line, quality_rules.Limits()) == fault
+
+
 def test_kept_follows_quality_labels(spark, tables):
     rows = [r for r in queries()["op2_quality_rules"](spark, SF).collect() if r.doc_id in tables[1] and r.n_words >= 50]
     good = [r.kept for r in rows if tables[1][r.doc_id].quality == 1]
