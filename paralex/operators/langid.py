@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from paralex.functions.core import col
 
 SCALE = 1_000_000
+COMMON = 200_000  # grams of a profile that are broadcast
 SALTS = 8  # tasks over which the texts with one gram are dealt
 # Scripts that settle the language; kana is asked before Han.
 SCRIPTS = [
@@ -76,11 +77,12 @@ def fit_lang_profiles(
 def detect_lang(df: DataFrame, profiles: DataFrame, keys: Sequence[str], text: str = "line") -> DataFrame:
     """``keys`` and ``detected`` per row; ``unknown`` without evidence.
 
-    Profiles have any size; whether they are broadcast is left to statistics.
-    Grams are counted per row, and meet the profile under one of ``SALTS``
-    numbers taken from the row's keys, so the rows with a common gram are dealt
-    to several tasks.  The text itself is never shuffled.  Ties go to the first
-    language.
+    Profiles have any size.  Their ``COMMON`` weightiest grams are broadcast, so
+    most grams of a text are scored and added up where they are.  The others are
+    counted per row and meet the whole profile under one of ``SALTS`` numbers
+    taken from the row's keys, which deals rows with the same gram to several
+    tasks.  Both constants change the work alone.  The text itself is never
+    shuffled.  Ties go to the first language.
     """
     langs = [c for c in profiles.columns if c != "gram"]
     # The script is settled per row, below the explode.
@@ -88,14 +90,20 @@ def detect_lang(df: DataFrame, profiles: DataFrame, keys: Sequence[str], text: s
     grams = rows.select(
         *keys, "_script", F.explode_outer(F.when(F.col("_script").isNull(), trigrams("_text"))).alias("gram")
     )
-    counts = grams.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("_n"), F.max("_script").alias("_script"))
-    # Rows without grams meet nothing; they are dealt by their keys alone.
+    weightiest = profiles.orderBy(F.desc(F.greatest(*langs)), "gram").limit(COMMON)
+    near = grams.join(F.broadcast(weightiest), "gram", "left")
+    other = F.when(F.col(langs[0]).isNull(), F.col("gram"))
+    counts = near.groupBy(*keys, other.alias("gram")).agg(
+        F.max("_script").alias("_script"), F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_near_{c}") for c in langs]
+    )
+    # Rows without other grams meet nothing; they are dealt by their keys alone.
     salt = F.xxhash64(*keys)
     salted = counts.withColumn("_salt", F.when(F.col("gram").isNull(), salt).otherwise(F.pmod(salt, F.lit(SALTS))))
     copies = profiles.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
     scored = salted.join(copies, ["gram", "_salt"], "left")
     sums = scored.groupBy(*keys).agg(
-        F.max("_script").alias("_script"), *[F.sum(F.col(c) * F.col("_n")).alias(c) for c in langs]
+        F.max("_script").alias("_script"),
+        *[F.sum(F.coalesce(F.col(f"_near_{c}"), F.col(c) * F.col("_n"))).alias(c) for c in langs],
     )
     best = F.greatest(*[F.col(c) for c in langs])
     guess = F.coalesce(*[F.when(F.col(c) == best, F.lit(c)) for c in langs], F.lit("unknown"))
