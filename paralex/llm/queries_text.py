@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paralex.llm import bpe, language, packing, quality_model, quality_rules, token_counts, toxicity
+from paralex.llm import bpe, language, mixture, packing, quality_model, quality_rules, token_counts, toxicity
 from paralex.llm.common import held_out, table
 
 
@@ -29,6 +29,17 @@ def op3_packing(spark, sf_dir):
     return packing.best_fit(narrow, SEQUENCE)
 
 
+MIXED = 2048
+
+
+def op11_mixture(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    queues = mixture.token_queues(docs, public_tokenizers.path("word_bpe_49k.json"), END)
+    return mixture.mix(queues, MIXED).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source",
+    )
+
+
 def op2_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = docs.select("doc_id", quality_rules.quality()("text").alias("q"))
@@ -69,5 +80,6 @@ def op10_toxicity(spark, sf_dir):
 QUERIES = {
     "op1_bpe": op1_bpe, "op2_quality_rules": op2_quality_rules, "op3_packing": op3_packing, "op4_language": op4_language,
     "op6_token_counts": op6_token_counts, "op8_quality": op8_quality, "op10_toxicity": op10_toxicity,
+    "op11_mixture": op11_mixture,
 }
 ORACLE: dict[str, str] = {}
