@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SECTIONS = ["text", "dedup", "search"]
+SECTIONS = ["text", "dedup", "search", "manifest"]
 
 
 def _sections() -> list:
