@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,10 @@ from paralex.llm.bpe import _Cache, byte_alphabet
 from paralex.llm.common import SLICE, batches_of, bounded_batches, schema_of, stored
 
 OPEN_BINS = 512
-CACHED = 120_000  # entries of each half of a cache in a Python worker
+# Entries of each half of a cache in a Python worker
+CACHED_WORDS, CACHED_PIECES, CACHED_OTHERS = 120_000, 250_000, 30_000
+TEXT_SLICE = 1 << 18  # characters looked up at once
+BETWEEN_WORDS = re.compile("[ \t\n\r\x0b\x0c]")
 TASKS_JOINED = 64  # tasks whose last open bins are packed together
 _LOADED: dict[str, WordTokenizer] = {}
 
@@ -38,9 +43,10 @@ class WordTokenizer:
     """Ids of the tokenizers library, looked up by word.
 
     For vocabularies whose pre-tokenizer drops white space, so words between
-    white space are encoded independently of each other.  Words in plain Latin
-    letters are normalised and cut here and each cut is given to the library's
-    model; all others are given to the library whole.
+    white space are encoded independently of each other.  Texts of Latin letters
+    and common marks are split, normalised and cut here, and each cut is given to
+    the library's model; words of other texts are given to the library whole.
+    Words and cuts met often are kept in two caches of bounded size.
     """
 
     def __init__(self, path: str):
@@ -52,29 +58,52 @@ class WordTokenizer:
         self.library.no_padding()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.cuts = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.alphabet = byte_alphabet()
-        self.simple = regex.compile("[\\x00-įı-ɏ]*")
-        self.pieces = _Cache(self._piece, CACHED)
-        self.words = _Cache(self._word, CACHED)
+        # Characters that the library's normaliser only lower-cases, each on its own, and
+        # that Python splits on if and only if the library does.
+        simple = [chr(c) for c in (*range(0x1C), *range(0x20, 0x130), *range(0x131, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F))]
+        self.odd = re.compile(f"[^{re.escape(''.join(simple))}]|{'|'.join(map(re.escape, self.special))}")
+        lowered = sorted({c.lower() for c in simple})
+        among = lambda kind: re.escape("".join(c for c in lowered if regex.fullmatch(kind, c)))
+        letters, numbers, spaces = map(among, (r"\p{L}", r"\p{N}", r"\s"))
+        self.cuts = re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^{letters}{numbers}{spaces}]+")
+        self.pieces = _Cache(self._piece, CACHED_PIECES)
+        self.words = _Cache(self._word, CACHED_WORDS)
+        self.others = _Cache(self._other, CACHED_OTHERS)
 
     def _piece(self, piece: str) -> bytes:
-        symbols = piece.encode().decode("latin-1").translate(self.alphabet)
+        symbols = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.alphabet)
         return array("I", [t.id for t in self.library.model.tokenize(symbols)]).tobytes()
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if not (text.isascii() or self.simple.fullmatch(text)) or ("<|" in text and any(s in text for s in self.special)):
-            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        text = text.lower()
-        if text.isalpha():
-            return self.pieces[text]
-        return b"".join(map(self.pieces.__getitem__, self.cuts.findall(text)))
+    def _word(self, word: str) -> bytes:
+        low = word.lower()
+        return self.pieces[low] if low.isalpha() else b"".join(map(self.pieces.__getitem__, self.cuts.findall(low)))
+
+    def _other(self, word: bytes) -> bytes:
+        return array("I", self.library.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
     def packed(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.words.__getitem__, text.encode().split())) if text else b""
+        return b"".join(map(self._slice, _slices(text or "")))
+
+    def _slice(self, text: str) -> bytes:
+        if self.odd.search(text):
+            return b"".join(map(self.others.__getitem__, text.encode().split()))
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+
+def _slices(text: str) -> Iterator[str]:
+    """A text in slices that end between words, so that the words of a very long
+    text are not all held at once."""
+    at = 0
+    while at < len(text):
+        end = len(text)
+        if end - at > TEXT_SLICE:
+            space = BETWEEN_WORDS.search(text, at + TEXT_SLICE)
+            end = space.start() if space else end
+        yield text[at:end]
+        at = end
 
 
 def tokenizer(path: str) -> WordTokenizer:

@@ -47,7 +47,8 @@ def test_runs_of_other_white_space_are_one_piece(by_library):
 
 def test_small_caches_change_nothing(by_library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED", 3)
-    monkeypatch.setattr(packing, "CACHED", 3)
+    for name in ("CACHED_WORDS", "CACHED_PIECES", "CACHED_OTHERS"):
+        monkeypatch.setattr(packing, name, 3)
     own, words = bpe.ByteBpe(BYTES), packing.WordTokenizer(WORDS)
     for text in odd_texts(100):
         assert list(own.encode(text)) == by_library[0].encode(text, add_special_tokens=False).ids
@@ -60,6 +61,22 @@ def test_word_ids_equal_the_library(by_library):
         assert np.frombuffer(own.packed(text), "<u4").tolist() == by_library[1].encode(text, add_special_tokens=False).ids
 
 
+def test_word_ids_of_marks_and_cut_texts(by_library, monkeypatch):
+    """Every character that is looked up here, alone and between others, and a
+    text whose slices end at each kind of white space."""
+    own, rng = packing.WordTokenizer(WORDS), random.Random(7)
+    chars = [chr(c) for c in (*range(0x250), *range(0x2000, 0x2070), 0x3000, 0x212B)]
+    texts = [t for c in chars for t in (c, f"a{c}b", f"{c}{c} '{c}s 1{c}", f"X{c}\n{c}'ll")]
+    texts += ["".join(rng.choice(chars) if rng.random() < 0.2 else rng.choice("abE 's\n1.’—") for _ in range(40)) for _ in range(4000)]
+    for text in texts:
+        want = by_library[1].encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.packed(text), "<u4").tolist() == want, repr(text)
+    monkeypatch.setattr(packing, "TEXT_SLICE", 5)
+    text = "some words\tof a\x0btext\x0cthat\r\nis ’cut’ <|endoftext|> " * 9 + "withoutanyspaceattheend"
+    assert len(list(packing._slices(text))) > 20 and "".join(packing._slices(text)) == text
+    assert np.frombuffer(own.packed(text), "<u4").tolist() == by_library[1].encode(text, add_special_tokens=False).ids
+
+
 def test_decode_takes_null_and_unknown_ids(spark):
     ids = list(bpe.ByteBpe(BYTES).encode("plain text"))
     df = spark.createDataFrame([(ids,), (None,), ([],), ([99_999_999, ids[0], -1],)], "ids array<int>")
