@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paralex import fixed_values as V
 from paralex.functions.core import col, strip
 from paralex.operators.predicates import missing_langs, pivot_lang
-from paralex.operators.sharding import sequence_ids
+from paralex.operators.sharding import sequence_ids, shard_by_written_bytes
 from paralex.operators.text import source_after_last
 
 ENGLISH = {code: english for code, english, _, _ in V.LANGUAGES}
@@ -160,17 +160,13 @@ def messages(system: Column, users: Column) -> Column:
     )
 
 
-def request_envelope(
-    df: DataFrame, cfg: RenderConfig, id_col: str = "custom_id", users: Column | None = None
-) -> DataFrame:
-    """``custom_id, request``: the JSON text of one request per row.
-
-    ``system`` may be null; ``users`` defaults to the single ``user`` column.
-    """
+def request_text(cfg: RenderConfig, key: Column, users: Column | None = None) -> Column:
+    """The JSON text of a request with the id ``key``, from the columns
+    ``system``, which may be null, and ``user`` (or ``users``)."""
     parts = messages(F.col("system"), F.array("user") if users is None else users)
     if cfg.dialect == "chat":
         request = F.struct(
-            F.col(id_col).alias("custom_id"),
+            key.alias("custom_id"),
             F.lit("POST").alias("method"),
             F.lit(cfg.url).alias("url"),
             F.struct(
@@ -180,10 +176,43 @@ def request_envelope(
             ).alias("body"),
         )
     elif cfg.dialect == "role":
-        request = F.struct(F.col(id_col).alias("id"), parts.alias("messages"))
+        request = F.struct(key.alias("id"), parts.alias("messages"))
     else:
         raise ValueError(f"unknown dialect: {cfg.dialect}")
-    return df.select(F.col(id_col).alias("custom_id"), F.to_json(request).alias("request"))
+    return F.to_json(request)
+
+
+def request_envelope(
+    df: DataFrame, cfg: RenderConfig, id_col: str = "custom_id", users: Column | None = None
+) -> DataFrame:
+    """``custom_id, request``: the JSON text of one request per row.
+
+    ``system`` may be null; ``users`` defaults to the single ``user`` column.
+    """
+    return df.select(F.col(id_col).alias("custom_id"), request_text(cfg, F.col(id_col), users).alias("request"))
+
+
+def roll_requests(
+    df: DataFrame,
+    cfg: RenderConfig,
+    max_bytes: int = V.SHARD_BYTES,
+    max_rows: int = V.SHARD_ROWS,
+    order: str = "line_no",
+) -> DataFrame:
+    """One request line per row of ``file_name``, ``system`` and ``user``, in
+    shards whose written bytes reach ``max_bytes`` with their last line.
+
+    Adds ``shard``, ``row_in_shard``, ``custom_id`` (file, shard and row) and
+    ``line``.  The id is part of the line, so a line's length depends on its
+    shard.  A null file name is written as an empty one.
+    """
+    name = F.coalesce("file_name", F.lit(""))
+    bare = request_text(cfg, F.concat(name, F.lit("--")))
+    placed = shard_by_written_bytes(
+        df.withColumn("_bytes", F.octet_length(bare) + 1), "_bytes", max_bytes, max_rows, order
+    ).drop("_bytes")
+    key = F.concat_ws("-", name, "shard", "row_in_shard")
+    return placed.withColumn("custom_id", key).withColumn("line", request_text(cfg, F.col("custom_id")))
 
 
 def system_request(df: DataFrame, cfg: RenderConfig, id_col: str, prompt: str = "prompt") -> DataFrame:

@@ -9,8 +9,8 @@ is the sum of the parts before it and its place in its own part.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -89,57 +89,61 @@ def _next_starts(size: np.ndarray, max_bytes: int, max_rows: int) -> np.ndarray:
     return np.maximum(rows + 1, np.minimum(np.minimum(full, rows + max_rows), len(size)))
 
 
-def _leap(rows: pd.DataFrame, max_bytes: int, max_rows: int, chunk_rows: int) -> tuple[pd.DataFrame, np.ndarray, int]:
+def _next_starts_written(size: np.ndarray, max_bytes: int, max_rows: int, digits: int) -> np.ndarray:
+    """As :func:`_next_starts` for lines that also hold the number of their
+    shard, of ``digits`` digits, and their row in it.
+
+    ``m`` rows, numbered from 0, with at most ``w`` digits each hold ``w * m``
+    digits less a constant, so sums with ``w`` digits more for every row tell
+    where a shard ends that has numbers of up to ``w`` digits.
+    """
+    ends = np.concatenate([[0], np.cumsum(size)])
+    rows, after = np.arange(len(size)), np.full(len(size), len(size))
+    open_rows = np.ones(len(size), bool)
+    for width in range(1, len(str(max_rows)) + 1):
+        fewer = (10**width - 10) // 9
+        sums = ends + np.arange(len(ends)) * (digits + width)
+        end = np.searchsorted(sums, sums[rows] + max_bytes + fewer, "left")
+        fits = open_rows & (end - rows <= 10**width) & (end < len(ends))
+        after[fits] = end[fits]
+        open_rows &= ~fits
+    return np.maximum(rows + 1, np.minimum(np.minimum(after, rows + max_rows), len(size)))
+
+
+def _leap(rows: pd.DataFrame, next_starts: Callable, chunk_rows: int) -> tuple[pd.DataFrame, np.ndarray, int]:
     """Sorted rows of a chunk and those after it, next starts, and the chunk's length."""
     rows = rows.sort_values("pos")
     own = int((rows["pos"] // chunk_rows == rows["_chunk"]).sum())
-    return rows, _next_starts(rows["_size"].to_numpy(np.int64), max_bytes, max_rows), own
+    return rows, next_starts(rows["_size"].to_numpy(np.int64)), own
 
 
-def shard_by_bytes(
-    df: DataFrame,
-    size: str = "bytes",
-    max_bytes: int = V.SHARD_BYTES,
-    max_rows: int = V.SHARD_ROWS,
-    order: str = "line_no",
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
-    """Add ``shard`` and ``row_in_shard``: a shard of a file ends with the row
-    that brings it to ``max_bytes`` or to ``max_rows`` rows.
+def _followed(placed: DataFrame, starts: DataFrame, next_starts: Callable, max_rows: int, chunk_rows: int) -> DataFrame:
+    """``file_name, pos, _nth, _begin``: for rows of files from ``starts`` on,
+    which shard since then they lie in (from 1) and the row where it begins.
 
-    Where a shard ends depends on all shards before it.  A file is looked at in
-    chunks, each with the rows a shard may reach beyond it.  A chunk tells, for
-    every row a shard of the chunk before can lead to, the first start in the
-    next chunk; these pointers are followed from the first row in doubling
-    steps.  Then each chunk marks its own starts.  ``chunk_rows`` sets the work
-    of a task, never the result.  Null sizes count as 0.
+    ``placed`` has ``file_name, pos, total, _size``; ``next_starts`` gives for
+    sizes of rows one after another the row after a shard that starts there.
     """
     chunk_rows = max(chunk_rows, max_rows)
-    placed = stored(number_rows(df, order), "positions")
     pos = F.col("pos")
     chunk = int_div("pos", chunk_rows)
     chunks = F.when((chunk > 0) & (pos % chunk_rows < max_rows), F.array(chunk, chunk - 1)).otherwise(F.array(chunk))
-    sizes = placed.select(
-        "file_name", "pos", "total", F.coalesce(F.col(size).cast("bigint"), F.lit(0).cast("bigint")).alias("_size"),
-        F.explode(chunks).alias("_chunk"),
-    )
-    key = df.schema["file_name"]
+    sizes = placed.withColumn("_chunk", F.explode(chunks))
+    key = placed.schema["file_name"]
     longs = lambda *names: [T.StructField(n, T.LongType()) for n in names]
 
     def pointers(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, after, own = _leap(rows, max_bytes, max_rows, chunk_rows)
-        to = after.copy()
-        for i in range(own - 1, -1, -1):
-            if after[i] < own:
-                to[i] = to[after[i]]
+        rows, to, own = _leap(rows, next_starts, chunk_rows)
+        while (inside := to[:own] < own).any():  # each turn doubles the shards stepped over
+            to[:own][inside] = to[to[:own][inside]]
         most = min(own, max_rows)
         at = rows["pos"].to_numpy()[:most]
         out = pd.DataFrame({"file_name": rows["file_name"].iloc[:most], "pos": at, "to": rows["pos"].iloc[0] + to[:most]})
         return out[out["to"] < rows["total"].iloc[0]]
 
-    longest = placed.agg(F.max("total")).first()[0] or 0
-    steps = math.ceil(math.log2(max(1, -(-longest // chunk_rows))))
-    reached = placed.filter(pos == 0).select("file_name", "pos")
+    spanned = placed.agg(F.max(chunk) - F.min(chunk) + 1).first()[0] or 1
+    steps = math.ceil(math.log2(spanned))
+    reached = starts
     if steps:
         leap = stored(sizes.groupBy("file_name", "_chunk").applyInPandas(pointers, T.StructType([key, *longs("pos", "to")])), "leaps")
         for _ in range(steps):
@@ -150,7 +154,7 @@ def shard_by_bytes(
     entries = reached.select("file_name", int_div("pos", chunk_rows).alias("_chunk"), F.col("pos").alias("_entry"))
 
     def mark(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, after, own = _leap(rows, max_bytes, max_rows, chunk_rows)
+        rows, after, own = _leap(rows, next_starts, chunk_rows)
         first = int(rows["pos"].iloc[0])
         opens, at = np.zeros(own, bool), rows["_entry"].iloc[0]
         at = own if pd.isna(at) else int(at) - first
@@ -174,12 +178,86 @@ def shard_by_bytes(
         "file_name", "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.max("_last").over(earlier).alias("_open"),
     )
-    named = join_null_safe(marked, ends, ["file_name", "_chunk"]).select(
-        "file_name", "pos", (F.col("_before") + F.col("_nth") - 1).cast("int").alias("shard"),
+    return join_null_safe(marked, ends, ["file_name", "_chunk"]).select(
+        "file_name", "pos", (F.col("_before") + F.col("_nth")).alias("_nth"),
         F.when(F.col("_begin") >= 0, F.col("_begin")).otherwise(F.col("_open")).alias("_begin"),
     )
+
+
+def _sized(placed: DataFrame, size: Column) -> DataFrame:
+    return placed.select("file_name", "pos", "total", F.coalesce(size.cast("bigint"), F.lit(0).cast("bigint")).alias("_size"))
+
+
+def shard_by_bytes(
+    df: DataFrame,
+    size: str = "bytes",
+    max_bytes: int = V.SHARD_BYTES,
+    max_rows: int = V.SHARD_ROWS,
+    order: str = "line_no",
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Add ``shard`` and ``row_in_shard``: a shard of a file ends with the row
+    that brings it to ``max_bytes`` or to ``max_rows`` rows.
+
+    Where a shard ends depends on all shards before it.  A file is looked at in
+    chunks, each with the rows a shard may reach beyond it.  A chunk tells, for
+    every row a shard of the chunk before can lead to, the first start in the
+    next chunk; these pointers are followed from the first row in doubling
+    steps.  Then each chunk marks its own starts.  ``chunk_rows`` sets the work
+    of a task, never the result.  Null sizes count as 0.
+    """
+    placed = stored(number_rows(df, order), "positions")
+    next_starts = partial(_next_starts, max_bytes=max_bytes, max_rows=max_rows)
+    first = placed.filter("pos = 0").select("file_name", "pos")
+    named = _followed(_sized(placed, F.col(size)), first, next_starts, max_rows, chunk_rows)
     out = join_null_safe(placed.drop("shard"), named, ["file_name", "pos"])
-    return out.withColumn("row_in_shard", (pos - F.col("_begin")).cast("int")).drop("pos", "total", "_begin")
+    return out.withColumns(
+        {"shard": (F.col("_nth") - 1).cast("int"), "row_in_shard": (F.col("pos") - F.col("_begin")).cast("int")}
+    ).drop("pos", "total", "_nth", "_begin")
+
+
+def shard_by_written_bytes(
+    df: DataFrame,
+    size: str = "bytes",
+    max_bytes: int = V.SHARD_BYTES,
+    max_rows: int = V.SHARD_ROWS,
+    order: str = "line_no",
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """As :func:`shard_by_bytes` for lines that hold ``shard`` and
+    ``row_in_shard`` as decimal numbers: ``size`` is the length of a line without
+    these digits, and a shard ends with the row that brings the written lines to
+    ``max_bytes`` or to ``max_rows`` rows.
+
+    How long a line gets depends on where it falls.  The digits of the row
+    follow from the shard's first row; those of the shard are the same for the
+    shards 0 to 9, 10 to 99, and so on.  So starts are followed for one such run
+    of shards after another, from the row where the run before ended, over the
+    rows that the run can reach.
+    """
+    placed = stored(number_rows(df, order), "positions")
+    sizes = _sized(placed, F.col(size))
+    starts, digits, named = placed.filter("pos = 0").select("file_name", "pos"), 1, []
+    while True:
+        first = 0 if digits == 1 else 10 ** (digits - 1)
+        shards = 10**digits - first
+        from_row = starts.withColumnRenamed("pos", "_from")
+        inside = join_null_safe(sizes, from_row, ["file_name"]).filter(
+            (F.col("pos") >= F.col("_from")) & (F.col("pos") - F.col("_from") <= shards * max_rows)
+        ).drop("_from")
+        next_starts = partial(_next_starts_written, max_bytes=max_bytes, max_rows=max_rows, digits=digits)
+        marks = stored(_followed(inside, starts, next_starts, max_rows, chunk_rows), "rolled")
+        named.append(
+            marks.filter(F.col("_nth") <= shards).withColumn("_shard", F.col("_nth") - 1 + first)
+        )
+        starts = stored(marks.filter((F.col("_nth") == shards + 1) & (F.col("pos") == F.col("_begin"))).select("file_name", "pos"), "starts")
+        if starts.isEmpty():
+            break
+        digits += 1
+    out = join_null_safe(placed.drop("shard"), reduce(DataFrame.union, named), ["file_name", "pos"])
+    return out.withColumns(
+        {"shard": F.col("_shard"), "row_in_shard": F.col("pos") - F.col("_begin")}
+    ).drop("pos", "total", "_nth", "_begin", "_shard")
 
 
 def shard_by_bytes_approx(

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paralex.operators import predicates as P
+from paralex.operators import requests as R
 from paralex.operators import sharding as S
 from paralex.plans.fixtures import FIXTURES, fixture as fx
+from paralex.session import scratch
+from paralex.sources import sinks
 
 # Lines of the raw file of each source.
 FIXTURES["raw"] = """
@@ -27,7 +30,17 @@ def admit(s, d):
                          ["file_name", "batch_id"])
 
 
+ROLLED = R.RenderConfig(model="m-1", max_tokens=64)
+
+
+def request_files(s, d):
+    """Lines of raw files to written request files, rolled by their bytes."""
+    rows = fx(s, d, "raw").select("file_name", "line_no", F.lit("Translate.").alias("system"), F.col("line").alias("user"))
+    return sinks.write_requests(R.roll_requests(rows, ROLLED, max_bytes=5000, max_rows=30), scratch(s, "requests"))
+
+
 QUERIES = {
+    "request_files": request_files,
     "shard_by_rows": lambda s, d: S.shard_by_rows(fx(s, d, "raw"), 50, first=1).select(
         "file_name", "line_no", "shard", "row_in_shard", "shard_name", "custom_id"),
     "shard_by_bytes": lambda s, d: S.shard_by_bytes(
@@ -63,6 +76,22 @@ ORACLE = {
               'full': (CASE WHEN a.full THEN x.b ELSE a.b + x.b END) >= 20000 OR (CASE WHEN a.full THEN 1 ELSE a.n + 1 END) >= 40}) AS r FROM g),
         u AS (SELECT file_name, unnest(r.out, recursive := true) FROM f)
       SELECT file_name, line_no, shard, row_number() OVER (PARTITION BY file_name, shard ORDER BY line_no) - 1 AS row_in_shard FROM u""",
+    "request_files": """
+      WITH r AS (SELECT file_name, line_no, strlen(CAST(to_json(struct_pack(custom_id := concat(file_name, '--'), method := 'POST',
+            url := '/chat/completions', body := struct_pack(model := 'm-1', messages := [struct_pack(role := 'system', content := 'Translate.'),
+              struct_pack(role := 'user', content := line)], max_tokens := 64))) AS VARCHAR)) + 1 AS bytes FROM {raw}),
+        g AS (SELECT file_name, list({'out': CAST([] AS STRUCT(shard BIGINT, n BIGINT, b BIGINT)[]), 'b': CAST(bytes AS BIGINT), 'n': CAST(0 AS BIGINT),
+            's': CAST(0 AS BIGINT)} ORDER BY line_no) AS xs FROM r GROUP BY file_name),
+        f AS (SELECT file_name, list_reduce(list_prepend({'out': CAST([] AS STRUCT(shard BIGINT, n BIGINT, b BIGINT)[]), 'b': CAST(0 AS BIGINT),
+            'n': CAST(0 AS BIGINT), 's': CAST(0 AS BIGINT)}, xs), lambda a, x: {
+            'out': list_append(a.out, {'shard': a.s, 'n': a.n, 'b': x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR))}),
+            'b': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 5000 OR a.n + 1 = 30 THEN 0
+              ELSE a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) END,
+            'n': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 5000 OR a.n + 1 = 30 THEN 0 ELSE a.n + 1 END,
+            's': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 5000 OR a.n + 1 = 30 THEN a.s + 1 ELSE a.s END}).out AS out FROM g),
+        u AS (SELECT file_name, unnest(out, recursive := true) FROM f)
+      SELECT file_name, shard, CAST(1 AS BIGINT) AS files, count(*) AS rows, CAST(sum(b) AS BIGINT) AS file_bytes,
+        concat(file_name, '-', shard, '-0') AS first_id, concat(file_name, '-', shard, '-', count(*) - 1) AS last_id FROM u GROUP BY file_name, shard""",
     "group_files_by_suffix": """
       SELECT file_name, concat('task_', (row_number() OVER (ORDER BY CAST(regexp_extract(file_name, '_(\\d+)\\.', 1) AS BIGINT), file_name) - 1) // 50) AS task_name
       FROM {files}""",
@@ -72,7 +101,7 @@ ORACLE = {
     "admit_top_k": """
       SELECT file_name, batch_id, slot FROM (SELECT file_name, batch_id, row_number() OVER (ORDER BY file_name, batch_id) AS slot
         FROM {jobs} WHERE status = 'completed')
-      WHERE slot <= (SELECT least(10000, count(*) // 8) FROM {jobs}) - (SELECT count(*) FROM {jobs} WHERE status = 'validating')""",
+      WHERE slot <= (SELECT count(*) // 8 FROM {jobs}) - (SELECT count(*) FROM {jobs} WHERE status = 'validating')""",
     "order_oldest_first": """
       SELECT file_name, max(created_at) AS mtime FROM {jobs} GROUP BY file_name
       HAVING NOT bool_or(status IN ('expired', 'validating'))""",

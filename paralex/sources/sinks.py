@@ -6,32 +6,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+LINE_END = "\n"
+
+
 def write_sharded(df: DataFrame, path: str, line: str = "line", order: str = "line_no") -> DataFrame:
     """Write text lines as one folder per file and shard; returns the manifest.
 
     Shards are bounded in rows and bytes before they get here, so grouping the
     rows of a shard in one task is bounded too, whatever file they come from.
+    A null line, or one that holds a line end, cannot be one line of a file:
+    such rows are set aside, whole, as Parquet under ``path`` with ``-rejected``.
     """
+    fits = F.coalesce(~F.contains(F.col(line), F.lit(LINE_END)), F.lit(False))
+    rejected = df.filter(~fits)
+    rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}-rejected")
     (
-        df.repartition("file_name", "shard")
+        df.filter(fits)
+        .repartition("file_name", "shard")
         .sortWithinPartitions("file_name", "shard", order)
         .select("file_name", "shard", F.col(line).alias("value"))
         .write.mode("overwrite")
         .partitionBy("file_name", "shard")
+        .option("lineSep", LINE_END)
         .text(path)
     )
     return shard_manifest(df.sparkSession, path)
 
 
+def _shard_lines(spark, path: str) -> DataFrame:
+    return spark.read.schema("value string, file_name string, shard bigint").option("lineSep", LINE_END).text(path)
+
+
 def shard_manifest(spark, path: str) -> DataFrame:
     """``file_name, shard, rows, bytes`` of written shards, line ends included."""
-    lines = spark.read.schema("value string, file_name string, shard bigint").text(path)
-    return lines.groupBy("file_name", "shard").agg(
+    return _shard_lines(spark, path).groupBy("file_name", "shard").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.octet_length("value").cast("bigint") + 1).alias("bytes"),
     )
 
 
+def write_requests(rolled: DataFrame, path: str) -> DataFrame:
+    """Write request lines that carry their shard; returns what the files hold:
+    ``file_name, shard, files, rows, file_bytes, first_id, last_id``."""
+    write_sharded(rolled, path)
+    lines = _shard_lines(rolled.sparkSession, path).select(
+        "file_name", "shard", F.get_json_object("value", "$.custom_id").alias("id"),
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+    )
+    row = F.substring_index("id", "-", -1).cast("bigint")
+    per_file = lines.groupBy("file_name", "shard", "path", "size").agg(
+        F.count(F.lit(1)).alias("rows"), F.min_by("id", row).alias("first_id"), F.max_by("id", row).alias("last_id")
+    )
+    return per_file.groupBy("file_name", "shard").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("size").alias("file_bytes"),
+        F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"),
+    )
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
