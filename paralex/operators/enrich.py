@@ -6,9 +6,13 @@ client or model.  Rows travel in Arrow batches.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -16,6 +20,7 @@ from pyspark.sql import types as T
 from paralex import fixed_values as V
 
 BatchFunction = Callable[[pd.DataFrame, int], pd.DataFrame]
+MOST_WAITING = 50_000  # rows of a task that may wait for their next attempt while others are asked
 
 
 def enrich(
@@ -24,17 +29,25 @@ def enrich(
     out_schema: T.StructType,
     max_attempts: int = 3,
     first_delay: float = V.FIRST_BACKOFF_SECONDS,
+    rows_per_call: int | None = None,
+    in_flight: int = 1,
 ) -> DataFrame:
     """Rows with the columns of ``out_schema``, ``outcome`` and ``attempts``.
 
     ``fn(batch, attempt)`` returns a frame with the columns of ``out_schema``
     for the rows it could answer, under their index in ``batch``; the others
-    are tried again after a delay that doubles.  When it raises, or returns
-    anything else, the batch is halved and each half is asked for, down to
-    single rows, so one bad row fails alone.  A row it answers with ``blocked=True`` is not tried again.  After
+    are tried again after a delay that doubles, while other rows are asked.  A
+    row it answers with ``blocked=True`` is not tried again.  After
     ``max_attempts`` a row comes out as ``failed`` with its input intact, so
     nothing is lost; outcomes are ``ok``, ``blocked`` and ``failed``.
 
+    When ``fn`` raises, or returns anything else, none of its rows is answered;
+    they are asked again in two halves, down to single rows.  Calls get smaller
+    as calls fail and larger as they succeed.  A row that failed alone is asked
+    alone in its later attempts.  ``rows_per_call`` bounds the rows of a call:
+    with 1 no row is asked twice in an attempt.  Up to ``in_flight`` calls of a
+    task run at the same time, in threads.
+
     A lost executor repeats its partitions, so ``fn`` should be idempotent;
     write the result before using it twice.
     """
@@ -49,48 +62,118 @@ def enrich(
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = batch.copy()
-            for name in fields:
-                out[name] = pd.Series([None] * len(out), index=out.index, dtype=object)
-            out["outcome"], out["attempts"] = "failed", 0
-            open_rows = batch
-            for attempt in range(1, max_attempts + 1):
-                if open_rows.empty:
-                    break
-                if attempt > 1 and first_delay > 0:
-                    time.sleep(first_delay * 2 ** (attempt - 2))
-                out.loc[open_rows.index, "attempts"] = attempt
-                for answer in _answers(fn, open_rows, attempt, fields):
-                    for name in fields:
-                        out.loc[answer.index, name] = answer[name]
-                    blocked = answer["blocked"].astype(bool) if "blocked" in answer else None
-                    out.loc[answer.index, "outcome"] = (
-                        "ok" if blocked is None else blocked.map({True: "blocked", False: "ok"})
-                    )
-                    open_rows = open_rows.drop(answer.index)
-            yield out[[f.name for f in schema.fields]]
+        with _Asking(fn, fields, rows_per_call, in_flight) as asking:
+            due: list[tuple] = []  # (time, number, rows, attempt, whether they are asked alone)
+            number, waiting = itertools.count(), 0
+            incoming: Iterator[pd.DataFrame | None] = itertools.chain(batches, itertools.repeat(None))
+            while True:
+                if due and (waiting > MOST_WAITING or due[0][0] <= time.monotonic()):
+                    batch = None
+                else:
+                    batch = next(incoming)
+                if batch is not None:
+                    rows, attempt, alone = batch.reset_index(drop=True), 1, False
+                elif due:
+                    at, _, rows, attempt, alone = heapq.heappop(due)
+                    waiting -= len(rows)
+                    time.sleep(max(0.0, at - time.monotonic()))
+                else:
+                    return
+                done, failed_alone = asking.attempt(rows, attempt, alone)
+                settled = done if attempt < max_attempts else np.ones(len(rows), bool)
+                if settled.any():
+                    yield asking.result(rows, settled, attempt)
+                later = time.monotonic() + first_delay * 2 ** (attempt - 1)
+                for rest, singly in ((~settled & ~failed_alone, False), (~settled & failed_alone, True)):
+                    if rest.any():
+                        heapq.heappush(due, (later, next(number), rows[rest], attempt + 1, singly))
+                        waiting += int(rest.sum())
 
     return df.mapInPandas(run, schema)
 
 
-def _answers(fn: BatchFunction, rows: pd.DataFrame, attempt: int, fields: list[str]) -> Iterator[pd.DataFrame]:
-    """Well-formed answers for as many of ``rows`` as possible."""
-    waiting = [rows]
-    while waiting:
-        part = waiting.pop()
+class _Asking:
+    """Calls of a caller's function, and their answers to the rows at hand."""
+
+    def __init__(self, fn: BatchFunction, fields: list[str], rows_per_call: int | None, in_flight: int):
+        self.fn, self.fields, self.most, self.in_flight = fn, fields, rows_per_call or MOST_WAITING, in_flight
+        self.size = self.most
+        self.pool = ThreadPoolExecutor(in_flight) if in_flight > 1 else None
+
+    def __enter__(self) -> _Asking:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.pool:
+            self.pool.shutdown(wait=True, cancel_futures=True)
+
+    def attempt(self, rows: pd.DataFrame, attempt: int, alone: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ask for all rows; which are answered, and which failed alone."""
+        self.values = {name: np.full(len(rows), None, object) for name in self.fields}
+        self.blocked = np.zeros(len(rows), bool)
+        self.done = done = np.zeros(len(rows), bool)
+        failed_alone = np.zeros(len(rows), bool)
+        if alone:
+            waiting = [np.array([i]) for i in range(len(rows))]
+        else:
+            waiting = [np.arange(len(rows))]
+        running: dict[Future, np.ndarray] = {}
+        while waiting or running:
+            while waiting and len(running) < self.in_flight:
+                asked = waiting.pop()
+                if len(asked) > self.size:
+                    waiting.append(asked[self.size :])
+                    asked = asked[: self.size]
+                part = rows if len(asked) == len(rows) else rows.iloc[asked]
+                if self.pool:
+                    running[self.pool.submit(self._call, part, attempt)] = asked
+                else:
+                    self._settle(asked, self._call(part, attempt), waiting, done, failed_alone)
+            if running:
+                for call in wait(running, return_when=FIRST_COMPLETED).done:
+                    self._settle(running.pop(call), call.result(), waiting, done, failed_alone)
+        return done, failed_alone
+
+    def _call(self, part: pd.DataFrame, attempt: int) -> tuple[np.ndarray, pd.DataFrame] | None:
+        """The answer and the places of its rows in ``part``; nothing if it is
+        not well formed."""
         try:
-            answer = fn(part, attempt)
-            if not answer.index.is_unique or not answer.index.isin(part.index).all():
-                raise ValueError("answers for rows that were not asked")
-            missing = [name for name in fields if name not in answer]
+            answer = self.fn(part, attempt)
+            places = part.index.get_indexer(answer.index)
+            if len(places) and (places.min() < 0 or len(np.unique(places)) < len(places)):
+                raise ValueError("answers for rows that were not asked, or asked once")
+            missing = [name for name in self.fields if name not in answer]
             if missing:
                 raise ValueError(f"answers without {missing}")
         except Exception:  # the function is the caller's: whatever it raises, its rows are not answered
-            half = len(part) // 2
-            waiting += [part.iloc[half:], part.iloc[:half]] if half else []
-        else:
-            yield answer
+            return None
+        return places, answer
+
+    def _settle(self, asked: np.ndarray, reply, waiting: list, done: np.ndarray, failed_alone: np.ndarray) -> None:
+        if reply is None:
+            half = len(asked) // 2
+            if half:
+                self.size = half
+                waiting += [asked[half:], asked[:half]]
+            else:
+                failed_alone[asked] = True
+            return
+        places, answer = reply
+        if len(asked) >= self.size:
+            self.size = min(2 * self.size, self.most)
+        at = asked[places]
+        for name in self.fields:
+            self.values[name][at] = answer[name].to_numpy(object)
+        if "blocked" in answer:
+            self.blocked[at] = answer["blocked"].to_numpy(bool)
+        done[at] = True
+
+    def result(self, rows: pd.DataFrame, settled: np.ndarray, attempt: int) -> pd.DataFrame:
+        """Settled rows with their answers, from the attempt just made."""
+        outcome = np.where(~self.done, "failed", np.where(self.blocked, "blocked", "ok"))
+        added = {name: self.values[name][settled] for name in self.fields}
+        out = rows[settled]
+        return out.assign(**added, outcome=outcome[settled].astype(object), attempts=attempt)
 
 
 def answered(df: DataFrame) -> DataFrame:
