@@ -32,7 +32,7 @@ from paralex.llm.common import SLICE, batches_of, bounded_batches, schema_of, st
 
 OPEN_BINS = 512
 # Entries of each half of a cache in a Python worker
-CACHED_WORDS, CACHED_PIECES, CACHED_OTHERS = 120_000, 250_000, 30_000
+CACHED_WORDS, CACHED_OTHERS = 300_000, 30_000
 TEXT_SLICE = 1 << 18  # characters looked up at once
 BETWEEN_WORDS = re.compile("[ \t\n\r\x0b\x0c]")
 TASKS_JOINED = 64  # tasks whose last open bins are packed together
@@ -46,7 +46,7 @@ class WordTokenizer:
     white space are encoded independently of each other.  Texts of Latin letters
     and common marks are split, normalised and cut here, and each cut is given to
     the library's model; words of other texts are given to the library whole.
-    Words and cuts met often are kept in two caches of bounded size.
+    Ids of words and cuts are kept in caches of bounded size.
     """
 
     def __init__(self, path: str):
@@ -63,22 +63,29 @@ class WordTokenizer:
         # Characters that the library's normaliser only lower-cases, each on its own, and
         # that Python splits on if and only if the library does.
         simple = [chr(c) for c in (*range(0x1C), *range(0x20, 0x130), *range(0x131, 0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F))]
-        self.odd = re.compile(f"[^{re.escape(''.join(simple))}]|{'|'.join(map(re.escape, self.special))}")
+        self.odd = re.compile(f"[^{re.escape(''.join(simple))}]")
         lowered = sorted({c.lower() for c in simple})
         among = lambda kind: re.escape("".join(c for c in lowered if regex.fullmatch(kind, c)))
         letters, numbers, spaces = map(among, (r"\p{L}", r"\p{N}", r"\s"))
         self.cuts = re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^{letters}{numbers}{spaces}]+")
-        self.pieces = _Cache(self._piece, CACHED_PIECES)
         self.words = _Cache(self._word, CACHED_WORDS)
         self.others = _Cache(self._other, CACHED_OTHERS)
 
-    def _piece(self, piece: str) -> bytes:
-        symbols = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.alphabet)
+    def _cut(self, symbols: str) -> bytes:
         return array("I", [t.id for t in self.library.model.tokenize(symbols)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         low = word.lower()
-        return self.pieces[low] if low.isalpha() else b"".join(map(self.pieces.__getitem__, self.cuts.findall(low)))
+        if low.isalpha():
+            if low != word:
+                return self.words[low]
+            return self._cut(low if low.isascii() else low.encode().decode("latin-1").translate(self.alphabet))
+        if low[:-1].isalpha() and not low[-1].isalnum():  # the usual case: a mark at the end
+            return self.words[low[:-1]] + self.words[low[-1]]
+        cuts = self.cuts.findall(low)
+        if len(cuts) == 1:
+            return self._cut(low.encode().decode("latin-1").translate(self.alphabet))
+        return b"".join(map(self.words.__getitem__, cuts))
 
     def _other(self, word: bytes) -> bytes:
         return array("I", self.library.encode(word.decode(), add_special_tokens=False).ids).tobytes()
@@ -88,7 +95,7 @@ class WordTokenizer:
         return b"".join(map(self._slice, _slices(text or "")))
 
     def _slice(self, text: str) -> bytes:
-        if self.odd.search(text):
+        if self.odd.search(text) or ("<|" in text and any(t in text for t in self.special)):
             return b"".join(map(self.others.__getitem__, text.encode().split()))
         return b"".join(map(self.words.__getitem__, text.split()))
 

@@ -47,7 +47,7 @@ def test_runs_of_other_white_space_are_one_piece(by_library):
 
 def test_small_caches_change_nothing(by_library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHED", 3)
-    for name in ("CACHED_WORDS", "CACHED_PIECES", "CACHED_OTHERS"):
+    for name in ("CACHED_WORDS", "CACHED_OTHERS"):
         monkeypatch.setattr(packing, name, 3)
     own, words = bpe.ByteBpe(BYTES), packing.WordTokenizer(WORDS)
     for text in odd_texts(100):
