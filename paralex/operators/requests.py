@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +62,16 @@ def render_translation(df: DataFrame, cfg: RenderConfig, text: str = "text") ->
     return df.withColumn("prompt", translation_prompt(text, cfg))
 
 
+def without_request(df: DataFrame, needed: Sequence[str]) -> DataFrame:
+    """Rows that lack one of the columns their request needs: those that the
+    renderer with these columns leaves out."""
+    return df.filter(~all_given(needed))
+
+
+def all_given(needed: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in needed])
+
+
 def render_sst(
     df: DataFrame,
     prompts: dict[tuple[str, str], str],
@@ -73,9 +84,9 @@ def render_sst(
 ) -> DataFrame:
     """``custom_id, system, user`` for segment translation.
 
-    Rows without id or text go.  Spaces are removed from text in the scripts of
-    ``spaced``, which do not separate words by them; ``compat=True`` removes
-    them from any language.
+    Rows without id or text are left out (:func:`without_request` returns them).
+    Spaces are removed from text in the scripts of ``spaced``, which do not
+    separate words by them; ``compat=True`` removes them from any language.
     """
     user = F.col(text)
     if compat or src_lang in spaced:
@@ -91,7 +102,7 @@ def render_norm(
 ) -> DataFrame:
     """``custom_id, system, user``: the task prompt, if any, and the text as is.
 
-    Rows without id or text go to the rejected side (filter on null).
+    Rows without id or text are left out (:func:`without_request` returns them).
     """
     return df.dropna(subset=[id_col, text]).select(
         F.col(id_col).alias("custom_id"), F.lit(system).cast("string").alias("system"),
@@ -102,12 +113,16 @@ def render_norm(
 def render_extract(
     df: DataFrame, system: str, template: str, id_col: str, source: str, target: str
 ) -> DataFrame:
-    """Fill ``{transcription}`` and ``{translation}`` of a term template."""
+    """Fill ``{transcription}`` and ``{translation}`` of a term template.
+
+    Rows without id, source or target are left out (:func:`without_request`
+    returns them).
+    """
     user = F.replace(
         F.replace(F.lit(template), F.lit("{transcription}"), F.col(source)),
         F.lit("{translation}"), F.col(target),
     )
-    return df.dropna(subset=[source, target]).select(
+    return df.dropna(subset=[id_col, source, target]).select(
         F.col(id_col).alias("custom_id"), F.lit(system).alias("system"), user.alias("user")
     )
 
@@ -115,10 +130,11 @@ def render_extract(
 def render_topic(
     topics: DataFrame, template: str, num: int, lang: str, topic: str = "topic"
 ) -> DataFrame:
-    """One request per topic path; no system message, the path is the id."""
+    """One request per topic path; no system message, the path is the id.  Null
+    paths are left out (:func:`without_request` returns them)."""
     filled = template.replace("[num]", str(num)).replace("[language]", CHINESE[lang])
     user = F.replace(F.lit(filled), F.lit("[topic]"), F.concat(F.lit("["), F.col(topic), F.lit("]")))
-    return topics.select(
+    return topics.dropna(subset=[topic]).select(
         F.col(topic).alias("custom_id"), F.lit(None).cast("string").alias("system"), user.alias("user")
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paralex import fixed_values as V
 from paralex.functions.core import epoch_to_local
 from paralex.functions.labels import ALL_LABELS, labelled_map
+from paralex.operators.sharding import join_null_safe
 
 
 TOKENS = ["total_tokens", "send_tokens", "receive_tokens", "send_chars", "receive_chars"]
@@ -46,13 +47,17 @@ def usage_by_file(results: DataFrame, send_chars: Column, created: str | None =
     )
 
 
-def join_stats_state(stats: DataFrame, state: DataFrame) -> DataFrame:
+def join_stats_state(stats: DataFrame, state: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Finish time of each file from the job ledger, epoch 0 when unknown.
 
-    Both sides hold one row per file; the join strategy is left to AQE.
+    ``keys``, such as a configuration, tell files of the same name apart; they
+    are columns of both sides, and null keys meet.  Of several states of a file
+    the latest finish time counts, so no file comes out twice.  The join strategy
+    is left to AQE.
     """
-    finished = state.select("file_name", "completed_at")
-    return stats.join(finished, "file_name", "left").withColumn(
+    on = [*keys, "file_name"]
+    finished = state.groupBy(*on).agg(F.max("completed_at").alias("completed_at"))
+    return join_null_safe(stats, finished, on, "left").withColumn(
         "completed_at", F.coalesce("completed_at", F.lit(0).cast("bigint"))
     )
 

@@ -40,7 +40,25 @@ def split_jobs(s, d):
     return jobs.filter("created_at < timestamp'1998-01-01'"), jobs.filter("created_at >= timestamp'1998-01-01'")
 
 
+def states_of_configs(s, d):
+    """The same files finished at other times under another configuration, and
+    some of them twice."""
+    state = A.latest_state(s, d).filter("file_name <> 'part-src3.jsonl'").select("file_name", "completed_at")
+    later = lambda n: F.col("completed_at") + n
+    return state.withColumn("config", F.lit("chat")).unionByName(
+        state.withColumns({"config": F.lit("role"), "completed_at": later(60)})
+    ).unionByName(state.filter("file_name = 'part-src1.jsonl'").withColumns({"config": F.lit("role"), "completed_at": later(7)}))
+
+
+def usage_of_configs(s, d):
+    usage = A.usage(s, d)
+    both = usage.withColumn("config", F.lit("chat")).unionByName(usage.withColumn("config", F.lit("role")))
+    return both.unionByName(usage.withColumn("config", F.lit("new")))
+
+
 QUERIES = {
+    "join_stats_state_configs": lambda s, d: join_stats_state(
+        usage_of_configs(s, d), states_of_configs(s, d), ["config"]).select("config", "file_name", "lines", "completed_at"),
     "join_supplement": lambda s, d: J.join_supplement(
         fx(s, d, "wide").select("id", "en", "fr", "de"), fx(s, d, "supplement"), ["fr", "de", "pt"]),
     "join_supplement_missing": lambda s, d: J.join_supplement(
@@ -89,6 +107,12 @@ ORACLE = {
       SELECT r.file_name, count(*) AS lines, CASE WHEN r.file_name = 'part-src3.jsonl' THEN 0 ELSE any_value(m) END AS completed_at
       FROM {results} r JOIN (SELECT file_name, max(created) AS m FROM {results} GROUP BY file_name) t ON t.file_name = r.file_name
       WHERE answer <> '' AND length(en) % 23 <> 0 GROUP BY r.file_name""",
+    "join_stats_state_configs": """
+      SELECT config, r.file_name, count(*) AS lines, CASE WHEN r.file_name = 'part-src3.jsonl' OR config = 'new' THEN 0
+          WHEN config = 'role' THEN any_value(m) + 60 ELSE any_value(m) END AS completed_at
+      FROM {results} r JOIN (SELECT file_name, max(created) AS m FROM {results} GROUP BY file_name) t ON t.file_name = r.file_name,
+        (SELECT unnest(['chat', 'role', 'new']) AS config) c
+      WHERE answer <> '' AND length(en) % 23 <> 0 GROUP BY config, r.file_name""",
     "anti_join_resume": "SELECT file_name FROM {jobs} GROUP BY file_name HAVING NOT bool_or(status = 'completed' AND file_status = 'Deleted')",
     "set_diff_pending": "SELECT file_name FROM {jobs} GROUP BY file_name HAVING NOT bool_or(status IN ('expired', 'cancelled', 'validating'))",
     "semi_join_inventory": f"WITH {LISTED} SELECT * FROM l WHERE path IN (SELECT path FROM {{stored}})",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +21,18 @@ ANSWER = T.StructType([T.StructField("answer", T.StringType())])
 @dataclass(frozen=True)
 class Task:
     """``render`` maps rows to ``custom_id, system, user``; ``parse`` maps
-    ``id, answer, messages`` to the result."""
+    ``id, answer, messages`` to the result.  ``also`` names columns that a
+    request needs besides id and text."""
 
     id_col: str
     text_col: str
     render: Callable[[DataFrame, "Task", dict], DataFrame]
     parse: Callable[[DataFrame, dict], DataFrame]
+    also: Callable[[dict], tuple[str, ...]] = lambda options: ()
+
+    def needed(self, options: dict) -> list[str]:
+        """Columns without which a row has no request."""
+        return list(dict.fromkeys([self.id_col, self.text_col, *self.also(options)]))
 
 
 def _render_translation(df: DataFrame, task: Task, options: dict) -> DataFrame:
@@ -61,6 +67,7 @@ TASKS: dict[str, Task] = {
         "wav_path", "zh-cn",
         lambda df, t, o: R.render_extract(df, o["system"], o["template"], t.id_col, t.text_col, o.get("target", "en")),
         lambda df, o: X.post_extract(df),
+        lambda o: (o.get("target", "en"),),
     ),
 }
 
@@ -88,19 +95,22 @@ def run_task(
     ``fn`` sees ``custom_id, system, user`` and returns ``answer``.  ``columns``
     replaces the task's id and text columns.  With ``file_name`` and
     ``line_no`` columns, repeated ids of a file are asked once.  Rows without
-    id or text are rejected; those and the rows without an answer are the rest.
+    a column that their request needs are rejected; those and the rows without an answer are the rest.
     Answers are written before they are used twice.
     """
     spec = TASKS[task]
     if columns:
-        spec = Task(columns[0], columns[1], spec.render, spec.parse)
+        spec = replace(spec, id_col=columns[0], text_col=columns[1])
     if {"file_name", "line_no"} <= set(df.columns):
         df = dedupe_first(df, spec.id_col)
-    usable = F.col(f"`{spec.id_col}`").isNotNull() & F.col(f"`{spec.text_col}`").isNotNull()
-    requests = spec.render(df, spec, options)
+    # Split once: a row is either rendered or rejected.
+    needed = spec.needed(options)
+    requests = spec.render(df.filter(R.all_given(needed)), spec, options)
+    rejected = R.without_request(df, needed).select(
+        F.col(f"`{spec.id_col}`").cast("string").alias("id"), F.lit("rejected").alias("outcome")
+    )
     asked = stored(enrich(requests, fn, ANSWER, max_attempts, first_delay), "answers")
     answers = answered(asked)
-    rejected = df.filter(~usable).select(F.col(f"`{spec.id_col}`").cast("string").alias("id"), F.lit("rejected").alias("outcome"))
     rest = asked.filter("outcome <> 'ok'").select(F.col("custom_id").cast("string").alias("id"), "outcome").unionByName(rejected)
     decoded = answers.select(
         F.col("custom_id").alias("id"), "answer",

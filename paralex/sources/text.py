@@ -76,21 +76,42 @@ def read_keyed_prompts(df: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def read_alignment(df: DataFrame, line: str = "line") -> DataFrame:
-    """``pos, word, start_ms, end_ms`` per entry of a word-alignment object.
-
-    Seconds become whole milliseconds, cut not rounded.
-    """
+def _alignment(df: DataFrame, line: str) -> tuple[DataFrame, list[str], Column]:
+    """One row per entry, or one with null ``pos`` for a line without any; the
+    kept columns, and whether an entry is well formed."""
     entries = F.from_json(
         line, "struct<tiers:struct<words:struct<entries:array<array<string>>>>>"
     )["tiers"]["words"]["entries"]
-    ms = lambda i: F.floor(F.get("_e", i).cast("double") * 1000).cast("int")
-    return df.select(
-        *[c for c in df.columns if c != line], F.posexplode(entries).alias("pos", "_e")
+    kept = [c for c in df.columns if c != line]
+    ms = lambda i: F.floor(F.get("_e", i).try_cast("double") * 1000).try_cast("int")
+    rows = df.withColumn("_entries", entries).select(
+        *kept, line, F.col("_entries").isNull().alias("_none"), F.posexplode_outer("_entries").alias("pos", "_e")
     ).select(
-        *[c for c in df.columns if c != line], "pos", F.get("_e", 2).alias("word"),
-        ms(0).alias("start_ms"), ms(1).alias("end_ms"),
+        *kept, line, "_none", "pos", F.get("_e", 2).alias("word"), ms(0).alias("start_ms"), ms(1).alias("end_ms"),
+        F.to_json("_e").alias("entry"),
     )
+    good = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull() & F.col("word").isNotNull()
+    return rows, kept, good
+
+
+def read_alignment(df: DataFrame, line: str = "line") -> DataFrame:
+    """``pos, word, start_ms, end_ms`` per entry of a word-alignment object.
+
+    Seconds become whole milliseconds, cut not rounded.  Entries without a word
+    or with a time that is no number, and lines that are no such object, are
+    returned by :func:`bad_alignment`.
+    """
+    rows, kept, good = _alignment(df, line)
+    return rows.filter(F.col("pos").isNotNull() & good).select(*kept, "pos", "word", "start_ms", "end_ms")
+
+
+def bad_alignment(df: DataFrame, line: str = "line") -> DataFrame:
+    """What :func:`read_alignment` cannot read: ``pos`` and ``entry`` of a
+    malformed entry, or the whole ``line`` where it is no alignment object.  (An
+    object with an empty list has no entries and is not bad.)"""
+    rows, kept, good = _alignment(df, line)
+    bad = rows.filter(F.col("_none") | (F.col("pos").isNotNull() & ~good))
+    return bad.select(*kept, "pos", F.when(F.col("_none"), F.col(line)).otherwise(F.col("entry")).alias("entry"))
 
 
 COUNTERS = ["lines", "total_tokens", "send_tokens", "receive_tokens", "send_chars", "receive_chars"]
