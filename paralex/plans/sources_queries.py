@@ -72,6 +72,23 @@ UNION ALL SELECT concat('n', CAST(n_nationkey AS STRING)), concat('r', CAST(n_re
 UNION ALL SELECT concat('c', CAST(c_custkey AS STRING)), concat('n', CAST(c_nationkey AS STRING)), c_name FROM {customer}
 """
 
+# JSON trees of mixed depth: lines of a document, numbers, lists in lists, empty
+# objects; some texts are cut off.
+_TREE = (
+    "SELECT doc_id, concat('{{\"', lang, '\":{{\"', source, '\":', {lines}, ',\"n\":', CAST(n_chars AS STRING), ',\"deep\":', "
+    "repeat('[{{\"k\":', CAST(doc_id % 5 AS INT)), '\"end\"', repeat('}},[]]', CAST(doc_id % 5 AS INT)), '}},\"none\":{{}},\"at\":[null,\"x\"]', "
+    "CASE WHEN doc_id % 53 = 7 THEN '' ELSE '}}' END) AS tree FROM {{documents}}"
+)
+FIXTURES["json_trees"] = (
+    _TREE.format(lines="to_json(split(text, '\\n'))"), _TREE.format(lines="CAST(to_json(string_split(text, chr(10))) AS VARCHAR)"))
+# The nodes with some that hang on no root: below a missing node, in cycles, and below those.
+FIXTURES["torn_nodes"] = """
+SELECT * FROM {nodes}
+UNION ALL SELECT concat('o', CAST(o_orderkey AS STRING)), CASE o_orderkey % 4 WHEN 0 THEN concat('c', CAST(o_custkey AS STRING))
+  WHEN 1 THEN concat('gone', CAST(o_custkey AS STRING)) WHEN 2 THEN concat('o', CAST(o_orderkey AS STRING))
+  ELSE concat('o', CAST(o_orderkey - 1 AS STRING)) END, o_orderstatus FROM {orders}
+"""
+
 EVENT = T.StructType([T.StructField("k", T.LongType())])
 
 
@@ -112,6 +129,11 @@ QUERIES = {
     "scan_keyed_prompts": lambda s, d: S.read_keyed_prompts(fx(s, d, "keyed_lines")),
     "scan_topic_tree": tree,
     "scan_topic_paths": lambda s, d: S.flatten_paths(fx(s, d, "nodes")),
+    "scan_json_tree": lambda s, d: S.flatten_json(fx(s, d, "json_trees")).select(
+        "doc_id", F.array_join("place", ".").alias("place"), "topic"),
+    "scan_json_tree_bad": lambda s, d: S.bad_trees(fx(s, d, "json_trees")).select("doc_id"),
+    "scan_torn_paths": lambda s, d: S.tree_paths(fx(s, d, "torn_nodes"))[0],
+    "scan_torn_paths_rejected": lambda s, d: S.tree_paths(fx(s, d, "torn_nodes"))[1],
     "sink_sharded_jsonl": sharded,
     "sink_metrics_table": lambda s, d: sinks.write_report(A.usage_report(s, d), scratch(s, "report")),
     "sink_vocab": lambda s, d: sinks.write_vocabulary(
@@ -179,6 +201,29 @@ ORACLE = {
       WITH RECURSIVE p AS (SELECT node, label AS topic FROM {nodes} WHERE parent IS NULL
         UNION ALL SELECT n.node, p.topic || '-' || n.label FROM {nodes} n JOIN p ON n.parent = p.node)
       SELECT node, topic FROM p WHERE node NOT IN (SELECT parent FROM {nodes} WHERE parent IS NOT NULL)""",
+    "scan_json_tree": """
+      WITH RECURSIVE w AS (SELECT doc_id, CAST(tree AS JSON) AS v, CAST('' AS VARCHAR) AS place, CAST([] AS VARCHAR[]) AS path
+          FROM {json_trees} WHERE json_valid(tree)
+        UNION ALL SELECT doc_id, CASE WHEN object THEN json_extract(v, concat('$."', k, '"')) ELSE json_extract(v, concat('$[', k, ']')) END,
+            concat(place, CASE WHEN place = '' THEN '' ELSE '.' END, i), CASE WHEN object THEN list_append(path, k) ELSE path END
+          FROM (SELECT doc_id, v, place, path, json_type(v) = 'OBJECT' AS object, unnest(ks) AS k, unnest(range(len(ks))) AS i
+            FROM (SELECT *, CASE WHEN json_type(v) = 'OBJECT' THEN list_sort(json_keys(v))
+                ELSE list_transform(range(CAST(json_array_length(v) AS BIGINT)), lambda x: CAST(x AS VARCHAR)) END AS ks FROM w WHERE json_type(v) IN ('OBJECT', 'ARRAY')))),
+        l AS (SELECT doc_id, place, CASE WHEN json_type(v) = 'VARCHAR' THEN list_append(path, v ->> '$') ELSE path END AS parts
+          FROM w WHERE json_type(v) NOT IN ('OBJECT', 'ARRAY'))
+      SELECT doc_id, place, array_to_string(parts, '-') AS topic FROM l WHERE len(parts) > 0""",
+    "scan_json_tree_bad": "SELECT doc_id FROM {json_trees} WHERE NOT json_valid(tree)",
+    "scan_torn_paths": """
+      WITH RECURSIVE p AS (SELECT node, label AS topic FROM {torn_nodes} WHERE parent IS NULL
+        UNION ALL SELECT n.node, p.topic || '-' || n.label FROM {torn_nodes} n JOIN p ON n.parent = p.node)
+      SELECT node, topic FROM p WHERE node NOT IN (SELECT parent FROM {torn_nodes} WHERE parent IS NOT NULL)""",
+    "scan_torn_paths_rejected": """
+      WITH RECURSIVE p AS (SELECT node FROM {torn_nodes} WHERE parent IS NULL
+        UNION ALL SELECT n.node FROM {torn_nodes} n JOIN p ON n.parent = p.node),
+        o AS (SELECT node FROM {torn_nodes} WHERE parent NOT IN (SELECT node FROM {torn_nodes})
+        UNION ALL SELECT n.node FROM {torn_nodes} n JOIN o ON n.parent = o.node)
+      SELECT node, parent, label, CASE WHEN node IN (SELECT node FROM o) THEN 'orphan' ELSE 'cycle' END AS reason
+      FROM {torn_nodes} WHERE node NOT IN (SELECT node FROM p)""",
     "sink_sharded_jsonl": """
       SELECT file_name, p // 200 AS shard, count(*) AS rows, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes FROM
         (SELECT file_name, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no) - 1 AS p FROM {raw}) GROUP BY ALL""",

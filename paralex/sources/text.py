@@ -3,8 +3,8 @@ word alignments and label trees."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -186,24 +186,107 @@ def flatten_tree(df: DataFrame, tree: str = "tree", sep: str = "-") -> DataFrame
     return third.select(*kept, "_i", "_j", "_k", F.concat_ws(sep, "_a", "_b", "_c").alias("topic"))
 
 
-def flatten_paths(df: DataFrame, sep: str = "-") -> DataFrame:
-    """Paths of a tree of any depth held as ``node, parent, label`` rows.
+def json_depth(json: str | Column) -> Column:
+    """How deep the brackets of a JSON text are nested; those in strings do not count."""
+    bare = F.regexp_replace(col(json), r'"(?:[^"\\]|\\.)*+"', "")
+    step = lambda s, b: F.struct(
+        (s["now"] + F.when(b.isin("{", "["), 1).otherwise(-1)).alias("now"),
+        F.greatest(s["most"], s["now"] + F.when(b.isin("{", "["), 1).otherwise(0)).alias("most"),
+    )
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    return F.aggregate(F.regexp_extract_all(bare, F.lit(r"[\[\]{}]"), 0), zero, step, lambda s: s["most"])
+
+
+def flatten_json(df: DataFrame, json: str = "tree", sep: str = "-") -> DataFrame:
+    """Root-to-leaf paths of JSON trees of any and mixed depth.
+
+    Objects add the name of a member to the path, lists nothing; a leaf that is
+    a string is the last part, other leaves (numbers, null) add nothing.  Paths
+    without a part, and empty objects and lists, give no row.  ``place`` holds
+    the position on every level: members by name (VARIANT keeps no other order),
+    list elements in theirs.  Text that is no JSON is returned by
+    :func:`bad_trees`.
+
+    One level is one generator over the rows of its own task: the plan has as
+    many as the deepest tree has levels, which one pass finds first, and no
+    exchange.
+    """
+    depth = df.agg(F.max(json_depth(json))).first()[0] or 0
+    kept = [c for c in df.columns if c != json]
+    row = F.struct(*kept) if kept else F.struct(F.lit(0).alias("_"))
+    walk = df.select(
+        row.alias("row"), F.try_parse_json(json).alias("v"), F.array().cast("array<int>").alias("place"),
+        F.array().cast("array<string>").alias("path"),
+    ).filter("v IS NOT NULL")
+    for _ in range(depth):
+        holds = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")
+        here = walk.select("*", F.when(holds, F.col("v")).alias("inner")).alias("t")
+        inside = df.sparkSession.tvf.variant_explode_outer(F.col("t.inner").outer()).alias("e")
+        found = F.col("e.pos").isNotNull()
+        walk = here.lateralJoin(inside).filter(F.col("t.inner").isNull() | found).select(
+            F.col("t.row").alias("row"), F.when(found, F.col("e.value")).otherwise(F.col("t.v")).alias("v"),
+            F.when(found, F.concat("t.place", F.array("e.pos"))).otherwise(F.col("t.place")).alias("place"),
+            F.when(F.col("e.key").isNotNull(), F.concat("t.path", F.array("e.key"))).otherwise(F.col("t.path")).alias("path"),
+        )
+    text = F.when(F.schema_of_variant("v") == "STRING", F.array(F.col("v").cast("string"))).otherwise(F.array().cast("array<string>"))
+    empty = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")  # only empty ones are left unopened
+    parts = walk.filter(~empty).select("row", "place", F.concat("path", text).alias("parts")).filter(F.size("parts") > 0)
+    return parts.select(*[F.col(f"row.`{c}`") for c in kept], "place", F.array_join("parts", sep).alias("topic"))
+
+
+def bad_trees(df: DataFrame, json: str = "tree") -> DataFrame:
+    """Rows whose text is null or no JSON (or repeats a name in an object)."""
+    return df.filter(F.try_parse_json(json).isNull())
 
-    One join per level, until a level has no children; a root has no parent.
-    Returns the leaves as ``node, topic``.  Nodes of a cycle hang on no root and
-    do not appear.
+
+def _rooted(edges: DataFrame) -> DataFrame:
+    """``row`` and ``ends`` of every edge: at a ``root``, at a missing parent
+    (``orphan``) or in a ``cycle``.
+
+    Pointers are doubled: after each turn they lead twice as far up.  Nodes that
+    have not come to an end when pointers are longer than the table never do.
     """
-    edges = df.select("node", "parent", "label")
-    level = edges.filter("parent IS NULL").select("node", F.col("label").alias("topic"))
-    levels = []
-    while True:
-        level = stored(level, "level")
-        if level.isEmpty():
+    turns = math.ceil(math.log2(edges.count() + 1)) + 1
+    root = F.when(F.col("up").isNull(), F.lit("root"))
+    state = stored(edges.select("row", "node", F.col("parent").alias("up")).withColumn("ends", root), "pointers")
+    for _ in range(turns):
+        moving = state.filter("ends IS NULL")
+        if moving.isEmpty():
             break
-        levels.append(level)
-        level = (
-            edges.join(level.withColumnRenamed("node", "parent"), "parent")
-            .select("node", F.concat_ws(sep, "topic", "label").alias("topic"))
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("ends").alias("_ends"), F.lit(True).alias("_met"))
+        moved = moving.drop("ends").join(above.filter("up IS NOT NULL"), "up", "left").select(
+            "row", "node", F.col("_up").alias("up"), F.when(F.col("_met").isNull(), F.lit("orphan")).otherwise(F.col("_ends")).alias("ends")
+        )
+        state = stored(state.filter("ends IS NOT NULL").unionByName(moved), "pointers")
+    # A row may have several chains where a node is listed more than once.
+    best = F.min_by(F.coalesce("ends", F.lit("cycle")), F.when(F.col("ends") == "root", 0).when(F.col("ends") == "orphan", 1).otherwise(2))
+    return state.groupBy("row").agg(best.alias("ends"))
+
+
+def tree_paths(df: DataFrame, sep: str = "-") -> tuple[DataFrame, DataFrame]:
+    """Leaves, as ``node, topic``, of a tree of any depth held as ``node,
+    parent, label`` rows, and the rows that hang on no root, with ``reason``
+    ``orphan`` or ``cycle``.
+
+    A root has no parent.  Paths are put together by doubling, so the number of
+    joins is the logarithm of the depth, not the depth.  A node listed more than
+    once has a path for each way up.
+    """
+    rows = stored(df.select("node", "parent", "label").withColumn("row", F.monotonically_increasing_id()), "edges")
+    ends = stored(_rooted(rows), "ends")
+    edges = rows.join(ends, "row")
+    rejected = edges.filter("ends <> 'root'").select("node", "parent", "label", F.col("ends").alias("reason"))
+    paths = stored(edges.filter("ends = 'root'").select("node", F.col("parent").alias("up"), F.col("label").alias("topic")), "paths")
+    while not paths.filter("up IS NOT NULL").isEmpty():
+        above = paths.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("topic").alias("_topic"))
+        longer = paths.filter("up IS NOT NULL").join(above, "up").select(
+            "node", F.col("_up").alias("up"), F.concat_ws(sep, "_topic", "topic").alias("topic")
         )
-    nodes = reduce(DataFrame.union, levels, level)
-    return nodes.join(edges.select(F.col("parent").alias("node")).filter("node IS NOT NULL"), "node", "left_anti")
+        paths = stored(paths.filter("up IS NULL").unionByName(longer), "paths")
+    inner = rows.select(F.col("parent").alias("node")).filter("node IS NOT NULL")
+    return paths.select("node", "topic").join(inner, "node", "left_anti"), rejected
+
+
+def flatten_paths(df: DataFrame, sep: str = "-") -> DataFrame:
+    """The leaves of :func:`tree_paths`."""
+    return tree_paths(df, sep)[0]
