@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paralex.sources.parts import completed_lines, list_parts
+
 
 def _first(df: DataFrame, keys: Sequence[str], *order: str | Column) -> DataFrame:
     """First row per key.  The rank filter also runs before the shuffle (each
@@ -87,12 +89,11 @@ def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def read_completed(spark: SparkSession, folder: str, ledger: DataFrame, schema) -> DataFrame:
-    """Rows of the completed part files of a folder; the ledger is a join, so
-    any number of parts is one scan."""
-    rows = spark.read.schema(schema).json(folder).withColumn(
-        "file_name", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    )
-    return rows.join(ledger.select("file_name").filter(F.endswith("file_name", F.lit("jsonl"))), "file_name", "left_semi")
+    """Rows of the completed part files of a folder, with their ``file_name``;
+    other files are not opened."""
+    named = ledger.select(F.lit("").alias("config"), F.col("file_name").alias("name"))
+    lines = completed_lines(list_parts(spark, {"": folder}), named.filter(F.endswith("name", F.lit("jsonl"))))
+    return lines.select("file_name", F.from_json("line", schema).alias("_row")).select("file_name", "_row.*")
 
 
 def ledger_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], seq: str = "seq") -> DataFrame:

@@ -12,7 +12,7 @@ from paralex.operators.vocabulary import char_vocabulary
 from paralex.plans import aggregates_queries as A
 from paralex.plans.fixtures import FIXTURES, fixture as fx, table
 from paralex.session import scratch
-from paralex.sources import jsonl, sinks
+from paralex.sources import jsonl, parts, sinks
 from paralex.sources import text as S
 from paralex.sources.results import read_results
 
@@ -89,6 +89,44 @@ UNION ALL SELECT concat('o', CAST(o_orderkey AS STRING)), CASE o_orderkey % 4 WH
   ELSE concat('o', CAST(o_orderkey - 1 AS STRING)) END, o_orderstatus FROM {orders}
 """
 
+# Complete parts of three configurations whose parts have the same names; some
+# names stand for no file, and some are no part.
+FIXTURES["ledgers"] = """
+SELECT DISTINCT c.config, concat('part=part-', source, CASE WHEN c.config = 'c' AND length(source) = 4 THEN '.json' ELSE '.jsonl' END) AS name
+FROM {documents} d JOIN (SELECT 'a' AS config, 0 AS odd UNION ALL SELECT 'b', 1 UNION ALL SELECT 'c', 0 UNION ALL SELECT 'c', 1) c
+  ON length(source) % 2 = c.odd
+UNION ALL SELECT 'b', concat('part=lost-', r_name, '.jsonl') FROM {region}
+"""
+
+PART = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "en", "fr")])
+CONFIGS = ("a", "b", "c")
+
+
+def written_parts(s, d):
+    """Folders of parts and ledger files of three configurations."""
+    path = scratch(s, "parts")
+    config = F.element_at(F.array(*map(F.lit, CONFIGS)), (F.col("doc_id") % 3 + 1).cast("int"))
+    fx(s, d, "parallel").select(
+        config.alias("config"), F.concat(F.lit("part-"), "source", F.lit(".jsonl")).alias("part"),
+        F.to_json(F.struct("id", "en", "fr")).alias("value"),
+    ).repartition("config", "part").write.partitionBy("config", "part").text(path)
+    names = F.map_from_entries(F.collect_list(F.struct("name", F.lit("done").alias("state"))))
+    ledger = scratch(s, "ledgers")
+    fx(s, d, "ledgers").groupBy("config").agg(F.to_json(names).alias("value")).repartition("config").write.partitionBy("config").text(ledger)
+    at = lambda root: {c: f"{root}/config={c}" for c in CONFIGS}
+    return at(path), parts.read_ledgers(s, at(ledger))
+
+
+def completed(s, d):
+    folders, ledger = written_parts(s, d)
+    return parts.read_completed(s, folders, ledger, PART)[0].select("config", "file_name", "id", "en", "fr")
+
+
+def missing(s, d):
+    folders, ledger = written_parts(s, d)
+    return parts.missing_parts(parts.list_parts(s, folders), ledger)
+
+
 EVENT = T.StructType([T.StructField("k", T.LongType())])
 
 
@@ -127,6 +165,8 @@ QUERIES = {
     "scan_bad_run_logs": lambda s, d: S.bad_run_logs(fx(s, d, "run_logs")),
     "scan_run_logs": lambda s, d: S.read_run_logs(fx(s, d, "run_logs")),
     "scan_keyed_prompts": lambda s, d: S.read_keyed_prompts(fx(s, d, "keyed_lines")),
+    "scan_completed_parts": completed,
+    "scan_missing_parts": missing,
     "scan_topic_tree": tree,
     "scan_topic_paths": lambda s, d: S.flatten_paths(fx(s, d, "nodes")),
     "scan_json_tree": lambda s, d: S.flatten_json(fx(s, d, "json_trees")).select(
@@ -192,6 +232,12 @@ ORACLE = {
     "scan_keyed_prompts":
         "SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 4, '0') AS key, json_extract_string(line, '$.' || lpad(CAST(doc_id AS VARCHAR), 4, '0')) AS prompt "
         "FROM (SELECT * FROM {keyed_lines} WHERE json_valid(line)) WHERE line <> '{}'",
+    "scan_completed_parts": """
+      SELECT l.config, l.name AS file_name, id, en, fr FROM {parallel} p
+      JOIN {ledgers} l ON l.name = concat('part=part-', source, '.jsonl') AND l.config = ['a', 'b', 'c'][doc_id % 3 + 1]""",
+    "scan_missing_parts": """
+      SELECT config, name FROM {ledgers} WHERE name LIKE '%jsonl' AND (config, name) NOT IN
+        (SELECT (['a', 'b', 'c'][doc_id % 3 + 1], concat('part=part-', source, '.jsonl')) FROM {documents})""",
     "scan_topic_tree": """
       SELECT doc_id, 0 AS branch, unnest(range(len(l))) AS leaf, concat_ws('-', lang, source, unnest(l)) AS topic
       FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS l FROM {documents})
