@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paralex.operators.sharding import join_null_safe
 from paralex.sources.parts import completed_lines, list_parts
 
 
@@ -96,6 +97,43 @@ def read_completed(spark: SparkSession, folder: str, ledger: DataFrame, schema)
     return lines.select("file_name", F.from_json("line", schema).alias("_row")).select("file_name", "_row.*")
 
 
+def _above(path: str) -> Column:
+    """The paths that a path goes on from, the empty one first."""
+    steps = F.sequence(F.lit(0), F.size(path) - 1)
+    return F.when(F.size(path) > 0, F.transform(steps, lambda n: F.slice(path, 1, n)))
+
+
+def deep_merge_leaves(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge ledgers of any depth held as one row per leaf: ``keys`` of the
+    ledger, ``path`` and ``value``, as JSON text (``json_leaves``).
+
+    Objects merge, anything else of ``new`` replaces what ``old`` has there.  So
+    an old leaf goes if ``new`` has a leaf at its path, a path that goes on from
+    it, or a leaf above it.  An empty object above it merges; one of ``new`` goes
+    itself if the old ledger has leaves below it, one of ``old`` if the new one
+    has.  Leaf paths are unique on each side; null keys are keys.
+
+    Paths above a leaf are made distinct before they meet the other side, so a
+    ledger, or an object in it, with most of the leaves sends each path once.
+    """
+    on = [*keys, "path"]
+    empty = F.col("value") == "{}"
+    beneath = lambda df: df.select(*keys, F.explode(_above("path")).alias("path")).distinct()
+    # All paths of the new ledger, of leaves and of objects.
+    there = new.select(*on).unionByName(beneath(new))
+    kept = join_null_safe(old, there, on, "left_anti")
+    # New leaves, but no empty objects, above old ones: all below them goes.
+    replaced = join_null_safe(beneath(old), new.filter(~empty).select(*on), on, "left_semi")
+    gone = join_null_safe(
+        kept.select(*on, F.explode(_above("path")).alias("_above")).withColumnRenamed("path", "_leaf_path").withColumnRenamed("_above", "path"),
+        replaced, on, "left_semi",
+    ).select(*keys, F.col("_leaf_path").alias("path")).distinct()
+    kept = join_null_safe(kept, gone, on, "left_anti")
+    # Empty new objects that the old ledger fills.
+    filled = join_null_safe(new.filter(empty).select(*on), beneath(old), on, "left_semi")
+    return kept.select(*on, "value").unionByName(join_null_safe(new, filled, on, "left_anti").select(*on, "value"))
+
+
 def ledger_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], seq: str = "seq") -> DataFrame:
     """Ledger with one row per key, the latest record of either side; a new
     record replaces an old one of the same ``seq``."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paralex.operators import predicates as P
+from paralex.operators.relational import deep_merge_leaves
 from paralex.plans.fixtures import FIXTURES, fixture as fx
+from paralex.sources.text import json_leaves
 
 FIXTURES["wide"] = """
 SELECT id, source AS path, en, nullif(fr, '') AS fr, nullif(de, '') AS de, es,
@@ -49,6 +51,25 @@ def usable_blocks(spark, sf):
     return P.filter_noise_lines(blocks, body="block")
 
 
+# Nested ledgers of each customer, before and after: objects that grow, shrink, become
+# values and the reverse, lists and empty objects.
+FIXTURES["ledger_pairs"] = """
+SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN concat('{"s":{"id":', CAST(c_custkey AS STRING), ',"t":{"a":1,"b":[1,{"c":2}]}},"x":{"y":{"z":1}}}')
+    WHEN 1 THEN '{"s":5,"x":{}}' WHEN 2 THEN '{"s":{"t":"v"},"k":{"a":{}}}' WHEN 3 THEN '{}' ELSE '{"s":{"id":{"deep":{"er":"w"}}},"l":[]}' END AS before,
+  CASE c_custkey % 7 WHEN 0 THEN '{"s":{"t":{"b":7}},"x":{"y":2}}' WHEN 1 THEN '{"s":{"id":{"deep":3}},"x":{"y":{"w":{"q":1}}}}'
+    WHEN 2 THEN concat('{"s":"gone","k":{"a":{"b":', CAST(c_custkey AS STRING), '}}}') WHEN 3 THEN '{"x":{},"s":{}}' WHEN 4 THEN '{"s":{"t":{}},"k":{}}'
+    WHEN 5 THEN '{}' ELSE '{"s":{"id":{"deep":{"er":{"most":"y"}}}},"l":{"m":[[1]]}}' END AS after
+FROM {customer}
+"""
+
+
+def merged_ledgers(s, d):
+    pairs = fx(s, d, "ledger_pairs")
+    before, after = (json_leaves(pairs.select("c_custkey", c), c) for c in ("before", "after"))
+    merged = deep_merge_leaves(before, after, ["c_custkey"])
+    return merged.select("c_custkey", F.array_join("path", "/").alias("path"), "value")
+
+
 QUERIES = {
     "project_rename_required": lambda s, d: P.project_required(
         fx(s, d, "wide"), {"en": "text", "fr": "zh", "wav_path": "id"}
@@ -90,6 +111,7 @@ QUERIES = {
                 F.lit("completed"), F.col("completed").cast("string"))).alias("field", "value")),
         ["file_name", "batch_id", "field"],
     ),
+    "deep_merge_ledgers": merged_ledgers,
     "filter_file_inventory": lambda s, d: P.filter_inventory(
         fx(s, d, "inventory"), 2, "_punc_train.list", "/data"
     ),
@@ -137,6 +159,11 @@ ORACLE = {
              unnest([CASE WHEN status <> 'failed' THEN 'archived' END, CAST(completed AS VARCHAR)]) AS value
              FROM {jobs} WHERE created_at >= TIMESTAMP '1996-01-01')
       SELECT * FROM n UNION ALL SELECT o.* FROM o ANTI JOIN n USING (file_name, batch_id, field)""",
+    "deep_merge_ledgers": """
+      WITH RECURSIVE w AS (SELECT c_custkey, json_merge_patch(CAST(before AS JSON), CAST(after AS JSON)) AS v, CAST('' AS VARCHAR) AS path FROM {ledger_pairs}
+        UNION ALL SELECT c_custkey, json_extract(v, concat('$."', k, '"')), concat(path, CASE WHEN path = '' THEN '' ELSE '/' END, k)
+          FROM (SELECT c_custkey, v, path, unnest(json_keys(v)) AS k FROM w WHERE json_type(v) = 'OBJECT'))
+      SELECT c_custkey, path, CAST(v AS VARCHAR) AS value FROM w WHERE json_type(v) <> 'OBJECT' OR len(json_keys(v)) = 0""",
     "filter_file_inventory":
         "SELECT path, page_id FROM {inventory} WHERE len(string_split(path, '/')) <= 5 "
         "AND suffix(path, '_punc_train.list') AND NOT prefix(string_split(path, '/')[-1], '.')",

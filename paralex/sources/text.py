@@ -197,29 +197,20 @@ def json_depth(json: str | Column) -> Column:
     return F.aggregate(F.regexp_extract_all(bare, F.lit(r"[\[\]{}]"), 0), zero, step, lambda s: s["most"])
 
 
-def flatten_json(df: DataFrame, json: str = "tree", sep: str = "-") -> DataFrame:
-    """Root-to-leaf paths of JSON trees of any and mixed depth.
+def _opened(df: DataFrame, json: str, holds: Column, depth: int) -> DataFrame:
+    """Every value of JSON trees that ``holds`` (of its type ``kind``) does not
+    say to open: ``row`` (the other columns), ``v``, ``kind``, ``place`` and ``path``.
 
-    Objects add the name of a member to the path, lists nothing; a leaf that is
-    a string is the last part, other leaves (numbers, null) add nothing.  Paths
-    without a part, and empty objects and lists, give no row.  ``place`` holds
-    the position on every level: members by name (VARIANT keeps no other order),
-    list elements in theirs.  Text that is no JSON is returned by
-    :func:`bad_trees`.
-
-    One level is one generator over the rows of its own task: the plan has as
-    many as the deepest tree has levels, which one pass finds first, and no
+    One level is one generator over the rows of its own task, so there is no
     exchange.
     """
-    depth = df.agg(F.max(json_depth(json))).first()[0] or 0
     kept = [c for c in df.columns if c != json]
     row = F.struct(*kept) if kept else F.struct(F.lit(0).alias("_"))
     walk = df.select(
         row.alias("row"), F.try_parse_json(json).alias("v"), F.array().cast("array<int>").alias("place"),
         F.array().cast("array<string>").alias("path"),
-    ).filter("v IS NOT NULL")
+    ).filter("v IS NOT NULL").withColumn("kind", F.schema_of_variant("v"))
     for _ in range(depth):
-        holds = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")
         here = walk.select("*", F.when(holds, F.col("v")).alias("inner")).alias("t")
         inside = df.sparkSession.tvf.variant_explode_outer(F.col("t.inner").outer()).alias("e")
         found = F.col("e.pos").isNotNull()
@@ -227,13 +218,44 @@ def flatten_json(df: DataFrame, json: str = "tree", sep: str = "-") -> DataFrame
             F.col("t.row").alias("row"), F.when(found, F.col("e.value")).otherwise(F.col("t.v")).alias("v"),
             F.when(found, F.concat("t.place", F.array("e.pos"))).otherwise(F.col("t.place")).alias("place"),
             F.when(F.col("e.key").isNotNull(), F.concat("t.path", F.array("e.key"))).otherwise(F.col("t.path")).alias("path"),
-        )
-    text = F.when(F.schema_of_variant("v") == "STRING", F.array(F.col("v").cast("string"))).otherwise(F.array().cast("array<string>"))
-    empty = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")  # only empty ones are left unopened
-    parts = walk.filter(~empty).select("row", "place", F.concat("path", text).alias("parts")).filter(F.size("parts") > 0)
+        ).withColumn("kind", F.schema_of_variant("v"))
+    return walk
+
+
+def flatten_json(df: DataFrame, json: str = "tree", sep: str = "-") -> DataFrame:
+    """Root-to-leaf paths of JSON trees of any and mixed depth.
+
+    Objects add the name of a member to the path, lists nothing; a leaf that is
+    a string is the last part, other leaves (numbers, null) add nothing.  Paths
+    without a part, and empty objects and lists, give no row.  ``place`` holds
+    the position on every level: members by name (VARIANT keeps no other order),
+    list elements in theirs.  Text that is no JSON is returned by
+    :func:`bad_trees`.
+
+    The plan has as many levels as the deepest tree, which one pass finds first.
+    """
+    kept = [c for c in df.columns if c != json]
+    holds = F.col("kind").rlike("^(OBJECT|ARRAY)<")
+    walk = _opened(df, json, holds, df.agg(F.max(json_depth(json))).first()[0] or 0)
+    text = F.when(F.col("kind") == "STRING", F.array(F.col("v").cast("string"))).otherwise(F.array().cast("array<string>"))
+    # Only empty objects and lists are left unopened.
+    parts = walk.filter(~holds).select("row", "place", F.concat("path", text).alias("parts")).filter(F.size("parts") > 0)
     return parts.select(*[F.col(f"row.`{c}`") for c in kept], "place", F.array_join("parts", sep).alias("topic"))
 
 
+def json_leaves(df: DataFrame, json: str = "ledger") -> DataFrame:
+    """``path`` (names from the root) and ``value`` (JSON text) of every leaf of
+    JSON objects of any depth.  Lists, null and empty objects are leaves.  Text
+    that is no JSON is returned by :func:`bad_trees`."""
+    kept = [c for c in df.columns if c != json]
+    holds = F.col("kind").startswith("OBJECT<") & (F.col("kind") != EMPTY_OBJECT)
+    walk = _opened(df, json, holds, df.agg(F.max(json_depth(json))).first()[0] or 0)
+    return walk.select(*[F.col(f"row.`{c}`") for c in kept], "path", F.to_json("v").alias("value"))
+
+
+EMPTY_OBJECT = "OBJECT<>"
+
+
 def bad_trees(df: DataFrame, json: str = "tree") -> DataFrame:
     """Rows whose text is null or no JSON (or repeats a name in an object)."""
     return df.filter(F.try_parse_json(json).isNull())
