@@ -36,7 +36,7 @@ ROLLED = R.RenderConfig(model="m-1", max_tokens=64)
 def request_files(s, d):
     """Lines of raw files to written request files, rolled by their bytes."""
     rows = fx(s, d, "raw").select("file_name", "line_no", F.lit("Translate.").alias("system"), F.col("line").alias("user"))
-    return sinks.write_requests(R.roll_requests(rows, ROLLED, max_bytes=5000, max_rows=30), scratch(s, "requests"))
+    return sinks.write_requests(R.roll_requests(rows, ROLLED, max_bytes=40_000, max_rows=300), scratch(s, "requests"))
 
 
 QUERIES = {
@@ -85,10 +85,10 @@ ORACLE = {
         f AS (SELECT file_name, list_reduce(list_prepend({'out': CAST([] AS STRUCT(shard BIGINT, n BIGINT, b BIGINT)[]), 'b': CAST(0 AS BIGINT),
             'n': CAST(0 AS BIGINT), 's': CAST(0 AS BIGINT)}, xs), lambda a, x: {
             'out': list_append(a.out, {'shard': a.s, 'n': a.n, 'b': x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR))}),
-            'b': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 5000 OR a.n + 1 = 30 THEN 0
+            'b': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 40000 OR a.n + 1 = 300 THEN 0
               ELSE a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) END,
-            'n': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 5000 OR a.n + 1 = 30 THEN 0 ELSE a.n + 1 END,
-            's': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 5000 OR a.n + 1 = 30 THEN a.s + 1 ELSE a.s END}).out AS out FROM g),
+            'n': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 40000 OR a.n + 1 = 300 THEN 0 ELSE a.n + 1 END,
+            's': CASE WHEN a.b + x.b + strlen(CAST(a.s AS VARCHAR)) + strlen(CAST(a.n AS VARCHAR)) >= 40000 OR a.n + 1 = 300 THEN a.s + 1 ELSE a.s END}).out AS out FROM g),
         u AS (SELECT file_name, unnest(out, recursive := true) FROM f)
       SELECT file_name, shard, CAST(1 AS BIGINT) AS files, count(*) AS rows, CAST(sum(b) AS BIGINT) AS file_bytes,
         concat(file_name, '-', shard, '-0') AS first_id, concat(file_name, '-', shard, '-', count(*) - 1) AS last_id FROM u GROUP BY file_name, shard""",
