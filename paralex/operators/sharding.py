@@ -235,8 +235,11 @@ def shard_by_written_bytes(
     of shards after another, from the row where the run before ended, over the
     rows that the run can reach.
     """
-    placed = stored(number_rows(df, order), "positions")
-    sizes = _sized(placed, F.col(size))
+    # Rows are written once, as they come; only sizes are sorted and followed.
+    rows = stored(df.drop("shard", "row_in_shard").withColumn("_row", F.monotonically_increasing_id()), "rows")
+    narrow = rows.select("file_name", F.col(order).alias("_order"), "_row", F.col(size).alias("_bytes"))
+    placed = stored(number_rows(narrow, ["_order", "_row"]).drop("_order"), "positions")
+    sizes = _sized(placed, F.col("_bytes"))
     starts, digits, named = placed.filter("pos = 0").select("file_name", "pos"), 1, []
     while True:
         first = 0 if digits == 1 else 10 ** (digits - 1)
@@ -254,10 +257,10 @@ def shard_by_written_bytes(
         if starts.isEmpty():
             break
         digits += 1
-    out = join_null_safe(placed.drop("shard"), reduce(DataFrame.union, named), ["file_name", "pos"])
-    return out.withColumns(
-        {"shard": F.col("_shard"), "row_in_shard": F.col("pos") - F.col("_begin")}
-    ).drop("pos", "total", "_nth", "_begin", "_shard")
+    found = join_null_safe(placed, reduce(DataFrame.union, named), ["file_name", "pos"]).select(
+        "_row", F.col("_shard").alias("shard"), (F.col("pos") - F.col("_begin")).alias("row_in_shard")
+    )
+    return rows.join(found, "_row").drop("_row")
 
 
 def shard_by_bytes_approx(

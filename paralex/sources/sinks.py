@@ -18,19 +18,22 @@ def write_sharded(df: DataFrame, path: str, line: str = "line", order: str = "li
     such rows are set aside, whole, as Parquet under ``path`` with ``-rejected``.
     """
     fits = F.coalesce(~F.contains(F.col(line), F.lit(LINE_END)), F.lit(False))
-    rejected = df.filter(~fits)
-    rejected.write.mode("overwrite").parquet(f"{path.rstrip('/')}-rejected")
+    df.filter(~fits).write.mode("overwrite").parquet(f"{path.rstrip('/')}-rejected")
+    _write_lines(df.filter(fits), path, line, order)
+    return shard_manifest(df.sparkSession, path)
+
+
+def _write_lines(df: DataFrame, path: str, line: str, order: str) -> None:
     (
-        df.filter(fits)
+        df.select("file_name", "shard", F.col(order).alias("_order"), F.col(line).alias("value"))
         .repartition("file_name", "shard")
-        .sortWithinPartitions("file_name", "shard", order)
-        .select("file_name", "shard", F.col(line).alias("value"))
+        .sortWithinPartitions("file_name", "shard", "_order")
+        .drop("_order")
         .write.mode("overwrite")
         .partitionBy("file_name", "shard")
         .option("lineSep", LINE_END)
         .text(path)
     )
-    return shard_manifest(df.sparkSession, path)
 
 
 def _shard_lines(spark, path: str) -> DataFrame:
@@ -47,8 +50,9 @@ def shard_manifest(spark, path: str) -> DataFrame:
 
 def write_requests(rolled: DataFrame, path: str) -> DataFrame:
     """Write request lines that carry their shard; returns what the files hold:
-    ``file_name, shard, files, rows, file_bytes, first_id, last_id``."""
-    write_sharded(rolled, path)
+    ``file_name, shard, files, rows, file_bytes, first_id, last_id``.  JSON text
+    holds no line ends, so no line has to be set aside."""
+    _write_lines(rolled, path, "line", "row_in_shard")
     lines = _shard_lines(rolled.sparkSession, path).select(
         "file_name", "shard", F.get_json_object("value", "$.custom_id").alias("id"),
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
