@@ -53,6 +53,20 @@ def convert(s, d):
     return s.read.parquet(sink)
 
 
+def both_sides(s, d):
+    """Folders of parallel rows and of rejected lines of all result lines."""
+    path, sink, rejected = (scratch(s, n) for n in ("results", "parallel", "rejected"))
+    fx(s, d, "chat_lines").select("file_name", F.col("line").alias("value")).write.partitionBy("file_name").text(path)
+    stream = S.arriving_files(s, path, "value string, file_name string", "text", per_trigger=8)
+    S.convert_to(stream.withColumnRenamed("value", "line"), "chat", WIDE, "corpus_a", sink, rejected, scratch(s, "checkpoint"))
+    return sink, rejected
+
+
+def rejected_lines(s, d):
+    rows = s.read.parquet(both_sides(s, d)[1])
+    return rows.groupBy("file_name", "reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def job_state(s, d):
     sink = scratch(s, "states")
     rows = S.stream_job_state(job_stream(s, d), ["status", "file_status"])
@@ -104,6 +118,8 @@ def admission(s, d):
 QUERIES = {
     "stream_new_files": new_files,
     "stream_convert": convert,
+    "stream_convert_both": lambda s, d: s.read.parquet(both_sides(s, d)[0]).drop("batch"),
+    "stream_convert_rejected": rejected_lines,
     "stream_job_state": job_state,
     "stream_cutoff_late": cutoff,
     "stream_progress": progress,
@@ -124,6 +140,12 @@ ORACLE = {
     "stream_convert": f"""WITH {PARSED}, w AS (SELECT id, {X.WIDE} FROM parsed GROUP BY id)
       SELECT r.file_name, w.* EXCLUDE (id), 'corpus_a' AS dataset, md5('corpus_a/' || r.id) AS uuid, r.id AS metadata
       FROM {{results}} r JOIN w ON w.id = r.id WHERE length(r.en) % 23 <> 0""",
+    "stream_convert_both": f"""WITH {PARSED}, w AS (SELECT id, {X.WIDE} FROM parsed GROUP BY id)
+      SELECT r.file_name, w.* EXCLUDE (id), 'corpus_a' AS dataset, md5('corpus_a/' || r.id) AS uuid, r.id AS metadata
+      FROM {{results}} r JOIN w ON w.id = r.id WHERE length(r.en) % 23 <> 0""",
+    "stream_convert_rejected": """
+      SELECT file_name, CASE WHEN length(en) % 23 = 0 THEN 'undecodable' ELSE 'empty' END AS reason, count(*) AS lines
+      FROM {results} WHERE length(en) % 23 = 0 OR answer = '' GROUP BY ALL""",
     "stream_job_state": """
       SELECT file_name, arg_max(status, seq) AS status, arg_max(file_status, seq) AS file_status, max(seq) AS seq FROM {jobs} GROUP BY file_name""",
     "stream_cutoff_late": "SELECT file_name, batch_id, status FROM {jobs} WHERE created_at >= TIMESTAMP '1998-01-01'",

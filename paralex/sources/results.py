@@ -70,3 +70,21 @@ def rejected_results(lines: DataFrame, dialect: str, column: str = "line") -> Da
         .filter(F.col(key).isNull() | answer.isNull())
         .drop("row")
     )
+
+
+def decode_results(lines: DataFrame, dialect: str, column: str = "line") -> DataFrame:
+    """Lines with ``reason``, why :func:`read_results` leaves them out
+    (``undecodable``, or ``empty`` for an empty answer of the chat dialect), null
+    for the others, whose ``id`` and ``answer`` are given."""
+    if dialect not in ("chat", "role"):
+        raise ValueError(f"unknown dialect: {dialect}")
+    schema, key = (CHAT_SCHEMA, "custom_id") if dialect == "chat" else (ROLE_SCHEMA, "id")
+    row = F.col("_row")
+    body = row["response"]["body"] if dialect == "chat" else row["output"]
+    decoded = lines.withColumn("_row", F.from_json(column, schema)).select(
+        *lines.columns, row[key].alias("id"), _answer(body).alias("answer")
+    )
+    empty = F.lit(dialect == "chat") & (F.col("answer") == "")
+    return decoded.withColumn(
+        "reason", F.when(F.col("id").isNull() | F.col("answer").isNull(), "undecodable").when(empty, "empty")
+    )

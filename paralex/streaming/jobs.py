@@ -18,7 +18,7 @@ from paralex.operators.relational import ledger_upsert, pending
 from paralex.operators.responses import parse_labelled
 from paralex.operators.predicates import add_provenance, running_jobs
 from paralex.operators.sharding import admit_top_k
-from paralex.sources.results import read_results
+from paralex.sources.results import decode_results, read_results
 
 
 def arriving_files(
@@ -62,13 +62,48 @@ def latest_changes(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataF
     return rows.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").drop("_rank", "batch")
 
 
-def stream_convert(lines: DataFrame, dialect: str, codes: Sequence[str], dataset: str) -> DataFrame:
-    """Result lines to parallel rows with their provenance."""
-    answers = read_results(lines, dialect).select("file_name", "id", "answer")
+def _converted(answers: DataFrame, codes: Sequence[str], dataset: str) -> DataFrame:
     rows = parse_labelled(answers, codes)
     return add_provenance(rows, dataset, "id").select("file_name", *codes, "dataset", "uuid", "metadata")
 
 
+def stream_convert(lines: DataFrame, dialect: str, codes: Sequence[str], dataset: str) -> DataFrame:
+    """Result lines to parallel rows with their provenance; lines without an
+    answer are left out (:func:`convert_to` keeps them)."""
+    return _converted(read_results(lines, dialect).select("file_name", "id", "answer"), codes, dataset)
+
+
+def convert_batch(
+    batch: DataFrame, number: int, dialect: str, codes: Sequence[str], dataset: str, sink: str, rejected: str
+) -> None:
+    """Write one micro-batch of result lines to two tables, in folders of its
+    number: parallel rows, and the lines without an answer with the ``reason``.
+
+    The lines are read and decoded once.  A batch that is repeated replaces what
+    it wrote before, on both sides.
+    """
+    decoded = decode_results(batch, dialect).persist()
+    try:
+        good = decoded.filter("reason IS NULL").select("file_name", "id", "answer")
+        _converted(good, codes, dataset).write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        decoded.filter("reason IS NOT NULL").drop("id", "answer").write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+    finally:
+        decoded.unpersist()
+
+
+def convert_to(
+    lines: DataFrame, dialect: str, codes: Sequence[str], dataset: str, sink: str, rejected: str, checkpoint: str,
+    trigger: dict | None = None,
+) -> None:
+    """Convert a stream of result lines; every line that comes ends up in
+    ``sink`` or in ``rejected``, once."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        convert_batch(batch, number, dialect, codes, dataset, sink, rejected)
+
+    _run(lines.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
 def stream_job_state(events: DataFrame, fields: Sequence[str], key: str = "file_name", seq: str = "seq") -> DataFrame:
     """Latest state per job; the state store holds one record per job."""
     latest = F.max_by(F.struct(*fields), F.col(seq)).alias("_latest")
