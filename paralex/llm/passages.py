@@ -7,9 +7,11 @@ counted twice or more are folded into bit rows of bounded size, which every
 task of the second pass holds.  A count is never too small, so no repeated
 window is missed; with more data than the rows can tell apart, more windows
 pass the filter and the rest of the work is the same.  The second pass groups
-the windows that pass by 96 bits of their hash, exactly.  Every task combines
-its own windows first, so a passage that very many documents share reaches a
-group once per task.
+the windows that pass by the 128-bit XXH3 hash of their words, joined by single
+spaces; the polynomial hashes of the first pass only choose columns, so words
+made to collide there let more windows through and remove nothing.  Every task
+combines its own windows first, so a passage that very many documents share
+reaches a group once per task.
 
 Order is by document id, then start.  Rows equal in id and text are one
 document and get equal results; different texts under one id are ordered by a
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +38,7 @@ RANGE_COLUMNS = 28  # bits: columns of the sketch per range
 HELD = 1 << 19  # windows a task sketches at once
 KEPT = 1 << 17  # windows a task combines at once in the second pass
 MOST_ROW_BITS = 27  # bits: size of each of the two bit rows
-SEEDS = (11, 23)
+SEED = 11
 LAST = np.iinfo(np.int64).max
 
 
@@ -49,14 +52,28 @@ def _values(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
 
 
-def _runs(batches, size: int, seeds):
-    """Windows of all batches, slice by slice: hashes, the batch, its row and the start."""
+def _runs(batches, size: int):
+    """Windows of all batches, slice by slice: the batch, hashes, its row and the
+    start; and the bytes and starts of texts."""
     for batch in batches:
         texts = batch.column("text")
         for first, data, ends in W.slices(texts):
             words, counts = W.word_hashes(data, ends)
-            hashes, text, start = W.windows(words, counts, size, seeds)
-            yield batch, hashes, first + text, start
+            (hashes,), text, start = W.windows(words, counts, size, (SEED,))
+            yield batch, hashes, first, text, start, data, ends
+
+
+def _exact(data: np.ndarray, ends: np.ndarray, text: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """128 bits, as two numbers, of the words of each window."""
+    opens, closes = W.spans(data, ends)
+    texts = (b" ".join(data[a:b].tobytes().split()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()))
+    joined = b" ".join(t for t in texts if t)
+    last = np.cumsum(closes - opens + 1) - 1  # where each word ends in the joined bytes
+    word = np.searchsorted(opens, ends)[text] + start
+    left, right = (last - (closes - opens))[word], last[word + size - 1]
+    digest = xxhash.xxh3_128_digest
+    found = b"".join([digest(joined[a:b]) for a, b in zip(left.tolist(), right.tolist())])
+    return np.frombuffer(found, "<u8").reshape(-1, 2)
 
 
 SKETCH = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("columns", T.BinaryType())])
@@ -71,18 +88,16 @@ def _sketches(texts: DataFrame, size: int, range_bits: int) -> DataFrame:
         keep = np.ones(len(column), bool)
         keep[2:] = column[2:] != column[:-2]  # counts beyond two tell nothing
         column = column[keep]
-        group = (column >> np.uint64(RANGE_COLUMNS)).astype(np.int64)
-        cuts = np.searchsorted(group, np.arange((1 << range_bits) + 1))
+        filled, cuts = np.unique((column >> np.uint64(RANGE_COLUMNS)).astype(np.int64), return_index=True)
         low = (column & np.uint64((1 << RANGE_COLUMNS) - 1)).astype(np.uint32)
-        filled = np.flatnonzero(np.diff(cuts))
-        blobs = [_planes(low[cuts[r] : cuts[r + 1]]) for r in filled]
+        blobs = [_planes(part) for part in np.split(low, cuts[1:])]
         return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], schema=schema)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
-        for _, hashes, _, _ in _runs(batches, size, SEEDS[:1]):
-            held.append(hashes[0])
-            count += len(hashes[0])
+        for _, hashes, *_ in _runs(batches, size):
+            held.append(hashes)
+            count += len(hashes)
             if count >= HELD:
                 yield flush(held)
                 held, count = [], 0
@@ -187,14 +202,14 @@ def _pack(a, b, doc, same, start) -> bytes:
     docs["doc"], docs["same"] = doc, same
     named, at = np.unique(docs, return_inverse=True)
     head = np.array([len(named), len(a)], np.uint64).tobytes()
-    parts = [named["doc"], named["same"], at.astype(np.uint32), start.astype(np.uint32), b.astype(np.uint32), a]
+    parts = [named["doc"], named["same"], at.astype(np.uint32), start.astype(np.uint32), b, a]
     return head + b"".join(_planes(np.ascontiguousarray(p)) for p in parts)
 
 
 def _unpack(data: bytes):
     docs, n = np.frombuffer(data[:16], np.uint64).tolist()
     at, out = 16, []
-    for kind, count in (("<i8", docs), ("<i8", docs), ("<u4", n), ("<u4", n), ("<u4", n), ("<u8", n)):
+    for kind, count in (("<i8", docs), ("<i8", docs), ("<u4", n), ("<u4", n), ("<u8", n), ("<u8", n)):
         width = np.dtype(kind).itemsize * count
         out.append(_values(data[at : at + width], kind))
         at += width
@@ -217,21 +232,23 @@ def _suspects(texts: DataFrame, size: int, passes: Filter) -> DataFrame:
         a, b, doc, same, start = (x[first] for x in (a, b, doc, same, start))
         group = (a >> shift).astype(np.int64) if passes.range_bits else np.zeros(len(a), np.int64)
         order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange((1 << passes.range_bits) + 1))
-        for r in np.flatnonzero(np.diff(cuts)):
-            pick = order[cuts[r] : cuts[r + 1]]
+        present, cuts = np.unique(group[order], return_index=True)
+        for r, pick in zip(present, np.split(order, cuts[1:])):
             rows.append((int(r), None, None, None, _pack(a[pick], b[pick], doc[pick], same[pick], start[pick])))
         return _found(rows)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes, held, count, ids = shared.value, [], 0, (None, None, None)
-        for batch, (a, b), row, start in _runs(batches, size, SEEDS):
+        for batch, hashes, first, text, start, data, ends in _runs(batches, size):
             if ids[0] is not batch:
                 doc = batch.column("doc").fill_null(LAST).to_numpy(zero_copy_only=False)
                 ids = batch, doc, batch.column("same").to_numpy(zero_copy_only=False)
-            maybe = np.flatnonzero(passes(a))
-            row = row[maybe]
-            held.append((a[maybe], (b[maybe] >> np.uint64(32)).astype(np.uint32), ids[1][row], ids[2][row], start[maybe]))
+            maybe = np.flatnonzero(passes(hashes))
+            if not len(maybe):
+                continue
+            row = first + text[maybe]
+            a, b = _exact(data, ends, text[maybe], start[maybe], size).T
+            held.append((a, b, ids[1][row], ids[2][row], start[maybe]))
             count += len(maybe)
             if count >= KEPT:
                 yield flush(held)
