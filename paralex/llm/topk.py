@@ -9,16 +9,19 @@ and the norms bound the product.
 
 Pivots are a bounded sample of the vectors (and the origin); they steer the
 order of work, never the result.  Vectors are scaled and rounded down to whole
-numbers first.  Rows with a null id, and vectors that are null, hold null or
-non-finite components, or components of 2**31 or more after scaling, take no
-part.  Only vectors of equal length meet.  Ties go to the smaller id.  Query
-rows with the same id count once; a row with the query's id is not its
+numbers first, which are kept as doubles where 32 bits do not hold them.  Rows
+with a null id, and vectors that are null or hold null or non-finite components,
+take no part.  Products are exact; those beyond 64 bits count as the ends of
+that range.  Only vectors of equal length meet.  Ties go to the smaller id.
+Query rows with the same id count once, with the shortest vector, of equally
+long ones the first by its bytes; a row with the query's id is not its
 neighbour.  Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +37,32 @@ ANNULUS = 512  # vectors in a block
 GROUP = 1 << 16  # vectors searched by one task, in blocks
 QUERIES_AT_ONCE = 256
 CHUNK_BLOCKS = 256  # blocks of queries searched by one task
-BOUND = 1 << 31
 
 
 def whole_numbers(vectors: DataFrame, scale: float, name: str = "embedding") -> DataFrame:
-    """``vec_id`` and ``v``, the vectors times ``scale`` rounded down."""
-    scaled = F.transform(F.col(name), lambda x: F.floor(x.cast("double") * scale))
+    """``vec_id`` and ``v``, the vectors times ``scale`` rounded down, as doubles.
+    What scaling takes beyond the range of doubles counts as its end."""
+    most = float(np.finfo(float).max)
+
+    def floor(x: Column) -> Column:
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(F.greatest(F.least(y, F.lit(most)), F.lit(-most)))
+
+    infinite = float("inf")
     fine = F.forall(
-        F.col(name),
-        lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double") * scale) < float(BOUND)), F.lit(False)),
+        F.col(name), lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < infinite), F.lit(False))
     )
     usable = vectors.filter(F.col("vec_id").isNotNull() & F.col(name).isNotNull()).filter(fine)
-    return usable.select(F.col("vec_id").cast("bigint"), scaled.cast("array<int>").alias("v"))
+    return usable.select(F.col("vec_id").cast("bigint"), F.transform(F.col(name), floor).alias("v"))
+
+
+def _narrow(v: np.ndarray) -> np.ndarray:
+    """Whole numbers in 32 bits if they fit, else as doubles."""
+    return v.astype(np.int32) if np.abs(v).max(initial=0) < 1 << 31 else v.astype(float)
+
+
+def _matrix(data: bytes, rows: int, size: int) -> np.ndarray:
+    return np.frombuffer(data, np.int32 if len(data) == 4 * rows * size else float).reshape(rows, size)
 
 
 def _pivots(vectors: DataFrame, most: int) -> dict[int, np.ndarray]:
@@ -78,12 +95,12 @@ def _keyed(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
             for n in np.unique(lengths).tolist():
                 rows = pa.array(np.flatnonzero(lengths == n))
-                v = vectors.take(rows).flatten().to_numpy(zero_copy_only=False).astype(np.int32).reshape(len(rows), n)
-                to = _distances(v.astype(float), pivots.get(n, np.zeros((1, n))))
+                v = vectors.take(rows).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), n)
+                to = _distances(v, pivots.get(n, np.zeros((1, n))))
                 near = to.argmin(1)
                 columns = [
                     ids.take(rows), pa.array(np.full(len(v), n), pa.int32()), pa.array(near, pa.int32()),
-                    pa.array(to[np.arange(len(v)), near]), pa.array([row.tobytes() for row in v], pa.binary()),
+                    pa.array(to[np.arange(len(v)), near]), pa.array([_narrow(row).tobytes() for row in v], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -105,7 +122,7 @@ def _blocks(keyed: DataFrame, parts: int, rows: int, by_pivot: bool) -> DataFram
 
     def block(held: list[tuple]) -> tuple:
         held = sorted(held)
-        v = np.frombuffer(b"".join(h[4] for h in held), np.int32).reshape(len(held), held[0][1])
+        v = _narrow(np.concatenate([_matrix(h[4], 1, h[1]) for h in held]))
         distance = [h[3] for h in held]
         norm = float(np.sqrt((v.astype(float) ** 2).sum(1).max(initial=0)))
         ids = np.array([h[0] for h in held], np.int64)
@@ -142,15 +159,20 @@ LEAST = np.iinfo(np.int64).min + 1  # the least number that has a negative
 def _unpacked(table: pa.Table) -> Iterator[tuple]:
     for row in table.to_pylist():
         ids = np.frombuffer(row["ids"], np.int64)
-        yield row, ids, np.frombuffer(row["vectors"], np.int32).reshape(len(ids), row["size"])
+        yield row, ids, _matrix(row["vectors"], len(ids), row["size"])
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whole-number products, exactly: in floating point where that is exact."""
+    a, b = a.astype(float), b.astype(float)
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < 2**53:
-        return (a.astype(float) @ b.T.astype(float)).astype(np.int64)
-    return a.astype(np.int64) @ b.T.astype(np.int64)
+        return (a @ b.T).astype(np.int64)
+    if most < 2**62:
+        return a.astype(np.int64) @ b.T.astype(np.int64)
+    left, right = ([[int(x) for x in row] for row in m.tolist()] for m in (a, b))
+    exact = [[min(max(sum(map(mul, x, y)), LEAST + 1), -LEAST) for y in right] for x in left]
+    return np.array(exact, np.int64).reshape(len(left), len(right))
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,8 +197,9 @@ def _search(annuli: list[tuple], q: np.ndarray, q_ids: np.ndarray, pivots: np.nd
         d = to[:, block["pivot"]]
         apart = np.maximum(0, np.maximum(d - block["high"], block["low"] - d))
         by_distance = (square + block["norm"] ** 2 - apart**2) / 2
-        bounds[:, i] = np.minimum(by_distance, np.sqrt(square) * block["norm"])
-    bounds += 1e-6 * (1 + np.abs(bounds))  # for rounding
+        terms = 1 + square + block["norm"] ** 2 + (pivots[block["pivot"]] ** 2).sum()
+        bounds[:, i] = np.minimum(by_distance, np.sqrt(square) * block["norm"]) + 1e-6 * terms  # for rounding
+    bounds = np.maximum(np.nan_to_num(bounds, nan=np.inf, posinf=np.inf), float(LEAST))  # as scores are
     for i in np.argsort(-bounds.max(0), kind="stable"):
         rows = np.flatnonzero(bounds[:, i] >= top[:, -1])
         if not len(rows):
@@ -222,7 +245,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, most_pivots: int = PIVOT
     keyed = stored(_keyed(vectors, pivots), "keyed")
     parts = max(1, -(-keyed.count() // group))
     index = stored(_blocks(keyed, parts, ANNULUS, True), "annuli")
-    asked = keyed.filter(is_query).dropDuplicates(["vec_id"])
+    first = F.min(F.struct("size", "v", "pivot", "distance")).alias("x")
+    asked = keyed.filter(is_query).groupBy("vec_id").agg(first).select("vec_id", "x.size", "x.pivot", "x.distance", "x.v")
     queries = _numbered(_blocks(asked, parts, QUERIES_AT_ONCE, False), CHUNK_BLOCKS)
     annuli, sent = _meetings(index, queries)
     schema = schema_of(FOUND)

@@ -18,14 +18,16 @@ SCHEMA = T.StructType([
 def plain(rows, every, k):
     fine = [
         (i, [math.floor(64 * x) for x in v]) for i, v, *_ in rows
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(64 * x) < 2**31 for x in v)
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
     ]
+    ends = 2**63 - 1
     out, done = [], set()
     for i, q in fine:
         if i % every or i in done:
             continue
         done.add(i)
-        near = [(-sum(a * b for a, b in zip(q, v)), j) for j, v in fine if j != i and len(v) == len(q)]
+        scores = [(max(-ends + 1, min(ends, sum(a * b for a, b in zip(q, v)))), j) for j, v in fine if j != i and len(v) == len(q)]
+        near = [(-s, j) for s, j in scores]
         out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(near)[:k])]
     return sorted(out)
 
@@ -59,7 +61,8 @@ def test_odd_vectors(spark):
     rows = [
         (0, [1.0, -0.5]), (1, [0.25, 3.0]), (2, None), (3, [None, 1.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [1e30, 1.0]),
         (None, [1.0, 1.0]), (20, [1.0]), (40, []), (7, []), (8, [2.0]), (60, [0.0, 0.0]), (9, [1.0, -0.5]), (9, [1.0, -0.5]),
-        (80, [30000000.0, 2.0]), (10, [30000000.0, 1.0]),
+        (80, [30000000.0, 2.0]), (10, [30000000.0, 1.0]), (100, [4e7, 0.0]), (11, [-4e7, 0.0]), (120, [1e30, -1e30]),
+        (12, [3e38, 3e38]), (13, [-3e38, 1.0]), (14, [1e30, 1e30]), (140, [2.0**40, -1.0]), (15, [2.0**40, 3.0]),
     ]
     rows = [(i, v, "s", "p") for i, v in rows]
     df = spark.createDataFrame(rows, SCHEMA)
@@ -69,6 +72,14 @@ def test_odd_vectors(spark):
     assert none.count() == 0 and none.columns == ["query_id", "rank", "vec_id", "score"]
 
 
+def test_repeated_query_ids_take_the_shortest_vector_first_by_bytes(spark):
+    rows = [(20, [2.0, 1.0], "s", "p"), (20, [1.0, 5.0], "s", "p"), (1, [1.0, 0.0], "s", "p"), (40, [1.0, 1.0], "s", "p"), (40, [3.0], "s", "p")]
+    for shift in range(len(rows)):
+        df = spark.createDataFrame(rows[shift:] + rows[:shift], SCHEMA).repartition(3)
+        got = topk.top_k(topk.whole_numbers(df, 64.0), F.col("vec_id") % 20 == 0, 1)
+        assert [tuple(r) for r in got.collect()] == [(20, 1, 40, 6 * 64 * 64)]
+
+
 def test_a_task_gets_a_bounded_number_of_queries(spark, monkeypatch):
     """Every row is a query; each meets every group once, in chunks of two blocks."""
     monkeypatch.setattr(topk, "QUERIES_AT_ONCE", 5)
