@@ -5,6 +5,11 @@ left after its longest-match tokens are popped, and how many are popped is
 counted beforehand; so a word is read once, byte by byte.  The vocabulary must
 hold every single byte.
 
+A word is matched behind the mark that starts a word in the vocabulary (a space
+in byte vocabularies): its first piece is one of those that start words, if one
+fits, the others are pieces from inside of words.  Every byte is a piece, so no
+word is unknown.
+
 Words stand between ASCII white space.  Null and empty texts have none.  Texts
 are read whole; equal rows get equal counts.
 """
@@ -19,11 +24,13 @@ from paralex.llm.bpe import loaded
 from paralex.llm.common import text_function
 
 CACHED = 200_000  # words whose counts a Python worker keeps
-_BUILT: dict[str, LongestMatch] = {}
+LONGEST_KEPT = 64  # bytes; longer words are counted again
+_BUILT: dict[tuple[str, bytes], LongestMatch] = {}
 
 
 class LongestMatch:
-    def __init__(self, tokens):
+    def __init__(self, tokens, start: bytes = b""):
+        self.start = start
         self.next, self.pops, self.link, ends = [{}], [0], [-1], {}
         for token in filter(None, tokens):
             at = 0
@@ -51,7 +58,7 @@ class LongestMatch:
         self.words: dict[bytes, int] = {}
 
     def count(self, word: bytes) -> int:
-        total, at = 0, 0
+        word, total, at = self.start + word, 0, 0
         for byte in word:
             while byte not in self.next[at]:
                 total, at = total + self.pops[at], self.link[at]
@@ -66,20 +73,22 @@ class LongestMatch:
             n = self.words.get(word)
             if n is None:
                 n = self.count(word)
-                if len(self.words) >= CACHED:
-                    self.words.clear()
-                self.words[word] = n
+                if len(word) <= LONGEST_KEPT:
+                    if len(self.words) >= CACHED:
+                        self.words.clear()
+                    self.words[word] = n
             out += n
         return out
 
 
-def token_counts(path: str):
-    """A column function: text to ``n_words`` and ``n_tokens`` by a byte vocabulary."""
+def token_counts(path: str, start: bytes = b" "):
+    """A column function: text to ``n_words`` and ``n_tokens`` by a byte vocabulary
+    whose entries for the start of a word begin with ``start``."""
 
     def make():
-        if path not in _BUILT:
-            _BUILT[path] = LongestMatch(loaded(path).strings)
-        match = _BUILT[path]
+        if (path, start) not in _BUILT:
+            _BUILT[path, start] = LongestMatch(loaded(path).strings, start)
+        match = _BUILT[path, start]
 
         def row(text):
             words = text.encode().split() if text else []

@@ -40,6 +40,13 @@ def test_counts_of_the_byte_vocabulary():
     assert match.total(words * 2) == 2 * sum(greedy(w, tokens, max(map(len, tokens))) for w in words)
 
 
+def test_words_start_with_their_own_pieces():
+    match = LongestMatch([b"a", b"b", b" ", b" a", b" ab", b"ba", b"abb"], b" ")
+    assert [match.count(w) for w in (b"a", b"ab", b"abb", b"abba", b"b", b"")] == [1, 1, 2, 2, 2, 1]
+    match.total([b"a" * 65, b"a" * 64])
+    assert list(match.words) == [b"a" * 64]
+
+
 @pytest.fixture(scope="module")
 def plain_counts():
     tokens = {s for s in loaded(BYTES).strings if s}
@@ -48,7 +55,7 @@ def plain_counts():
 
     def counts(text):
         words = (text or "").encode().split()
-        return len(words), sum(map(pieces, words))
+        return len(words), sum(pieces(b" " + w) for w in words)
 
     return counts
 
