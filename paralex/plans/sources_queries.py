@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paralex.operators import predicates as P
 from paralex.operators.sharding import shard_by_rows
 from paralex.operators.vocabulary import char_vocabulary
 from paralex.plans import aggregates_queries as A
@@ -117,6 +118,24 @@ def written_parts(s, d):
     return at(path), parts.read_ledgers(s, at(ledger))
 
 
+def numbered_lines(s, d):
+    """Raw lines written as files of shards, numbered by their place in the files."""
+    path = scratch(s, "lines")
+    sinks.write_sharded(shard_by_rows(fx(s, d, "raw"), 5000, first=1).select("file_name", "shard", "line_no", "line"), path)
+    rows = S.read_numbered_lines(s, path, schema="value string, file_name string, shard bigint")
+    return rows.select("file_name", "shard", "pos", F.col("value").alias("line"))
+
+
+def counted(s, d):
+    """Valid pairs written, with the counts of the pass that wrote them."""
+    path, valid = scratch(s, "pairs"), P.is_valid_pair("en", "es", "wav_path", "ñÑ")
+    ok = F.coalesce(valid, F.lit(False))
+    counters = {"total": F.count(F.lit(1)), "valid": F.count_if(ok), "invalid": F.count_if(~ok), "chars": F.sum(F.length("en").cast("bigint"))}
+    seen = sinks.write_counted(fx(s, d, "wide"), path, counters, valid)
+    found = s.read.parquet(path).agg(F.count(F.lit(1)).alias("written"))
+    return found.select(*[F.lit(seen[c]).cast("bigint").alias(c) for c in counters], "written")
+
+
 def completed(s, d):
     folders, ledger = written_parts(s, d)
     return parts.read_completed(s, folders, ledger, PART)[0].select("config", "file_name", "id", "en", "fr")
@@ -174,6 +193,8 @@ QUERIES = {
     "scan_json_tree_bad": lambda s, d: S.bad_trees(fx(s, d, "json_trees")).select("doc_id"),
     "scan_torn_paths": lambda s, d: S.tree_paths(fx(s, d, "torn_nodes"))[0],
     "scan_torn_paths_rejected": lambda s, d: S.tree_paths(fx(s, d, "torn_nodes"))[1],
+    "scan_numbered_lines": numbered_lines,
+    "sink_counted_rows": counted,
     "sink_sharded_jsonl": sharded,
     "sink_metrics_table": lambda s, d: sinks.write_report(A.usage_report(s, d), scratch(s, "report")),
     "sink_vocab": lambda s, d: sinks.write_vocabulary(
@@ -270,6 +291,13 @@ ORACLE = {
         UNION ALL SELECT n.node FROM {torn_nodes} n JOIN o ON n.parent = o.node)
       SELECT node, parent, label, CASE WHEN node IN (SELECT node FROM o) THEN 'orphan' ELSE 'cycle' END AS reason
       FROM {torn_nodes} WHERE node NOT IN (SELECT node FROM p)""",
+    "scan_numbered_lines": """
+      SELECT file_name, p // 5000 + 1 AS shard, p % 5000 AS pos, line FROM
+        (SELECT file_name, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no) - 1 AS p FROM {raw})""",
+    "sink_counted_rows": """
+      SELECT count(*) AS total, count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS invalid,
+        CAST(sum(length(en)) AS BIGINT) AS chars, count(*) FILTER (ok) AS written FROM
+        (SELECT en, NOT regexp_matches(es, '[\\n\\rñÑ]') AND trim(wav_path, ' ' || chr(10)) <> '' AS ok FROM {wide})""",
     "sink_sharded_jsonl": """
       SELECT file_name, p // 200 AS shard, count(*) AS rows, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes FROM
         (SELECT file_name, line, row_number() OVER (PARTITION BY file_name ORDER BY line_no) - 1 AS p FROM {raw}) GROUP BY ALL""",

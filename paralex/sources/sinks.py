@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -67,6 +67,20 @@ def write_requests(rolled: DataFrame, path: str) -> DataFrame:
     )
 
 
+def write_counted(df: DataFrame, path: str, counters: dict[str, Column], keep: Column | None = None) -> dict:
+    """Write the rows for which ``keep`` holds (null does not) as Parquet, and
+    return ``counters``, aggregates of all rows, from the same pass.
+
+    Counters are those of the tasks whose output was committed; no second scan
+    and no cache.  They must be plain aggregates such as counts and sums.
+    """
+    seen = Observation()
+    counted = df.observe(seen, *[c.alias(name) for name, c in counters.items()])
+    rows = counted if keep is None else counted.filter(F.coalesce(keep, F.lit(False)))
+    rows.write.mode("overwrite").parquet(path)
+    return {name: seen.get[name] for name in counters}
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

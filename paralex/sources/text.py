@@ -49,13 +49,32 @@ def read_blocks(
     ).withColumn("block_no", F.col("block_no") - 1).filter("block <> ''")
 
 
+def read_numbered_lines(spark: SparkSession, path: str, line_sep: str = "\n", schema: str = "value string") -> DataFrame:
+    """Lines of text files with ``file_path`` and their 0-based place in the file,
+    ``pos``; ``schema`` may name partition columns.
+
+    Nothing is sorted.  A row id grows within a split of a file, so the place is
+    what the splits before it hold, by a first pass that counts without keeping
+    text, and the distance to the split's smallest id.  Both passes read one
+    listing of the files, which gives them the same splits.
+    """
+    lines = spark.read.schema(schema).option("lineSep", line_sep).text(path).select(
+        "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    splits = lines.groupBy("file_path", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("file_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.select("file_path", "_split", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    placed = lines.join(before, ["file_path", "_split"])
+    return placed.withColumn("pos", F.col("_before") + F.col("_id") - F.col("_first")).drop("_split", "_id", "_first", "_before")
+
+
 def read_block_files(spark: SparkSession, path: str, marker: str = V.BLOCK_MARKER) -> DataFrame:
-    """File variant: the marker is the record separator, so a large file is
-    still split among tasks."""
+    """File variant, ``file_name, block_no, block``: the marker is the record
+    separator, so a large file is still split among tasks."""
     return (
-        spark.read.option("lineSep", marker)
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("file_name"), F.col("value").alias("block"))
+        read_numbered_lines(spark, path, marker)
+        .select(F.col("file_path").alias("file_name"), (F.col("pos") - 1).alias("block_no"), F.col("value").alias("block"))
         .filter("block <> ''")
     )
 
