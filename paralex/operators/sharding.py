@@ -24,6 +24,7 @@ from paralex.session import stored
 
 PART_BITS = 33  # low bits of a row id that count rows inside a part
 CHUNK_ROWS = 1 << 16
+SPLITTERS = 64  # ranges of the order in which first rows are looked for
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -307,17 +308,37 @@ def chunk_fixed(df: DataFrame, order: Sequence[str], size: int = V.TOPICS_PER_FI
     ).drop("pos", "total")
 
 
+def _first_ranges(rows: DataFrame, order: Sequence[str], wanted: Column) -> DataFrame:
+    """Rows of the leading ranges of the order that hold the first ``wanted`` rows.
+
+    Ranges lie between a few rows drawn by hash.  Rows per range are counted
+    (partial sums, one row a range), and ranges behind the one in which the last
+    wanted row falls are left out before anything is sorted.  The drawn rows
+    steer how much is left out, never which rows come first.
+    """
+    key = F.struct(*order)
+    drawn = rows.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SPLITTERS)
+    splitters = drawn.agg(F.collect_set("k").alias("ks")).scalar()
+    ranged = rows.withColumn("_ks", splitters).withColumn("_range", F.size(F.filter("_ks", lambda s: s <= key))).drop("_ks")
+    upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("_range"))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
+    last = counts.filter(F.col("upto") >= wanted).agg(F.min("_range")).first()[0]
+    return ranged.filter(F.col("_range") <= (SPLITTERS if last is None else last)).drop("_range")
+
+
 def admit_top_k(pending: DataFrame, running: DataFrame, most: int | Column, order: Sequence[str]) -> DataFrame:
     """The first pending files that fit the free slots ``most`` - running.
 
-    ``most`` may be a scalar subquery.  All pending rows are numbered, by parts
-    as in :func:`number_rows`, so any number of slots is filled.
+    ``most`` may be a scalar subquery.  Only the ranges of the order that reach
+    the last free slot are sorted and numbered, by parts as in
+    :func:`number_rows`, so any number of slots is filled.
     """
     used = running.agg(F.count(F.lit(1)).alias("n")).scalar()
     # The struct keeps columns of the files from meeting those of the numbering.
     rows = pending.select(F.struct(*pending.columns).alias("_file"))
-    numbered = number_rows(rows, [f"_file.{c}" for c in order], ())
     free = (F.lit(most) if isinstance(most, int) else most) - used
+    by = [f"_file.{c}" for c in order]
+    numbered = number_rows(_first_ranges(rows, by, free), by, ())
     return numbered.filter(F.col("pos") < free).select("_file.*", (F.col("pos") + 1).cast("int").alias("slot"))
 
 
