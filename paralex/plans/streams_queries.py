@@ -9,6 +9,7 @@ from paralex.plans.aggregates_queries import PARSED
 from paralex.plans.fixtures import FIXTURES, fixture as fx
 from paralex.session import scratch
 from paralex.streaming import jobs as S
+from paralex.streaming import once as O
 
 # Files to submit: more than there are files with jobs.
 FIXTURES["incoming"] = "SELECT concat('part-', lpad(CAST(p_partkey AS STRING), 7, '0'), '.jsonl') AS file_name FROM {part}"
@@ -104,6 +105,19 @@ def dedupe(s, d):
     return s.read.parquet(sink)
 
 
+def once(s, d):
+    """Half of the events arrive, then all of them, then two types again years
+    later; copies that come later hold other values."""
+    path, ledger, sink = scratch(s, "events"), scratch(s, "seen"), scratch(s, "first")
+    events, mark = fx(s, d, "events"), scratch(s, "checkpoint")
+    later = {"ts": F.col("ts") + F.expr("interval 10 years"), "value": -F.col("value")}
+    for rows in (events.filter("event_id % 2 = 0"), events.unionByName(events.withColumns(later)),
+                 events.filter("event_type IN ('click', 'error')").withColumns(later)):
+        rows.select(*events.columns).write.mode("append").parquet(path)
+        O.once_to(S.arriving_files(s, path, EVENT), ["event_id"], ["ts"], ledger, sink, mark)
+    return s.read.parquet(sink).select("event_id", "event_type", "value", F.col("batch").cast("int").alias("batch"))
+
+
 def admission(s, d):
     """States arrive in two rounds while incoming files wait for a slot."""
     path, ledger, admitted = scratch(s, "states"), scratch(s, "ledger"), scratch(s, "admitted")
@@ -124,6 +138,7 @@ QUERIES = {
     "stream_cutoff_late": cutoff,
     "stream_progress": progress,
     "stream_dedupe": dedupe,
+    "stream_dedupe_ever": once,
     "stream_admission": admission,
 }
 
@@ -153,6 +168,7 @@ ORACLE = {
       SELECT date_trunc('hour', ts) AS window_start, count(*) AS rows, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents,
         CAST(sum(length(props)) AS BIGINT) AS chars FROM {events} GROUP BY 1""",
     "stream_dedupe": "SELECT event_id, event_type, value FROM {events}",
+    "stream_dedupe_ever": "SELECT event_id, event_type, value, CAST(event_id % 2 AS INTEGER) AS batch FROM {events}",
     "stream_admission": "WITH " + ROUND.format(n=0, old="", when="created_at < TIMESTAMP '1995-06-01'") + ","
         + ROUND.format(n=1, old="SELECT * FROM l0 UNION ALL", when="created_at >= TIMESTAMP '1995-06-01'")
         + " SELECT 0 AS round, file_name, slot FROM a0 UNION ALL SELECT 1, file_name, slot FROM a1",
