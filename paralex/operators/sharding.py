@@ -309,12 +309,18 @@ def chunk_fixed(df: DataFrame, order: Sequence[str], size: int = V.TOPICS_PER_FI
 
 
 def _first_ranges(rows: DataFrame, order: Sequence[str], wanted: Column) -> DataFrame:
-    """Rows of the leading ranges of the order that hold the first ``wanted`` rows.
+    """Rows of the leading ranges of the order that hold the first ``wanted`` rows."""
+    return _ranges_between(rows, order, F.lit(0), wanted)[0]
+
+
+def _ranges_between(rows: DataFrame, order: Sequence[str], start: Column, stop: Column) -> tuple[DataFrame, int]:
+    """Rows of the ranges of the order that hold positions ``[start, stop)``, and
+    how many rows lie before them.
 
     Ranges lie between a few rows drawn by hash.  Rows per range are counted
-    (partial sums, one row a range), and ranges behind the one in which the last
-    wanted row falls are left out before anything is sorted.  The drawn rows
-    steer how much is left out, never which rows come first.
+    (partial sums, one row a range), and ranges before that of the first wanted
+    row, or behind that of the last, are left out before anything is sorted.
+    The drawn rows steer how much is left out, never which rows are wanted.
     """
     key = F.struct(*order)
     drawn = rows.select(key.alias("k")).orderBy(F.xxhash64("k"), "k").limit(SPLITTERS)
@@ -322,8 +328,13 @@ def _first_ranges(rows: DataFrame, order: Sequence[str], wanted: Column) -> Data
     ranged = rows.withColumn("_ks", splitters).withColumn("_range", F.size(F.filter("_ks", lambda s: s <= key))).drop("_ks")
     upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("_range"))
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", upto)
-    last = counts.filter(F.col("upto") >= wanted).agg(F.min("_range")).first()[0]
-    return ranged.filter(F.col("_range") <= (SPLITTERS if last is None else last)).drop("_range")
+    before = F.col("upto") <= start
+    last, skipped, first = counts.agg(
+        F.min(F.when(F.col("upto") >= stop, F.col("_range"))), F.max(F.when(before, F.col("upto"))),
+        F.max(F.when(before, F.col("_range"))),
+    ).first()
+    inside = F.col("_range").between(0 if first is None else first + 1, SPLITTERS if last is None else last)
+    return ranged.filter(inside).drop("_range"), skipped or 0
 
 
 def admit_top_k(pending: DataFrame, running: DataFrame, most: int | Column, order: Sequence[str]) -> DataFrame:
@@ -350,9 +361,18 @@ def order_oldest_first(
     return out.orderBy(time, name)
 
 
-def slice_sorted(df: DataFrame, order: Sequence[str | Column], start: int, stop: int) -> DataFrame:
-    """Positions ``[start, stop)`` of the sorted rows, kept by a top-k plan."""
-    return df.orderBy(*order).offset(start).limit(stop - start)
+def slice_sorted(df: DataFrame, order: Sequence[str], start: int, stop: int) -> DataFrame:
+    """Positions ``[start, stop)`` of the rows sorted by ``order``, in that order.
+
+    Only the ranges of the order that reach these positions are sorted and
+    numbered, so a slice far into the rows, or a long one, ends in no single
+    task.  Null orders come first; of rows equal in ``order`` any may be in.
+    """
+    rows = df.select(F.struct(*df.columns).alias("_file"))
+    by = [f"_file.{c}" for c in order]
+    ranged, skipped = _ranges_between(rows, by, F.lit(start), F.lit(stop))
+    pos = F.col("pos") + skipped
+    return number_rows(ranged, by, ()).filter((pos >= start) & (pos < stop)).orderBy("pos").select("_file.*")
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

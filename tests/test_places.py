@@ -74,3 +74,23 @@ def test_few_rows_are_sorted_for_few_slots(spark):
     kept = S._first_ranges(rows, ["name"], F.lit(10))
     assert 10 <= kept.count() < 10_000
     assert sorted(r.name for r in kept.collect())[:10] == [f"part-{i:07d}" for i in range(10)]
+
+
+@pytest.mark.parametrize("start,stop", [(0, 5), (7, 60), (390, 400), (395, 900), (500, 600), (3, 3), (0, 400)])
+def test_slices_with_ties_nulls_and_a_hot_key(spark, start, stop):
+    rng = random.Random(11)
+    names = ["hot" if rng.random() < 0.4 else rng.choice([None, *(f"n{i:03}" for i in range(300))]) for _ in range(400)]
+    rows = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, pos int").repartition(5)
+    got = [(r.name, r.pos) for r in S.slice_sorted(rows, ["name", "pos"], start, stop).collect()]
+    want = sorted(((n, i) for i, n in enumerate(names)), key=lambda r: (r[0] is not None, r))
+    assert got == want[start:stop]
+
+
+def test_a_slice_far_into_the_rows_sorts_few(spark):
+    rows = spark.range(20000).select(F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    kept, skipped = S._ranges_between(rows, ["name"], F.lit(15000), F.lit(15010))
+    assert kept.count() < 3000 and 13000 < skipped <= 15000
+
+
+def test_slices_of_an_empty_table(spark):
+    assert S.slice_sorted(spark.range(0), ["id"], 2, 9).collect() == []
