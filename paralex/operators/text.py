@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,26 +117,29 @@ def pack_sentences(
 
 
 def clean_sentence(text: str | Column, lang: str | Column) -> Column:
-    """Ordered clean-up of a translated sentence by its language."""
+    """Ordered clean-up of a translated sentence by its language.
+
+    Every step is bound by :func:`let`, as its test and both its branches name
+    the text before it.
+    """
     text, lang = col(text), col(lang)
     drop = lambda c, pattern: F.regexp_replace(c, pattern, "")
     # Cheap tests keep the searches off texts that cannot match.
-    t = F.when(F.contains(text, F.lit("(")), drop(text, V.CLEAN_BRACKETED)).otherwise(text)
-    t = F.when(F.contains(t, F.lit("https:")), drop(t, V.CLEAN_URL.replace("{s}", V.SPACE))).otherwise(t)
-    han = F.when(
-        t.rlike(f"[{V.HAN}]"), drop(t, V.CLEAN_HAN_RUN.replace("{s}", V.SPACE))
-    ).otherwise(t)
-    t = (
-        F.when(lang == "zh-cn", drop(drop(t, V.CLEAN_ZH_BRACKETED), V.CLEAN_ZH_LABEL))
+    where = lambda test, pattern: lambda t: F.when(test(t), drop(t, pattern)).otherwise(t)
+    steps = [
+        where(lambda t: F.contains(t, F.lit("(")), V.CLEAN_BRACKETED),
+        where(lambda t: F.contains(t, F.lit("https:")), V.CLEAN_URL.replace("{s}", V.SPACE)),
+        lambda t: F.when(lang == "zh-cn", drop(drop(t, V.CLEAN_ZH_BRACKETED), V.CLEAN_ZH_LABEL))
         .when(lang == "ja", drop(t, V.CLEAN_JA_LABEL))
-        .otherwise(han)
-    )
-    # The remark pattern backtracks; only texts with the word are worth it.
-    remark = F.contains(F.lower(t), F.lit("translat")) & (lang != "en")
-    t = F.when(remark, drop(t, V.CLEAN_TRANSLATION_REMARK)).otherwise(t)
-    t = strip(drop(t, any_of(V.SENTENCE_LABELS)))
-    t = strip(drop(drop(t, V.CLEAN_LEADING), V.CLEAN_TRAILING_NAME))
-    return F.when((text == "") | text.rlike(V.CLEAN_ECHO), "").otherwise(t)
+        .when(t.rlike(f"[{V.HAN}]"), drop(t, V.CLEAN_HAN_RUN.replace("{s}", V.SPACE)))
+        .otherwise(t),
+        # The remark pattern backtracks; only texts with the word are worth it.
+        where(lambda t: F.contains(F.lower(t), F.lit("translat")) & (lang != "en"), V.CLEAN_TRANSLATION_REMARK),
+        lambda t: strip(drop(t, any_of(V.SENTENCE_LABELS))),
+        lambda t: strip(drop(drop(t, V.CLEAN_LEADING), V.CLEAN_TRAILING_NAME)),
+    ]
+    cleaned = reduce(let, steps, text)
+    return F.when((text == "") | text.rlike(V.CLEAN_ECHO), "").otherwise(cleaned)
 
 
 def clean_translation(
