@@ -16,21 +16,30 @@ def align_by_length(segs: DataFrame, chars: DataFrame) -> DataFrame:
     many character timestamps as it has characters, clamped to the last one.
 
     An empty segment has no times, nor have those of an utterance without
-    timestamps.  Offsets come from a two-step running sum
-    and times from equi joins on (utterance, position), so one very long
-    utterance spreads over tasks like many short ones.
+    timestamps; of several timestamps of one position the earliest start and
+    the latest end count.  Offsets come from a two-step running sum, and both
+    times from one equi join on (utterance, position), so one very long
+    utterance spreads over tasks like many short ones.  Timestamps are shuffled
+    once; their last positions are counted by partial sums.
     """
-    placed = number_rows(segs, "seg_no", ["utt"], F.length("transcription"))
+    placed = number_rows(segs.withColumn("_seg", F.monotonically_increasing_id()), "seg_no", ["utt"], F.length("transcription"))
     last = chars.groupBy("utt").agg(F.max("pos").cast("bigint").alias("_last"))
     size = F.length("transcription")
-    bounds = placed.join(last, "utt", "left").select(
-        "utt", "seg_no", "transcription",
-        F.when(size > 0, F.least(F.col("pos"), F.col("_last"))).alias("_from"),
-        F.when(size > 0, F.least(F.col("pos") + size - 1, F.col("_last"))).alias("_to"),
+    ends = F.when(size > 0, F.array(F.col("pos"), F.col("pos") + size - 1))
+    wanted = placed.join(last, "utt", "left").select(
+        "_seg", "utt", "seg_no", "transcription",
+        F.posexplode_outer(F.transform(ends, lambda p: F.least(p, F.col("_last")))).alias("_side", "pos"),
+    )
+    times = chars.select("utt", F.col("pos").cast("bigint").alias("pos"), "start_ms", "end_ms")
+    return (
+        wanted.join(times, ["utt", "pos"], "left")
+        .groupBy("_seg", "utt", "seg_no", "transcription")
+        .agg(
+            F.min(F.when(F.col("_side") == 0, F.col("start_ms"))).alias("start_ms"),
+            F.max(F.when(F.col("_side") == 1, F.col("end_ms"))).alias("end_ms"),
+        )
+        .drop("_seg")
     )
-    starts = chars.select("utt", F.col("pos").cast("bigint").alias("_from"), "start_ms")
-    ends = chars.select("utt", F.col("pos").cast("bigint").alias("_to"), "end_ms")
-    return bounds.join(starts, ["utt", "_from"], "left").join(ends, ["utt", "_to"], "left").drop("_from", "_to")
 
 
 def align_by_search(
