@@ -20,7 +20,8 @@ def align_by_length(segs: DataFrame, chars: DataFrame) -> DataFrame:
     the latest end count.  Offsets come from a two-step running sum, and both
     times from one equi join on (utterance, position), so one very long
     utterance spreads over tasks like many short ones.  Timestamps are shuffled
-    once; their last positions are counted by partial sums.
+    once and never broadcast: a small table of texts may hold many of them, which
+    its size does not tell.  Their last positions are counted by partial sums.
     """
     placed = number_rows(segs.withColumn("_seg", F.monotonically_increasing_id()), "seg_no", ["utt"], F.length("transcription"))
     last = chars.groupBy("utt").agg(F.max("pos").cast("bigint").alias("_last"))
@@ -32,7 +33,7 @@ def align_by_length(segs: DataFrame, chars: DataFrame) -> DataFrame:
     )
     times = chars.select("utt", F.col("pos").cast("bigint").alias("pos"), "start_ms", "end_ms")
     return (
-        wanted.join(times, ["utt", "pos"], "left")
+        wanted.join(times.hint("merge"), ["utt", "pos"], "left")
         .groupBy("_seg", "utt", "seg_no", "transcription")
         .agg(
             F.min(F.when(F.col("_side") == 0, F.col("start_ms"))).alias("start_ms"),

@@ -220,3 +220,9 @@ def test_labels_go_before_the_language_is_asked(spark):
     df = spark.createDataFrame([(1, [(0, "英文：Good morning my friend", "zh-cn", "en"), (1, "你好", "zh-cn", "zh-cn")])], f"id int, lines {lines}")
     row = concat_by_lang(df).first()
     assert row["en"] == "Good morning my friend" and row["zh-cn"] == "你好"
+
+
+def test_timestamps_of_a_small_table_are_not_broadcast(spark):
+    """Texts of a small table hold many characters; the join would send all of them to the driver."""
+    text = plan(catalog.queries()["align_by_length"](spark, SF))
+    assert "SortMergeJoin [utt#" in text
