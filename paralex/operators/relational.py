@@ -8,7 +8,7 @@ whose skew handling also splits a hot key of the large side.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -115,23 +115,25 @@ def deep_merge_leaves(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Da
 
     Paths above a leaf are made distinct before they meet the other side, so a
     ledger, or an object in it, with most of the leaves sends each path once.
+    Both sides of all joins are shuffled, as leaves are many more than ledgers.
     """
+    join = partial(join_null_safe, shuffled=True)
     on = [*keys, "path"]
     empty = F.col("value") == "{}"
     beneath = lambda df: df.select(*keys, F.explode(_above("path")).alias("path")).distinct()
     # All paths of the new ledger, of leaves and of objects.
     there = new.select(*on).unionByName(beneath(new))
-    kept = join_null_safe(old, there, on, "left_anti")
+    kept = join(old, there, on, "left_anti")
     # New leaves, but no empty objects, above old ones: all below them goes.
-    replaced = join_null_safe(beneath(old), new.filter(~empty).select(*on), on, "left_semi")
-    gone = join_null_safe(
+    replaced = join(beneath(old), new.filter(~empty).select(*on), on, "left_semi")
+    gone = join(
         kept.select(*on, F.explode(_above("path")).alias("_above")).withColumnRenamed("path", "_leaf_path").withColumnRenamed("_above", "path"),
         replaced, on, "left_semi",
     ).select(*keys, F.col("_leaf_path").alias("path")).distinct()
-    kept = join_null_safe(kept, gone, on, "left_anti")
+    kept = join(kept, gone, on, "left_anti")
     # Empty new objects that the old ledger fills.
-    filled = join_null_safe(new.filter(empty).select(*on), beneath(old), on, "left_semi")
-    return kept.select(*on, "value").unionByName(join_null_safe(new, filled, on, "left_anti").select(*on, "value"))
+    filled = join(new.filter(empty).select(*on), beneath(old), on, "left_semi")
+    return kept.select(*on, "value").unionByName(join(new, filled, on, "left_anti").select(*on, "value"))
 
 
 def ledger_upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], seq: str = "seq") -> DataFrame:

@@ -27,9 +27,17 @@ CHUNK_ROWS = 1 << 16
 SPLITTERS = 64  # ranges of the order in which first rows are looked for
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which null keys meet; the keys come from ``left``."""
+def join_null_safe(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", shuffled: bool = False
+) -> DataFrame:
+    """Equi-join in which null keys meet; the keys come from ``left``.
+
+    ``shuffled`` is for sides that hold many more rows than the size of their
+    source tells, as generators give them: neither is broadcast.
+    """
     renamed = right.withColumnsRenamed({c: f"__{c}" for c in on})
+    if shuffled:
+        renamed = renamed.hint("merge")
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on])
     return left.join(renamed, same, how).drop(*[f"__{c}" for c in on])
 

@@ -71,3 +71,11 @@ def test_a_ledger_with_most_leaves_sends_a_path_once(spark):
     new = old.filter("value = '1'").limit(3).withColumn("value", F.lit("2"))
     assert deep_merge_leaves(old, new, ["key"]).groupBy("value").count().orderBy("value").collect()[1]["count"] == 3
     assert deep_merge_leaves(old, new, ["key"]).count() == 20_000
+
+
+def test_leaves_are_not_broadcast(spark):
+    """A table of keys looks small, whatever ledgers are made of it."""
+    rows = spark.range(10).selectExpr("id AS key", """'{"a":{"b":1}}' AS j""")
+    merged = deep_merge_leaves(json_leaves(rows, "j"), json_leaves(rows, "j"), ["key"])
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
