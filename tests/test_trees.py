@@ -107,6 +107,19 @@ def test_turns_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
     assert leaves.count() == 1 and rejected.count() == 0 and len(written) <= 2 * 10 + 2
 
 
+def test_cycles_cost_no_turns(spark, monkeypatch):
+    """Many nodes in cycles, and rows that come twice, under a short tree."""
+    written = []
+    monkeypatch.setattr(S, "stored", lambda df, purpose, f=S.stored: (written.append(purpose), f(df, purpose))[1])
+    rows = [("r", None, "R"), ("a", "r", "A"), ("a", "r", "A"), ("o", "gone", "O"), ("p", "o", "P"), (None, "a", "N"), (None, None, "M")]
+    rows += [(f"s{i}", f"s{i}", "s") for i in range(300)] + [("s0", "s0", "s"), ("u", "s0", "u")]
+    leaves, rejected = S.tree_paths(spark.createDataFrame(rows, "node string, parent string, label string"))
+    assert sorted(r.topic for r in leaves.collect()) == sorted(["M", "R-A-N", "R-A-N"])
+    found = [(r.node, r.reason) for r in rejected.collect()]
+    assert sorted(found) == sorted([("o", "orphan"), ("p", "orphan"), ("u", "cycle"), ("s0", "cycle")] + [(f"s{i}", "cycle") for i in range(300)])
+    assert written.count("pointers") <= 4
+
+
 def test_empty_tree(spark):
     leaves, rejected = S.tree_paths(spark.createDataFrame([], "node string, parent string, label string"))
     assert leaves.count() == 0 and rejected.filter(F.lit(True)).count() == 0
