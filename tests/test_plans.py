@@ -226,3 +226,28 @@ def test_timestamps_of_a_small_table_are_not_broadcast(spark):
     """Texts of a small table hold many characters; the join would send all of them to the driver."""
     text = plan(catalog.queries()["align_by_length"](spark, SF))
     assert "SortMergeJoin [utt#" in text
+
+
+def test_lines_without_a_label_are_scored_once(spark, monkeypatch):
+    """Only what a label hides is scored a second time."""
+    from paralex.plans import aggregates_queries as A
+
+    blocks = spark.createDataFrame([("f", 1, 0, ["hello there", "英文：Good morning", None])], "file_name string, doc_id int, block_no int, lines array<string>")
+    seen = []
+
+    def detected(spark, sf, rows, keys):
+        seen.extend(r.line for r in rows.collect())
+        return rows.select(*keys, F.concat(F.lit("of "), F.coalesce("line", F.lit("-"))).alias("detected"))
+
+    monkeypatch.setattr(A, "usable_blocks", lambda s, d: blocks)
+    monkeypatch.setattr(A, "detected", detected)
+    lines = A.block_lines(spark, "").first().lines
+    assert sorted(filter(None, seen)) == ["Good morning", "hello there", "英文：Good morning"]
+    assert [(x.lang, x.text_lang) for x in lines] == [("of hello there", "of hello there"), ("of 英文：Good morning", "of Good morning"), ("of -", "of -")]
+
+
+def test_small_profiles_are_met_once(spark):
+    docs = spark.createDataFrame([("en", "the cat"), ("fr", "le chat")], "lang string, text string")
+    profiles = L.fit_lang_profiles(docs, ["en", "fr"], scratch(spark, "p"))
+    text = plan(L.detect_lang(spark.createDataFrame([(1, "the cat")], "id int, line string"), profiles, ["id"]))
+    assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text and "_salt" not in text
