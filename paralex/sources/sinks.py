@@ -24,6 +24,8 @@ def write_sharded(df: DataFrame, path: str, line: str = "line", order: str = "li
 
 
 def _write_lines(df: DataFrame, path: str, line: str, order: str) -> None:
+    """Tasks move their own files into place; the driver does not rename one folder
+    after another when all are done.  A task that is repeated writes the same names."""
     (
         df.select("file_name", "shard", F.col(order).alias("_order"), F.col(line).alias("value"))
         .repartition("file_name", "shard")
@@ -32,6 +34,7 @@ def _write_lines(df: DataFrame, path: str, line: str, order: str) -> None:
         .write.mode("overwrite")
         .partitionBy("file_name", "shard")
         .option("lineSep", LINE_END)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         .text(path)
     )
 
