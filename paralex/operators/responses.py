@@ -112,10 +112,12 @@ def post_norm(df: DataFrame, lang: str, max_edits: int = V.MAX_EDITS) -> DataFra
     """
     from paralex.operators.text import edit_distance_gate
 
-    prompt = last_user_message()
-    cut = F.locate("\n", prompt)
-    source = F.when(cut > 0, F.substr(prompt, cut + 1)).otherwise(prompt)
-    rows = df.select(F.col("id").alias("utt"), source.alias("src"), F.col("answer").alias("text"))
+    def source(prompt: Column) -> Column:
+        cut = F.locate("\n", prompt)
+        return F.when(cut > 0, F.substr(prompt, cut + 1)).otherwise(prompt)
+
+    src = let(last_user_message(), source)
+    rows = df.select(F.col("id").alias("utt"), src.alias("src"), F.col("answer").alias("text"))
     return edit_distance_gate(rows, lang, max_edits)
 
 

@@ -4,7 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
+from paralex import fixed_values as V
 from paralex.functions.labels import ALL_LABELS, labelled_map
+from paralex.operators import responses as X
 from paralex.operators import text as TX
 from paralex.plans.fixtures import table
 
@@ -69,3 +71,30 @@ def test_edit_gate_against_the_full_distance(spark):
     kept = {r.i for r in TX.edit_distance_gate(df, "zh").collect()}
     full = {r.i for r in df.filter(F.levenshtein("src", "text") <= 3).collect()}
     assert kept == full and 0 < len(full) < 200
+
+
+def test_sides_of_the_edit_gate_are_computed_once(spark):
+    """Whatever computes the sides runs once a row, not once for every place of the gate that names one."""
+    rows = [("a b", "initial! A b"), ("a b", "other"), (None, None), ("x\ny", "initial Y"), ("", "")]
+    raw = spark.createDataFrame(rows, "prompt string, said string")
+    parts = raw.select(
+        F.lit(1).alias("id"), F.initcap("said").alias("answer"),
+        F.array(F.struct(F.lit("user").alias("role"), F.concat(F.lit("do\n initial "), F.soundex("prompt"), F.col("prompt")).alias("content"))).alias("messages"))
+    for lang in ("en", "de"):
+        gated = X.post_norm(parts, lang)
+        text = gated._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("initcap(") == 1 and text.count("soundex(") == 1
+        assert gated.columns == ["utt", "src", "text"]
+    sides = raw.select(F.initcap("said").alias("text"), F.col("prompt").alias("src"), "prompt")
+    gated = TX.edit_distance_gate(sides, "en")
+    assert gated._jdf.queryExecution().optimizedPlan().toString().count("initcap(") == 1
+    assert gated.columns == sides.columns and [tuple(r) for r in gated.collect()] == [("", "", "")]
+
+
+def test_match_mode_drops_the_marks_of_its_class(spark):
+    """Every character up to U+3100 and the full-width forms, one by one and in runs."""
+    chars = [chr(c) for c in [*range(1, 0x3100), *range(0xFF00, 0xFFF0), 0x1F600]]
+    df = spark.createDataFrame([(c,) for c in chars] + [("a" + c + c + "b",) for c in chars] + [(None,), ("",)], "t string")
+    plain = F.regexp_replace("t", f"[{V.MATCH_PUNCTUATION}{V.SPACE}]+", "")
+    assert df.filter(~TX.normalize("t").eqNullSafe(plain)).count() == 0
+    assert df.filter(F.length(TX.normalize("t")) == 0).count() == len(V.MATCH_PUNCTUATION_CHARS + V.SPACE_CHARS) + 1
