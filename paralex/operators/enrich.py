@@ -9,7 +9,7 @@ from __future__ import annotations
 import heapq
 import itertools
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 
 import numpy as np
@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 
 from paralex import fixed_values as V
 
-BatchFunction = Callable[[pd.DataFrame, int], pd.DataFrame]
+Answer = pd.DataFrame | tuple[Sequence[int], dict[str, Sequence]]
+BatchFunction = Callable[[pd.DataFrame, int], Answer]
 MOST_WAITING = 50_000  # rows of a task that may wait for their next attempt while others are asked
+PACE = 1.4  # how calls grow and shrink: about one in two fails where few calls are needed
 
 
 def enrich(
@@ -36,13 +38,17 @@ def enrich(
 
     ``fn(batch, attempt)`` returns a frame with the columns of ``out_schema``
     for the rows it could answer, under their index in ``batch``; the others
-    are tried again after a delay that doubles, while other rows are asked.  A
+    are tried again after a delay that doubles, while other rows are asked.  In
+    place of a frame, which is dear for a few rows, it may return a pair: the
+    places in ``batch`` of these rows, from 0, and a dict of their columns.  A
     row it answers with ``blocked=True`` is not tried again.  After
     ``max_attempts`` a row comes out as ``failed`` with its input intact, so
     nothing is lost; outcomes are ``ok``, ``blocked`` and ``failed``.
 
     When ``fn`` raises, or returns anything else, none of its rows is answered;
-    they are asked again in two halves, down to single rows.  Calls get smaller
+    their first half is asked, and so on down to single rows.  Once a first half
+    is answered the second is halved without being asked whole; once it fails
+    the second joins the rows after it.  Calls get smaller
     as calls fail and larger as they succeed.  A row that failed alone is asked
     alone in its later attempts.  ``rows_per_call`` bounds the rows of a call:
     with 1 no row is asked twice in an attempt.  Up to ``in_flight`` calls of a
@@ -97,7 +103,7 @@ class _Asking:
 
     def __init__(self, fn: BatchFunction, fields: list[str], rows_per_call: int | None, in_flight: int):
         self.fn, self.fields, self.most, self.in_flight = fn, fields, rows_per_call or MOST_WAITING, in_flight
-        self.size = self.most
+        self.size = float(self.most)
         self.pool = ThreadPoolExecutor(in_flight) if in_flight > 1 else None
 
     def __enter__(self) -> _Asking:
@@ -111,62 +117,92 @@ class _Asking:
         """Ask for all rows; which are answered, and which failed alone."""
         self.values = {name: np.full(len(rows), None, object) for name in self.fields}
         self.blocked = np.zeros(len(rows), bool)
-        self.done = done = np.zeros(len(rows), bool)
-        failed_alone = np.zeros(len(rows), bool)
-        if alone:
-            waiting = [np.array([i]) for i in range(len(rows))]
-        else:
-            waiting = [np.arange(len(rows))]
-        running: dict[Future, np.ndarray] = {}
-        while waiting or running:
-            while waiting and len(running) < self.in_flight:
-                asked = waiting.pop()
-                if len(asked) > self.size:
-                    waiting.append(asked[self.size :])
-                    asked = asked[: self.size]
-                part = rows if len(asked) == len(rows) else rows.iloc[asked]
+        self.done = np.zeros(len(rows), bool)
+        self.failed_alone = np.zeros(len(rows), bool)
+        # Ranges of rows, the next one last, and whether a call for the whole range has failed.
+        self.waiting = [(0, len(rows), False)]
+        running: dict[Future, tuple[int, int, int]] = {}
+        while self.waiting or running:
+            while self.waiting and len(running) < self.in_flight:
+                first, end, _ = asked = self._next(1 if alone else max(1, round(self.size)))
+                part = rows if end - first == len(rows) else rows.iloc[first:end].copy()
                 if self.pool:
                     running[self.pool.submit(self._call, part, attempt)] = asked
                 else:
-                    self._settle(asked, self._call(part, attempt), waiting, done, failed_alone)
+                    self._settle(asked, self._call(part, attempt))
             if running:
                 for call in wait(running, return_when=FIRST_COMPLETED).done:
-                    self._settle(running.pop(call), call.result(), waiting, done, failed_alone)
-        return done, failed_alone
-
-    def _call(self, part: pd.DataFrame, attempt: int) -> tuple[np.ndarray, pd.DataFrame] | None:
-        """The answer and the places of its rows in ``part``; nothing if it is
-        not well formed."""
+                    self._settle(running.pop(call), call.result())
+        return self.done, self.failed_alone
+
+    def _next(self, most: int) -> tuple[int, int, int]:
+        """The rows to ask, as their first and end, and the end of the failed
+        range whose first half they are (their own end if of none)."""
+        first, end, failed = self.waiting.pop()
+        if failed and end - first > 1:
+            return first, (first + end) // 2, end
+        while not failed and end - first < most and self.waiting and self.waiting[-1][::2] == (end, False):
+            end = self.waiting.pop()[1]
+        if end - first > most:
+            self.waiting.append((first + most, end, False))
+            end = first + most
+        return first, end, end
+
+    def _call(self, part: pd.DataFrame, attempt: int) -> tuple[np.ndarray | list | None, list[tuple]] | None:
+        """The places in ``part`` (nothing: all, in order) of the rows answered,
+        and what goes into which array; nothing if the answer is not well formed."""
         try:
             answer = self.fn(part, attempt)
-            places = part.index.get_indexer(answer.index)
-            if len(places) and (places.min() < 0 or len(np.unique(places)) < len(places)):
+            if isinstance(answer, tuple):
+                places, columns = list(answer[0]), answer[1]
+                listed = places
+            else:
+                columns, places, listed = answer, None, []
+                if not part.index.equals(answer.index):
+                    places = part.index.get_indexer(answer.index)
+                    listed = places.tolist()
+            if listed and (min(listed) < 0 or max(listed) >= len(part) or len(set(listed)) < len(listed)):
                 raise ValueError("answers for rows that were not asked, or asked once")
-            missing = [name for name in self.fields if name not in answer]
+            missing = [name for name in self.fields if name not in columns]
             if missing:
                 raise ValueError(f"answers without {missing}")
+            found = [(self.values[name], columns[name]) for name in self.fields]
+            if "blocked" in columns:
+                found.append((self.blocked, columns["blocked"]))
+            if not isinstance(answer, tuple):
+                found = [(into, column.to_numpy(into.dtype)) for into, column in found]
+            elif any(len(column) != len(places) for _, column in found):
+                raise ValueError("columns of other lengths than the places")
         except Exception:  # the function is the caller's: whatever it raises, its rows are not answered
             return None
-        return places, answer
+        return places, found
 
-    def _settle(self, asked: np.ndarray, reply, waiting: list, done: np.ndarray, failed_alone: np.ndarray) -> None:
+    def _settle(self, asked: tuple[int, int, int], reply) -> None:
+        first, end, failed_end = asked
+        if failed_end > end:  # the first half of a failed range: if it is well, the fault lies in the second
+            self.waiting.append((end, failed_end, reply is not None))
         if reply is None:
-            half = len(asked) // 2
-            if half:
-                self.size = half
-                waiting += [asked[half:], asked[:half]]
-            else:
-                failed_alone[asked] = True
+            if end - first == 1:
+                self.failed_alone[first] = True
+                return
+            self.waiting.append((first, end, True))
+            if failed_end == end:
+                self.size = max(1.0, min(self.size, end - first) / PACE)
             return
-        places, answer = reply
-        if len(asked) >= self.size:
-            self.size = min(2 * self.size, self.most)
-        at = asked[places]
-        for name in self.fields:
-            self.values[name][at] = answer[name].to_numpy(object)
-        if "blocked" in answer:
-            self.blocked[at] = answer["blocked"].to_numpy(bool)
-        done[at] = True
+        places, found = reply
+        if failed_end == end and end - first >= round(self.size):
+            self.size = min(PACE * self.size, self.most)
+        if isinstance(places, list):
+            for into, column in found:
+                for place, value in zip(places, column, strict=True):
+                    into[first + place] = value
+            for place in places:
+                self.done[first + place] = True
+        else:
+            at = slice(first, end) if places is None else places + first
+            for into, values in found:
+                into[at] = values
+            self.done[at] = True
 
     def result(self, rows: pd.DataFrame, settled: np.ndarray, attempt: int) -> pd.DataFrame:
         """Settled rows with their answers, from the attempt just made."""
