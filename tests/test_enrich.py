@@ -7,7 +7,8 @@ import time
 import pandas as pd
 import pytest
 from paralex.operators import enrich as E
-from paralex.plans.enrichment_queries import LENGTH, flaky
+from paralex.plans.enrichment_queries import LENGTH, echo, flaky
+from paralex.plans.tasks import ANSWER, run_task
 from pyspark.sql import types as T
 
 OUT = T.StructType([T.StructField("answer", T.StringType()), T.StructField("n", T.LongType())])
@@ -250,3 +251,28 @@ def test_cost_of_a_row_with_common_poison_is_small():
             assert (r.outcome, r.attempts, r.answer) == ("failed", 3, None)
         else:
             assert (r.outcome, r.attempts, r.answer, r.size) == ("blocked" if n % 11 == 0 else "ok", n % 5 + 1, r.text, n)
+
+
+def test_task_with_common_poison(spark):
+    """Every row of a task lies in the results or the rest, once; its prompt is searched once a row."""
+    rows = [("f", i, f"u{i}", None if i % 50 == 7 else "x" * (i % 61)) for i in range(600)] + [("f", 900, "u3", "again"), ("f", 901, None, "no id")]
+    df = spark.createDataFrame(rows, "file_name string, line_no int, utt string, text string")
+    done = run_task(df, "norm", echo, {"system": "Normalise.", "src_lang": "de"}, first_delay=0.0)
+    texts = {i: t for _, i, _, t in rows[:600]}
+    bad = {i for i, t in texts.items() if t is not None and len(t) % 7 == 0}
+    results = {r.utt: (r.src, r.text) for r in done.results.collect()}
+    assert results == {f"u{i}": (t, t + "!,") for i, t in texts.items() if t is not None and i not in bad}
+    rest = sorted((r.id or "", r.outcome) for r in done.rest.collect())
+    assert rest == sorted([(f"u{i}", "failed") for i in bad] + [(f"u{i}", "rejected") for i, t in texts.items() if t is None] + [("", "rejected")])
+    text = done.results._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("element_at(filter(") == 1
+
+
+def test_cost_of_a_message_with_common_poison_is_small():
+    """The norm task's function; 667 microseconds a row before."""
+    users = ["x" * (i * 2654435761 % 97) + "\nlast" for i in range(10_000)]
+    batches = pd.DataFrame({"k": range(10_000), "text": users, "user": users})
+    begin = time.process_time()
+    out = E.enrich(Frame(batches), echo, ANSWER, 3, 0.0)
+    assert (time.process_time() - begin) / 10_000 < 2e-4
+    assert out.sort_values("k")["answer"].tolist() == [None if len(u) % 7 == 0 else "last!," for u in users]
