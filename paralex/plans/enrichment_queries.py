@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paralex.operators.enrich import Answer, enrich
+from paralex.operators.enrich import Answer, enrich, on_columns
 from paralex.plans.fixtures import fixture as fx
 from paralex.plans.requests_queries import CFG, SST, TEMPLATE, TOPIC
 from paralex.plans.tasks import run_task
@@ -18,11 +18,12 @@ from paralex.sources.text import flatten_paths
 LENGTH = T.StructType([T.StructField("answer", T.StringType()), T.StructField("size", T.LongType())])
 
 
-# The two functions that raise are called about once a row, where work on whole
-# columns and a frame for the answers cost more than a loop.
-def flaky(batch: pd.DataFrame, attempt: int) -> Answer:
+# The two functions that raise are called about once a row, where frames for the
+# rows and the answers cost more than a loop over lists.
+@on_columns
+def flaky(batch: dict[str, list], attempt: int) -> Answer:
     """Answers a text once it has been tried (length mod 5) times before."""
-    texts = batch["text"].tolist()
+    texts = batch["text"]
     sizes = [-1 if t is None else len(t) for t in texts]
     if any(n % 7 == 3 for n in sizes if n >= 0):
         raise ValueError("poison")
@@ -31,10 +32,11 @@ def flaky(batch: pd.DataFrame, attempt: int) -> Answer:
                    "blocked": [sizes[i] % 11 == 0 for i in ready]}
 
 
-def echo(batch: pd.DataFrame, attempt: int) -> Answer:
+@on_columns
+def echo(batch: dict[str, list], attempt: int) -> Answer:
     """Repeats the last line of the user message and adds two marks; cannot take
     messages of some lengths."""
-    users = batch["user"].tolist()
+    users = batch["user"]
     if any(len(u) % 7 == 0 for u in users if u is not None):
         raise ValueError("poison")
     return range(len(users)), {"answer": [None if u is None else u.rsplit("\n", 1)[-1] + "!," for u in users]}

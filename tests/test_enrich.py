@@ -276,3 +276,36 @@ def test_cost_of_a_message_with_common_poison_is_small():
     out = E.enrich(Frame(batches), echo, ANSWER, 3, 0.0)
     assert (time.process_time() - begin) / 10_000 < 2e-4
     assert out.sort_values("k")["answer"].tolist() == [None if len(u) % 7 == 0 else "last!," for u in users]
+
+
+@pytest.mark.parametrize("in_flight", [1, 4])
+def test_a_function_on_columns_takes_lists(in_flight):
+    """Lists of the rows asked, its own to change; answers as places and columns, or as a frame from 0."""
+    @E.on_columns
+    def fn(rows, attempt):
+        assert isinstance(rows, dict) and all(isinstance(values, list) for values in rows.values())
+        ks = list(rows["k"])
+        if any(k % 7 == 3 for k in ks):
+            raise ValueError("poison")
+        rows["text"][:] = ["changed"] * len(ks)
+        ready = [i for i, k in enumerate(ks) if k % 5 < attempt]
+        columns = {"answer": [str(ks[i]) for i in ready], "n": [ks[i] for i in ready], "blocked": [ks[i] % 11 == 0 for i in ready]}
+        return pd.DataFrame(columns, index=ready) if len(ks) % 2 else (ready, columns)
+
+    out = run([batch(0, 300), batch(300, 1), batch(301, 200)], fn, in_flight=in_flight)
+    assert out["k"].tolist() == list(range(501)) and out["text"].tolist() == [f"t{k}" for k in range(501)]
+    for r in out.astype(object).itertuples():
+        if r.k % 7 == 3 or r.k % 5 >= 3:
+            assert (r.outcome, r.attempts, r.answer) == ("failed", 3, None)
+        else:
+            assert (r.outcome, r.attempts, r.answer, r.n) == ("blocked" if r.k % 11 == 0 else "ok", r.k % 5 + 1, str(r.k), r.k)
+
+
+@pytest.mark.parametrize("fn, out", [(echo, ANSWER), (flaky, LENGTH)])
+def test_calls_for_single_rows_are_cheap(fn, out):
+    """Registered functions that raise; 68 and 79 microseconds a row with a frame for every call."""
+    users = ["x" * (i * 2654435761 % 97) + "\nlast" for i in range(20_000)]
+    frame = Frame(pd.DataFrame({"k": range(20_000), "text": users, "user": users}))
+    begin = time.process_time()
+    E.enrich(frame, fn, out, 3, 0.0)
+    assert (time.process_time() - begin) / 20_000 < 4e-5

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from paralex import fixed_values as V
@@ -91,6 +92,22 @@ def test_sides_of_the_edit_gate_are_computed_once(spark):
     assert gated.columns == sides.columns and [tuple(r) for r in gated.collect()] == [("", "", "")]
 
 
+@pytest.mark.parametrize("lang", ["de", "en"])
+def test_edit_gate_normalises_what_follows_a_common_prefix(spark, lang):
+    """Same rows as with both sides normalised whole; each side is normalised once and the distance taken once."""
+    rng = random.Random(11)
+    rows = [(i, None if i % 41 == 0 else "".join(rng.choices("ab.,! ΣςéİI😀", k=rng.choice([0, 3, 9, 150])))) for i in range(400)]
+    rows = [(i, a, None if a is None or i % 37 == 0 else "".join(c for c in a if rng.random() > 0.02) + rng.choice(["", "!,", "xy", " more", "."])) for i, a in rows]
+    df = spark.createDataFrame(rows + [(900, "ab", "a.b"), (901, "a.b", "ab"), (902, "!", ""), (903, "", None)], "i int, src string, text string")
+    gated = TX.edit_distance_gate(df, lang)
+    same = F.lower if lang == "en" else F.col
+    near = F.levenshtein(TX.normalize(same("src")), TX.normalize(same("text"))) <= V.MAX_EDITS
+    full = {r.i for r in df.filter(near & ~TX.is_all_upper("text") if lang == "en" else near).collect()}
+    assert {r.i for r in gated.collect()} == full and 50 < len(full) < 390
+    plan = gated._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == plan.count("translate(substr(") == 2 and plan.count("levenshtein(") == 2
+
+
 def test_match_mode_drops_the_marks_of_its_class(spark):
     """Every character up to U+3100 and the full-width forms, one by one and in runs."""
     chars = [chr(c) for c in [*range(1, 0x3100), *range(0xFF00, 0xFFF0), 0x1F600]]
