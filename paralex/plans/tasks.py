@@ -96,16 +96,21 @@ def run_task(
     replaces the task's id and text columns.  With ``file_name`` and
     ``line_no`` columns, repeated ids of a file are asked once.  Rows without
     a column that their request needs are rejected; those and the rows without an answer are the rest.
-    Answers are written before they are used twice.
+    Answers are written before they are used twice.  Rows not shuffled for
+    their ids are dealt by id and text, for a file may be read by a single task,
+    which would ask and parse all of it.
     """
     spec = TASKS[task]
     if columns:
         spec = replace(spec, id_col=columns[0], text_col=columns[1])
+    needed = spec.needed(options)
+    # Split once: a row is either rendered or rejected.
     if {"file_name", "line_no"} <= set(df.columns):
         df = dedupe_first(df, spec.id_col)
-    # Split once: a row is either rendered or rejected.
-    needed = spec.needed(options)
-    requests = spec.render(df.filter(R.all_given(needed)), spec, options)
+        given = df.filter(R.all_given(needed))
+    else:
+        given = df.filter(R.all_given(needed)).repartition(F.col(f"`{spec.id_col}`"), F.col(f"`{spec.text_col}`"))
+    requests = spec.render(given, spec, options)
     rejected = R.without_request(df, needed).select(
         F.col(f"`{spec.id_col}`").cast("string").alias("id"), F.lit("rejected").alias("outcome")
     )

@@ -309,3 +309,14 @@ def test_calls_for_single_rows_are_cheap(fn, out):
     begin = time.process_time()
     E.enrich(frame, fn, out, 3, 0.0)
     assert (time.process_time() - begin) / 20_000 < 4e-5
+
+
+def test_rows_read_by_one_task_are_asked_by_several(spark):
+    """A table in one file is dealt before it is asked; rows without id or text are rejected as before."""
+    rng = random.Random(5)
+    rows = [(f"u{i}", rng.randbytes(50_000).hex()) for i in range(80)] + [("u3", "again"), (None, "no id"), ("u99", None)]
+    df = spark.createDataFrame(rows, "utt string, text string").coalesce(1)
+    done = run_task(df, "norm", E.on_columns(lambda rows, attempt: (range(len(rows["user"])), {"answer": rows["user"]})), {"src_lang": "de"})
+    assert sorted((r.utt, r.text) for r in done.results.collect()) == sorted(rows[:81])
+    assert sorted((r.id or "", r.outcome) for r in done.rest.collect()) == [("", "rejected"), ("u99", "rejected")]
+    assert len(done.results.inputFiles()) > 1
