@@ -2,8 +2,8 @@
 
 Shards are one folder per file and shard, so they are many small files.  On a
 mounted file system (``file:``) tasks write, list and read them themselves:
-Spark's writer starts a process per file there to set its mode, and its reader
-keeps every folder on the driver.  Other stores go through Spark's writer and
+Spark's writer starts processes for every file there, to set modes, and its
+reader keeps every folder on the driver.  Other stores go through Spark's writer and
 reader; the folders are named alike.
 """
 
